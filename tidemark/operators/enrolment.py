@@ -201,3 +201,8 @@ def distinct_sorted(df: DataFrame, column: str, where: Column | None = None) ->
     """Distinct non-null values of one column, sorted."""
     d = df if where is None else df.where(where)
     return d.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column)
+
+
+def snapshot_month_per_year(fact: DataFrame, month: int, measure: str = YTD, out: str = "total_enrolments") -> DataFrame:
+    """J09 input: per year, the total at one fixed month (e.g. 12 = full year)."""
+    return fact.where(F.col(MONTH) == F.lit(month)).groupBy(YEAR).agg(F.sum(measure).cast("long").alias(out))

@@ -132,3 +132,112 @@ def q_kpi(t: Tables) -> DataFrame:
 @query("a13_all_nationalities")
 def q_all_nationalities(t: Tables) -> DataFrame:
     return en.distinct_sorted(marts.m_enrol(t), "nationality")
+
+
+# ---------------------------------------------------------------------------
+# Macro series and market drivers
+
+from tidemark.operators import macro  # noqa: E402
+
+
+@query("a07_yearly_exchange_rate")
+def q_fx_yearly(t: Tables) -> DataFrame:
+    res = macro.yearly_mean_by_date(marts.m_fx(t), "rate_date", "value", "avg_rate", F.col("series_id") == "purchase")
+    return res.withColumn("avg_rate", F.round("avg_rate", 6)).orderBy("year")
+
+
+@query("a07_yearly_exchange_rate_monthly_only")
+def q_fx_yearly_monthly(t: Tables) -> DataFrame:
+    cond = (F.col("series_id") == "click") & (F.col("frequency") == "Monthly")
+    res = macro.yearly_mean_by_date(marts.m_fx(t), "rate_date", "value", "avg_rate", cond)
+    return res.withColumn("avg_rate", F.round("avg_rate", 6))
+
+
+@query("a08_yearly_cpi")
+def q_cpi_yearly(t: Tables) -> DataFrame:
+    res = macro.yearly_by_period_prefix(marts.m_cpi(t), "cpi_period", "value", "avg_cpi", "avg", F.col("series_id") == "CPI_N")
+    return res.withColumn("avg_cpi", F.round("avg_cpi", 6)).orderBy("year")
+
+
+@query("a08_yearly_labour_force")
+def q_lf_yearly(t: Tables) -> DataFrame:
+    cond = F.col("measure") == "Unemployment rate ;  Persons ;  Seasonally Adjusted"
+    res = macro.yearly_by_period_prefix(marts.m_labour(t), "lf_period", "value", "avg_value", "avg", cond)
+    return res.withColumn("avg_value", F.round("avg_value", 6))
+
+
+@query("f05_labour_force_measures")
+def q_lf_measures(t: Tables) -> DataFrame:
+    pats = ["Employed total%", "Unemployed total%", "Unemployment rate%", "%Participation rate%"]
+    return macro.distinct_like(marts.m_labour(t), "measure", pats)
+
+
+@query("a09_yearly_population_total")
+def q_pop_total(t: Tables) -> DataFrame:
+    pop = macro.aggregate_or_member(marts.m_population(t), "country_name")
+    return macro.yearly_by_period_prefix(pop, "erp_period", "population", "total_population", "sum")
+
+
+@query("a09_yearly_population_member")
+def q_pop_member(t: Tables) -> DataFrame:
+    pop = macro.aggregate_or_member(marts.m_population(t), "country_name", "NATION_5")
+    return macro.yearly_by_period_prefix(pop, "erp_period", "population", "total_population", "sum")
+
+
+@query("a09_yearly_overseas_migration")
+def q_nom(t: Tables) -> DataFrame:
+    nom = macro.aggregate_or_member(marts.m_nom(t), "country_name").where(F.col("direction") == "net")
+    return macro.yearly_by_period_prefix(nom, "nom_period", "value", "total_value", "sum")
+
+
+@query("m_population")
+def q_m_population(t: Tables) -> DataFrame:
+    return marts.m_population(t)
+
+
+def _enrol_yearly(t: Tables) -> DataFrame:
+    return en.at_latest_month_of_year(marts.m_enrol(t)).select(
+        F.col(en.YEAR).cast("string").alias("year"), "total_enrolments"
+    )
+
+
+def _nom_yearly(t: Tables) -> DataFrame:
+    nom = macro.aggregate_or_member(marts.m_nom(t), "country_name").where(F.col("direction") == "net")
+    return macro.yearly_by_period_prefix(nom, "nom_period", "value", "indicator_value", "sum")
+
+
+@query("j08_enrolment_vs_migration")
+def q_align(t: Tables) -> DataFrame:
+    return macro.align_years(_enrol_yearly(t), _nom_yearly(t), how="full")
+
+
+@query("u03_coverage_gaps")
+def q_gaps(t: Tables) -> DataFrame:
+    return macro.coverage_gaps(_enrol_yearly(t), _nom_yearly(t))
+
+
+def _cpi_yearly(t: Tables) -> DataFrame:
+    res = macro.yearly_by_period_prefix(marts.m_cpi(t), "cpi_period", "value", "indicator_value", "avg",
+                                        F.col("series_id") == "CPI_N")
+    return res
+
+
+@query("j09_enrolment_vs_cpi")
+def q_j09(t: Tables) -> DataFrame:
+    enrol = en.snapshot_month_per_year(marts.m_enrol(t), 12).select(
+        F.col(en.YEAR).cast("string").alias("year"), "total_enrolments"
+    )
+    res = macro.align_years(enrol, _cpi_yearly(t), how="inner")
+    return res.withColumn("indicator_value", F.round("indicator_value", 6))
+
+
+@query("a21_enrolment_migration_correlation")
+def q_corr(t: Tables) -> DataFrame:
+    res = macro.guarded_corr(macro.align_years(_enrol_yearly(t), _nom_yearly(t)), "total_enrolments", "indicator_value")
+    return res.withColumn("correlation", F.round("correlation", 6))
+
+
+@query("b10_market_drivers")
+def q_b10(t: Tables) -> DataFrame:
+    pairs = macro.align_years(_enrol_yearly(t), _cpi_yearly(t), how="full")
+    return pairs.withColumn("indicator_value", F.round("indicator_value", 6)).orderBy("year")

@@ -56,3 +56,125 @@ def m_enrol(t: Tables) -> DataFrame:
         out_month="enrol_month",
         out_measures=["ytd_enrolments", "ytd_commencements"],
     )
+
+
+# ---------------------------------------------------------------------------
+# Macro series
+
+
+def m_fx(t: Tables) -> DataFrame:
+    """Exchange-rate fact: one observation per event; frequency by parity of the day."""
+    ev = t.read("events", "ts", "event_type", "value")
+    return ev.select(
+        F.col("ts").cast("date").alias("rate_date"),
+        F.col("event_type").alias("series_id"),
+        F.col("value"),
+        F.when(F.dayofmonth("ts") % 2 == 0, F.lit("Daily")).otherwise(F.lit("Monthly")).alias("frequency"),
+    )
+
+
+# Fixed labels of the labour-force measures, by return flag and line status.
+LF_MEASURE_BY_FLAG = {"A": "Employed total ;  Persons", "N": "Unemployment rate ;  Persons",
+                      "R": "Participation rate ;  Persons"}
+LF_ADJUSTMENT_BY_STATUS = {"F": " ;  Trend", "O": " ;  Seasonally Adjusted"}
+
+
+def m_labour(t: Tables) -> DataFrame:
+    """Monthly labour-force series (lf_period YYYY-MM, series_id, measure, value)."""
+    from tidemark.operators.joins import map_lookup
+
+    li = t.read("lineitem", "l_shipdate", "l_returnflag", "l_linestatus", "l_quantity")
+    monthly = li.groupBy(
+        F.date_format("l_shipdate", "yyyy-MM").alias("lf_period"), "l_returnflag", "l_linestatus"
+    ).agg(F.sum("l_quantity").alias("value"))
+    return monthly.select(
+        "lf_period",
+        F.concat(F.lit("A84"), F.col("l_returnflag"), F.col("l_linestatus")).alias("series_id"),
+        F.concat(
+            map_lookup("l_returnflag", LF_MEASURE_BY_FLAG), map_lookup("l_linestatus", LF_ADJUSTMENT_BY_STATUS)
+        ).alias("measure"),
+        "value",
+    )
+
+
+def m_cpi(t: Tables) -> DataFrame:
+    """Quarterly index series (cpi_period YYYY-Qn, series_id, value)."""
+    li = t.read("lineitem", "l_shipdate", "l_returnflag", "l_quantity")
+    return li.groupBy(
+        F.concat(F.year("l_shipdate").cast("string"), F.lit("-Q"), F.quarter("l_shipdate").cast("string")).alias(
+            "cpi_period"
+        ),
+        F.concat(F.lit("CPI_"), F.col("l_returnflag")).alias("series_id"),
+    ).agg(F.avg("l_quantity").alias("value"))
+
+
+def _fy_text(date_col: str, sep: str = "-") -> F.Column:
+    start = F.year(date_col) - F.when(F.month(date_col) < 7, F.lit(1)).otherwise(F.lit(0))
+    return F.concat(start.cast("string"), F.lit(sep), F.lpad(((start + 1) % 100).cast("string"), 2, "0"))
+
+
+def _orders_by_country(t: Tables) -> DataFrame:
+    orders = t.read("orders", "o_custkey", "o_orderdate", "o_orderstatus")
+    cust = t.read("customer", "c_custkey", "c_nationkey", "c_mktsegment")
+    nation = bounded_broadcast(t.read("nation", "n_nationkey", "n_name", "n_regionkey"))
+    region = bounded_broadcast(t.read("region", "r_regionkey", "r_name"))
+    geo = (
+        cust.join(nation, cust.c_nationkey == nation.n_nationkey)
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .select("c_custkey", "n_name", "r_name", "c_mktsegment")
+    )
+    return orders.join(geo, orders.o_custkey == geo.c_custkey)
+
+
+def m_population(t: Tables) -> DataFrame:
+    """Population by country of birth: member rows beside aggregate label rows
+    (region totals and 'Total') in the same column, as the publication lays
+    them out (Q6).  One pass with grouping sets."""
+    base = _orders_by_country(t).select(
+        F.concat(F.year("o_orderdate").cast("string"), F.lit("-06")).alias("erp_period"),
+        F.col("c_mktsegment").alias("state_code"),
+        "n_name",
+        "r_name",
+    )
+    g = base.groupingSets(
+        [["erp_period", "state_code", "n_name"], ["erp_period", "state_code", "r_name"], ["erp_period", "state_code"]],
+        "erp_period",
+        "state_code",
+        "n_name",
+        "r_name",
+    ).agg(F.count(F.lit(1)).alias("population"), F.grouping_id().alias("__gid"))
+    # grouping_id bits follow (erp_period, state_code, n_name, r_name): 1 = member row,
+    # 2 = region row, 3 = all countries.
+    label = F.when(F.col("__gid") == 1, F.col("n_name")).when(F.col("__gid") == 2, F.col("r_name")).otherwise(
+        F.lit("Total")
+    )
+    return g.select("erp_period", label.alias("country_name"), "state_code", "population")
+
+
+def m_nom(t: Tables) -> DataFrame:
+    """Net overseas migration by financial year: arrivals (status O), departures
+    (status F), net = arrivals - departures; members plus 'Total' rows."""
+    base = _orders_by_country(t).select(
+        _fy_text("o_orderdate").alias("nom_period"),
+        F.col("c_mktsegment").alias("state_code"),
+        "n_name",
+        "o_orderstatus",
+    )
+    g = base.groupingSets(
+        [["nom_period", "state_code", "n_name"], ["nom_period", "state_code"]], "nom_period", "state_code", "n_name"
+    ).agg(
+        F.count_if(F.col("o_orderstatus") == "O").alias("arrivals"),
+        F.count_if(F.col("o_orderstatus") == "F").alias("departures"),
+        F.grouping_id().alias("__gid"),
+    )
+    g = g.select(
+        "nom_period",
+        F.when(F.col("__gid") == 0, F.col("n_name")).otherwise(F.lit("Total")).alias("country_name"),
+        "state_code",
+        "arrivals",
+        "departures",
+        (F.col("arrivals") - F.col("departures")).alias("net"),
+    )
+    return g.unpivot(
+        ["nom_period", "country_name", "state_code"], ["arrivals", "departures", "net"], "direction", "value"
+    )

@@ -218,3 +218,185 @@ register(
     "a13_all_nationalities",
     with_(M_ENROL) + "SELECT DISTINCT nationality FROM m_enrol ORDER BY nationality",
 )
+
+
+# ---------------------------------------------------------------------------
+# Macro series
+
+M_FX = """
+m_fx AS (
+  SELECT CAST(ts AS DATE) AS rate_date, event_type AS series_id, value,
+         CASE WHEN day(ts) % 2 = 0 THEN 'Daily' ELSE 'Monthly' END AS frequency
+  FROM events)"""
+
+M_LABOUR = """
+m_labour AS (
+  SELECT strftime(l_shipdate, '%Y-%m') AS lf_period,
+         'A84' || l_returnflag || l_linestatus AS series_id,
+         (CASE l_returnflag WHEN 'A' THEN 'Employed total ;  Persons'
+                            WHEN 'N' THEN 'Unemployment rate ;  Persons'
+                            WHEN 'R' THEN 'Participation rate ;  Persons' END)
+         || (CASE l_linestatus WHEN 'F' THEN ' ;  Trend' WHEN 'O' THEN ' ;  Seasonally Adjusted' END) AS measure,
+         sum(l_quantity) AS value
+  FROM lineitem GROUP BY 1, 2, 3)"""
+
+M_CPI = """
+m_cpi AS (
+  SELECT CAST(year(l_shipdate) AS VARCHAR) || '-Q' || CAST(quarter(l_shipdate) AS VARCHAR) AS cpi_period,
+         'CPI_' || l_returnflag AS series_id, avg(l_quantity) AS value
+  FROM lineitem GROUP BY 1, 2)"""
+
+GEO_ORDERS = """
+geo_orders AS (
+  SELECT o.o_orderdate, o.o_orderstatus, c.c_mktsegment, n.n_name, r.r_name
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+
+M_POPULATION = """
+m_population AS (
+  SELECT CAST(year(o_orderdate) AS VARCHAR) || '-06' AS erp_period, n_name AS country_name,
+         c_mktsegment AS state_code, count(*) AS population
+  FROM geo_orders GROUP BY 1, 2, 3
+  UNION ALL
+  SELECT CAST(year(o_orderdate) AS VARCHAR) || '-06', r_name, c_mktsegment, count(*)
+  FROM geo_orders GROUP BY 1, 2, 3
+  UNION ALL
+  SELECT CAST(year(o_orderdate) AS VARCHAR) || '-06', 'Total', c_mktsegment, count(*)
+  FROM geo_orders GROUP BY 1, 2, 3)"""
+
+M_NOM = """
+nom_base AS (
+  SELECT (year(o_orderdate) - CASE WHEN month(o_orderdate) < 7 THEN 1 ELSE 0 END) AS fy0,
+         c_mktsegment, n_name, o_orderstatus FROM geo_orders),
+nom_wide AS (
+  SELECT CAST(fy0 AS VARCHAR) || '-' || lpad(CAST((fy0 + 1) % 100 AS VARCHAR), 2, '0') AS nom_period,
+         n_name AS country_name, c_mktsegment AS state_code,
+         count(*) FILTER (WHERE o_orderstatus = 'O') AS arrivals,
+         count(*) FILTER (WHERE o_orderstatus = 'F') AS departures
+  FROM nom_base GROUP BY 1, 2, 3
+  UNION ALL
+  SELECT CAST(fy0 AS VARCHAR) || '-' || lpad(CAST((fy0 + 1) % 100 AS VARCHAR), 2, '0'),
+         'Total', c_mktsegment,
+         count(*) FILTER (WHERE o_orderstatus = 'O'), count(*) FILTER (WHERE o_orderstatus = 'F')
+  FROM nom_base GROUP BY 1, 2, 3),
+m_nom AS (
+  SELECT nom_period, country_name, state_code, 'arrivals' AS direction, arrivals AS value FROM nom_wide
+  UNION ALL SELECT nom_period, country_name, state_code, 'departures', departures FROM nom_wide
+  UNION ALL SELECT nom_period, country_name, state_code, 'net', arrivals - departures FROM nom_wide)"""
+
+ENROL_YEARLY = """
+enrol_yearly AS (
+  SELECT CAST(e.enrol_year AS VARCHAR) AS year, CAST(sum(e.ytd_enrolments) AS BIGINT) AS total_enrolments
+  FROM m_enrol e
+  JOIN (SELECT enrol_year, max(enrol_month) AS lm FROM m_enrol GROUP BY 1) l
+    ON e.enrol_year = l.enrol_year AND e.enrol_month = l.lm
+  GROUP BY 1)"""
+
+NOM_YEARLY = """
+nom_yearly AS (
+  SELECT left(nom_period, 4) AS year, CAST(sum(value) AS BIGINT) AS indicator_value
+  FROM m_nom WHERE direction = 'net' AND country_name = 'Total' GROUP BY 1)"""
+
+CPI_YEARLY = """
+cpi_yearly AS (
+  SELECT left(cpi_period, 4) AS year, avg(value) AS indicator_value
+  FROM m_cpi WHERE series_id = 'CPI_N' GROUP BY 1)"""
+
+register(
+    "a07_yearly_exchange_rate",
+    with_(M_FX)
+    + """
+SELECT CAST(year(rate_date) AS INTEGER) AS year, round(avg(value), 6) AS avg_rate
+FROM m_fx WHERE series_id = 'purchase' GROUP BY 1 ORDER BY 1""",
+)
+register(
+    "a07_yearly_exchange_rate_monthly_only",
+    with_(M_FX)
+    + """
+SELECT CAST(year(rate_date) AS INTEGER) AS year, round(avg(value), 6) AS avg_rate
+FROM m_fx WHERE series_id = 'click' AND frequency = 'Monthly' GROUP BY 1""",
+)
+register(
+    "a08_yearly_cpi",
+    with_(M_CPI)
+    + "SELECT left(cpi_period, 4) AS year, round(avg(value), 6) AS avg_cpi FROM m_cpi "
+    "WHERE series_id = 'CPI_N' GROUP BY 1 ORDER BY 1",
+)
+register(
+    "a08_yearly_labour_force",
+    with_(M_LABOUR)
+    + "SELECT left(lf_period, 4) AS year, round(avg(value), 6) AS avg_value FROM m_labour "
+    "WHERE measure = 'Unemployment rate ;  Persons ;  Seasonally Adjusted' GROUP BY 1",
+)
+register(
+    "f05_labour_force_measures",
+    with_(M_LABOUR)
+    + """
+SELECT DISTINCT measure FROM m_labour
+WHERE measure LIKE 'Employed total%' OR measure LIKE 'Unemployed total%'
+   OR measure LIKE 'Unemployment rate%' OR measure LIKE '%Participation rate%'
+ORDER BY measure""",
+)
+register(
+    "a09_yearly_population_total",
+    with_(GEO_ORDERS, M_POPULATION)
+    + "SELECT left(erp_period, 4) AS year, CAST(sum(population) AS BIGINT) AS total_population "
+    "FROM m_population WHERE country_name = 'Total' GROUP BY 1",
+)
+register(
+    "a09_yearly_population_member",
+    with_(GEO_ORDERS, M_POPULATION)
+    + "SELECT left(erp_period, 4) AS year, CAST(sum(population) AS BIGINT) AS total_population "
+    "FROM m_population WHERE country_name = 'NATION_5' GROUP BY 1",
+)
+register(
+    "a09_yearly_overseas_migration",
+    with_(GEO_ORDERS, M_NOM)
+    + "SELECT left(nom_period, 4) AS year, CAST(sum(value) AS BIGINT) AS total_value "
+    "FROM m_nom WHERE direction = 'net' AND country_name = 'Total' GROUP BY 1",
+)
+register(
+    "m_population",
+    with_(GEO_ORDERS, M_POPULATION)
+    + "SELECT erp_period, country_name, state_code, CAST(population AS BIGINT) AS population FROM m_population",
+)
+register(
+    "j08_enrolment_vs_migration",
+    with_(M_ENROL, ENROL_YEARLY, GEO_ORDERS, M_NOM, NOM_YEARLY)
+    + "SELECT year, total_enrolments, indicator_value FROM enrol_yearly FULL OUTER JOIN nom_yearly USING (year)",
+)
+register(
+    "u03_coverage_gaps",
+    with_(M_ENROL, ENROL_YEARLY, GEO_ORDERS, M_NOM, NOM_YEARLY)
+    + """
+SELECT year, 'left' AS only_in FROM (SELECT year FROM enrol_yearly EXCEPT SELECT year FROM nom_yearly)
+UNION ALL
+SELECT year, 'right' FROM (SELECT year FROM nom_yearly EXCEPT SELECT year FROM enrol_yearly)""",
+)
+register(
+    "j09_enrolment_vs_cpi",
+    with_(M_ENROL, M_CPI, CPI_YEARLY)
+    + """
+SELECT e.year, e.total_enrolments, round(c.indicator_value, 6) AS indicator_value
+FROM (SELECT CAST(enrol_year AS VARCHAR) AS year, CAST(sum(ytd_enrolments) AS BIGINT) AS total_enrolments
+      FROM m_enrol WHERE enrol_month = 12 GROUP BY 1) e
+JOIN cpi_yearly c ON e.year = c.year""",
+)
+register(
+    "a21_enrolment_migration_correlation",
+    with_(M_ENROL, ENROL_YEARLY, GEO_ORDERS, M_NOM, NOM_YEARLY)
+    + """
+SELECT count(*) AS n_pairs,
+       CASE WHEN count(*) >= 3 AND stddev_pop(x) > 0 AND stddev_pop(y) > 0
+            THEN round(covar_pop(x, y) / (stddev_pop(x) * stddev_pop(y)), 6) END AS correlation
+FROM (SELECT CAST(total_enrolments AS DOUBLE) AS x, CAST(indicator_value AS DOUBLE) AS y
+      FROM enrol_yearly JOIN nom_yearly USING (year))""",
+)
+register(
+    "b10_market_drivers",
+    with_(M_ENROL, ENROL_YEARLY, M_CPI, CPI_YEARLY)
+    + """
+SELECT year, total_enrolments, round(indicator_value, 6) AS indicator_value
+FROM enrol_yearly FULL OUTER JOIN cpi_yearly USING (year) ORDER BY year""",
+)
