@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 # A broadcast side is held in every executor's memory; 1M narrow dimension
 # rows stay far under the default executor heap.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+# Outcome of each size check, per application and plan, so one dimension is
+# counted once per session rather than once per query.
+_BOUND_CHECKS: dict[tuple, bool] = {}
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -22,8 +25,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan
     early); a larger side is returned unchanged so the join shuffles instead.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    fits = _BOUND_CHECKS.get(key)
+    if fits is None:
+        fits = df.limit(max_rows + 1).count() <= max_rows
+        _BOUND_CHECKS[key] = fits
+    return F.broadcast(df) if fits else df
 
 
 def map_lookup(c: Column | str, mapping: Mapping[str, str], keep_unmapped: bool = False) -> Column:

@@ -115,12 +115,33 @@ def forward_fill(df: DataFrame, partition: Sequence[str], order: str, columns: S
 
 
 def percentile_rank(df: DataFrame, value: str, out: str, partition: Sequence[str] = ()) -> DataFrame:
-    """Pandas ``rank(pct=True) * 100``: average rank of ties over the non-null count;
-    NULL stays NULL.
+    """Pandas ``rank(pct=True) * 100``: average rank of ties over the non-null
+    count; NULL stays NULL.  Spark's ``percent_rank`` and ``cume_dist`` differ.
 
-    Computed from a per-value count (``groupBy(value)``, combined map-side) and
-    a running sum over the distinct values, so the ranking window sees one row
-    per distinct value, not one per input row; the result is joined back.
+    Single pass of windows over ``df`` (no self-join, so the input plan is not
+    recomputed).  Meant for per-entity frames (one row per country); every row
+    of a partition meets in one task, so for ranking a large fact use
+    :func:`percentile_rank_by_value_counts`.
+    """
+    parts = list(partition)
+    v = F.col(value)
+    order = Window.partitionBy(*parts).orderBy(v.asc_nulls_last())
+    ties = Window.partitionBy(*parts, value)
+    whole = Window.partitionBy(*parts)
+    pr = (F.rank().over(order) + (F.count(F.lit(1)).over(ties) - F.lit(1)) / F.lit(2.0)) / F.count(v).over(
+        whole
+    ) * F.lit(100.0)
+    return df.withColumn(out, F.when(v.isNotNull(), pr))
+
+
+def percentile_rank_by_value_counts(
+    df: DataFrame, value: str, out: str, partition: Sequence[str] = ()
+) -> DataFrame:
+    """W01 for large inputs: rank the distinct values, not the rows.
+
+    A per-value count (``groupBy(value)``, combined map-side, so a value held
+    by a third of all rows is one row after the partial aggregate) feeds a
+    running sum over the distinct values; the rank is joined back on the value.
     """
     parts = list(partition)
     counts = df.where(F.col(value).isNotNull()).groupBy(*parts, value).agg(F.count(F.lit(1)).alias("__n"))

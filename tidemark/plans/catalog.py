@@ -241,3 +241,79 @@ def q_corr(t: Tables) -> DataFrame:
 def q_b10(t: Tables) -> DataFrame:
     pairs = macro.align_years(_enrol_yearly(t), _cpi_yearly(t), how="full")
     return pairs.withColumn("indicator_value", F.round("indicator_value", 6)).orderBy("year")
+
+
+# ---------------------------------------------------------------------------
+# Scoring and rules
+
+from tidemark.functions import scalars as X  # noqa: E402
+from tidemark.operators import scoring  # noqa: E402
+from tidemark.operators.windows import percentile_rank  # noqa: E402
+
+
+def _score_inputs(t: Tables) -> DataFrame:
+    return scoring.opportunity_inputs(marts.m_enrol(t), marts.m_skilled_cob(t))
+
+
+@query("b01_opportunity_score_inputs")
+def q_b01(t: Tables) -> DataFrame:
+    return _score_inputs(t).withColumn("growth_pct", F.round("growth_pct", 6))
+
+
+@query("b02_opportunity_scores")
+def q_b02(t: Tables) -> DataFrame:
+    s = scoring.opportunity_scores(_score_inputs(t))
+    return s.select(
+        "nationality",
+        F.round("growth_score", 6).alias("growth_score"),
+        F.round("market_size_score", 6).alias("market_size_score"),
+        F.round("visa_score", 6).alias("visa_score"),
+        "opportunity_score",
+        "data_confidence_pct",
+        scoring.weights_text().alias("weights_used"),
+    )
+
+
+@query("w01_percentile_rank_growth")
+def q_w01(t: Tables) -> DataFrame:
+    g = en.country_growth_latest(marts.m_enrol(t)).withColumn(
+        "growth_pct", X.pct_change("current_total", "previous_total")
+    )
+    r = percentile_rank(g, "previous_total", "prev_rank")
+    return r.select("nationality", "previous_total", F.round("prev_rank", 6).alias("prev_rank"))
+
+
+@query("a22_median_current_volume")
+def q_a22(t: Tables) -> DataFrame:
+    return scoring.median_of(_score_inputs(t), "current_volume").withColumn(
+        "median_volume", F.round("median_volume", 6)
+    )
+
+
+@query("b03_marketing_recommendation")
+def q_b03(t: Tables) -> DataFrame:
+    r = scoring.recommendations(_score_inputs(t))
+    return r.select(
+        "nationality",
+        F.round("growth_pct", 6).alias("growth_pct"),
+        "current_volume",
+        F.round("median_volume", 6).alias("median_volume"),
+        "recommendation",
+    )
+
+
+@query("b04_sector_yoy")
+def q_b04(t: Tables) -> DataFrame:
+    return scoring.sector_yoy(marts.m_enrol(t))
+
+
+@query("x20_formatted_kpis")
+def q_x20(t: Tables) -> DataFrame:
+    k = en.kpi_block(marts.m_enrol(t))
+    return k.select(
+        X.period_label(en.YEAR, en.MONTH).alias("period"),
+        X.fmt_number("current_total").alias("current_text"),
+        X.fmt_number("same_month_last_year").alias("prior_text"),
+        X.fmt_pct("yoy_pct", 1, signed=True).alias("yoy_text"),
+        X.safe_ratio("current_total", "same_month_last_year").alias("ratio"),
+    ).withColumn("ratio", F.round("ratio", 6))

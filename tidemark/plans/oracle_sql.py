@@ -400,3 +400,148 @@ register(
 SELECT year, total_enrolments, round(indicator_value, 6) AS indicator_value
 FROM enrol_yearly FULL OUTER JOIN cpi_yearly USING (year) ORDER BY year""",
 )
+
+
+# ---------------------------------------------------------------------------
+# Scoring and rules
+
+M_SKILLED_COB = """
+m_skilled_cob AS (
+  SELECT CAST(fy0 AS VARCHAR) || '_' || lpad(CAST((fy0 + 1) % 100 AS VARCHAR), 2, '0') AS financial_year,
+         country_name, anzsco_code, 'Occupation ' || anzsco_code AS occupation_name, visa_subclass,
+         'Grants' AS measure, CAST(count(*) AS DOUBLE) AS value
+  FROM (SELECT year(l_shipdate) - CASE WHEN month(l_shipdate) < 7 THEN 1 ELSE 0 END AS fy0,
+               CASE WHEN s_acctbal >= 0 THEN n_name END AS country_name,
+               substr(printf('%06d', l_partkey), 1, 4) AS anzsco_code,
+               CASE l_returnflag WHEN 'A' THEN '189' WHEN 'N' THEN '190' WHEN 'R' THEN '491' END AS visa_subclass
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+        LEFT JOIN nation ON s_nationkey = n_nationkey) s
+  GROUP BY fy0, country_name, anzsco_code, visa_subclass)"""
+
+SCORE_INPUTS = """
+cur AS (SELECT nationality, sum(ytd_enrolments) AS v FROM m_enrol, latest
+        WHERE enrol_year = ly AND enrol_month = lm GROUP BY 1),
+prv AS (SELECT nationality, sum(ytd_enrolments) AS v FROM m_enrol, latest
+        WHERE enrol_year = ly - 1 AND enrol_month = lm GROUP BY 1),
+visa AS (SELECT country_name AS nationality, sum(value) AS visa_volume FROM m_skilled_cob
+         WHERE country_name IS NOT NULL GROUP BY 1),
+inputs AS (
+  SELECT cur.nationality, CAST(cur.v AS BIGINT) AS current_volume,
+         CASE WHEN prv.v <> 0 THEN (CAST(cur.v AS DOUBLE) - CAST(prv.v AS DOUBLE)) / CAST(prv.v AS DOUBLE) * 100.0
+         END AS growth_pct,
+         CAST(visa.visa_volume AS DOUBLE) AS visa_volume
+  FROM cur LEFT JOIN prv ON cur.nationality = prv.nationality
+           LEFT JOIN visa ON cur.nationality = visa.nationality)"""
+
+
+def pandas_pct_rank(col: str) -> str:
+    """Average-tie percentile rank over non-null values, times 100."""
+    return (
+        f"CASE WHEN {col} IS NOT NULL THEN (rank() OVER (ORDER BY {col} ASC NULLS LAST) "
+        f"+ (count(*) OVER (PARTITION BY {col}) - 1) / 2.0) / count({col}) OVER () * 100.0 END"
+    )
+
+
+SCORES = f"""
+ranked AS (
+  SELECT *, {pandas_pct_rank('growth_pct')} AS gs, {pandas_pct_rank('current_volume')} AS ms,
+         {pandas_pct_rank('visa_volume')} AS vs
+  FROM inputs),
+scored AS (
+  SELECT *,
+         0.0 + CASE WHEN gs IS NOT NULL THEN 0.4 ELSE 0.0 END + CASE WHEN ms IS NOT NULL THEN 0.35 ELSE 0.0 END
+             + CASE WHEN vs IS NOT NULL THEN 0.25 ELSE 0.0 END AS tw,
+         0.0 + coalesce(gs * 0.4, 0.0) + coalesce(ms * 0.35, 0.0) + coalesce(vs * 0.25, 0.0) AS wsum,
+         (CASE WHEN gs IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN ms IS NOT NULL THEN 1 ELSE 0 END
+          + CASE WHEN vs IS NOT NULL THEN 1 ELSE 0 END) AS np
+  FROM ranked)"""
+
+register(
+    "b01_opportunity_score_inputs",
+    with_(M_ENROL, LATEST, M_SKILLED_COB, SCORE_INPUTS)
+    + "SELECT nationality, current_volume, round(growth_pct, 6) AS growth_pct, visa_volume FROM inputs",
+)
+
+register(
+    "b02_opportunity_scores",
+    with_(M_ENROL, LATEST, M_SKILLED_COB, SCORE_INPUTS, SCORES)
+    + """
+SELECT nationality, round(gs, 6) AS growth_score, round(ms, 6) AS market_size_score, round(vs, 6) AS visa_score,
+       CASE WHEN tw > 0 THEN round(wsum / tw, 1) END AS opportunity_score,
+       round(np / 3.0 * 100.0, 1) AS data_confidence_pct,
+       concat_ws(';',
+         CASE WHEN gs IS NOT NULL THEN 'growth=' || printf('%.3f', round(0.4 / tw, 3)) END,
+         CASE WHEN ms IS NOT NULL THEN 'market_size=' || printf('%.3f', round(0.35 / tw, 3)) END,
+         CASE WHEN vs IS NOT NULL THEN 'visa_pathway=' || printf('%.3f', round(0.25 / tw, 3)) END) AS weights_used
+FROM scored""",
+)
+
+register(
+    "w01_percentile_rank_growth",
+    with_(M_ENROL, LATEST, GROWTH)
+    + f"""
+SELECT nationality, CAST(previous_total AS BIGINT) AS previous_total,
+       round({pandas_pct_rank('previous_total')}, 6) AS prev_rank
+FROM growth""",
+)
+
+register(
+    "a22_median_current_volume",
+    with_(M_ENROL, LATEST, M_SKILLED_COB, SCORE_INPUTS)
+    + "SELECT round(median(current_volume), 6) AS median_volume FROM inputs",
+)
+
+REC = """
+CASE WHEN growth_pct IS NULL OR current_volume IS NULL OR med IS NULL THEN
+       'Insufficient historical data for a rule-based recommendation '
+       || '(requires at least two comparable years of enrolment data).'
+     WHEN growth_pct >= 10.0 AND current_volume >= med THEN
+       'Strong growth (+' || printf('%.1f', growth_pct) || '% YoY) in an already large market -- '
+       || 'prioritize marketing investment and course capacity.'
+     WHEN growth_pct >= 10.0 AND current_volume < med THEN
+       'Strong growth (+' || printf('%.1f', growth_pct) || '% YoY) in an emerging market -- '
+       || 'consider early investment ahead of scale.'
+     WHEN growth_pct <= -10.0 THEN
+       'Declining market (' || printf('%.1f', growth_pct) || '% YoY) -- monitor closely and '
+       || 'investigate cause before increasing investment.'
+     ELSE 'Stable market (' || printf('%+.1f', growth_pct) || '% YoY) -- maintain current marketing effort.'
+END"""
+
+register(
+    "b03_marketing_recommendation",
+    with_(M_ENROL, LATEST, M_SKILLED_COB, SCORE_INPUTS)
+    + f"""
+SELECT nationality, round(growth_pct, 6) AS growth_pct, current_volume, round(med, 6) AS median_volume,
+       {REC} AS recommendation
+FROM inputs, (SELECT median(current_volume) AS med FROM inputs) m""",
+)
+
+register(
+    "b04_sector_yoy",
+    with_(M_ENROL, LATEST)
+    + """
+SELECT sector, CAST(current_total AS BIGINT) AS current_total, CAST(previous_total AS BIGINT) AS previous_total,
+       round(CASE WHEN previous_total <> 0 THEN (CAST(current_total AS DOUBLE) - CAST(previous_total AS DOUBLE))
+                  / CAST(previous_total AS DOUBLE) * 100.0 END, 6) AS yoy_pct
+FROM (SELECT coalesce(c.sector, p.sector) AS sector, coalesce(c.t, 0) AS current_total,
+             coalesce(p.t, 0) AS previous_total
+      FROM (SELECT sector, sum(ytd_enrolments) AS t FROM m_enrol, latest
+            WHERE enrol_year = ly AND enrol_month = lm GROUP BY 1) c
+      FULL OUTER JOIN (SELECT sector, sum(ytd_enrolments) AS t FROM m_enrol, latest
+            WHERE enrol_year = ly - 1 AND enrol_month = lm GROUP BY 1) p ON c.sector = p.sector) x""",
+)
+
+register(
+    "x20_formatted_kpis",
+    with_(M_ENROL, LATEST)
+    + """
+SELECT CAST(ly AS VARCHAR) || '-' || lpad(CAST(lm AS VARCHAR), 2, '0') AS period,
+       format('{:,}', cur) AS current_text, format('{:,}', prv) AS prior_text,
+       CASE WHEN pct > 0 THEN '+' ELSE '' END || format('{:,.1f}', pct) || '%' AS yoy_text,
+       round(CASE WHEN prv <> 0 THEN CAST(cur AS DOUBLE) / CAST(prv AS DOUBLE) END, 6) AS ratio
+FROM (SELECT ly, lm, cur, prv, round((CAST(cur AS DOUBLE) - CAST(prv AS DOUBLE)) / CAST(prv AS DOUBLE) * 100.0, 6) AS pct
+      FROM (SELECT ly, lm,
+              (SELECT sum(ytd_enrolments) FROM m_enrol WHERE enrol_year = ly AND enrol_month = lm) AS cur,
+              (SELECT sum(ytd_enrolments) FROM m_enrol WHERE enrol_year = ly - 1 AND enrol_month = lm) AS prv
+            FROM latest) a) b""",
+)
