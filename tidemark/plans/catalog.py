@@ -317,3 +317,65 @@ def q_x20(t: Tables) -> DataFrame:
         X.fmt_pct("yoy_pct", 1, signed=True).alias("yoy_text"),
         X.safe_ratio("current_total", "same_month_last_year").alias("ratio"),
     ).withColumn("ratio", F.round("ratio", 6))
+
+
+# ---------------------------------------------------------------------------
+# Occupation marts
+
+from tidemark.operators import occupation as occ  # noqa: E402
+from tidemark.operators import reshape  # noqa: E402
+
+
+@query("b08_occupation_view_exact")
+def q_b08_exact(t: Tables) -> DataFrame:
+    v = occ.occupation_view(marts.m_shortage(t), marts.m_vacancy(t), marts.m_profile(t))
+    return v.withColumn("median_annual_salary_aud", F.col("median_annual_salary_aud").cast("double"))
+
+
+@query("b08_occupation_view")
+def q_b08(t: Tables) -> DataFrame:
+    v = occ.occupation_view(marts.m_shortage(t), marts.m_vacancy(t), marts.m_profile(t), code_prefix=4)
+    return v.withColumn("median_annual_salary_aud", F.col("median_annual_salary_aud").cast("double"))
+
+
+@query("w02_latest_vacancy_per_code")
+def q_w02(t: Tables) -> DataFrame:
+    vac = marts.m_vacancy(t).where(F.col("measure") == "Seasonally Adjusted")
+    return occ.latest_per_key(vac, ["anzsco_code", "state_code"], "vacancy_period", ["vacancy_count"])
+
+
+@query("r04_occupation_profile_eav")
+def q_r04(t: Tables) -> DataFrame:
+    return marts.m_profile(t)
+
+
+@query("r11_profile_to_columns")
+def q_r11(t: Tables) -> DataFrame:
+    return reshape.eav_to_columns(
+        marts.m_profile(t), ["anzsco_code"], "dimension", "value_text",
+        ["median_full_time_earnings_per_week", "employed"],
+    )
+
+
+@query("b07_occupation_mart")
+def q_b07(t: Tables) -> DataFrame:
+    return occ.occupation_mart(marts.m_ceilings(t), marts.m_osl(t), marts.m_visa_lists(t), "2025-06")
+
+
+@query("j11_eligibility_exact_tokens")
+def q_j11(t: Tables) -> DataFrame:
+    return occ.eligibility_flags(marts.m_visa_lists(t), marts.SUBCLASSES, exact_tokens=True)
+
+
+@query("u08_occupation_dimension")
+def q_u08(t: Tables) -> DataFrame:
+    return occ.occupation_dimension(marts.m_shortage(t), marts.m_profile(t), marts.m_vacancy(t))
+
+
+@query("r10_ceiling_pivot")
+def q_r10(t: Tables) -> DataFrame:
+    national = F.upper(F.col("state")).isin(*occ.NATIONAL_STATES)
+    return reshape.conditional_pivot_last_wins(
+        marts.m_ceilings(t), "anzsco_code", "visa_subclass", marts.SUBCLASSES,
+        {"ceiling": "ceiling_{v}", "invitations_issued": "invitations_{v}"}, "source_row", where=national,
+    )

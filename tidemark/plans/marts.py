@@ -222,3 +222,149 @@ def m_skilled_cob(t: Tables) -> DataFrame:
         F.lit("Grants").alias("measure"),
         "value",
     )
+
+
+# ---------------------------------------------------------------------------
+# Occupation marts: shortage list, vacancy index, profiles, ceilings, visa lists
+
+
+def m_shortage(t: Tables) -> DataFrame:
+    """Shortage assessment per six-digit occupation (one per part)."""
+    p = t.read("part", "p_partkey", "p_name", "p_type", "p_size")
+    status = (
+        F.when(F.col("p_size") <= 15, F.lit("Shortage"))
+        .when(F.col("p_size") <= 35, F.lit("No Shortage"))
+        .otherwise(F.lit("Regional Shortage"))
+    )
+    return p.select(
+        occupation_code("p_partkey").alias("anzsco_code"),
+        F.lit(6).alias("anzsco_level"),
+        F.col("p_name").alias("occupation_name"),
+        status.alias("shortage_status"),
+        F.col("p_type").alias("osca_category"),
+        F.when(F.col("p_size") % 10 != 0, F.lit("2025")).alias("assessment_year"),
+        F.lit("AUS").alias("state_code"),
+    )
+
+
+def m_vacancy(t: Tables) -> DataFrame:
+    """Monthly vacancy counts per four-digit occupation group; the measure is the
+    series type (Seasonally Adjusted for open lines, Trend otherwise)."""
+    li = t.read("lineitem", "l_partkey", "l_shipdate", "l_linestatus")
+    g = li.groupBy(
+        F.date_format("l_shipdate", "yyyy-MM").alias("vacancy_period"),
+        F.substring(occupation_code("l_partkey"), 1, 4).alias("anzsco_code"),
+        F.when(F.col("l_linestatus") == "O", F.lit("Seasonally Adjusted")).otherwise(F.lit("Trend")).alias("measure"),
+    ).agg(F.count(F.lit(1)).alias("vacancy_count"))
+    return g.select(
+        "vacancy_period", "anzsco_code", F.lit(4).alias("anzsco_level"), F.lit("AUS").alias("state_code"),
+        "measure", "vacancy_count",
+    )
+
+
+# Fixed profile layout: wide column -> profile measure (sheet).
+PROFILE_MEASURE_BY_DIMENSION = {
+    "median_full_time_earnings_per_week": "Earnings",
+    "employed": "Employment",
+    "skill_level": "Education",
+}
+
+
+def occupation_profile_wide(t: Tables) -> DataFrame:
+    """Wide profile sheet: one row per occupation, one text column per dimension
+    ('np' marks a suppressed earnings figure)."""
+    p = t.read("part", "p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
+    return p.select(
+        occupation_code("p_partkey").alias("anzsco_code"),
+        F.col("p_name").alias("occupation_name"),
+        F.when(F.col("p_size") > 45, F.lit("np"))
+        .otherwise(F.format_string("%.2f", F.col("p_retailprice")))
+        .alias("median_full_time_earnings_per_week"),
+        (F.col("p_size") * 100).cast("string").alias("employed"),
+        F.col("p_brand").alias("skill_level"),
+    )
+
+
+def m_profile(t: Tables) -> DataFrame:
+    """Profile sheet to EAV keeping both the text and the numeric value."""
+    from tidemark.operators.reshape import wide_to_eav
+
+    return wide_to_eav(
+        occupation_profile_wide(t),
+        ["anzsco_code", "occupation_name"],
+        list(PROFILE_MEASURE_BY_DIMENSION),
+        PROFILE_MEASURE_BY_DIMENSION,
+        profile_year="2025",
+    )
+
+
+# Fixed visa subclass codes of the points-tested streams.
+SUBCLASSES = ("189", "190", "491")
+
+
+def m_ceilings(t: Tables) -> DataFrame:
+    """Invitation rounds: per occupation, subclass and state - ceiling, invitations,
+    fill rate and trend; ``source_row`` is the row's position in the source
+    (its smallest order key) so "last row wins" is deterministic."""
+    li = t.read("lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_discount", "l_returnflag", "l_linestatus")
+    state = (
+        F.when(F.col("l_returnflag") == "R", F.lit("VIC"))
+        .when(F.col("l_linestatus") == "O", F.lit("NATIONAL"))
+        .otherwise(F.lit("ALL"))
+    )
+    visa = F.element_at(F.array(*[F.lit(s) for s in SUBCLASSES]), (F.col("l_linenumber") % 3 + 1).cast("int"))
+    g = li.groupBy(
+        occupation_code("l_partkey").alias("anzsco_code"), visa.alias("visa_subclass"), state.alias("state")
+    ).agg(
+        (F.count(F.lit(1)) * 10).alias("ceiling"),
+        F.count_if(F.col("l_discount") < 0.05).alias("invitations_issued"),
+        F.min("l_orderkey").alias("source_row"),
+    )
+    return g.select(
+        "anzsco_code",
+        F.concat(F.lit("Occupation "), F.col("anzsco_code")).alias("occupation_name"),
+        "visa_subclass",
+        "state",
+        "ceiling",
+        "invitations_issued",
+        F.round(F.col("invitations_issued") / F.col("ceiling") * 100, 4).alias("fill_rate_pct"),
+        F.when(F.col("invitations_issued") * 20 > F.col("ceiling"), F.lit("UP")).otherwise(F.lit("DOWN")).alias("trend"),
+        "source_row",
+    )
+
+
+def m_osl(t: Tables) -> DataFrame:
+    """Shortage list rows with a state column ('National' or a state)."""
+    s = m_shortage(t)
+    p = t.read("part", "p_partkey", "p_type")
+    st = p.select(
+        occupation_code("p_partkey").alias("anzsco_code"),
+        F.when(F.col("p_type") == "PROMO", F.lit("NSW")).otherwise(F.lit("National")).alias("state"),
+    )
+    return s.join(st, "anzsco_code").select(
+        "anzsco_code",
+        "occupation_name",
+        F.when(F.col("shortage_status") == "Shortage", F.lit("National Shortage"))
+        .otherwise(F.col("shortage_status"))
+        .alias("shortage_status"),
+        F.col("osca_category").alias("shortage_level"),
+        "state",
+    )
+
+
+def m_visa_lists(t: Tables) -> DataFrame:
+    """Skilled occupation lists: list type and the eligible subclasses as text."""
+    p = t.read("part", "p_partkey", "p_name", "p_brand", "p_size").where(F.col("p_size") <= 40)
+    lst = F.when(F.col("p_size") <= 10, F.lit("MLTSSL")).when(F.col("p_size") <= 25, F.lit("STSOL")).otherwise(
+        F.lit("ROL")
+    )
+    subs = F.when(lst == "MLTSSL", F.lit("189, 190, 491")).when(lst == "STSOL", F.lit("190, 491")).otherwise(
+        F.lit("491")
+    )
+    return p.select(
+        occupation_code("p_partkey").alias("anzsco_code"),
+        F.col("p_name").alias("occupation_name"),
+        lst.alias("list_type"),
+        F.col("p_brand").alias("assessing_body"),
+        subs.alias("visa_subclass"),
+    )

@@ -545,3 +545,209 @@ FROM (SELECT ly, lm, cur, prv, round((CAST(cur AS DOUBLE) - CAST(prv AS DOUBLE))
               (SELECT sum(ytd_enrolments) FROM m_enrol WHERE enrol_year = ly - 1 AND enrol_month = lm) AS prv
             FROM latest) a) b""",
 )
+
+
+# ---------------------------------------------------------------------------
+# Occupation marts
+
+M_SHORTAGE = """
+m_shortage AS (
+  SELECT printf('%06d', p_partkey) AS anzsco_code, 6 AS anzsco_level, p_name AS occupation_name,
+         CASE WHEN p_size <= 15 THEN 'Shortage' WHEN p_size <= 35 THEN 'No Shortage'
+              ELSE 'Regional Shortage' END AS shortage_status,
+         p_type AS osca_category, CASE WHEN p_size % 10 <> 0 THEN '2025' END AS assessment_year,
+         'AUS' AS state_code
+  FROM part)"""
+
+M_VACANCY = """
+m_vacancy AS (
+  SELECT strftime(l_shipdate, '%Y-%m') AS vacancy_period, substr(printf('%06d', l_partkey), 1, 4) AS anzsco_code,
+         4 AS anzsco_level, 'AUS' AS state_code,
+         CASE WHEN l_linestatus = 'O' THEN 'Seasonally Adjusted' ELSE 'Trend' END AS measure,
+         count(*) AS vacancy_count
+  FROM lineitem GROUP BY ALL)"""
+
+M_PROFILE = """
+prof_wide AS (
+  SELECT printf('%06d', p_partkey) AS anzsco_code, p_name AS occupation_name,
+         CASE WHEN p_size > 45 THEN 'np' ELSE printf('%.2f', p_retailprice) END AS e,
+         CAST(p_size * 100 AS VARCHAR) AS m, p_brand AS s
+  FROM part),
+m_profile AS (
+  SELECT anzsco_code, occupation_name, 'Earnings' AS profile_measure,
+         'median_full_time_earnings_per_week' AS dimension, TRY_CAST(trim(e) AS DOUBLE) AS value_num,
+         e AS value_text, '2025' AS profile_year FROM prof_wide
+  UNION ALL
+  SELECT anzsco_code, occupation_name, 'Employment', 'employed', TRY_CAST(trim(m) AS DOUBLE), m, '2025'
+  FROM prof_wide
+  UNION ALL
+  SELECT anzsco_code, occupation_name, 'Education', 'skill_level', TRY_CAST(trim(s) AS DOUBLE), s, '2025'
+  FROM prof_wide)"""
+
+M_CEILINGS = """
+m_ceilings AS (
+  SELECT anzsco_code, 'Occupation ' || anzsco_code AS occupation_name, visa_subclass, state, ceiling,
+         invitations_issued, round(invitations_issued / ceiling * 100, 4) AS fill_rate_pct,
+         CASE WHEN invitations_issued * 20 > ceiling THEN 'UP' ELSE 'DOWN' END AS trend, source_row
+  FROM (SELECT printf('%06d', l_partkey) AS anzsco_code,
+               CASE l_linenumber % 3 WHEN 0 THEN '189' WHEN 1 THEN '190' ELSE '491' END AS visa_subclass,
+               CASE WHEN l_returnflag = 'R' THEN 'VIC' WHEN l_linestatus = 'O' THEN 'NATIONAL'
+                    ELSE 'ALL' END AS state,
+               count(*) * 10 AS ceiling, count(*) FILTER (WHERE l_discount < 0.05) AS invitations_issued,
+               min(l_orderkey) AS source_row
+        FROM lineitem GROUP BY 1, 2, 3) g)"""
+
+M_OSL = """
+m_osl AS (
+  SELECT s.anzsco_code, s.occupation_name,
+         CASE WHEN s.shortage_status = 'Shortage' THEN 'National Shortage' ELSE s.shortage_status END
+           AS shortage_status,
+         s.osca_category AS shortage_level,
+         CASE WHEN p.p_type = 'PROMO' THEN 'NSW' ELSE 'National' END AS state
+  FROM m_shortage s JOIN part p ON s.anzsco_code = printf('%06d', p.p_partkey))"""
+
+M_VISA_LISTS = """
+m_visa_lists AS (
+  SELECT printf('%06d', p_partkey) AS anzsco_code, p_name AS occupation_name,
+         CASE WHEN p_size <= 10 THEN 'MLTSSL' WHEN p_size <= 25 THEN 'STSOL' ELSE 'ROL' END AS list_type,
+         p_brand AS assessing_body,
+         CASE WHEN p_size <= 10 THEN '189, 190, 491' WHEN p_size <= 25 THEN '190, 491' ELSE '491' END
+           AS visa_subclass
+  FROM part WHERE p_size <= 40)"""
+
+
+def _view_sql(prefix: str) -> str:
+    join_code = "os.anzsco_code" if prefix == "" else f"left(os.anzsco_code, {prefix})"
+    return f"""
+SELECT os.anzsco_code, os.occupation_name, os.shortage_status, os.osca_category, os.assessment_year,
+       os.state_code, vac.vacancy_count AS latest_vacancies, vac.vacancy_period AS vacancy_as_at,
+       CAST(TRY_CAST(pe.value_text AS DECIMAL(14,2)) * 52 AS DOUBLE) AS median_annual_salary_aud,
+       pm.value_text AS employment_size
+FROM m_shortage os
+LEFT JOIN m_vacancy vac
+  ON coalesce(vac.anzsco_code, '') = {join_code} AND vac.state_code = os.state_code
+ AND vac.measure = 'Seasonally Adjusted'
+ AND vac.vacancy_period = (SELECT max(v2.vacancy_period) FROM m_vacancy v2
+                           WHERE coalesce(v2.anzsco_code, '') = {join_code}
+                             AND v2.state_code = os.state_code AND v2.measure = 'Seasonally Adjusted')
+LEFT JOIN m_profile pe ON pe.anzsco_code = os.anzsco_code
+ AND pe.dimension = 'median_full_time_earnings_per_week'
+ AND regexp_matches(pe.value_text, '^[0-9]+(\\.[0-9]+)?$')
+LEFT JOIN m_profile pm ON pm.anzsco_code = os.anzsco_code AND pm.dimension = 'employed'"""
+
+
+register("b08_occupation_view_exact", with_(M_SHORTAGE, M_VACANCY, M_PROFILE) + _view_sql(""))
+register("b08_occupation_view", with_(M_SHORTAGE, M_VACANCY, M_PROFILE) + _view_sql("4"))
+
+register(
+    "w02_latest_vacancy_per_code",
+    with_(M_VACANCY)
+    + """
+SELECT anzsco_code, state_code, vacancy_period, vacancy_count FROM m_vacancy v
+WHERE measure = 'Seasonally Adjusted'
+  AND vacancy_period = (SELECT max(vacancy_period) FROM m_vacancy w
+                        WHERE w.anzsco_code = v.anzsco_code AND w.state_code = v.state_code
+                          AND w.measure = 'Seasonally Adjusted')""",
+)
+
+register("r04_occupation_profile_eav", with_(M_PROFILE) + "SELECT * FROM m_profile")
+
+register(
+    "r11_profile_to_columns",
+    with_(M_PROFILE)
+    + """
+SELECT anzsco_code,
+       max(CASE WHEN dimension = 'median_full_time_earnings_per_week' THEN value_text END)
+         AS median_full_time_earnings_per_week,
+       max(CASE WHEN dimension = 'employed' THEN value_text END) AS employed
+FROM m_profile GROUP BY anzsco_code""",
+)
+
+
+def _pivot_cols(measures: dict[str, str]) -> str:
+    cols = []
+    for v in ("189", "190", "491"):
+        for src, pat in measures.items():
+            cols.append(f"arg_max({src}, source_row) FILTER (WHERE visa_subclass = '{v}') AS {pat.format(v=v)}")
+    return ",\n       ".join(cols)
+
+
+NAT_CEILINGS = """
+nat AS (SELECT * FROM m_ceilings WHERE upper(trim(coalesce(state, ''))) IN ('NATIONAL', 'ALL', '', 'NAN'))"""
+
+register(
+    "r10_ceiling_pivot",
+    with_(M_CEILINGS, NAT_CEILINGS)
+    + "SELECT anzsco_code,\n       "
+    + _pivot_cols({"ceiling": "ceiling_{v}", "invitations_issued": "invitations_{v}"})
+    + "\nFROM nat GROUP BY anzsco_code",
+)
+
+register(
+    "b07_occupation_mart",
+    with_(M_CEILINGS, NAT_CEILINGS, M_SHORTAGE, M_OSL, M_VISA_LISTS)
+    + """,
+names AS (SELECT anzsco_code, arg_min(occupation_name, source_row) AS occupation_name
+          FROM m_ceilings GROUP BY anzsco_code),
+wide AS (SELECT anzsco_code,
+       """
+    + _pivot_cols(
+        {
+            "ceiling": "ceiling_{v}",
+            "invitations_issued": "invitations_{v}",
+            "fill_rate_pct": "fill_rate_{v}_pct",
+            "trend": "trend_{v}",
+        }
+    )
+    + """
+         FROM nat GROUP BY anzsco_code),
+osl1 AS (SELECT anzsco_code, shortage_status, shortage_level FROM (
+           SELECT *, row_number() OVER (PARTITION BY anzsco_code ORDER BY shortage_status, shortage_level) AS rn
+           FROM m_osl WHERE coalesce(state, '') IN ('', 'National')) x WHERE rn = 1),
+flags AS (SELECT anzsco_code,
+                 max(CAST(contains(coalesce(visa_subclass, ''), '189') AS INTEGER)) AS e189,
+                 max(CAST(contains(coalesce(visa_subclass, ''), '190') AS INTEGER)) AS e190,
+                 max(CAST(contains(coalesce(visa_subclass, ''), '491') AS INTEGER)) AS e491
+          FROM m_visa_lists GROUP BY anzsco_code),
+meta AS (SELECT anzsco_code, list_type, assessing_body FROM (
+           SELECT *, row_number() OVER (PARTITION BY anzsco_code ORDER BY list_type, assessing_body) AS rn
+           FROM m_visa_lists) y WHERE rn = 1)
+SELECT n.anzsco_code, n.occupation_name, w.* EXCLUDE (anzsco_code),
+       o.shortage_status, o.shortage_level,
+       coalesce(CAST(contains(o.shortage_status, 'National') AS INTEGER), 0) AS shortage_national,
+       coalesce(f.e189, 0) AS eligible_189, coalesce(f.e190, 0) AS eligible_190, coalesce(f.e491, 0) AS eligible_491,
+       m.list_type, m.assessing_body, '2025-06' AS data_month
+FROM names n LEFT JOIN wide w ON n.anzsco_code = w.anzsco_code
+LEFT JOIN osl1 o ON n.anzsco_code = o.anzsco_code
+LEFT JOIN flags f ON n.anzsco_code = f.anzsco_code
+LEFT JOIN meta m ON n.anzsco_code = m.anzsco_code""",
+)
+
+register(
+    "j11_eligibility_exact_tokens",
+    with_(M_VISA_LISTS)
+    + """
+SELECT anzsco_code,
+  max(CAST(list_contains(string_split(replace(coalesce(visa_subclass, ''), ' ', ''), ','), '189')
+      AS INTEGER)) AS eligible_189,
+  max(CAST(list_contains(string_split(replace(coalesce(visa_subclass, ''), ' ', ''), ','), '190')
+      AS INTEGER)) AS eligible_190,
+  max(CAST(list_contains(string_split(replace(coalesce(visa_subclass, ''), ' ', ''), ','), '491')
+      AS INTEGER)) AS eligible_491
+FROM m_visa_lists GROUP BY anzsco_code""",
+)
+
+register(
+    "u08_occupation_dimension",
+    with_(M_SHORTAGE, M_VACANCY, M_PROFILE)
+    + """
+SELECT anzsco_code, anzsco_level,
+       arg_min(occupation_name, prio) FILTER (WHERE occupation_name IS NOT NULL) AS occupation_name,
+       substr(anzsco_code, 1, 1) AS major_group, substr(anzsco_code, 1, 2) AS sub_major_group,
+       substr(anzsco_code, 1, 3) AS minor_group, substr(anzsco_code, 1, 4) AS unit_group
+FROM (SELECT anzsco_code, anzsco_level, occupation_name, 1 AS prio FROM m_shortage
+      UNION ALL SELECT DISTINCT anzsco_code, 6, occupation_name, 2 FROM m_profile
+      UNION ALL SELECT DISTINCT anzsco_code, anzsco_level, NULL, 3 FROM m_vacancy) u
+WHERE anzsco_code IS NOT NULL
+GROUP BY anzsco_code, anzsco_level""",
+)
