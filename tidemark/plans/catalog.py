@@ -379,3 +379,118 @@ def q_r10(t: Tables) -> DataFrame:
         marts.m_ceilings(t), "anzsco_code", "visa_subclass", marts.SUBCLASSES,
         {"ceiling": "ceiling_{v}", "invitations_issued": "invitations_{v}"}, "source_row", where=national,
     )
+
+
+# ---------------------------------------------------------------------------
+# Provider landscape and country aliases
+
+from tidemark.operators import geo  # noqa: E402
+from tidemark.operators import joins  # noqa: E402
+from tidemark.operators import providers as prov  # noqa: E402
+from tidemark.schema import state_seed_frame  # noqa: E402
+
+
+@query("a10_providers_by_state")
+def q_a10_prov(t: Tables) -> DataFrame:
+    return prov.count_by(marts.m_provider(t), "state_code", "provider_count")
+
+
+@query("a10_locations_by_state")
+def q_a10_loc(t: Tables) -> DataFrame:
+    return prov.count_by(marts.m_location(t), "state_code", "location_count")
+
+
+@query("a11_provider_count")
+def q_a11(t: Tables) -> DataFrame:
+    return prov.table_count(marts.m_provider(t))
+
+
+@query("j03_courses_by_state")
+def q_j03(t: Tables) -> DataFrame:
+    return prov.courses_by_state(marts.m_course(t), marts.m_provider(t)).orderBy(F.col("course_count").desc())
+
+
+@query("t02_courses_by_provider_top")
+def q_t02(t: Tables) -> DataFrame:
+    return prov.courses_by_provider(marts.m_course(t), marts.m_provider(t), top_n=20)
+
+
+@query("j15_orphan_courses")
+def q_j15(t: Tables) -> DataFrame:
+    o = joins.orphans(marts.m_course(t), marts.m_provider(t), "provider_id", "provider_id")
+    return o.select("cricos_code", "provider_id")
+
+
+@query("j15_orphan_bridge_rows")
+def q_j15b(t: Tables) -> DataFrame:
+    o = joins.orphans(marts.m_bridge(t), marts.m_course(t), "cricos_code", "cricos_code")
+    return prov.table_count(o, "orphan_rows")
+
+
+@query("j16_courses_unknown_provider")
+def q_j16(t: Tables) -> DataFrame:
+    o = joins.not_in_anti(marts.m_course(t), marts.m_provider(t), "provider_id", "provider_id")
+    return o.select("cricos_code", "provider_id")
+
+
+@query("j17_course_locations")
+def q_j17(t: Tables) -> DataFrame:
+    return prov.course_locations(marts.m_course(t), marts.m_bridge(t), marts.m_location(t))
+
+
+@query("b05_competition_density")
+def q_b05(t: Tables) -> DataFrame:
+    d = prov.competition_density(marts.m_provider(t), marts.m_course(t))
+    return d.withColumn("courses_per_provider", F.round("courses_per_provider", 6))
+
+
+@query("t08_competition_extremes")
+def q_t08(t: Tables) -> DataFrame:
+    e = prov.competition_extremes(prov.competition_density(marts.m_provider(t), marts.m_course(t)))
+    return e.select(
+        "highest_competition_state",
+        F.round("highest_courses_per_provider", 6).alias("highest_courses_per_provider"),
+        "lowest_competition_state",
+        F.round("lowest_courses_per_provider", 6).alias("lowest_courses_per_provider"),
+    )
+
+
+@query("p21_location_ids")
+def q_p21(t: Tables) -> DataFrame:
+    return marts.m_location(t)
+
+
+@query("j19_provider_state_names")
+def q_j19(t: Tables) -> DataFrame:
+    states = F.broadcast(state_seed_frame(t.spark))  # 9 fixed seed rows
+    p = marts.m_provider(t).join(states, "state_code", "left")
+    return p.groupBy("state_code", "state_name").agg(F.count(F.lit(1)).alias("provider_count"))
+
+
+@query("j19_enrolment_by_region")
+def q_j19b(t: Tables) -> DataFrame:
+    dim = marts.m_alias(t).select(F.col("canonical_name").alias("nationality"), "region")
+    snap = en.snapshot_at_latest(marts.m_enrol(t), by=["nationality"])
+    j = snap.join(joins.bounded_broadcast(dim), "nationality", "left")
+    return j.groupBy("region").agg(F.sum("total_enrolments").cast("long").alias("total_enrolments"))
+
+
+def _skilled_names(t: Tables) -> DataFrame:
+    return marts.m_skilled_cob(t).select(F.lower("country_name").alias("source_name")).distinct()
+
+
+@query("j13_canonical_country_names")
+def q_j13(t: Tables) -> DataFrame:
+    aliases = geo.alias_long(marts.m_alias(t))
+    return geo.canonicalise(_skilled_names(t), "source_name", joins.bounded_broadcast(aliases), "skilled_mig")
+
+
+@query("u07_unmapped_country_names")
+def q_u07(t: Tables) -> DataFrame:
+    aliases = geo.alias_long(marts.m_alias(t))
+    frames = {
+        "education": en.distinct_sorted(marts.m_enrol(t), "nationality"),
+        "abs": marts.m_population(t).select("country_name").distinct(),
+        "skilled_mig": _skilled_names(t),
+    }
+    return geo.unmapped_names(frames, aliases)

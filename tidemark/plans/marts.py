@@ -368,3 +368,105 @@ def m_visa_lists(t: Tables) -> DataFrame:
         F.col("p_brand").alias("assessing_body"),
         subs.alias("visa_subclass"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Provider landscape: providers, courses, locations, course-location bridge
+
+# Fixed state code per supplier region key.
+STATE_BY_REGION = {"0": "NSW", "1": "VIC", "2": "QLD", "3": "SA", "4": "WA"}
+
+
+def m_provider(t: Tables) -> DataFrame:
+    """Providers (suppliers); state from the supplier's region, NULL when the
+    balance is negative (state not reported)."""
+    from tidemark.operators.joins import map_lookup
+
+    sup = t.read("supplier", "s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    nation = bounded_broadcast(t.read("nation", "n_nationkey", "n_regionkey"))
+    j = sup.join(nation, sup.s_nationkey == nation.n_nationkey, "left")
+    state = F.when(F.col("s_acctbal") >= 0, map_lookup(F.col("n_regionkey").cast("string"), STATE_BY_REGION))
+    return j.select(
+        F.col("s_suppkey").cast("string").alias("provider_id"),
+        F.col("s_name").alias("provider_name"),
+        state.alias("state_code"),
+        F.when(F.col("s_acctbal") > 5000, F.lit("University")).otherwise(F.lit("Private")).alias("provider_type"),
+    )
+
+
+def course_code(partkey: str) -> F.Column:
+    return F.concat(F.format_string("%06d", F.col(partkey)), F.lit("K"))
+
+
+def m_course(t: Tables) -> DataFrame:
+    """Courses (parts); the delivering provider is the lowest supplier key that
+    ships the part (NULL when the part was never shipped)."""
+    p = t.read("part", "p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
+    first_supplier = t.read("lineitem", "l_partkey", "l_suppkey").groupBy("l_partkey").agg(
+        F.min("l_suppkey").alias("supp")
+    )
+    j = p.join(first_supplier, p.p_partkey == first_supplier.l_partkey, "left")
+    return j.select(
+        course_code("p_partkey").alias("cricos_code"),
+        F.col("p_name").alias("course_name"),
+        F.col("supp").cast("string").alias("provider_id"),
+        F.col("p_type").alias("course_level"),
+        F.col("p_size").alias("duration_weeks"),
+        F.col("p_retailprice").alias("tuition_fee"),
+    )
+
+
+def _campus(t: Tables) -> DataFrame:
+    li = t.read("lineitem", "l_partkey", "l_suppkey", "l_shipdate")
+    return li.select(
+        "l_partkey",
+        F.col("l_suppkey").cast("string").alias("provider_id"),
+        F.concat(F.lit("Campus "), F.year("l_shipdate").cast("string")).alias("location_name"),
+    )
+
+
+def m_location(t: Tables) -> DataFrame:
+    """Delivery locations: one per (provider, year campus); the id is synthesised
+    from provider and name (P21); state is the provider's."""
+    from tidemark.functions.scalars import synth_location_id
+
+    loc = _campus(t).select("provider_id", "location_name").distinct()
+    prov = m_provider(t).select("provider_id", "state_code")
+    j = loc.join(prov, "provider_id", "left")
+    return j.select(
+        synth_location_id("provider_id", "location_name").alias("location_id"),
+        "provider_id",
+        "location_name",
+        "state_code",
+    )
+
+
+def m_bridge(t: Tables) -> DataFrame:
+    """Course x location bridge (many-to-many), distinct pairs."""
+    from tidemark.functions.scalars import synth_location_id
+
+    c = _campus(t)
+    return c.select(
+        course_code("l_partkey").alias("cricos_code"),
+        synth_location_id("provider_id", "location_name").alias("location_id"),
+        "provider_id",
+    ).distinct()
+
+
+def m_alias(t: Tables) -> DataFrame:
+    """Country alias dimension: canonical name plus one spelling per source;
+    nations of the MIDDLE EAST region have no skilled-migration alias."""
+    n = t.read("nation", "n_nationkey", "n_name", "n_regionkey")
+    r = bounded_broadcast(t.read("region", "r_regionkey", "r_name"))
+    j = n.join(r, n.n_regionkey == r.r_regionkey, "left")
+    spaced = F.replace(F.col("n_name"), F.lit("_"), F.lit(" "))
+    return j.select(
+        F.col("n_name").alias("canonical_name"),
+        F.format_string("N%d", F.col("n_nationkey")).alias("iso_alpha2"),
+        F.format_string("NA%d", F.col("n_nationkey")).alias("iso_alpha3"),
+        F.col("n_name").alias("name_education"),
+        F.upper(spaced).alias("name_home_affairs"),
+        F.concat(F.upper(F.substring(spaced, 1, 1)), F.lower(F.substring(spaced, 2, 1 << 30))).alias("name_abs"),
+        F.when(F.col("r_name") != "MIDDLE EAST", F.lower(F.col("n_name"))).alias("name_skilled_mig"),
+        F.col("r_name").alias("region"),
+    )

@@ -751,3 +751,174 @@ FROM (SELECT anzsco_code, anzsco_level, occupation_name, 1 AS prio FROM m_shorta
 WHERE anzsco_code IS NOT NULL
 GROUP BY anzsco_code, anzsco_level""",
 )
+
+
+# ---------------------------------------------------------------------------
+# Provider landscape and aliases
+
+M_PROVIDER = """
+m_provider AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS provider_id, s_name AS provider_name,
+         CASE WHEN s_acctbal >= 0 THEN CASE n_regionkey WHEN 0 THEN 'NSW' WHEN 1 THEN 'VIC' WHEN 2 THEN 'QLD'
+                                                        WHEN 3 THEN 'SA' WHEN 4 THEN 'WA' END END AS state_code,
+         CASE WHEN s_acctbal > 5000 THEN 'University' ELSE 'Private' END AS provider_type
+  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey)"""
+
+M_COURSE = """
+m_course AS (
+  SELECT printf('%06d', p_partkey) || 'K' AS cricos_code, p_name AS course_name,
+         CAST(f.supp AS VARCHAR) AS provider_id, p_type AS course_level, p_size AS duration_weeks,
+         p_retailprice AS tuition_fee
+  FROM part LEFT JOIN (SELECT l_partkey, min(l_suppkey) AS supp FROM lineitem GROUP BY 1) f
+    ON p_partkey = f.l_partkey)"""
+
+LOC_ID = "substr(md5(upper(trim(coalesce({p}, ''))) || '|' || lower(trim(coalesce({n}, '')))), 1, 16)"
+
+M_LOCATION = f"""
+campus AS (
+  SELECT l_partkey, CAST(l_suppkey AS VARCHAR) AS provider_id,
+         'Campus ' || CAST(year(l_shipdate) AS VARCHAR) AS location_name
+  FROM lineitem),
+m_location AS (
+  SELECT {LOC_ID.format(p='l.provider_id', n='l.location_name')} AS location_id, l.provider_id, l.location_name,
+         p.state_code
+  FROM (SELECT DISTINCT provider_id, location_name FROM campus) l
+  LEFT JOIN m_provider p ON l.provider_id = p.provider_id),
+m_bridge AS (
+  SELECT DISTINCT printf('%06d', l_partkey) || 'K' AS cricos_code,
+         {LOC_ID.format(p='provider_id', n='location_name')} AS location_id, provider_id
+  FROM campus)"""
+
+M_ALIAS = """
+m_alias AS (
+  SELECT n_name AS canonical_name, 'N' || CAST(n_nationkey AS VARCHAR) AS iso_alpha2,
+         'NA' || CAST(n_nationkey AS VARCHAR) AS iso_alpha3, n_name AS name_education,
+         upper(replace(n_name, '_', ' ')) AS name_home_affairs,
+         upper(substr(replace(n_name, '_', ' '), 1, 1)) || lower(substr(replace(n_name, '_', ' '), 2)) AS name_abs,
+         CASE WHEN r_name <> 'MIDDLE EAST' THEN lower(n_name) END AS name_skilled_mig, r_name AS region
+  FROM nation LEFT JOIN region ON n_regionkey = r_regionkey),
+alias_long AS (
+  SELECT DISTINCT * FROM (
+    SELECT 'education' AS source, name_education AS alias, canonical_name FROM m_alias
+    UNION ALL SELECT 'home_affairs', name_home_affairs, canonical_name FROM m_alias
+    UNION ALL SELECT 'abs', name_abs, canonical_name FROM m_alias
+    UNION ALL SELECT 'skilled_mig', name_skilled_mig, canonical_name FROM m_alias) x
+  WHERE alias IS NOT NULL)"""
+
+COURSES_BY_STATE = """
+cbs AS (SELECT p.state_code, count(*) AS course_count FROM m_course c
+        JOIN m_provider p ON c.provider_id = p.provider_id WHERE p.state_code IS NOT NULL GROUP BY 1),
+pbs AS (SELECT state_code, count(*) AS provider_count FROM m_provider WHERE state_code IS NOT NULL GROUP BY 1),
+dens AS (SELECT coalesce(pbs.state_code, cbs.state_code) AS state_code,
+                coalesce(provider_count, 0) AS provider_count, coalesce(course_count, 0) AS course_count,
+                CASE WHEN coalesce(provider_count, 0) <> 0
+                     THEN CAST(coalesce(course_count, 0) AS DOUBLE) / CAST(provider_count AS DOUBLE) END
+                  AS courses_per_provider
+         FROM pbs FULL OUTER JOIN cbs ON pbs.state_code = cbs.state_code)"""
+
+register(
+    "a10_providers_by_state",
+    with_(M_PROVIDER)
+    + "SELECT state_code, count(*) AS provider_count FROM m_provider WHERE state_code IS NOT NULL "
+    "GROUP BY 1 ORDER BY 2 DESC",
+)
+register(
+    "a10_locations_by_state",
+    with_(M_PROVIDER, M_LOCATION)
+    + "SELECT state_code, count(*) AS location_count FROM m_location WHERE state_code IS NOT NULL "
+    "GROUP BY 1 ORDER BY 2 DESC",
+)
+register("a11_provider_count", with_(M_PROVIDER) + "SELECT count(*) AS n FROM m_provider")
+register("j03_courses_by_state", with_(M_PROVIDER, M_COURSE, COURSES_BY_STATE) + "SELECT * FROM cbs")
+register(
+    "t02_courses_by_provider_top",
+    with_(M_PROVIDER, M_COURSE)
+    + """
+SELECT p.provider_name, p.state_code, count(*) AS course_count
+FROM m_course c JOIN m_provider p ON c.provider_id = p.provider_id
+GROUP BY p.provider_name, p.state_code
+ORDER BY course_count DESC, provider_name, state_code NULLS LAST LIMIT 20""",
+)
+register(
+    "j15_orphan_courses",
+    with_(M_PROVIDER, M_COURSE)
+    + """
+SELECT c.cricos_code, c.provider_id FROM m_course c LEFT JOIN m_provider p ON c.provider_id = p.provider_id
+WHERE p.provider_id IS NULL""",
+)
+register(
+    "j15_orphan_bridge_rows",
+    with_(M_PROVIDER, M_COURSE, M_LOCATION)
+    + """
+SELECT count(*) AS orphan_rows FROM m_bridge b LEFT JOIN m_course c ON b.cricos_code = c.cricos_code
+WHERE c.cricos_code IS NULL""",
+)
+register(
+    "j16_courses_unknown_provider",
+    with_(M_PROVIDER, M_COURSE)
+    + "SELECT cricos_code, provider_id FROM m_course WHERE provider_id NOT IN (SELECT provider_id FROM m_provider)",
+)
+register(
+    "j17_course_locations",
+    with_(M_PROVIDER, M_COURSE, M_LOCATION)
+    + """
+SELECT l.location_id, c.cricos_code, c.course_name, l.location_name, l.state_code AS location_state
+FROM m_course c JOIN m_bridge b ON c.cricos_code = b.cricos_code JOIN m_location l ON b.location_id = l.location_id""",
+)
+register(
+    "b05_competition_density",
+    with_(M_PROVIDER, M_COURSE, COURSES_BY_STATE)
+    + "SELECT state_code, provider_count, course_count, round(courses_per_provider, 6) AS courses_per_provider "
+    "FROM dens",
+)
+register(
+    "t08_competition_extremes",
+    with_(M_PROVIDER, M_COURSE, COURSES_BY_STATE)
+    + """
+SELECT (SELECT state_code FROM dens WHERE courses_per_provider IS NOT NULL
+        ORDER BY courses_per_provider DESC, state_code DESC LIMIT 1) AS highest_competition_state,
+       (SELECT round(max(courses_per_provider), 6) FROM dens) AS highest_courses_per_provider,
+       (SELECT state_code FROM dens WHERE courses_per_provider IS NOT NULL
+        ORDER BY courses_per_provider ASC, state_code ASC LIMIT 1) AS lowest_competition_state,
+       (SELECT round(min(courses_per_provider), 6) FROM dens) AS lowest_courses_per_provider""",
+)
+register("p21_location_ids", with_(M_PROVIDER, M_LOCATION) + "SELECT * FROM m_location")
+register(
+    "j19_provider_state_names",
+    with_(M_PROVIDER)
+    + """,
+dim_state AS (SELECT * FROM (VALUES ('NSW', 'New South Wales'), ('VIC', 'Victoria'), ('QLD', 'Queensland'),
+  ('SA', 'South Australia'), ('WA', 'Western Australia'), ('TAS', 'Tasmania'),
+  ('ACT', 'Australian Capital Territory'), ('NT', 'Northern Territory'), ('AUS', 'Australia (National)'))
+  t(state_code, state_name))
+SELECT p.state_code, s.state_name, count(*) AS provider_count
+FROM m_provider p LEFT JOIN dim_state s ON p.state_code = s.state_code GROUP BY 1, 2""",
+)
+register(
+    "j19_enrolment_by_region",
+    with_(M_ENROL, LATEST, M_ALIAS)
+    + """
+SELECT a.region, CAST(sum(s.t) AS BIGINT) AS total_enrolments
+FROM (SELECT nationality, sum(ytd_enrolments) AS t FROM m_enrol, latest
+      WHERE enrol_year = ly AND enrol_month = lm GROUP BY 1) s
+LEFT JOIN m_alias a ON s.nationality = a.canonical_name GROUP BY 1""",
+)
+register(
+    "j13_canonical_country_names",
+    with_(M_SKILLED_COB, M_ALIAS)
+    + """
+SELECT n.source_name, a.canonical_name
+FROM (SELECT DISTINCT lower(country_name) AS source_name FROM m_skilled_cob) n
+LEFT JOIN alias_long a ON a.source = 'skilled_mig' AND n.source_name = a.alias""",
+)
+register(
+    "u07_unmapped_country_names",
+    with_(M_ENROL, GEO_ORDERS, M_POPULATION, M_SKILLED_COB, M_ALIAS)
+    + """
+SELECT DISTINCT source, name FROM (
+  SELECT 'education' AS source, nationality AS name FROM m_enrol
+  UNION ALL SELECT 'abs', country_name FROM m_population
+  UNION ALL SELECT 'skilled_mig', lower(country_name) FROM m_skilled_cob) u
+WHERE name IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM alias_long a WHERE a.source = u.source AND a.alias = u.name)""",
+)
