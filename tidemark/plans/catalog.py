@@ -494,3 +494,77 @@ def q_u07(t: Tables) -> DataFrame:
         "skilled_mig": _skilled_names(t),
     }
     return geo.unmapped_names(frames, aliases)
+
+
+# ---------------------------------------------------------------------------
+# Quality checks and reports
+
+from tidemark.operators import quality as qa  # noqa: E402
+
+BASIC_KEYS = [en.YEAR, en.MONTH, "nationality", "sector", "state_code"]
+DETAILED_FULL_KEYS = [en.YEAR, en.MONTH, *marts.DETAILED_KEYS]
+
+
+@query("g09_grain_guard")
+def q_g09(t: Tables) -> DataFrame:
+    return qa.grain_guard(marts.m_enrol_detailed(t), BASIC_KEYS, DETAILED_FULL_KEYS)
+
+
+@query("g10_redundant_total_column")
+def q_g10(t: Tables) -> DataFrame:
+    return qa.redundant_share(marts.m_enrol_detailed(t), "total", "ytd_enrolments")
+
+
+@query("a16_duplicate_basic_keys_in_detailed")
+def q_a16(t: Tables) -> DataFrame:
+    return qa.duplicate_key_groups(marts.m_enrol_detailed(t), BASIC_KEYS)
+
+
+@query("a24_nulls_per_column")
+def q_a24(t: Tables) -> DataFrame:
+    return qa.nulls_per_column(marts.m_shortage(t))
+
+
+@query("g14_check_report")
+def q_g14(t: Tables) -> DataFrame:
+    enrol = marts.m_enrol(t)
+    vac = marts.m_vacancy(t)
+    return qa.report([
+        qa.non_empty(enrol, "fact_student_enrolment"),
+        qa.null_keys(enrol, "fact_student_enrolment", BASIC_KEYS),
+        qa.duplicate_keys(enrol, "fact_student_enrolment", BASIC_KEYS),
+        qa.distinct_count_equals(enrol, "fact_student_enrolment", "sector", 5),
+        qa.format_violations(vac, "fact_job_vacancy", "vacancy_period", r"^\d{4}-\d{2}$"),
+        qa.duplicate_keys(vac, "fact_job_vacancy", ["vacancy_period", "anzsco_code", "state_code", "measure"],
+                          {"anzsco_code": ""}),
+        qa.orphans_count(marts.m_bridge(t), marts.m_course(t), "bridge_course_location", "cricos_code",
+                         "cricos_code"),
+        qa.in_range(marts.m_cpi(t), "fact_cpi", "value", 1.0, 50.0),
+        qa.at_least(marts.m_provider(t), "dim_provider", 5),
+    ])
+
+
+@query("w06_ytd_never_falls")
+def q_w06(t: Tables) -> DataFrame:
+    from tidemark.operators.windows import ytd_decreases
+
+    return ytd_decreases(marts.m_enrol(t), en.YEAR, en.MONTH, ["nationality", "sector", "state_code"], en.YTD)
+
+
+@query("w07_monthly_flow_from_ytd")
+def q_w07(t: Tables) -> DataFrame:
+    from tidemark.operators.windows import deaccumulate_ytd
+
+    flows = deaccumulate_ytd(marts.m_enrol(t), en.YEAR, en.MONTH, ["nationality", "sector", "state_code"],
+                             en.YTD, "monthly_enrolments")
+    return flows.groupBy(en.YEAR, en.MONTH).agg(F.sum("monthly_enrolments").cast("long").alias("monthly_enrolments"))
+
+
+@query("w08_trend_labels")
+def q_w08(t: Tables) -> DataFrame:
+    from tidemark.operators.windows import trend_label
+
+    yearly = en.at_latest_month_of_year(marts.m_enrol(t), by=["nationality"], scope="global")
+    return trend_label(yearly, ["nationality"], en.YEAR, "total_enrolments").select(
+        "nationality", en.YEAR, "total_enrolments", "trend"
+    )

@@ -470,3 +470,39 @@ def m_alias(t: Tables) -> DataFrame:
         F.when(F.col("r_name") != "MIDDLE EAST", F.lower(F.col("n_name"))).alias("name_skilled_mig"),
         F.col("r_name").alias("region"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Detailed enrolment grain (lineitems of orders, with part fields)
+
+DETAILED_KEYS = ("nationality", "sector", "state_code", "field_of_education", "level_of_study")
+
+
+def m_enrol_detailed(t: Tables) -> DataFrame:
+    """YTD fact at a finer grain: the basic keys plus field of education (part
+    type) and level of study (return flag); one enrolment per line item,
+    commencements are lines with status F.  ``total`` repeats the YTD figure,
+    as the detailed release does.  orders and lineitem meet in one shuffle join
+    on the order key; part joins on the part key."""
+    orders = t.read("orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    li = t.read("lineitem", "l_orderkey", "l_partkey", "l_returnflag", "l_linestatus")
+    part = t.read("part", "p_partkey", "p_type")
+    j = (
+        li.join(orders, li.l_orderkey == orders.o_orderkey)
+        .join(customer_dims(t), F.col("o_custkey") == F.col("c_custkey"))
+        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+    )
+    monthly = j.groupBy(
+        F.year("o_orderdate").alias("y"),
+        F.month("o_orderdate").alias("m"),
+        "nationality",
+        F.col("o_orderpriority").alias("sector"),
+        "state_code",
+        F.col("p_type").alias("field_of_education"),
+        F.col("l_returnflag").alias("level_of_study"),
+    ).agg(F.count(F.lit(1)).alias("enr"), F.count_if(F.col("l_linestatus") == "F").alias("com"))
+    ytd = accumulate_ytd(
+        monthly, "y", "m", DETAILED_KEYS, ["enr", "com"], out_year="enrol_year", out_month="enrol_month",
+        out_measures=["ytd_enrolments", "ytd_commencements"],
+    )
+    return ytd.withColumn("total", F.col("ytd_enrolments"))

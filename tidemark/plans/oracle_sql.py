@@ -922,3 +922,129 @@ SELECT DISTINCT source, name FROM (
 WHERE name IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM alias_long a WHERE a.source = u.source AND a.alias = u.name)""",
 )
+
+
+# ---------------------------------------------------------------------------
+# Quality (A16, A24, G01-G14) and windows
+
+M_ENROL_DETAILED = """
+dmonthly AS (
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m,
+         n_name AS nationality, o_orderpriority AS sector, c_mktsegment AS state_code,
+         p_type AS field_of_education, l_returnflag AS level_of_study,
+         count(*) AS enr, count(*) FILTER (WHERE l_linestatus = 'F') AS com
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+       JOIN nation ON c_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey
+  GROUP BY ALL),
+dperiods AS (SELECT DISTINCT y, m FROM dmonthly),
+m_enrol_detailed AS (
+  SELECT p.y AS enrol_year, p.m AS enrol_month, q.nationality, q.sector, q.state_code, q.field_of_education,
+         q.level_of_study, CAST(sum(q.enr) AS BIGINT) AS ytd_enrolments,
+         CAST(sum(q.com) AS BIGINT) AS ytd_commencements, CAST(sum(q.enr) AS BIGINT) AS total
+  FROM dperiods p JOIN dmonthly q ON q.y = p.y AND q.m <= p.m
+  GROUP BY 1, 2, 3, 4, 5, 6, 7)"""
+
+BASIC = "enrol_year, enrol_month, nationality, sector, state_code"
+DETAILED = BASIC + ", field_of_education, level_of_study"
+
+register(
+    "g09_grain_guard",
+    with_(M_ENROL_DETAILED)
+    + f"""
+SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(CASE WHEN n > 1 THEN n ELSE 0 END) AS BIGINT) AS colliding_rows,
+       round(sum(CASE WHEN n > 1 THEN n ELSE 0 END) / sum(n) * 100, 6) AS colliding_pct,
+       (SELECT count(*) = 0 FROM (SELECT {DETAILED} FROM m_enrol_detailed GROUP BY ALL HAVING count(*) > 1) d)
+         AS wide_key_unique
+FROM (SELECT {BASIC}, count(*) AS n FROM m_enrol_detailed GROUP BY ALL) g""",
+)
+register(
+    "g10_redundant_total_column",
+    with_(M_ENROL_DETAILED)
+    + """
+SELECT count(*) FILTER (WHERE total IS NOT DISTINCT FROM ytd_enrolments) AS same, count(*) AS rows,
+       round(count(*) FILTER (WHERE total IS NOT DISTINCT FROM ytd_enrolments) / count(*) * 100, 6) AS same_pct
+FROM m_enrol_detailed""",
+)
+register(
+    "a16_duplicate_basic_keys_in_detailed",
+    with_(M_ENROL_DETAILED)
+    + f"SELECT {BASIC}, count(*) AS n FROM m_enrol_detailed GROUP BY ALL HAVING count(*) > 1",
+)
+register(
+    "a24_nulls_per_column",
+    with_(M_SHORTAGE)
+    + """
+SELECT column_name, nulls FROM (
+  SELECT 'anzsco_code' AS column_name, count(*) FILTER (WHERE anzsco_code IS NULL) AS nulls FROM m_shortage
+  UNION ALL SELECT 'anzsco_level', count(*) FILTER (WHERE anzsco_level IS NULL) FROM m_shortage
+  UNION ALL SELECT 'occupation_name', count(*) FILTER (WHERE occupation_name IS NULL) FROM m_shortage
+  UNION ALL SELECT 'shortage_status', count(*) FILTER (WHERE shortage_status IS NULL) FROM m_shortage
+  UNION ALL SELECT 'osca_category', count(*) FILTER (WHERE osca_category IS NULL) FROM m_shortage
+  UNION ALL SELECT 'assessment_year', count(*) FILTER (WHERE assessment_year IS NULL) FROM m_shortage
+  UNION ALL SELECT 'state_code', count(*) FILTER (WHERE state_code IS NULL) FROM m_shortage) x""",
+)
+register(
+    "g14_check_report",
+    with_(M_ENROL, M_VACANCY, M_CPI, M_PROVIDER, M_COURSE, M_LOCATION)
+    + f"""
+SELECT 'non_empty' AS "check", 'fact_student_enrolment' AS table_name, count(*) AS observed,
+       count(*) > 0 AS passed FROM m_enrol
+UNION ALL
+SELECT 'null_keys', 'fact_student_enrolment', n, n = 0 FROM (
+  SELECT count(*) FILTER (WHERE enrol_year IS NULL OR enrol_month IS NULL OR nationality IS NULL
+                          OR sector IS NULL OR state_code IS NULL) AS n FROM m_enrol) a
+UNION ALL
+SELECT 'duplicate_keys', 'fact_student_enrolment', count(*), count(*) = 0
+FROM (SELECT {BASIC} FROM m_enrol GROUP BY ALL HAVING count(*) > 1) d
+UNION ALL
+SELECT 'distinct_sector', 'fact_student_enrolment', count(DISTINCT sector), count(DISTINCT sector) = 5 FROM m_enrol
+UNION ALL
+SELECT 'format_vacancy_period', 'fact_job_vacancy', n, n = 0 FROM (
+  SELECT count(*) FILTER (WHERE vacancy_period IS NULL OR trim(vacancy_period) = ''
+                          OR NOT regexp_matches(vacancy_period, '^\\d{{4}}-\\d{{2}}$')) AS n FROM m_vacancy) b
+UNION ALL
+SELECT 'duplicate_keys', 'fact_job_vacancy', count(*), count(*) = 0
+FROM (SELECT vacancy_period, coalesce(anzsco_code, ''), state_code, measure FROM m_vacancy
+      GROUP BY ALL HAVING count(*) > 1) v
+UNION ALL
+SELECT 'orphans', 'bridge_course_location', count(*), count(*) = 0
+FROM m_bridge b WHERE NOT EXISTS (SELECT 1 FROM m_course c WHERE c.cricos_code = b.cricos_code)
+UNION ALL
+SELECT 'range_value', 'fact_cpi', n, n = 0 FROM (
+  SELECT count(*) FILTER (WHERE value < 1.0 OR value > 50.0) AS n FROM m_cpi) c
+UNION ALL
+SELECT 'at_least_5', 'dim_provider', count(*), count(*) >= 5 FROM m_provider""",
+)
+
+register(
+    "w06_ytd_never_falls",
+    with_(M_ENROL)
+    + """
+SELECT enrol_year, enrol_month, nationality, sector, state_code, ytd_enrolments, prev_ytd FROM (
+  SELECT *, lag(ytd_enrolments) OVER (PARTITION BY enrol_year, nationality, sector, state_code
+                                      ORDER BY enrol_month) AS prev_ytd FROM m_enrol) x
+WHERE prev_ytd IS NOT NULL AND ytd_enrolments < prev_ytd""",
+)
+register(
+    "w07_monthly_flow_from_ytd",
+    with_(M_ENROL)
+    + """
+SELECT enrol_year, enrol_month, CAST(sum(ytd_enrolments - coalesce(prev, 0)) AS BIGINT) AS monthly_enrolments
+FROM (SELECT *, lag(ytd_enrolments) OVER (PARTITION BY enrol_year, nationality, sector, state_code
+                                          ORDER BY enrol_month) AS prev FROM m_enrol) x
+GROUP BY 1, 2""",
+)
+register(
+    "w08_trend_labels",
+    with_(M_ENROL)
+    + """,
+yearly AS (
+  SELECT e.nationality, e.enrol_year, CAST(sum(e.ytd_enrolments) AS BIGINT) AS total_enrolments
+  FROM m_enrol e JOIN (SELECT enrol_year, max(enrol_month) AS lm FROM m_enrol GROUP BY 1) l
+    ON e.enrol_year = l.enrol_year AND e.enrol_month = l.lm
+  GROUP BY 1, 2)
+SELECT nationality, enrol_year, total_enrolments,
+       CASE WHEN prev IS NULL THEN NULL WHEN total_enrolments > prev THEN 'UP'
+            WHEN total_enrolments < prev THEN 'DOWN' ELSE 'STABLE' END AS trend
+FROM (SELECT *, lag(total_enrolments) OVER (PARTITION BY nationality ORDER BY enrol_year) AS prev FROM yearly) y""",
+)
