@@ -568,3 +568,122 @@ def q_w08(t: Tables) -> DataFrame:
     return trend_label(yearly, ["nationality"], en.YEAR, "total_enrolments").select(
         "nationality", en.YEAR, "total_enrolments", "trend"
     )
+
+
+# ---------------------------------------------------------------------------
+# Sheet grid, reshape and scalar functions
+
+from tidemark.operators import shape  # noqa: E402
+from tidemark.operators.windows import forward_fill  # noqa: E402
+
+
+@query("p02_header_detection")
+def q_p02(t: Tables) -> DataFrame:
+    g = marts.m_grid(t)
+    a = shape.header_rows(g, hint="country", out="hint_row")
+    b = shape.header_rows(g, out="nonnull_row")
+    c = shape.header_rows(g, hint="country", min_nonnull=3, out="hint_nonnull_row")
+    d = shape.header_rows(g, all_hints=["country", "key"], out="both_row")
+    return a.join(b, ["path", "sheet"]).join(c, ["path", "sheet"]).join(d, ["path", "sheet"])
+
+
+@query("r12_grid_tidy_forward_fill")
+def q_r12(t: Tables) -> DataFrame:
+    g = marts.m_grid(t)
+    hdr = shape.header_rows(g, hint="country", min_nonnull=3)
+    tidy = shape.grid_to_table(g, hdr, ["country", "nation_key", "region"])
+    return forward_fill(tidy, ["path", "sheet"], "row_idx", ["region"])
+
+
+@query("p24_student_visa_activity")
+def q_p24(t: Tables) -> DataFrame:
+    v = marts.m_visa_activity(t)
+    return v.select(
+        "applicant_type", "sector", X.fy_dash("financial_year").alias("financial_year"), "measure", "value"
+    ).orderBy("financial_year", "applicant_type", "sector", "measure")
+
+
+@query("a20_visa_lodged_by_year")
+def q_a20(t: Tables) -> DataFrame:
+    return macro.guarded_sum(marts.m_visa_activity(t), ["financial_year"], "value", "total_value", measure="lodged")
+
+
+@query("p23_dynamic_grain_sum")
+def q_p23(t: Tables) -> DataFrame:
+    v = marts.m_visa_activity(t).where(F.col("measure") == "granted")
+    return macro.guarded_sum(v.drop("measure"), ["sector", "applicant_type"], "value", "total_value")
+
+
+@query("r09_series_pivot")
+def q_r09(t: Tables) -> DataFrame:
+    return marts.m_series_wide(t)
+
+
+@query("r01_series_unpivot")
+def q_r01(t: Tables) -> DataFrame:
+    wide = marts.m_series_wide(t)
+    years = reshape.year_columns(wide.columns)
+    return reshape.unpivot_columns(wide, ["l_returnflag", "l_linestatus"], years, "year", "quantity")
+
+
+@query("x01_x03_x11_text_coercions")
+def q_x_coerce(t: Tables) -> DataFrame:
+    p = t.read("part", "p_partkey", "p_brand", "p_size", "p_retailprice")
+    price_text = F.concat(F.lit("$"), F.format_number("p_retailprice", 2))
+    size_text = F.concat(F.col("p_size").cast("string"), F.lit(" units"))
+    label = F.concat(F.col("p_size").cast("string"), F.lit(" Temporary Work"))
+    return p.select(
+        "p_partkey",
+        X.strip_money(price_text).alias("price"),
+        X.strip_to_number(size_text).alias("size"),
+        X.lenient_double("p_brand").alias("brand_number"),
+        X.leading_digits(label).alias("leading_code"),
+        X.zero_fill_long(F.when(F.col("p_size") > 25, F.col("p_size"))).alias("size_or_zero"),
+    )
+
+
+@query("x05_x14_date_and_period_text")
+def q_x_dates(t: Tables) -> DataFrame:
+    o = t.read("orders", "o_orderdate").select(F.col("o_orderdate").cast("date").alias("d")).distinct()
+    mangled = F.concat(F.date_format("d", "yyyy_MM_dd"), F.lit("_00_00_00"))
+    return o.select(
+        F.col("d").alias("order_date"),
+        X.parse_day_first_date(F.date_format("d", "d-MMM-yyyy")).alias("parsed_date"),
+        X.month_number(F.date_format("d", "MMMM")).alias("month_from_name"),
+        X.mangled_header_month(mangled).alias("header_month"),
+        X.fy_dash(marts._fy_text("d", "_")).alias("financial_year"),
+        X.period_label(F.year("d"), F.month("d")).alias("period"),
+        X.month_label(F.year("d"), F.month("d")).alias("month_label"),
+    )
+
+
+@query("x27_event_props_json")
+def q_x27(t: Tables) -> DataFrame:
+    ev = t.read("events", "event_type", "props")
+    k = F.from_json("props", "k INT")["k"]
+    return ev.groupBy("event_type").agg(F.sum(k).cast("long").alias("sum_k"), F.count(k).alias("n_k"))
+
+
+@query("r14_message_role_histogram")
+def q_r14(t: Tables) -> DataFrame:
+    c = t.read("conversations", "role")
+    return c.groupBy("role").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "role").limit(15)
+
+
+LINK_PATTERN = r'<a href="([^"]*)"'
+ALLOWED_LINK = r"^https://[^/]+\.example\.(com|org)/"
+
+
+@query("b12_page_links")
+def q_b12(t: Tables) -> DataFrame:
+    p = t.read("pages", "page_id", "url", "html")
+    base = F.regexp_extract("url", r"^(https?://[^/]+)", 1)
+    links = p.select(
+        "page_id", base.alias("base"), F.posexplode(F.regexp_extract_all("html", F.lit(LINK_PATTERN), 1)).alias(
+            "link_pos", "href"
+        )
+    )
+    absolute = F.when(F.col("href").startswith("/"), F.concat(F.col("base"), F.col("href"))).otherwise(F.col("href"))
+    return links.select(
+        "page_id", "link_pos", absolute.alias("link"), absolute.rlike(ALLOWED_LINK).alias("is_allowed")
+    )

@@ -7,7 +7,7 @@ over the published facts; the work of every mart grows with its sources.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import bounded_broadcast
@@ -506,3 +506,94 @@ def m_enrol_detailed(t: Tables) -> DataFrame:
         out_measures=["ytd_enrolments", "ytd_commencements"],
     )
     return ytd.withColumn("total", F.col("ytd_enrolments"))
+
+
+# ---------------------------------------------------------------------------
+# Raw sheet grid and visa activity
+
+GRID_PATH = "nations.xlsx"
+GRID_HEADER = ("Country", "Nation key", "Region")
+
+
+def m_grid(t: Tables) -> DataFrame:
+    """Untyped sheet grid ``(path, sheet, row_idx, cells)``: one sheet per region,
+    a title row and blank rows above the header (the header sits lower on each
+    successive sheet), the region label only on the first data row (a merged
+    cell).  nation and region are fixed-size dimensions."""
+    n = t.read("nation", "n_nationkey", "n_name", "n_regionkey")
+    r = t.read("region", "r_regionkey", "r_name")
+    off = F.col("r_regionkey") * 2
+    pos = F.row_number().over(Window.partitionBy("r_regionkey").orderBy("n_nationkey"))
+    data = n.join(bounded_broadcast(r), n.n_regionkey == r.r_regionkey).select(
+        F.lit(GRID_PATH).alias("path"),
+        F.col("r_name").alias("sheet"),
+        (off + pos).cast("int").alias("row_idx"),
+        F.array(
+            F.col("n_name"), F.col("n_nationkey").cast("string"), F.when(pos == 1, F.col("r_name"))
+        ).alias("cells"),
+    )
+    header = r.select(
+        F.lit(GRID_PATH).alias("path"),
+        F.col("r_name").alias("sheet"),
+        off.cast("int").alias("row_idx"),
+        F.array(*[F.lit(h) for h in GRID_HEADER]).alias("cells"),
+    )
+    titles = r.where(off > 0).select(
+        F.lit(GRID_PATH).alias("path"),
+        F.col("r_name").alias("sheet"),
+        F.explode(F.sequence(F.lit(0), off - 1)).alias("row_idx"),
+    )
+    empty = F.lit(None).cast("string")
+    titles = titles.join(r.select(F.col("r_name").alias("sheet")), "sheet").select(
+        "path",
+        "sheet",
+        F.col("row_idx").cast("int").alias("row_idx"),
+        F.array(
+            F.when(F.col("row_idx") == 0, F.concat(F.lit("Table 1. Country list for "), F.col("sheet"))),
+            empty,
+            empty,
+        ).alias("cells"),
+    )
+    return data.unionByName(header).unionByName(titles)
+
+
+# Fixed labels of the visa activity fact.
+VISA_SECTOR_BY_FLAG = {"A": "Higher Education", "N": "VET", "R": "ELICOS"}
+
+
+def m_visa_activity(t: Tables) -> DataFrame:
+    """Student visa activity by applicant type, sector and financial year
+    (`YYYY_YY`); lodged, granted and grant rate arrive as separate releases and
+    are consolidated into one long fact with a measure label (R15)."""
+    from tidemark.operators.joins import map_lookup
+    from tidemark.operators.reshape import label_and_union
+
+    li = t.read("lineitem", "l_shipdate", "l_returnflag", "l_linestatus", "l_discount")
+    base = li.select(
+        F.when(F.col("l_linestatus") == "O", F.lit("Primary")).otherwise(F.lit("Secondary")).alias("applicant_type"),
+        map_lookup("l_returnflag", VISA_SECTOR_BY_FLAG).alias("sector"),
+        _fy_text("l_shipdate", "_").alias("financial_year"),
+        "l_discount",
+    )
+    keys = ["applicant_type", "sector", "financial_year"]
+    g = base.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("lodged"), F.count_if(F.col("l_discount") < 0.05).alias("granted")
+    )
+    return label_and_union({
+        "lodged": g.select(*keys, F.col("lodged").cast("double").alias("value")),
+        "granted": g.select(*keys, F.col("granted").cast("double").alias("value")),
+        "grant_rate_pct": g.select(*keys, F.round(F.col("granted") / F.col("lodged") * 100, 2).alias("value")),
+    }).select(*keys, "measure", "value")
+
+
+def m_series_wide(t: Tables) -> DataFrame:
+    """A wide sheet - one row per (return flag, line status), one column per
+    ship year with the quantity (0 where none), plus a grand total."""
+    from tidemark.operators.reshape import pivot_zero_fill
+
+    li = t.read("lineitem", "l_returnflag", "l_linestatus", "l_shipdate", "l_quantity")
+    base = li.select(
+        "l_returnflag", "l_linestatus", F.year("l_shipdate").cast("string").alias("year"), "l_quantity"
+    )
+    years = [r[0] for r in base.select("year").distinct().orderBy("year").collect()]  # calendar-bounded
+    return pivot_zero_fill(base, ["l_returnflag", "l_linestatus"], "year", years, "l_quantity")

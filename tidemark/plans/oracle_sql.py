@@ -1048,3 +1048,151 @@ SELECT nationality, enrol_year, total_enrolments,
             WHEN total_enrolments < prev THEN 'DOWN' ELSE 'STABLE' END AS trend
 FROM (SELECT *, lag(total_enrolments) OVER (PARTITION BY nationality ORDER BY enrol_year) AS prev FROM yearly) y""",
 )
+
+
+# ---------------------------------------------------------------------------
+# Grid, reshape and scalar functions
+
+M_GRID = """
+gdata AS (
+  SELECT 'nations.xlsx' AS path, r_name AS sheet, r_regionkey * 2 + rn AS row_idx,
+         n_name AS c0, CAST(n_nationkey AS VARCHAR) AS c1, CASE WHEN rn = 1 THEN r_name END AS c2
+  FROM (SELECT n.*, r.*, row_number() OVER (PARTITION BY r_regionkey ORDER BY n_nationkey) AS rn
+        FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey) x),
+ghead AS (SELECT 'nations.xlsx' AS path, r_name AS sheet, r_regionkey * 2 AS row_idx,
+                 'Country' AS c0, 'Nation key' AS c1, 'Region' AS c2 FROM region),
+gtitle AS (SELECT 'nations.xlsx' AS path, sheet, k AS row_idx,
+                  CASE WHEN k = 0 THEN 'Table 1. Country list for ' || sheet END AS c0,
+                  CAST(NULL AS VARCHAR) AS c1, CAST(NULL AS VARCHAR) AS c2
+           FROM (SELECT r_name AS sheet, unnest(range(0, r_regionkey * 2)) AS k FROM region) y),
+m_grid AS (SELECT * FROM gdata UNION ALL SELECT * FROM ghead UNION ALL SELECT * FROM gtitle),
+gflags AS (
+  SELECT path, sheet, row_idx,
+         (coalesce(regexp_matches(lower(c0), 'country'), false) OR coalesce(regexp_matches(lower(c1), 'country'), false)
+          OR coalesce(regexp_matches(lower(c2), 'country'), false)) AS has_country,
+         (coalesce(regexp_matches(lower(c0), 'key'), false) OR coalesce(regexp_matches(lower(c1), 'key'), false)
+          OR coalesce(regexp_matches(lower(c2), 'key'), false)) AS has_key,
+         (CASE WHEN c0 IS NOT NULL AND trim(c0) <> '' THEN 1 ELSE 0 END
+          + CASE WHEN c1 IS NOT NULL AND trim(c1) <> '' THEN 1 ELSE 0 END
+          + CASE WHEN c2 IS NOT NULL AND trim(c2) <> '' THEN 1 ELSE 0 END) AS filled
+  FROM m_grid WHERE row_idx < 20)"""
+
+register(
+    "p02_header_detection",
+    with_(M_GRID)
+    + """
+SELECT path, sheet,
+       CAST(coalesce(min(row_idx) FILTER (WHERE has_country), 0) AS INTEGER) AS hint_row,
+       CAST(coalesce(min(row_idx) FILTER (WHERE filled > 2), 0) AS INTEGER) AS nonnull_row,
+       CAST(coalesce(min(row_idx) FILTER (WHERE has_country AND filled >= 3), 0) AS INTEGER) AS hint_nonnull_row,
+       CAST(coalesce(min(row_idx) FILTER (WHERE has_country AND has_key), 0) AS INTEGER) AS both_row
+FROM gflags GROUP BY path, sheet""",
+)
+
+register(
+    "r12_grid_tidy_forward_fill",
+    with_(M_GRID)
+    + """,
+hdr AS (SELECT path, sheet, coalesce(min(row_idx) FILTER (WHERE has_country AND filled >= 3), 0) AS h
+        FROM gflags GROUP BY path, sheet)
+SELECT g.path, g.sheet, CAST(g.row_idx AS INTEGER) AS row_idx, g.c0 AS country, g.c1 AS nation_key,
+       last_value(g.c2 IGNORE NULLS) OVER (PARTITION BY g.path, g.sheet ORDER BY g.row_idx
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS region
+FROM m_grid g JOIN hdr ON g.path = hdr.path AND g.sheet = hdr.sheet WHERE g.row_idx > hdr.h""",
+)
+
+M_VISA_ACTIVITY = """
+visa_g AS (
+  SELECT CASE WHEN l_linestatus = 'O' THEN 'Primary' ELSE 'Secondary' END AS applicant_type,
+         CASE l_returnflag WHEN 'A' THEN 'Higher Education' WHEN 'N' THEN 'VET' WHEN 'R' THEN 'ELICOS' END AS sector,
+         CAST(fy0 AS VARCHAR) || '_' || lpad(CAST((fy0 + 1) % 100 AS VARCHAR), 2, '0') AS financial_year,
+         count(*) AS lodged, count(*) FILTER (WHERE l_discount < 0.05) AS granted
+  FROM (SELECT *, year(l_shipdate) - CASE WHEN month(l_shipdate) < 7 THEN 1 ELSE 0 END AS fy0 FROM lineitem) l
+  GROUP BY 1, 2, 3),
+m_visa_activity AS (
+  SELECT applicant_type, sector, financial_year, 'lodged' AS measure, CAST(lodged AS DOUBLE) AS value FROM visa_g
+  UNION ALL SELECT applicant_type, sector, financial_year, 'granted', CAST(granted AS DOUBLE) FROM visa_g
+  UNION ALL SELECT applicant_type, sector, financial_year, 'grant_rate_pct', round(granted / lodged * 100, 2)
+  FROM visa_g)"""
+
+register(
+    "p24_student_visa_activity",
+    with_(M_VISA_ACTIVITY)
+    + """
+SELECT applicant_type, sector, replace(financial_year, '_', '-') AS financial_year, measure, value
+FROM m_visa_activity ORDER BY financial_year, applicant_type, sector, measure""",
+)
+register(
+    "a20_visa_lodged_by_year",
+    with_(M_VISA_ACTIVITY)
+    + "SELECT financial_year, sum(value) AS total_value FROM m_visa_activity WHERE measure = 'lodged' GROUP BY 1",
+)
+register(
+    "p23_dynamic_grain_sum",
+    with_(M_VISA_ACTIVITY)
+    + "SELECT sector, applicant_type, sum(value) AS total_value FROM m_visa_activity WHERE measure = 'granted' "
+    "GROUP BY 1, 2",
+)
+
+SERIES_YEARS = tuple(str(y) for y in range(1995, 2002))
+_series_cols = ", ".join(
+    f"coalesce(sum(l_quantity) FILTER (WHERE year(l_shipdate) = {y}), 0) AS \"{y}\"" for y in SERIES_YEARS
+)
+M_SERIES_WIDE = f"""
+series_wide AS (
+  SELECT l_returnflag, l_linestatus, {_series_cols}
+  FROM lineitem GROUP BY 1, 2)"""
+
+register(
+    "r09_series_pivot",
+    with_(M_SERIES_WIDE)
+    + "SELECT *, " + " + ".join(f'"{y}"' for y in SERIES_YEARS) + " AS grand_total FROM series_wide",
+)
+register(
+    "r01_series_unpivot",
+    with_(M_SERIES_WIDE)
+    + " UNION ALL ".join(
+        f"SELECT l_returnflag, l_linestatus, '{y}' AS year, \"{y}\" AS quantity FROM series_wide" for y in SERIES_YEARS
+    ),
+)
+
+register(
+    "x01_x03_x11_text_coercions",
+    """
+SELECT p_partkey, p_retailprice AS price, CAST(p_size AS DOUBLE) AS size, CAST(NULL AS DOUBLE) AS brand_number,
+       CAST(p_size AS VARCHAR) AS leading_code,
+       CAST(CASE WHEN p_size > 25 THEN p_size ELSE 0 END AS BIGINT) AS size_or_zero
+FROM part""",
+)
+register(
+    "x05_x14_date_and_period_text",
+    """
+SELECT d AS order_date, d AS parsed_date, CAST(month(d) AS INTEGER) AS month_from_name,
+       strftime(d, '%Y-%m') AS header_month,
+       CAST(fy0 AS VARCHAR) || '-' || lpad(CAST((fy0 + 1) % 100 AS VARCHAR), 2, '0') AS financial_year,
+       strftime(d, '%Y-%m') AS period, strftime(d, '%B %Y') AS month_label
+FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d,
+             year(o_orderdate) - CASE WHEN month(o_orderdate) < 7 THEN 1 ELSE 0 END AS fy0 FROM orders) o""",
+)
+register(
+    "x27_event_props_json",
+    """
+SELECT event_type, CAST(sum(CAST(json_extract(props, '$.k') AS INTEGER)) AS BIGINT) AS sum_k,
+       count(CAST(json_extract(props, '$.k') AS INTEGER)) AS n_k
+FROM events GROUP BY event_type""",
+)
+register(
+    "r14_message_role_histogram",
+    "SELECT role, count(*) AS n FROM conversations GROUP BY role ORDER BY n DESC, role LIMIT 15",
+)
+register(
+    "b12_page_links",
+    r"""
+SELECT page_id, link_pos,
+       CASE WHEN starts_with(href, '/') THEN base || href ELSE href END AS link,
+       regexp_matches(CASE WHEN starts_with(href, '/') THEN base || href ELSE href END,
+                      '^https://[^/]+\.example\.(com|org)/') AS is_allowed
+FROM (SELECT page_id, regexp_extract(url, '^(https?://[^/]+)', 1) AS base,
+             unnest(l) AS href, generate_subscripts(l, 1) - 1 AS link_pos
+      FROM (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS l FROM pages) a) b""",
+)
