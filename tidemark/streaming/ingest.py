@@ -81,10 +81,20 @@ def upsert_each_batch(
     return handle
 
 
+def _as_event_time(df: DataFrame, event_time: str) -> DataFrame:
+    """Watermarks need TIMESTAMP; landed TIMESTAMP_NTZ is read as UTC wall time
+    (the session time zone is UTC)."""
+    from pyspark.sql.types import TimestampNTZType
+
+    if isinstance(df.schema[event_time].dataType, TimestampNTZType):
+        return df.withColumn(event_time, F.col(event_time).cast("timestamp"))
+    return df
+
+
 def dedupe_within_horizon(df: DataFrame, event_time: str, horizon: str, keys: Sequence[str]) -> DataFrame:
     """ST3: drop repeats of a key seen within ``horizon`` of event time; state for
     older keys is evicted by the watermark."""
-    return df.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(list(keys))
+    return _as_event_time(df, event_time).withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(list(keys))
 
 
 def daily_averages(df: DataFrame, event_time: str, key: str, value: str, lateness: str = "1 day") -> DataFrame:
@@ -92,7 +102,7 @@ def daily_averages(df: DataFrame, event_time: str, key: str, value: str, latenes
     count, older ones are dropped by the watermark."""
     w = F.window(event_time, "1 day")
     return (
-        df.withWatermark(event_time, lateness)
+        _as_event_time(df, event_time).withWatermark(event_time, lateness)
         .groupBy(w.alias("window"), F.col(key))
         .agg(F.avg(value).alias("avg_value"), F.count(F.lit(1)).alias("n"))
         .select(F.col("window.start").alias("window_start"), key, "avg_value", "n")
