@@ -49,6 +49,20 @@ def latest_period(fact: DataFrame) -> DataFrame:
     return fact.agg(best).select(F.col(f"p.{YEAR}").alias(YEAR), F.col(f"p.{MONTH}").alias(MONTH))
 
 
+def pin_latest(agg: DataFrame) -> DataFrame:
+    """Add ``__cy``/``__cm``, the latest (year, month) present in ``agg``.
+
+    ``agg`` is the fact already aggregated to (year, month, members), so the
+    single-partition window below sees at most |periods| x |members| rows (a
+    bound set by the dimensions, not by the fact), and the fact is read once
+    instead of once for the scalar and once for the join.
+    """
+    latest = F.max(F.struct(F.col(YEAR), F.col(MONTH))).over(Window.partitionBy())
+    return agg.withColumn("__lp", latest).select(
+        "*", F.col(f"__lp.{YEAR}").alias("__cy"), F.col(f"__lp.{MONTH}").alias("__cm")
+    ).drop("__lp")
+
+
 def snapshot_totals(
     fact: DataFrame,
     year: int,
@@ -72,12 +86,17 @@ def snapshot_at_latest(
     measure: str = YTD,
     out: str = "total_enrolments",
 ) -> DataFrame:
-    """A01-A03 pinned to the latest period of the fact (a one-row equi-join)."""
-    latest = latest_period(fact)
-    df = fact.join(F.broadcast(latest), [YEAR, MONTH], "inner")
-    if where is not None:
-        df = df.where(where)
-    return df.groupBy(*by).agg(F.sum(measure).cast("long").alias(out))
+    """A01-A03 pinned to the latest period of the whole fact (the member filter
+    does not move the period).  One aggregate with conditional sums, then the
+    latest period picked from that aggregate."""
+    hit = F.lit(True) if where is None else where
+    agg = fact.groupBy(YEAR, MONTH, *by).agg(
+        F.sum(F.when(hit, F.col(measure))).alias("__v"), F.count_if(hit).alias("__hit")
+    )
+    pinned = pin_latest(agg).where(
+        (F.col(YEAR) == F.col("__cy")) & (F.col(MONTH) == F.col("__cm")) & (F.col("__hit") > 0)
+    )
+    return pinned.groupBy(*by).agg(F.sum("__v").cast("long").alias(out))
 
 
 def latest_month_per_year(fact: DataFrame) -> DataFrame:
@@ -143,22 +162,19 @@ def country_growth(fact: DataFrame, current_year: int, current_month: int, prior
 
 
 def country_growth_latest(fact: DataFrame) -> DataFrame:
-    """J02 at the fact's latest period against the same month a year earlier."""
-    latest = latest_period(fact).select(
-        F.col(YEAR).alias("__cy"), F.col(MONTH).alias("__cm"), (F.col(YEAR) - 1).alias("__py")
-    )
-    df = fact.join(
-        F.broadcast(latest),
-        ((F.col(YEAR) == F.col("__cy")) | (F.col(YEAR) == F.col("__py"))) & (F.col(MONTH) == F.col("__cm")),
-        "inner",
+    """J02 at the fact's latest period against the same month a year earlier
+    (one read of the fact; see :func:`pin_latest`)."""
+    agg = fact.groupBy(YEAR, MONTH, "nationality").agg(F.sum(YTD).alias("__t"))
+    p = pin_latest(agg).where(
+        F.col(YEAR).between(F.col("__cy") - 1, F.col("__cy")) & (F.col(MONTH) == F.col("__cm"))
     )
     is_cur = F.col(YEAR) == F.col("__cy")
-    agg = df.groupBy("nationality").agg(
+    out = p.groupBy("nationality").agg(
         F.count_if(is_cur).alias("__ncur"),
-        F.sum(F.when(is_cur, F.col(YTD))).cast("long").alias("current_total"),
-        F.coalesce(F.sum(F.when(~is_cur, F.col(YTD))), F.lit(0)).cast("long").alias("previous_total"),
+        F.sum(F.when(is_cur, F.col("__t"))).cast("long").alias("current_total"),
+        F.coalesce(F.sum(F.when(~is_cur, F.col("__t"))), F.lit(0)).cast("long").alias("previous_total"),
     )
-    return agg.where(F.col("__ncur") > 0).drop("__ncur")
+    return out.where(F.col("__ncur") > 0).drop("__ncur")
 
 
 def growth_movers(growth: DataFrame, min_previous: int = 100, n: int = 10) -> tuple[DataFrame, DataFrame]:
@@ -176,19 +192,17 @@ def growth_movers(growth: DataFrame, min_previous: int = 100, n: int = 10) -> tu
 
 def kpi_block(fact: DataFrame) -> DataFrame:
     """Current total at the latest period, the same month a year before (its
-    own aggregate, not derived from J02) and the YoY change; one pass."""
-    latest = latest_period(fact).select(F.col(YEAR).alias("__cy"), F.col(MONTH).alias("__cm"))
-    df = fact.join(
-        F.broadcast(latest),
-        (F.col(YEAR).between(F.col("__cy") - 1, F.col("__cy"))) & (F.col(MONTH) == F.col("__cm")),
-        "inner",
+    own aggregate, not derived from J02) and the YoY change; one read."""
+    agg = fact.groupBy(YEAR, MONTH).agg(F.sum(YTD).alias("__t"))
+    p = pin_latest(agg).where(
+        F.col(YEAR).between(F.col("__cy") - 1, F.col("__cy")) & (F.col(MONTH) == F.col("__cm"))
     )
     is_cur = F.col(YEAR) == F.col("__cy")
-    agg = df.groupBy("__cy", "__cm").agg(
-        F.sum(F.when(is_cur, F.col(YTD))).cast("long").alias("current_total"),
-        F.sum(F.when(~is_cur, F.col(YTD))).cast("long").alias("same_month_last_year"),
+    out = p.groupBy("__cy", "__cm").agg(
+        F.sum(F.when(is_cur, F.col("__t"))).cast("long").alias("current_total"),
+        F.sum(F.when(~is_cur, F.col("__t"))).cast("long").alias("same_month_last_year"),
     )
-    return agg.select(
+    return out.select(
         F.col("__cy").alias(YEAR),
         F.col("__cm").alias(MONTH),
         "current_total",

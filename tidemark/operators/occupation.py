@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import annualise_weekly
-from tidemark.operators.reshape import conditional_pivot_last_wins
 
 # Fixed values of the view definition.
 EARNINGS_DIMENSION = "median_full_time_earnings_per_week"
@@ -113,27 +112,25 @@ def occupation_mart(
     """B07 (R10 + J10 + J11): one row per occupation code of the ceilings input.
 
     Ceiling columns come from national rows only (F16), the last row per code
-    and subclass winning; shortage fields from the first national shortage row;
-    eligibility flags and list metadata from the visa lists.
+    and subclass winning; the name is the first row's; shortage fields from the
+    first national shortage row; eligibility flags and list metadata from the
+    visa lists.  Each input is aggregated once to one row per code (the name,
+    the conditional pivot and the national filter share one aggregate), then
+    the three per-code frames are joined on the code.
     """
-    names = first_wins(ceilings.select("anzsco_code", "occupation_name", "source_row"), "anzsco_code",
-                       [F.col("source_row")]).drop("source_row")
     national = F.upper(F.trim(F.coalesce(F.col("state"), F.lit("")))).isin(*NATIONAL_STATES)
-    wide = conditional_pivot_last_wins(
-        ceilings,
-        "anzsco_code",
-        "visa_subclass",
-        subclasses,
-        {
-            "ceiling": "ceiling_{v}",
-            "invitations_issued": "invitations_{v}",
-            "fill_rate_pct": "fill_rate_{v}_pct",
-            "trend": "trend_{v}",
-        },
-        "source_row",
-        where=national,
-    )
-    fact = names.join(wide, "anzsco_code", "left")
+    measures = {
+        "ceiling": "ceiling_{v}",
+        "invitations_issued": "invitations_{v}",
+        "fill_rate_pct": "fill_rate_{v}_pct",
+        "trend": "trend_{v}",
+    }
+    aggs = [F.min_by("occupation_name", "source_row").alias("occupation_name")]
+    for v in subclasses:
+        hit = national & (F.col("visa_subclass") == F.lit(v))
+        for src, pattern in measures.items():
+            aggs.append(F.max_by(F.when(hit, F.col(src)), F.when(hit, F.col("source_row"))).alias(pattern.format(v=v)))
+    fact = ceilings.groupBy("anzsco_code").agg(*aggs)
     osl_nat = osl.where(F.coalesce(F.col("state"), F.lit("")).isin(*OSL_NATIONAL_STATES))
     osl_first = first_wins(
         osl_nat.select("anzsco_code", "shortage_status", "shortage_level"), "anzsco_code",
@@ -142,14 +139,17 @@ def occupation_mart(
     fact = fact.join(osl_first, "anzsco_code", "left").withColumn(
         "shortage_national", F.coalesce(F.col("shortage_status").contains("National").cast("int"), F.lit(0))
     )
-    flags = eligibility_flags(lists, subclasses)
-    fact = fact.join(flags, "anzsco_code", "left")
+    text = F.coalesce(F.col("visa_subclass"), F.lit(""))
+    per_code = lists.groupBy("anzsco_code").agg(
+        *[F.max(text.contains(s).cast("int")).alias(f"eligible_{s}") for s in subclasses],
+        F.min(F.struct("list_type", "assessing_body")).alias("__meta"),
+    )
+    fact = fact.join(per_code, "anzsco_code", "left")
     for s in subclasses:
         fact = fact.withColumn(f"eligible_{s}", F.coalesce(F.col(f"eligible_{s}"), F.lit(0)))
-    meta = first_wins(lists.select("anzsco_code", "list_type", "assessing_body"), "anzsco_code",
-                      [F.col("list_type"), F.col("assessing_body")])
-    fact = fact.join(meta, "anzsco_code", "left")
-    return fact.withColumn("data_month", F.lit(data_month))
+    return fact.select(
+        "*", F.col("__meta.list_type").alias("list_type"), F.col("__meta.assessing_body").alias("assessing_body")
+    ).drop("__meta").withColumn("data_month", F.lit(data_month))
 
 
 def occupation_dimension(shortage: DataFrame, profile: DataFrame, vacancy: DataFrame) -> DataFrame:

@@ -107,15 +107,28 @@ def in_range(df: DataFrame, table: str, column: str, lo: float | None, hi: float
 def grain_guard(df: DataFrame, narrow: Sequence[str], wide: Sequence[str]) -> DataFrame:
     """Share of rows that collide on a narrower key, and whether the wider key
     is unique.  ``colliding_rows`` counts rows whose narrow key occurs more than
-    once (the duplicate mask, as a loader's key check sees it)."""
-    nk = df.groupBy(*[null_safe_key(k).alias(k) for k in narrow]).agg(F.count(F.lit(1)).alias("n"))
-    narrow_stats = nk.agg(
-        F.sum("n").alias("rows"),
-        F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(F.lit(0))).alias("colliding_rows"),
-    )
-    wk = df.groupBy(*[null_safe_key(k).alias(k) for k in wide]).agg(F.count(F.lit(1)).alias("n"))
-    wide_stats = wk.agg(F.count_if(F.col("n") > 1).alias("wide_duplicate_groups"))
-    j = narrow_stats.select("*", wide_stats.scalar().alias("wide_duplicate_groups"))
+    once (the duplicate mask, as a loader's key check sees it).
+
+    When the narrow key is part of the wide key the input is read once: counts
+    per wide key (combined map-side) are rolled up to the narrow key.
+    """
+    if not set(narrow) <= set(wide):
+        nk = df.groupBy(*[null_safe_key(k).alias(k) for k in narrow]).agg(F.count(F.lit(1)).alias("n"))
+        narrow_stats = nk.agg(
+            F.sum("n").alias("rows"),
+            F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(F.lit(0))).alias("colliding_rows"),
+        )
+        wk = df.groupBy(*[null_safe_key(k).alias(k) for k in wide]).agg(F.count(F.lit(1)).alias("n"))
+        wide_stats = wk.agg(F.count_if(F.col("n") > 1).alias("wide_duplicate_groups"))
+        j = narrow_stats.select("*", wide_stats.scalar().alias("wide_duplicate_groups"))
+    else:
+        wk = df.groupBy(*[null_safe_key(k).alias(k) for k in wide]).agg(F.count(F.lit(1)).alias("n"))
+        nk = wk.groupBy(*narrow).agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 1).alias("wd"))
+        j = nk.agg(
+            F.sum("n").alias("rows"),
+            F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(F.lit(0))).alias("colliding_rows"),
+            F.sum("wd").alias("wide_duplicate_groups"),
+        )
     return j.select(
         F.col("rows").cast("long").alias("rows"),
         F.col("colliding_rows").cast("long").alias("colliding_rows"),

@@ -7,11 +7,11 @@ All arithmetic is column expressions; the percentile ranks come from
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import pct_change
-from tidemark.operators.enrolment import MONTH, YEAR, YTD, latest_period
+from tidemark.operators.enrolment import MONTH, YEAR, YTD, pin_latest
 from tidemark.operators.windows import percentile_rank
 
 # ---------------------------------------------------------------------------
@@ -47,17 +47,16 @@ def opportunity_inputs(fact: DataFrame, visa: DataFrame, visa_country: str = "co
     and prior come from one conditional aggregate; visa volume is aggregated
     per country before the (left) join.
     """
-    latest = latest_period(fact).select(F.col(YEAR).alias("__cy"), F.col(MONTH).alias("__cm"))
-    snap = fact.join(
-        F.broadcast(latest),
-        F.col(YEAR).between(F.col("__cy") - 1, F.col("__cy")) & (F.col(MONTH) == F.col("__cm")),
+    agg = fact.groupBy(YEAR, MONTH, "nationality").agg(F.sum(YTD).alias("__t"))
+    snap = pin_latest(agg).where(
+        F.col(YEAR).between(F.col("__cy") - 1, F.col("__cy")) & (F.col(MONTH) == F.col("__cm"))
     )
     is_cur = F.col(YEAR) == F.col("__cy")
     vols = snap.groupBy("nationality").agg(
         F.count_if(is_cur).alias("__ncur"),
         F.count_if(~is_cur).alias("__nprev"),
-        F.sum(F.when(is_cur, F.col(YTD))).alias("current_volume"),
-        F.sum(F.when(~is_cur, F.col(YTD))).alias("prior_volume"),
+        F.sum(F.when(is_cur, F.col("__t"))).alias("current_volume"),
+        F.sum(F.when(~is_cur, F.col("__t"))).alias("prior_volume"),
     ).where(F.col("__ncur") > 0)
     vols = vols.withColumn("prior_volume", F.when(F.col("__nprev") > 0, F.col("prior_volume")))
     visa_vol = (
@@ -144,7 +143,9 @@ def median_of(df: DataFrame, column: str, out: str = "median_volume") -> DataFra
 
 def recommendations(inputs: DataFrame) -> DataFrame:
     """B03 over every nationality, against the median current volume."""
-    med = median_of(inputs, "current_volume").scalar()  # scalar subquery, one value
+    # one row per nationality: the median is a window over that bounded frame,
+    # so the inputs are not computed a second time for a scalar subquery
+    med = F.median("current_volume").over(Window.partitionBy())
     return inputs.select(
         "nationality",
         "growth_pct",
@@ -156,15 +157,15 @@ def recommendations(inputs: DataFrame) -> DataFrame:
 
 def sector_yoy(fact: DataFrame) -> DataFrame:
     """Sector totals at the latest period against the same month a year before;
-    full outer (0-filled): a new sector has a NULL change, a vanished one -100."""
-    latest = latest_period(fact).select(F.col(YEAR).alias("__cy"), F.col(MONTH).alias("__cm"))
-    snap = fact.join(
-        F.broadcast(latest),
-        F.col(YEAR).between(F.col("__cy") - 1, F.col("__cy")) & (F.col(MONTH) == F.col("__cm")),
+    full outer (0-filled): a new sector has a NULL change, a vanished one -100.
+    One read of the fact (see :func:`pin_latest`)."""
+    agg = fact.groupBy(YEAR, MONTH, "sector").agg(F.sum(YTD).alias("__t"))
+    snap = pin_latest(agg).where(
+        F.col(YEAR).between(F.col("__cy") - 1, F.col("__cy")) & (F.col(MONTH) == F.col("__cm"))
     )
     is_cur = F.col(YEAR) == F.col("__cy")
-    agg = snap.groupBy("sector").agg(
-        F.coalesce(F.sum(F.when(is_cur, F.col(YTD))), F.lit(0)).cast("long").alias("current_total"),
-        F.coalesce(F.sum(F.when(~is_cur, F.col(YTD))), F.lit(0)).cast("long").alias("previous_total"),
+    out = snap.groupBy("sector").agg(
+        F.coalesce(F.sum(F.when(is_cur, F.col("__t"))), F.lit(0)).cast("long").alias("current_total"),
+        F.coalesce(F.sum(F.when(~is_cur, F.col("__t"))), F.lit(0)).cast("long").alias("previous_total"),
     )
-    return agg.withColumn("yoy_pct", F.round(pct_change("current_total", "previous_total"), 6))
+    return out.withColumn("yoy_pct", F.round(pct_change("current_total", "previous_total"), 6))

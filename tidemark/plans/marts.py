@@ -335,20 +335,16 @@ def m_ceilings(t: Tables) -> DataFrame:
 
 def m_osl(t: Tables) -> DataFrame:
     """Shortage list rows with a state column ('National' or a state)."""
-    s = m_shortage(t)
-    p = t.read("part", "p_partkey", "p_type")
-    st = p.select(
+    p = t.read("part", "p_partkey", "p_name", "p_type", "p_size")
+    return p.select(
         occupation_code("p_partkey").alias("anzsco_code"),
-        F.when(F.col("p_type") == "PROMO", F.lit("NSW")).otherwise(F.lit("National")).alias("state"),
-    )
-    return s.join(st, "anzsco_code").select(
-        "anzsco_code",
-        "occupation_name",
-        F.when(F.col("shortage_status") == "Shortage", F.lit("National Shortage"))
-        .otherwise(F.col("shortage_status"))
+        F.col("p_name").alias("occupation_name"),
+        F.when(F.col("p_size") <= 15, F.lit("National Shortage"))
+        .when(F.col("p_size") <= 35, F.lit("No Shortage"))
+        .otherwise(F.lit("Regional Shortage"))
         .alias("shortage_status"),
-        F.col("osca_category").alias("shortage_level"),
-        "state",
+        F.col("p_type").alias("shortage_level"),
+        F.when(F.col("p_type") == "PROMO", F.lit("NSW")).otherwise(F.lit("National")).alias("state"),
     )
 
 
