@@ -178,3 +178,16 @@ def occupation_dimension(shortage: DataFrame, profile: DataFrame, vacancy: DataF
         code_level("anzsco_code", 3).alias("minor_group"),
         code_level("anzsco_code", 4).alias("unit_group"),
     )
+
+
+def occupation_copy() -> Column:
+    """Short marketing copy from the mart's flags and trend ('; '-joined,
+    absent parts skipped)."""
+    return F.concat_ws(
+        "; ",
+        F.when(F.col("shortage_national") == 1, F.lit("National shortage")),
+        F.when(F.col("eligible_189") == 1, F.lit("Eligible for subclass 189")),
+        F.when(F.col("eligible_190") == 1, F.lit("Eligible for subclass 190")),
+        F.when(F.col("eligible_491") == 1, F.lit("Eligible for subclass 491")),
+        F.concat(F.lit("Invitations trending "), F.col("trend_189")),
+    )

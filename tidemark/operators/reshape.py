@@ -112,3 +112,25 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
 def label_and_union(frames: Mapping[str, DataFrame], label_col: str = "measure") -> DataFrame:
     """Several sources to one long fact, each tagged with its measure label."""
     return union_by_name([f.withColumn(label_col, F.lit(k)) for k, f in frames.items()])
+
+
+def crosstab_to_long(df: DataFrame, row_dim: str, col_dim: str, value: str) -> DataFrame:
+    """A two-dimensional cross-tab (rows = one dimension, one column per value
+    of the other) to ``(dim1, dim2, value)``; empty cells are dropped."""
+    cols = [c for c in df.columns if c != row_dim]
+    long = df.select(F.col(row_dim), *[F.col(f"`{c}`").cast("double").alias(c) for c in cols]).unpivot(
+        [row_dim], cols, col_dim, value
+    )
+    return long.where(F.col(value).isNotNull())
+
+
+def crosstab_periods_to_long(df: DataFrame, ids: Sequence[str], value: str, period: str = "period") -> DataFrame:
+    """A country x period cross-tab whose period headers were mangled by name
+    normalising (``2006_07``, ``2006``) to long rows with the period rebuilt
+    (``2006-07``, ``2006``).  Only header columns that look like periods (F15)
+    are unpivoted."""
+    from tidemark.functions.scalars import header_period
+
+    cols = year_columns([c for c in df.columns if c not in ids])
+    long = df.unpivot(list(ids), cols, "__hdr", value)
+    return long.select(*ids, header_period("__hdr").alias(period), value).where(F.col(value).isNotNull())

@@ -687,3 +687,151 @@ def q_b12(t: Tables) -> DataFrame:
     return links.select(
         "page_id", "link_pos", absolute.alias("link"), absolute.rlike(ALLOWED_LINK).alias("is_allowed")
     )
+
+
+# ---------------------------------------------------------------------------
+# Aggregate profiles, filters, sorts and copy text
+
+from tidemark.operators import filters as flt  # noqa: E402
+
+
+@query("a12_visa_volume_by_country")
+def q_a12(t: Tables) -> DataFrame:
+    v = flt.not_null(marts.m_skilled_cob(t), "country_name")
+    return v.groupBy(F.col("country_name").alias("nationality")).agg(F.sum("value").alias("visa_volume"))
+
+
+@query("a14_distinct_counts_by_sector")
+def q_a14(t: Tables) -> DataFrame:
+    return marts.m_enrol(t).groupBy("sector").agg(
+        F.countDistinct("nationality").alias("n_nationalities"),
+        F.countDistinct("state_code").alias("n_states"),
+        F.countDistinct(en.YEAR).alias("n_years"),
+    )
+
+
+@query("a15_course_null_profile")
+def q_a15(t: Tables) -> DataFrame:
+    return marts.m_course(t).agg(
+        F.count(F.lit(1)).alias("n_courses"),
+        F.count_if(F.col("provider_id").isNull()).alias("null_providers"),
+        F.min("tuition_fee").alias("min_fee"),
+        F.max("tuition_fee").alias("max_fee"),
+        F.round(F.avg("tuition_fee"), 6).alias("avg_fee"),
+    )
+
+
+@query("a19_visa_grouping_sets")
+def q_a19(t: Tables) -> DataFrame:
+    v = marts.m_visa_activity(t).where(F.col("measure") == "lodged")
+    cols = ["applicant_type", "sector", "financial_year"]
+    sets = [["applicant_type"], ["sector"], ["financial_year"], ["applicant_type", "sector"],
+            ["sector", "financial_year"], []]
+    return v.groupingSets(sets, *cols).agg(
+        F.sum("value").alias("total_value"), F.grouping_id().alias("grouping_level")
+    )
+
+
+@query("a23_series_coverage")
+def q_a23(t: Tables) -> DataFrame:
+    return marts.m_fx(t).groupBy("series_id").agg(
+        F.min("rate_date").alias("first_date"),
+        F.max("rate_date").alias("last_date"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.countDistinct("rate_date").alias("n_days"),
+    )
+
+
+@query("a25_rows_by_sector")
+def q_a25(t: Tables) -> DataFrame:
+    return marts.m_enrol(t).groupBy("sector").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("a26_grand_total_kpi")
+def q_a26(t: Tables) -> DataFrame:
+    return en.snapshot_at_latest(marts.m_enrol(t), by=[])
+
+
+@query("f06_numeric_profile_values")
+def q_f06(t: Tables) -> DataFrame:
+    p = marts.m_profile(t).where(flt.matches("value_text", flt.NUMERIC_TEXT))
+    return p.groupBy("dimension").agg(F.count(F.lit(1)).alias("n_numeric"))
+
+
+@query("f07_six_digit_codes")
+def q_f07(t: Tables) -> DataFrame:
+    codes = marts.m_shortage(t).select("anzsco_code").unionByName(marts.m_vacancy(t).select("anzsco_code"))
+    six = codes.where(flt.matches("anzsco_code", flt.SIX_DIGIT_CODE))
+    return six.agg(F.countDistinct("anzsco_code").alias("n_codes"))
+
+
+@query("f10_population_rows_without_totals")
+def q_f10(t: Tables) -> DataFrame:
+    p = flt.exclude_totals(marts.m_population(t), ["country_name"])
+    return p.groupBy("erp_period").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("f12_positive_net_migration")
+def q_f12(t: Tables) -> DataFrame:
+    n = flt.positive(marts.m_nom(t).where(F.col("direction") == "net"), "value")
+    return n.groupBy("nom_period").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("f13_sheet_selection")
+def q_f13(t: Tables) -> DataFrame:
+    g = flt.sheets_excluding(marts.m_grid(t), ["east", "europe"])
+    return g.groupBy("sheet").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("t05_two_key_sort")
+def q_t05(t: Tables) -> DataFrame:
+    v = marts.m_visa_activity(t).where(F.col("measure") == "lodged")
+    return v.select("sector", "financial_year", "applicant_type", "value").orderBy(
+        F.col("sector").asc(), F.col("value").desc(), "financial_year", "applicant_type"
+    )
+
+
+@query("t06_top_fill_rate")
+def q_t06(t: Tables) -> DataFrame:
+    c = flt.national_only(marts.m_ceilings(t)).where(F.col("ceiling") >= 50)
+    return c.select("anzsco_code", "visa_subclass", "state", "ceiling", "fill_rate_pct").orderBy(
+        F.col("fill_rate_pct").desc(), "anzsco_code", "visa_subclass", "state"
+    ).limit(10)
+
+
+@query("t07_head_enrolments")
+def q_t07(t: Tables) -> DataFrame:
+    s = en.snapshot_at_latest(marts.m_enrol(t), by=["nationality"])
+    return s.orderBy(F.col("total_enrolments").desc(), "nationality").limit(5)
+
+
+@query("u02_mart_table_counts")
+def q_u02(t: Tables) -> DataFrame:
+    parts = {"dim_provider": marts.m_provider(t), "dim_course": marts.m_course(t),
+             "dim_provider_location": marts.m_location(t), "bridge_course_location": marts.m_bridge(t)}
+    frames = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(k).alias("table_name"), "rows")
+              for k, df in parts.items()]
+    return reshape.union_by_name(frames)
+
+
+@query("x28_occupation_copy")
+def q_x28(t: Tables) -> DataFrame:
+    m = occ.occupation_mart(marts.m_ceilings(t), marts.m_osl(t), marts.m_visa_lists(t), "2025-06")
+    return m.select("anzsco_code", occ.occupation_copy().alias("copy_text"))
+
+
+@query("r03_crosstab_periods_to_long")
+def q_r03(t: Tables) -> DataFrame:
+    nom = marts.m_nom(t).where((F.col("direction") == "net") & (F.col("country_name") != "Total"))
+    hdr = F.regexp_replace("nom_period", "-", "_")
+    periods = sorted(r[0] for r in nom.select(hdr.alias("h")).distinct().collect())  # calendar-bounded
+    wide = nom.groupBy("country_name").pivot(hdr, periods).agg(F.sum("value"))
+    return reshape.crosstab_periods_to_long(wide, ["country_name"], "value", "nom_period")
+
+
+@query("r06_crosstab_to_long")
+def q_r06(t: Tables) -> DataFrame:
+    snap = en.snapshot_at_latest(marts.m_enrol(t), by=["nationality", "sector"])
+    sectors = sorted(r[0] for r in snap.select("sector").distinct().collect())  # a handful of sectors
+    wide = snap.groupBy("nationality").pivot("sector", sectors).agg(F.first("total_enrolments"))
+    return reshape.crosstab_to_long(wide, "nationality", "sector", "total_enrolments")

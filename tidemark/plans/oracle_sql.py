@@ -1196,3 +1196,150 @@ FROM (SELECT page_id, regexp_extract(url, '^(https?://[^/]+)', 1) AS base,
              unnest(l) AS href, generate_subscripts(l, 1) - 1 AS link_pos
       FROM (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS l FROM pages) a) b""",
 )
+
+
+# ---------------------------------------------------------------------------
+# Aggregate profiles, filters, sorts, copy text, cross-tabs
+# (A12, A14, A15, A19, A23, A25, A26, F06, F07, F10, F12, F13, T05-T07, U02, X28, R03, R06)
+
+register(
+    "a12_visa_volume_by_country",
+    with_(M_SKILLED_COB)
+    + "SELECT country_name AS nationality, sum(value) AS visa_volume FROM m_skilled_cob "
+    "WHERE country_name IS NOT NULL GROUP BY 1",
+)
+register(
+    "a14_distinct_counts_by_sector",
+    with_(M_ENROL)
+    + "SELECT sector, count(DISTINCT nationality) AS n_nationalities, count(DISTINCT state_code) AS n_states, "
+    "count(DISTINCT enrol_year) AS n_years FROM m_enrol GROUP BY sector",
+)
+register(
+    "a15_course_null_profile",
+    with_(M_COURSE)
+    + "SELECT count(*) AS n_courses, count(*) FILTER (WHERE provider_id IS NULL) AS null_providers, "
+    "min(tuition_fee) AS min_fee, max(tuition_fee) AS max_fee, round(avg(tuition_fee), 6) AS avg_fee FROM m_course",
+)
+register(
+    "a19_visa_grouping_sets",
+    with_(M_VISA_ACTIVITY)
+    + """
+SELECT applicant_type, sector, financial_year, sum(value) AS total_value,
+       CAST(GROUPING(applicant_type, sector, financial_year) AS BIGINT) AS grouping_level
+FROM m_visa_activity WHERE measure = 'lodged'
+GROUP BY GROUPING SETS ((applicant_type), (sector), (financial_year), (applicant_type, sector),
+                        (sector, financial_year), ())""",
+)
+register(
+    "a23_series_coverage",
+    with_(M_FX)
+    + "SELECT series_id, min(rate_date) AS first_date, max(rate_date) AS last_date, count(*) AS n_rows, "
+    "count(DISTINCT rate_date) AS n_days FROM m_fx GROUP BY series_id",
+)
+register(
+    "a25_rows_by_sector",
+    with_(M_ENROL) + "SELECT sector, count(*) AS n_rows FROM m_enrol GROUP BY sector",
+)
+register(
+    "a26_grand_total_kpi",
+    with_(M_ENROL, LATEST)
+    + "SELECT CAST(sum(ytd_enrolments) AS BIGINT) AS total_enrolments FROM m_enrol, latest "
+    "WHERE enrol_year = ly AND enrol_month = lm",
+)
+register(
+    "f06_numeric_profile_values",
+    with_(M_PROFILE)
+    + "SELECT dimension, count(*) AS n_numeric FROM m_profile "
+    "WHERE regexp_matches(value_text, '^[0-9]+(\\.[0-9]+)?$') GROUP BY dimension",
+)
+register(
+    "f07_six_digit_codes",
+    with_(M_SHORTAGE, M_VACANCY)
+    + "SELECT count(DISTINCT anzsco_code) AS n_codes FROM (SELECT anzsco_code FROM m_shortage "
+    "UNION ALL SELECT anzsco_code FROM m_vacancy) u WHERE regexp_matches(anzsco_code, '^\\d{6}$')",
+)
+register(
+    "f10_population_rows_without_totals",
+    with_(GEO_ORDERS, M_POPULATION)
+    + "SELECT erp_period, count(*) AS n_rows FROM m_population "
+    "WHERE country_name IS NULL OR NOT contains(country_name, 'Total') GROUP BY erp_period",
+)
+register(
+    "f12_positive_net_migration",
+    with_(GEO_ORDERS, M_NOM)
+    + "SELECT nom_period, count(*) AS n_rows FROM m_nom WHERE direction = 'net' AND value > 0 GROUP BY nom_period",
+)
+register(
+    "f13_sheet_selection",
+    with_(M_GRID)
+    + "SELECT sheet, count(*) AS n_rows FROM m_grid WHERE NOT regexp_matches(lower(sheet), 'east|europe') "
+    "GROUP BY sheet",
+)
+register(
+    "t05_two_key_sort",
+    with_(M_VISA_ACTIVITY)
+    + "SELECT sector, financial_year, applicant_type, value FROM m_visa_activity WHERE measure = 'lodged' "
+    "ORDER BY sector, value DESC, financial_year, applicant_type",
+)
+register(
+    "t06_top_fill_rate",
+    with_(M_CEILINGS)
+    + """
+SELECT anzsco_code, visa_subclass, state, ceiling, fill_rate_pct FROM m_ceilings
+WHERE (state IS NULL OR upper(trim(state)) IN ('NATIONAL', 'ALL', '', 'NAN')) AND ceiling >= 50
+ORDER BY fill_rate_pct DESC, anzsco_code, visa_subclass, state LIMIT 10""",
+)
+register(
+    "t07_head_enrolments",
+    with_(M_ENROL, LATEST)
+    + """
+SELECT nationality, CAST(sum(ytd_enrolments) AS BIGINT) AS total_enrolments FROM m_enrol, latest
+WHERE enrol_year = ly AND enrol_month = lm GROUP BY nationality ORDER BY total_enrolments DESC, nationality LIMIT 5""",
+)
+register(
+    "u02_mart_table_counts",
+    with_(M_PROVIDER, M_COURSE, M_LOCATION)
+    + """
+SELECT 'dim_provider' AS table_name, count(*) AS rows FROM m_provider
+UNION ALL SELECT 'dim_course', count(*) FROM m_course
+UNION ALL SELECT 'dim_provider_location', count(*) FROM m_location
+UNION ALL SELECT 'bridge_course_location', count(*) FROM m_bridge""",
+)
+register(
+    "x28_occupation_copy",
+    with_(M_CEILINGS, NAT_CEILINGS, M_SHORTAGE, M_OSL, M_VISA_LISTS)
+    + """,
+t189 AS (SELECT anzsco_code, arg_max(trend, source_row) FILTER (WHERE visa_subclass = '189') AS trend_189
+         FROM nat GROUP BY anzsco_code),
+osl1 AS (SELECT anzsco_code, min(shortage_status) AS shortage_status FROM m_osl
+         WHERE coalesce(state, '') IN ('', 'National') GROUP BY anzsco_code),
+flags AS (SELECT anzsco_code,
+                 max(CAST(contains(coalesce(visa_subclass, ''), '189') AS INTEGER)) AS e189,
+                 max(CAST(contains(coalesce(visa_subclass, ''), '190') AS INTEGER)) AS e190,
+                 max(CAST(contains(coalesce(visa_subclass, ''), '491') AS INTEGER)) AS e491
+          FROM m_visa_lists GROUP BY anzsco_code)
+SELECT c.anzsco_code,
+       concat_ws('; ',
+         CASE WHEN coalesce(CAST(contains(o.shortage_status, 'National') AS INTEGER), 0) = 1
+              THEN 'National shortage' END,
+         CASE WHEN coalesce(f.e189, 0) = 1 THEN 'Eligible for subclass 189' END,
+         CASE WHEN coalesce(f.e190, 0) = 1 THEN 'Eligible for subclass 190' END,
+         CASE WHEN coalesce(f.e491, 0) = 1 THEN 'Eligible for subclass 491' END,
+         'Invitations trending ' || t.trend_189) AS copy_text
+FROM (SELECT DISTINCT anzsco_code FROM m_ceilings) c
+LEFT JOIN t189 t ON c.anzsco_code = t.anzsco_code
+LEFT JOIN osl1 o ON c.anzsco_code = o.anzsco_code
+LEFT JOIN flags f ON c.anzsco_code = f.anzsco_code""",
+)
+register(
+    "r03_crosstab_periods_to_long",
+    with_(GEO_ORDERS, M_NOM)
+    + "SELECT country_name, nom_period, CAST(sum(value) AS BIGINT) AS value FROM m_nom "
+    "WHERE direction = 'net' AND country_name <> 'Total' GROUP BY 1, 2",
+)
+register(
+    "r06_crosstab_to_long",
+    with_(M_ENROL, LATEST)
+    + "SELECT nationality, sector, CAST(sum(ytd_enrolments) AS DOUBLE) AS total_enrolments FROM m_enrol, latest "
+    "WHERE enrol_year = ly AND enrol_month = lm GROUP BY 1, 2",
+)
