@@ -823,9 +823,9 @@ def q_x28(t: Tables) -> DataFrame:
 @query("r03_crosstab_periods_to_long")
 def q_r03(t: Tables) -> DataFrame:
     nom = marts.m_nom(t).where((F.col("direction") == "net") & (F.col("country_name") != "Total"))
-    hdr = F.regexp_replace("nom_period", "-", "_")
-    periods = sorted(r[0] for r in nom.select(hdr.alias("h")).distinct().collect())  # calendar-bounded
-    wide = nom.groupBy("country_name").pivot(hdr, periods).agg(F.sum("value"))
+    nom = nom.withColumn("hdr", F.regexp_replace("nom_period", "-", "_"))  # header as name-normalised
+    periods = sorted(r[0] for r in nom.select("hdr").distinct().collect())  # calendar-bounded
+    wide = nom.groupBy("country_name").pivot("hdr", periods).agg(F.sum("value"))
     return reshape.crosstab_periods_to_long(wide, ["country_name"], "value", "nom_period")
 
 
