@@ -62,7 +62,7 @@ def build_manifest(
         )
 
     one = spark.range(1)
-    return one.select(
+    record = one.select(
         month_label(F.lit(release_year), F.lit(release_month)).alias("release_label"),
         F.lit(release_year).alias("release_year"),
         F.lit(release_month).alias("release_month"),
@@ -72,6 +72,13 @@ def build_manifest(
         part(basic_name, basic_url).alias("basic"),
         part(detailed_name, detailed_url).alias("detailed"),
     )
+    return _freeze(spark, record)
+
+
+def _freeze(spark: SparkSession, record: DataFrame) -> DataFrame:
+    """A manifest states what the files were when it was built: its single row
+    is fixed now instead of being re-derived from the files at read time."""
+    return spark.createDataFrame(record.collect(), MANIFEST_SCHEMA)
 
 
 def mark_extracted(manifest: DataFrame, basic_split: DataFrame, detailed_split: DataFrame) -> DataFrame:
@@ -82,9 +89,10 @@ def mark_extracted(manifest: DataFrame, basic_split: DataFrame, detailed_split:
             "raw_split_size_bytes", split.select(F.max("size_bytes")).scalar()
         ).withField("raw_split_sha256", split.select(F.max("sha256")).scalar())
 
-    return manifest.withColumn("basic", with_split("basic", basic_split)).withColumn(
+    out = manifest.withColumn("basic", with_split("basic", basic_split)).withColumn(
         "detailed", with_split("detailed", detailed_split)
     ).withColumn("status", F.lit("extracted"))
+    return _freeze(manifest.sparkSession, out)
 
 
 def validate_against_manifest(manifest: DataFrame, digests: DataFrame, require_extracted: bool = False) -> DataFrame:
