@@ -145,7 +145,7 @@ def at_latest_month_of_year(
 
 
 def country_growth(fact: DataFrame, current_year: int, current_month: int, prior_year: int) -> DataFrame:
-    """Per nationality, current total and same-month prior total (0 when absent).
+    """J02 (X15): per nationality, current total and same-month prior total (0 when absent).
 
     One scan with conditional sums replaces the two aggregates and the left
     join; members present only in the prior year are dropped, as a left join

@@ -191,3 +191,23 @@ def occupation_copy() -> Column:
         F.when(F.col("eligible_491") == 1, F.lit("Eligible for subclass 491")),
         F.concat(F.lit("Invitations trending "), F.col("trend_189")),
     )
+
+
+def extract_lists(frames: dict[str, DataFrame], code_synonyms: Sequence[str] = ("anzsco", "anzsco_code", "code"),
+                  subclass_synonyms: Sequence[str] = ("visa_subclasses", "visa_subclass")) -> DataFrame:
+    """B09 (U01 + P07 + X01 + F07): occupation lists arriving as separate sheets
+    with their own column spellings: names normalised, synonyms renamed to the
+    target names, each tagged with its list type, unioned by name (missing
+    columns NULL), and only six-digit occupation codes kept."""
+    from tidemark.operators.shape import normalise_columns, rename_with_fallback
+
+    parts = []
+    for list_type, df in frames.items():
+        d = rename_with_fallback(normalise_columns(df), {"anzsco_code": code_synonyms,
+                                                        "visa_subclass": subclass_synonyms})
+        parts.append(d.withColumn("list_type", F.lit(list_type)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    code = F.trim(F.col("anzsco_code").cast("string"))
+    return out.withColumn("anzsco_code", code).where(F.coalesce(code.rlike(r"^\d{6}$"), F.lit(False)))

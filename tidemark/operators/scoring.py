@@ -39,7 +39,7 @@ SCORE_COLUMNS = {"growth": "growth_score", "market_size": "market_size_score", "
 
 def opportunity_inputs(fact: DataFrame, visa: DataFrame, visa_country: str = "country_name",
                        visa_value: str = "value") -> DataFrame:
-    """One row per nationality at the latest period: current volume, growth %
+    """B01 (A12, J06, X15, X17): one row per nationality at the latest period: current volume, growth %
     against the same month a year earlier (NULL without a non-zero base), and
     visa volume (NULL when the country has no visa record at all, never 0).
 
@@ -76,7 +76,7 @@ def opportunity_inputs(fact: DataFrame, visa: DataFrame, visa_country: str = "co
 def opportunity_scores(inputs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """Percentile-ranked components, weights of missing components spread
     over the present ones, score to 1 dp, confidence %, weights map; sorted by
-    score descending with NULL last."""
+    score descending with NULL last (T04)."""
     weights = dict(weights or WEIGHTS)
     for bad in EXCLUDED_COMPONENTS:
         weights.pop(bad, None)

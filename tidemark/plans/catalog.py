@@ -835,3 +835,19 @@ def q_r06(t: Tables) -> DataFrame:
     sectors = sorted(r[0] for r in snap.select("sector").distinct().collect())  # a handful of sectors
     wide = snap.groupBy("nationality").pivot("sector", sectors).agg(F.first("total_enrolments"))
     return reshape.crosstab_to_long(wide, "nationality", "sector", "total_enrolments")
+
+
+@query("b09_visa_list_extract")
+def q_b09(t: Tables) -> DataFrame:
+    p = t.read("part", "p_partkey", "p_name", "p_brand", "p_size")
+    code = marts.occupation_code("p_partkey")
+    frames = {
+        "MLTSSL": p.where(F.col("p_size") <= 10).select(code.alias("ANZSCO Code"), F.col("p_name").alias("Occupation"),
+                                                        F.lit("189, 190, 491").alias("Visa Subclasses")),
+        "STSOL": p.where(F.col("p_size").between(11, 25)).select(code.alias("anzsco"), F.col("p_name").alias("Occupation"),
+                                                                 F.lit("190, 491").alias("Visa Subclasses")),
+        "ROL": p.where(F.col("p_size").between(26, 40)).select(code.alias("Code"), F.col("p_name").alias("Occupation"),
+                                                               F.col("p_brand").alias("Assessing Authority")),
+    }
+    out = occ.extract_lists(frames)
+    return out.select("anzsco_code", "occupation", "visa_subclass", "assessing_authority", "list_type")

@@ -1343,3 +1343,13 @@ register(
     + "SELECT nationality, sector, CAST(sum(ytd_enrolments) AS DOUBLE) AS total_enrolments FROM m_enrol, latest "
     "WHERE enrol_year = ly AND enrol_month = lm GROUP BY 1, 2",
 )
+
+register(
+    "b09_visa_list_extract",
+    """
+SELECT printf('%06d', p_partkey) AS anzsco_code, p_name AS occupation,
+       CASE WHEN p_size <= 10 THEN '189, 190, 491' WHEN p_size <= 25 THEN '190, 491' END AS visa_subclass,
+       CASE WHEN p_size > 25 THEN p_brand END AS assessing_authority,
+       CASE WHEN p_size <= 10 THEN 'MLTSSL' WHEN p_size <= 25 THEN 'STSOL' ELSE 'ROL' END AS list_type
+FROM part WHERE p_size <= 40""",
+)

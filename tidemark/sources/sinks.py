@@ -203,7 +203,8 @@ def upsert(
     order_col: str | None = None,
     dry_run: bool = False,
 ) -> LoadResult:
-    """Keyed upsert into the published table, producing a new version.
+    """K01/K02 (K06 dry run, Q10 idempotent rerun, U06 dedupe only on the
+    declared key): keyed upsert into the published table, producing a new version.
 
     ``mode="update"``: for a key present in ``df`` every column ``df`` carries
     takes the new value (even NULL); columns ``df`` lacks keep the old value.
