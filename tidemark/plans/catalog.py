@@ -851,3 +851,41 @@ def q_b09(t: Tables) -> DataFrame:
     }
     out = occ.extract_lists(frames)
     return out.select("anzsco_code", "occupation", "visa_subclass", "assessing_authority", "list_type")
+
+
+# ---------------------------------------------------------------------------
+# Streaming (run to completion with AvailableNow over the landed events table)
+
+import uuid  # noqa: E402
+
+from tidemark.session import checkpoint_dir  # noqa: E402
+from tidemark.sources.tables import SCHEMAS  # noqa: E402
+from tidemark.streaming import ingest  # noqa: E402
+
+
+def _events_stream(t: Tables) -> DataFrame:
+    return ingest.landing_stream(t.spark, t.root, SCHEMAS["events"], pathGlobFilter="events.parquet")
+
+
+@query("st4_daily_event_averages")
+def q_st4(t: Tables) -> DataFrame:
+    name = f"st4_{uuid.uuid4().hex}"  # a fresh checkpoint per run: every run sees the whole table
+    out = ingest.run_to_memory(ingest.daily_averages(_events_stream(t), "ts", "event_type", "value"), name)
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type",
+                      F.round("avg_value", 6).alias("avg_value"), "n")
+
+
+@query("st2_stream_upsert_latest_event")
+def q_st2(t: Tables) -> DataFrame:
+    run = uuid.uuid4().hex
+    root = f"{checkpoint_dir(t.spark).rstrip('/')}/published/{run}"
+    stream = _events_stream(t).select(
+        "user_id", "event_type", "value", F.col("ts").alias("last_ts"), F.col("event_id").alias("__row_seq")
+    )
+    handler = ingest.upsert_each_batch(root, "latest_event", ["user_id", "event_type"], audit_source="events")
+    ingest.run_available(stream, f"st2_{run}", handler, checkpoint=f"{root}/_checkpoint")
+    from tidemark.sources.sinks import read_table
+
+    return read_table(t.spark, root, "latest_event").select(
+        "user_id", "event_type", "value", "last_ts"
+    )

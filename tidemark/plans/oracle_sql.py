@@ -1353,3 +1353,14 @@ SELECT printf('%06d', p_partkey) AS anzsco_code, p_name AS occupation,
        CASE WHEN p_size <= 10 THEN 'MLTSSL' WHEN p_size <= 25 THEN 'STSOL' ELSE 'ROL' END AS list_type
 FROM part WHERE p_size <= 40""",
 )
+
+register(
+    "st4_daily_event_averages",
+    "SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, round(avg(value), 6) AS avg_value, "
+    "count(*) AS n FROM events GROUP BY 1, 2",
+)
+register(
+    "st2_stream_upsert_latest_event",
+    "SELECT user_id, event_type, arg_max(value, event_id) AS value, arg_max(ts, event_id) AS last_ts "
+    "FROM events GROUP BY user_id, event_type",
+)
