@@ -824,7 +824,9 @@ def q_x28(t: Tables) -> DataFrame:
 def q_r03(t: Tables) -> DataFrame:
     nom = marts.m_nom(t).where((F.col("direction") == "net") & (F.col("country_name") != "Total"))
     nom = nom.withColumn("hdr", F.regexp_replace("nom_period", "-", "_"))  # header as name-normalised
-    periods = sorted(r[0] for r in nom.select("hdr").distinct().collect())  # calendar-bounded
+    # pivot headers: the financial years present (calendar-bounded), found from the date column alone
+    fy = marts._fy_text("o_orderdate", "_")
+    periods = sorted(r[0] for r in t.read("orders", "o_orderdate").select(fy.alias("h")).distinct().collect())
     wide = nom.groupBy("country_name").pivot("hdr", periods).agg(F.sum("value"))
     return reshape.crosstab_periods_to_long(wide, ["country_name"], "value", "nom_period")
 
@@ -832,7 +834,9 @@ def q_r03(t: Tables) -> DataFrame:
 @query("r06_crosstab_to_long")
 def q_r06(t: Tables) -> DataFrame:
     snap = en.snapshot_at_latest(marts.m_enrol(t), by=["nationality", "sector"])
-    sectors = sorted(r[0] for r in snap.select("sector").distinct().collect())  # a handful of sectors
+    # pivot headers: the priority labels (a handful), from that one column of orders
+    pri = t.read("orders", "o_orderpriority").distinct()
+    sectors = sorted(r[0] for r in pri.collect())
     wide = snap.groupBy("nationality").pivot("sector", sectors).agg(F.first("total_enrolments"))
     return reshape.crosstab_to_long(wide, "nationality", "sector", "total_enrolments")
 
