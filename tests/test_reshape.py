@@ -62,3 +62,18 @@ def test_union_by_name_missing_as_null(spark):
     assert out[0].b is None and out[1].a is None
     lab = reshape.label_and_union({"m1": a.select("k"), "m2": b.select("k")})
     assert sorted((r.k, r.measure) for r in lab.collect()) == [(1, "m1"), (2, "m2")]
+
+
+def test_forward_fill_across_chunks(spark):
+    rows = [("s1", i, "A" if i == 0 else ("B" if i == 7 else None)) for i in range(12)] + [("s2", 0, None), ("s2", 5, "C")]
+    df = spark.createDataFrame(rows, "sheet STRING, row_idx INT, label STRING")
+    out = forward_fill(df, ["sheet"], "row_idx", ["label"], chunk_rows=3).orderBy("sheet", "row_idx").collect()
+    assert [r.label for r in out] == ["A"] * 7 + ["B"] * 5 + [None, "C"]
+
+
+def test_latest_per_group(spark):
+    from tidemark.operators.windows import latest_per_group
+
+    df = spark.createDataFrame([("k", "2024-01", 5), ("k", "2024-03", 7), ("j", "2023-12", 1)], "c STRING, p STRING, v INT")
+    got = {r.c: (r.p, r.v) for r in latest_per_group(df, ["c"], ["p"]).collect()}
+    assert got == {"k": ("2024-03", 7), "j": ("2023-12", 1)}

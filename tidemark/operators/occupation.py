@@ -24,9 +24,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: str, keep: Sequenc
     ``max_by`` inside a hash aggregate: combined map-side, so a hot key costs
     one partial row per task instead of a full sort of its group.
     """
-    packed = F.struct(*[F.col(c) for c in [order, *keep]])
-    agg = df.groupBy(*keys).agg(F.max_by(packed, F.col(order)).alias("__r"))
-    return agg.select(*keys, *[F.col("__r")[c].alias(c) for c in [order, *keep]])
+    from tidemark.operators.windows import latest_per_group
+
+    return latest_per_group(df.select(*keys, order, *keep), keys, [order]).select(*keys, order, *keep)
 
 
 def occupation_view(

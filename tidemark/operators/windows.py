@@ -89,10 +89,18 @@ def trend_label(df: DataFrame, partition: Sequence[str], order: str, value: str,
     return df.withColumn(out, label)
 
 
-def latest_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The first row of each group under ``order`` (ties broken by the order list)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
+def latest_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: bool = True) -> DataFrame:
+    """The row of each group with the greatest (or least) ``order`` tuple.
+
+    A hash aggregate of ``max(struct(order..., row))``: partial aggregation keeps
+    one candidate per group per task, so a group holding a third of all rows is
+    reduced map-side instead of being sorted whole in one task."""
+    others = [c for c in df.columns if c not in keys]
+    packed = F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)],
+                      *[F.col(c).alias(f"__v_{c}") for c in others])
+    pick = F.max(packed) if descending else F.min(packed)
+    agg = df.groupBy(*keys).agg(pick.alias("__r"))
+    return agg.select(*keys, *[F.col("__r")[f"__v_{c}"].alias(c) for c in others])
 
 
 def last_wins(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
@@ -108,10 +116,39 @@ def last_wins(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     return agg.select(*keys, *[F.col("__row")[c].alias(c) for c in others])
 
 
-def forward_fill(df: DataFrame, partition: Sequence[str], order: str, columns: Sequence[str]) -> DataFrame:
-    """Merged-cell labels carried down in row order, restarting per sheet."""
-    w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in columns})
+def forward_fill(
+    df: DataFrame, partition: Sequence[str], order: str, columns: Sequence[str], chunk_rows: int = 1_000_000
+) -> DataFrame:
+    """Merged-cell labels carried down in row order, restarting per sheet.
+
+    A sheet may be huge (a third of all rows), so the fill is done in two
+    phases instead of one window over the whole sheet:
+
+    1. rows are cut into chunks of ``chunk_rows`` consecutive positions; each
+       chunk is filled on its own (a window over one chunk);
+    2. the last label of every chunk (one row per chunk) gives, by a running
+       window over the chunks of a sheet, the value carried into the next
+       chunk; it fills what the chunk-local pass left empty.
+
+    ``order`` must be an integer position (row index).
+    """
+    parts = list(partition)
+    chunk = F.floor(F.col(order) / F.lit(chunk_rows)).alias("__chunk")
+    d = df.withColumn("__chunk", chunk)
+    w_local = Window.partitionBy(*parts, "__chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    local = d.withColumns({f"__l_{c}": F.last(F.col(c), ignorenulls=True).over(w_local) for c in columns})
+    # last non-null label per chunk: one row per chunk, reduced map-side
+    summary = d.groupBy(*parts, "__chunk").agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"__s_{c}") for c in columns]
+    )
+    w_prev = Window.partitionBy(*parts).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(
+        *parts, "__chunk", *[F.last(F.col(f"__s_{c}"), ignorenulls=True).over(w_prev).alias(f"__c_{c}") for c in columns]
+    )
+    j = local.join(carry, [*parts, "__chunk"], "left")
+    return j.select(
+        *[F.coalesce(F.col(f"__l_{c}"), F.col(f"__c_{c}")).alias(c) if c in columns else F.col(c) for c in df.columns]
+    )
 
 
 def percentile_rank(df: DataFrame, value: str, out: str, partition: Sequence[str] = ()) -> DataFrame:
