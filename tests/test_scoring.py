@@ -84,3 +84,14 @@ def test_formatting_and_ratios(spark):
         X.period_label(F.lit(2026), F.lit(2)).alias("c")).collect()
     assert (f[0].a, f[0].b, f[0].c) == ("1,234", "+5.0%", "2026-02")
     assert (f[1].a, f[1].b) == ("N/A", "N/A")
+
+
+def test_bucketed_rank_many_ranges(spark):
+    import random
+
+    rnd = random.Random(7)
+    values = [float(rnd.randint(0, 60)) if rnd.random() > 0.1 else None for _ in range(400)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id INT, v DOUBLE")
+    got = [r.r for r in percentile_rank_by_value_counts(df, "v", "r", buckets=7).orderBy("id").collect()]
+    expected = list(pd.Series(values, dtype="float64").rank(pct=True, na_option="keep") * 100)
+    assert _same(got, expected)

@@ -172,25 +172,53 @@ def percentile_rank(df: DataFrame, value: str, out: str, partition: Sequence[str
 
 
 def percentile_rank_by_value_counts(
-    df: DataFrame, value: str, out: str, partition: Sequence[str] = ()
+    df: DataFrame, value: str, out: str, partition: Sequence[str] = (), buckets: int = 200
 ) -> DataFrame:
     """W01 for large inputs: rank the distinct values, not the rows.
 
-    A per-value count (``groupBy(value)``, combined map-side, so a value held
-    by a third of all rows is one row after the partial aggregate) feeds a
-    running sum over the distinct values; the rank is joined back on the value.
+    A per-value count (``groupBy(value)``, combined map-side, so a value held by
+    a third of all rows is one row after the partial aggregate) is ranked by a
+    running sum over the distinct values.  With a ``partition`` the running sum
+    is a window per partition.  Without one, the distinct values are cut into
+    ``buckets`` value ranges (boundaries from ``approxQuantile``: only the
+    boundary numbers reach the driver); each range runs its own window, and a
+    prefix over the per-range totals (one row per range) supplies the offset.
+    No task ever holds all values.  The rank is joined back on the value.
     """
     parts = list(partition)
     counts = df.where(F.col(value).isNotNull()).groupBy(*parts, value).agg(F.count(F.lit(1)).alias("__n"))
-    w_run = Window.partitionBy(*parts).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_all = Window.partitionBy(*parts)
-    ranked = counts.select(
-        *parts,
+    if parts:
+        w_run = Window.partitionBy(*parts).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        w_all = Window.partitionBy(*parts)
+        ranked = counts.select(
+            *parts,
+            value,
+            (
+                (F.sum("__n").over(w_run) - F.col("__n") + (F.col("__n") + F.lit(1)) / F.lit(2.0))
+                / F.sum("__n").over(w_all)
+                * F.lit(100.0)
+            ).alias(out),
+        )
+        return df.join(ranked, [*parts, value], "left")
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = sorted({b for b in counts.approxQuantile(value, probs, 0.001) if b is not None})
+    arr = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>")
+    bucket = F.size(F.filter(arr, lambda b: b < F.col(value)))
+    c = counts.withColumn("__b", bucket)
+    per = c.groupBy("__b").agg(F.sum("__n").alias("__bn"))  # one row per range
+    prefix = per.select(
+        "__b",
+        F.coalesce(F.sum("__bn").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        .alias("__before"),
+        F.sum("__bn").over(Window.partitionBy()).alias("__total"),
+    )
+    w_run = Window.partitionBy("__b").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = c.join(F.broadcast(prefix), "__b").select(  # at most `buckets` rows
         value,
         (
-            (F.sum("__n").over(w_run) - F.col("__n") + (F.col("__n") + F.lit(1)) / F.lit(2.0))
-            / F.sum("__n").over(w_all)
+            (F.col("__before") + F.sum("__n").over(w_run) - F.col("__n") + (F.col("__n") + F.lit(1)) / F.lit(2.0))
+            / F.col("__total")
             * F.lit(100.0)
         ).alias(out),
     )
-    return df.join(ranked, [*parts, value], "left")
+    return df.join(ranked, [value], "left")
