@@ -166,3 +166,53 @@ def test_release_pages(spark):
                                   (f"{base}/download/1/x/pdf",)], "u STRING")
     ok = [r.ok for r in urls.select(readers.allowed_url(F.col("u"), "www.education.gov.au").alias("ok")).collect()]
     assert ok == [True, False, False, False, False]
+
+
+def test_detailed_enrolment_sheet_keeps_every_dimension(spark, tmp_root):
+    """Fixture A1: three detailed rows; month Dec -> 12; provider_type kept; total
+    dropped; the 8-column basic key rejects them, the 14-column key accepts."""
+    import pytest
+
+    from tidemark.operators.quality import redundant_share
+    from tidemark.plans import pipelines
+    from tidemark.sources import sinks
+
+    header = ["Year", "Month", "Region", "Nationality", "State", "ProviderType", "Sector",
+              "Broad_Field_Of_Education", "Narrow_Field_Of_Education", "Detailed_Field_Of_Education",
+              "Level_Of_Study", "Foundation", "New_to_Australia", "Ends_This_Year", "DATA_YTD_Enrolments",
+              "DATA_YTD_Commencements", "DATA_As_at_1st_Month", "DATA_Enrolments_for_Month",
+              "DATA_Commencements_for_Month", "Total"]
+    rows = [
+        [2024, "Dec", "Americas", "Chile", "SA", "Non Government", "ELICOS", "Society and Culture",
+         "Language and Literature", "ELICOS", "Non AQF Award", "No", "No", "No", 8, 8, 7, 8, 1, 8],
+        [2024, "Dec", "Americas", "Chile", "SA", "Non Government", "ELICOS", "Natural and Physical Sciences",
+         "Other Natural and Physical Sciences", "Medical Science", "Bachelor Degree", "No", "No", "No", 5, 2, 5, 5, 0, 5],
+        [2024, "Dec", "South-East Asia", "Vietnam", "NSW", "Government", "Higher Education", "Information Technology",
+         "Other Information Technology", "Information Technology, n.e.c.", "Bachelor Degree", "No", "Yes", "No",
+         12, 12, 10, 12, 2, 12],
+    ]
+    d = os.path.join(tmp_root, "edu")
+    os.makedirs(d)
+    _workbook(os.path.join(d, "detailed.xlsx"), {"Notes": [["About this release"]],
+                                                  "Data": [["Detailed enrolments"], [], header, *rows]})
+    grid = xlsx.read_grid(spark, d)
+    raw = pipelines.parse_enrolment_grid(grid, "detailed")
+    out = raw.collect()
+    assert len(out) == 3 and all(r.enrol_month == 12 for r in out)
+    assert "provider_type" in raw.columns and "total" not in raw.columns
+    with_total = pipelines.parse_enrolment_grid(grid, "basic")
+    assert redundant_share(with_total, "total", "ytd_enrolments").first().same_pct == 100.0
+    with pytest.raises(sinks.LoadError):
+        sinks.replace_table(spark, raw, os.path.join(tmp_root, "pub"), "basic", list(pipelines.BASIC_KEY))
+    ok = sinks.replace_table(spark, raw, os.path.join(tmp_root, "pub"), "detailed", list(pipelines.DETAILED_KEY))
+    assert ok.rows_written == 3
+
+
+def test_alias_csv_with_quoted_comma(spark, tmp_root):
+    p = os.path.join(tmp_root, "aliases.csv")
+    with open(p, "w", encoding="utf-8-sig") as fh:
+        fh.write("canonical_name,iso_alpha2,name_education\n"
+                 'South Korea,KR,"Korea, Republic of"\nIndia,IN,India\n')
+    df = readers.read_csv(spark, p, schema="canonical_name STRING, iso_alpha2 STRING, name_education STRING")
+    got = {r.canonical_name: r.name_education for r in df.collect()}
+    assert got == {"South Korea": "Korea, Republic of", "India": "India"}

@@ -195,7 +195,10 @@ def data_start_rows(grid: DataFrame, max_scan_rows: int = 20, out: str = "data_s
     return scan.groupBy("path", "sheet").agg(F.min(F.when(is_date, F.col("row_idx"))).alias(out))
 
 
-def grid_to_table(grid: DataFrame, headers: DataFrame, columns: Sequence[str], header_col: str = "header_row") -> DataFrame:
+def grid_to_table(
+    grid: DataFrame, headers: DataFrame, columns: Sequence[str], header_col: str = "header_row",
+    synonyms: Mapping[str, str] | None = None,
+) -> DataFrame:
     """Rows below each sheet's header as named columns.
 
     Header names are normalised (P01) and matched to ``columns`` per sheet, so
@@ -209,6 +212,9 @@ def grid_to_table(grid: DataFrame, headers: DataFrame, columns: Sequence[str], h
     names = g.where(F.col("row_idx") == F.col("__hdr")).select(
         "path", "sheet", F.posexplode("cells").alias("pos", "raw_name")
     ).select("path", "sheet", "pos", norm_name_expr("raw_name").alias("name"))
+    if synonyms:
+        syn = F.create_map(*[F.lit(x) for kv in synonyms.items() for x in kv])
+        names = names.withColumn("name", F.coalesce(F.try_element_at(syn, F.col("name")), F.col("name")))
     body = g.where(F.col("row_idx") > F.col("__hdr")).select(
         "path", "sheet", "row_idx", F.posexplode("cells").alias("pos", "value")
     )

@@ -89,3 +89,63 @@ def missing_tables(spark: SparkSession, root: str, required: Sequence[str]) -> l
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
     """Required columns absent from a frame (schema only, no job)."""
     return [c for c in required if c not in df.columns]
+
+
+# ---------------------------------------------------------------------------
+# Education enrolment releases
+
+# Fixed conventions of the enrolment release sheets.
+ENROLMENT_SKIP_SHEETS = ("note", "content", "glossary", "source", "readme")
+ENROLMENT_HEADER_HINTS = r"year|month|nationality|sector|state"
+ENROLMENT_SYNONYMS = {
+    "ytd_enrolments": "data_ytd_enrolments",
+    "enrolments": "data_ytd_enrolments",
+    "ytd_commencements": "data_ytd_commencements",
+    "commencements": "data_ytd_commencements",
+    "providertype": "provider_type",
+}
+BASIC_COLUMNS = ("year", "month", "nationality", "state", "sector", "provider_type", "new_to_australia",
+                 "ends_this_year", "data_ytd_enrolments", "data_ytd_commencements", "total")
+DETAILED_COLUMNS = ("year", "month", "region", "nationality", "state", "provider_type", "sector",
+                    "broad_field_of_education", "narrow_field_of_education", "detailed_field_of_education",
+                    "level_of_study", "foundation", "new_to_australia", "ends_this_year", "data_ytd_enrolments",
+                    "data_ytd_commencements", "data_as_at_1st_month", "data_enrolments_for_month",
+                    "data_commencements_for_month", "total")
+BASIC_KEY = ("enrol_year", "enrol_month", "nationality", "state_code", "sector", "provider_type",
+             "new_to_australia", "ends_this_year")
+DETAILED_KEY = BASIC_KEY + ("region", "broad_field", "narrow_field", "detailed_field", "level_of_study", "foundation")
+_TARGET_NAMES = {
+    "year": "enrol_year", "month": "enrol_month", "state": "state_code",
+    "data_ytd_enrolments": "ytd_enrolments", "data_ytd_commencements": "ytd_commencements",
+    "broad_field_of_education": "broad_field", "narrow_field_of_education": "narrow_field",
+    "detailed_field_of_education": "detailed_field", "data_as_at_1st_month": "as_at_first_month",
+    "data_enrolments_for_month": "monthly_enrolments", "data_commencements_for_month": "monthly_commencements",
+}
+_NUMERIC = {"data_ytd_enrolments", "data_ytd_commencements", "data_as_at_1st_month", "data_enrolments_for_month",
+            "data_commencements_for_month", "total"}
+
+
+def parse_enrolment_grid(grid: DataFrame, grain: str = "basic") -> DataFrame:
+    """Enrolment sheets (any number, any header position) to the typed fact of
+    one grain.  Month labels map to numbers (an unknown label is NULL and the
+    row is dropped, never 0); counts are lenient numbers; the detailed
+    release's ``total`` column repeats the YTD figure and is dropped (check it
+    with :func:`tidemark.operators.quality.redundant_share` first)."""
+    from tidemark.functions.scalars import lenient_double, month_number
+    from tidemark.operators.filters import drop_empty_rows, drop_null_in, sheets_excluding
+
+    cols = BASIC_COLUMNS if grain == "basic" else DETAILED_COLUMNS
+    g = sheets_excluding(grid, ENROLMENT_SKIP_SHEETS)
+    hdr = header_rows(g, hint=ENROLMENT_HEADER_HINTS, max_scan_rows=15)
+    t = grid_to_table(g, hdr, cols, synonyms=ENROLMENT_SYNONYMS)
+    t = drop_empty_rows(t, list(cols))
+    typed = t.select(
+        F.col("year").try_cast("double").cast("int").alias("year"),
+        month_number("month").alias("month"),
+        *[lenient_double(c).cast("long").alias(c) if c in _NUMERIC else F.trim(F.col(c)).alias(c)
+          for c in cols if c not in ("year", "month")],
+    )
+    typed = drop_null_in(typed, ["year", "month"])
+    if grain != "basic":
+        typed = typed.drop("total")
+    return typed.withColumnsRenamed({k: v for k, v in _TARGET_NAMES.items() if k in typed.columns})
