@@ -893,3 +893,10 @@ def q_st2(t: Tables) -> DataFrame:
     return read_table(t.spark, root, "latest_event").select(
         "user_id", "event_type", "value", "last_ts"
     )
+
+
+@query("s09_enrolment_sheets_roundtrip")
+def q_s09(t: Tables) -> DataFrame:
+    from tidemark.plans.pipelines import parse_enrolment_grid
+
+    return parse_enrolment_grid(marts.m_enrol_sheets(t), "basic")

@@ -593,3 +593,44 @@ def m_series_wide(t: Tables) -> DataFrame:
     )
     years = [r[0] for r in base.select("year").distinct().orderBy("year").collect()]  # calendar-bounded
     return pivot_zero_fill(base, ["l_returnflag", "l_linestatus"], "year", years, "l_quantity")
+
+
+# ---------------------------------------------------------------------------
+# The enrolment fact laid out as release sheets (one sheet per year)
+
+ENROL_SHEET_HEADER = ("Year", "Month", "Nationality", "State", "Sector", "ProviderType", "New_to_Australia",
+                      "Ends_This_Year", "YTD_Enrolments", "YTD_Commencements")
+
+
+def m_enrol_sheets(t: Tables) -> DataFrame:
+    """The YTD fact as an untyped release grid: a title row, a blank row and the
+    header, then one row per fact row with the month as a three-letter label.
+    Sheets are years, so a sheet holds at most 12 x |members| rows."""
+    e = m_enrol(t)
+    sheet = F.col("enrol_year").cast("string")
+    pos = F.row_number().over(
+        Window.partitionBy("enrol_year").orderBy("enrol_month", "nationality", "sector", "state_code")
+    )
+    data = e.select(
+        F.lit("enrolments.xlsx").alias("path"),
+        sheet.alias("sheet"),
+        (pos + 2).cast("int").alias("row_idx"),
+        F.array(
+            F.col("enrol_year").cast("string"),
+            F.date_format(F.make_date("enrol_year", "enrol_month", F.lit(1)), "MMM"),
+            "nationality", "state_code", "sector", F.lit("Non Government"), F.lit("No"), F.lit("No"),
+            F.col("ytd_enrolments").cast("string"), F.col("ytd_commencements").cast("string"),
+        ).alias("cells"),
+    )
+    years = e.select("enrol_year").distinct()
+    frame = years.select(
+        F.lit("enrolments.xlsx").alias("path"),
+        F.col("enrol_year").cast("string").alias("sheet"),
+        F.explode(F.array(
+            F.struct(F.lit(0).alias("row_idx"), F.array(F.concat(F.lit("Enrolments "), F.col("enrol_year").cast("string")))
+                     .alias("cells")),
+            F.struct(F.lit(1).alias("row_idx"), F.array().cast("array<string>").alias("cells")),
+            F.struct(F.lit(2).alias("row_idx"), F.array(*[F.lit(h) for h in ENROL_SHEET_HEADER]).alias("cells")),
+        )).alias("r"),
+    ).select("path", "sheet", "r.row_idx", "r.cells")
+    return data.unionByName(frame)

@@ -1364,3 +1364,13 @@ register(
     "SELECT user_id, event_type, arg_max(value, event_id) AS value, arg_max(ts, event_id) AS last_ts "
     "FROM events GROUP BY user_id, event_type",
 )
+
+register(
+    "s09_enrolment_sheets_roundtrip",
+    with_(M_ENROL)
+    + """
+SELECT enrol_year, enrol_month, nationality, state_code, sector, 'Non Government' AS provider_type,
+       'No' AS new_to_australia, 'No' AS ends_this_year, ytd_enrolments, ytd_commencements,
+       CAST(NULL AS BIGINT) AS total
+FROM m_enrol""",
+)
