@@ -1193,7 +1193,7 @@ SELECT page_id, link_pos,
        regexp_matches(CASE WHEN starts_with(href, '/') THEN base || href ELSE href END,
                       '^https://[^/]+\.example\.(com|org)/') AS is_allowed
 FROM (SELECT page_id, regexp_extract(url, '^(https?://[^/]+)', 1) AS base,
-             unnest(l) AS href, generate_subscripts(l, 1) - 1 AS link_pos
+             unnest(l) AS href, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS link_pos
       FROM (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS l FROM pages) a) b""",
 )
 
