@@ -900,3 +900,31 @@ def q_s09(t: Tables) -> DataFrame:
     from tidemark.plans.pipelines import parse_enrolment_grid
 
     return parse_enrolment_grid(marts.m_enrol_sheets(t), "basic")
+
+
+# ---------------------------------------------------------------------------
+# Load audit
+
+from tidemark.operators import audit  # noqa: E402
+
+
+@query("l01_audit_runs_folded")
+def q_l01(t: Tables) -> DataFrame:
+    r = audit.fold_runs(marts.m_audit(t))
+    return r.select("run_id", "source", "table_name", "status", "started_at", "completed_at", "rows_inserted",
+                    "error_message")
+
+
+@query("a18_last_etl_updates")
+def q_a18(t: Tables) -> DataFrame:
+    return audit.last_completed(audit.fold_runs(marts.m_audit(t)))
+
+
+@query("t03_recent_failures")
+def q_t03(t: Tables) -> DataFrame:
+    return audit.recent_failures(audit.fold_runs(marts.m_audit(t)), limit=10)
+
+
+@query("l03_freshness_banner")
+def q_l03(t: Tables) -> DataFrame:
+    return audit.freshness(audit.fold_runs(marts.m_audit(t)))

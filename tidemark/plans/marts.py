@@ -634,3 +634,39 @@ def m_enrol_sheets(t: Tables) -> DataFrame:
         )).alias("r"),
     ).select("path", "sheet", "r.row_idx", "r.cells")
     return data.unionByName(frame)
+
+
+# ---------------------------------------------------------------------------
+# Load audit events
+
+
+def m_audit(t: Tables) -> DataFrame:
+    """Audit event log: each event is one load run of the table named after its
+    type - a 'running' event at its time, then a terminal event ``value``
+    seconds later ('failed' for error events, else 'completed')."""
+    ev = t.read("events", "event_id", "ts", "event_type", "value", "props")
+    secs = F.floor("value").cast("int")
+    end = F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
+    failed = F.col("event_type") == "error"
+    base = ev.select(
+        F.concat(F.lit("run-"), F.col("event_id").cast("string")).alias("run_id"),
+        F.col("event_type").alias("source"),
+        F.concat(F.lit("fact_"), F.col("event_type")).alias("table_name"),
+        "ts", end.alias("end_ts"), failed.alias("failed"), secs.alias("secs"), "props",
+    )
+    zero = F.lit(0).cast("long")
+    running = base.select(
+        "run_id", "source", "table_name", F.lit("running").alias("status"), F.col("ts").alias("event_at"),
+        F.col("ts").alias("started_at"), F.lit(None).cast("timestamp_ntz").alias("completed_at"),
+        zero.alias("rows_inserted"), zero.alias("rows_updated"), zero.alias("rows_unchanged"),
+        F.lit(None).cast("string").alias("error_message"),
+    )
+    final = base.select(
+        "run_id", "source", "table_name",
+        F.when(F.col("failed"), F.lit("failed")).otherwise(F.lit("completed")).alias("status"),
+        F.col("end_ts").alias("event_at"), F.lit(None).cast("timestamp_ntz").alias("started_at"),
+        F.when(~F.col("failed"), F.col("end_ts")).alias("completed_at"),
+        F.col("secs").cast("long").alias("rows_inserted"), zero.alias("rows_updated"), zero.alias("rows_unchanged"),
+        F.when(F.col("failed"), F.concat(F.lit("load failed: "), F.col("props"))).alias("error_message"),
+    )
+    return running.unionByName(final)

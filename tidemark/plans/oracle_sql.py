@@ -1374,3 +1374,37 @@ SELECT enrol_year, enrol_month, nationality, state_code, sector, 'Non Government
        CAST(NULL AS BIGINT) AS total
 FROM m_enrol""",
 )
+
+
+# ---------------------------------------------------------------------------
+# Load audit (L01, L03, A18, T03): runs folded directly from the events
+
+RUNS = """
+runs AS (
+  SELECT 'run-' || CAST(event_id AS VARCHAR) AS run_id, event_type AS source, 'fact_' || event_type AS table_name,
+         CASE WHEN event_type = 'error' THEN 'failed' ELSE 'completed' END AS status,
+         ts AS started_at,
+         CASE WHEN event_type <> 'error' THEN ts + to_seconds(CAST(floor(value) AS BIGINT)) END AS completed_at,
+         CAST(floor(value) AS BIGINT) AS rows_inserted,
+         CASE WHEN event_type = 'error' THEN 'load failed: ' || props END AS error_message
+  FROM events)"""
+
+register("l01_audit_runs_folded", with_(RUNS) + "SELECT * FROM runs")
+register(
+    "a18_last_etl_updates",
+    with_(RUNS)
+    + "SELECT source, table_name, max(completed_at) AS last_completed FROM runs WHERE status = 'completed' "
+    "GROUP BY source, table_name ORDER BY source, table_name",
+)
+register(
+    "t03_recent_failures",
+    with_(RUNS)
+    + "SELECT run_id, source, table_name, started_at, error_message FROM runs WHERE status = 'failed' "
+    "ORDER BY started_at DESC, run_id LIMIT 10",
+)
+register(
+    "l03_freshness_banner",
+    with_(RUNS)
+    + "SELECT max(completed_at) AS latest_completed, count(DISTINCT (source, table_name)) AS tables_tracked "
+    "FROM runs WHERE status = 'completed'",
+)
