@@ -7,14 +7,33 @@ are fixed per query so that the SQL oracle states the same question.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import scalars as X
+from tidemark.operators import audit
 from tidemark.operators import enrolment as en
+from tidemark.operators import filters as flt
+from tidemark.operators import geo
+from tidemark.operators import joins
+from tidemark.operators import macro
+from tidemark.operators import occupation as occ
+from tidemark.operators import providers as prov
+from tidemark.operators import quality as qa
+from tidemark.operators import reshape
+from tidemark.operators import scoring
+from tidemark.operators import shape
+from tidemark.operators.windows import forward_fill
+from tidemark.operators.windows import percentile_rank
 from tidemark.plans import marts
+from tidemark.schema import state_seed_frame
+from tidemark.session import checkpoint_dir
+from tidemark.sources.tables import SCHEMAS
 from tidemark.sources.tables import Tables
+from tidemark.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -137,8 +156,6 @@ def q_all_nationalities(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Macro series and market drivers
 
-from tidemark.operators import macro  # noqa: E402
-
 
 @query("a07_yearly_exchange_rate")
 def q_fx_yearly(t: Tables) -> DataFrame:
@@ -246,10 +263,6 @@ def q_b10(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Scoring and rules
 
-from tidemark.functions import scalars as X  # noqa: E402
-from tidemark.operators import scoring  # noqa: E402
-from tidemark.operators.windows import percentile_rank  # noqa: E402
-
 
 def _score_inputs(t: Tables) -> DataFrame:
     return scoring.opportunity_inputs(marts.m_enrol(t), marts.m_skilled_cob(t))
@@ -322,9 +335,6 @@ def q_x20(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Occupation marts
 
-from tidemark.operators import occupation as occ  # noqa: E402
-from tidemark.operators import reshape  # noqa: E402
-
 
 @query("b08_occupation_view_exact")
 def q_b08_exact(t: Tables) -> DataFrame:
@@ -384,11 +394,6 @@ def q_r10(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Provider landscape and country aliases
 
-from tidemark.operators import geo  # noqa: E402
-from tidemark.operators import joins  # noqa: E402
-from tidemark.operators import providers as prov  # noqa: E402
-from tidemark.schema import state_seed_frame  # noqa: E402
-
 
 @query("a10_providers_by_state")
 def q_a10_prov(t: Tables) -> DataFrame:
@@ -499,7 +504,6 @@ def q_u07(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Quality checks and reports
 
-from tidemark.operators import quality as qa  # noqa: E402
 
 BASIC_KEYS = [en.YEAR, en.MONTH, "nationality", "sector", "state_code"]
 DETAILED_FULL_KEYS = [en.YEAR, en.MONTH, *marts.DETAILED_KEYS]
@@ -573,9 +577,6 @@ def q_w08(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Sheet grid, reshape and scalar functions
 
-from tidemark.operators import shape  # noqa: E402
-from tidemark.operators.windows import forward_fill  # noqa: E402
-
 
 @query("p02_header_detection")
 def q_p02(t: Tables) -> DataFrame:
@@ -692,8 +693,6 @@ def q_b12(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Aggregate profiles, filters, sorts and copy text
 
-from tidemark.operators import filters as flt  # noqa: E402
-
 
 @query("a12_visa_volume_by_country")
 def q_a12(t: Tables) -> DataFrame:
@@ -860,12 +859,6 @@ def q_b09(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Streaming (run to completion with AvailableNow over the landed events table)
 
-import uuid  # noqa: E402
-
-from tidemark.session import checkpoint_dir  # noqa: E402
-from tidemark.sources.tables import SCHEMAS  # noqa: E402
-from tidemark.streaming import ingest  # noqa: E402
-
 
 def _events_stream(t: Tables) -> DataFrame:
     return ingest.landing_stream(t.spark, t.root, SCHEMAS["events"], pathGlobFilter="events.parquet")
@@ -905,8 +898,6 @@ def q_s09(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Load audit
 
-from tidemark.operators import audit  # noqa: E402
-
 
 @query("l01_audit_runs_folded")
 def q_l01(t: Tables) -> DataFrame:
