@@ -1,4 +1,4 @@
-"""Filters, manifests, run helpers, audit fold and source pipelines."""
+"""Filters, manifests, run helpers, audit fold and source loaders."""
 
 import datetime as dt
 import hashlib
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import filters as flt
 from tidemark.operators import runs
 from tidemark.operators.audit import AuditRun, fold_runs, freshness, last_completed, read_audit, recent_failures
-from tidemark.plans import pipelines
+from tidemark.plans import loaders
 from tidemark.sources import manifest, sinks
 
 
@@ -100,7 +100,7 @@ def test_audit_fold(spark, tmp_root):
     assert freshness(runs_df).first().tables_tracked == 1
 
 
-def test_exchange_rate_pipeline_last_file_wins(spark, tmp_root):
+def test_exchange_rate_loader_last_file_wins(spark, tmp_root):
     land = os.path.join(tmp_root, "rba")
     os.makedirs(land)
     head = "Title,AUD/USD\nUnits,USD\nFrequency,Daily\nSeries ID,FXRUSD\n"
@@ -109,16 +109,16 @@ def test_exchange_rate_pipeline_last_file_wins(spark, tmp_root):
     with open(os.path.join(land, "f11_2024.csv"), "w") as fh:
         fh.write(head + "03-Jan-2024,0.6750\n04-Jan-2024,0.6600\n")
     root = os.path.join(tmp_root, "pub")
-    assert pipelines.load_exchange_rates(spark, land, root, dry_run=True) == 3
+    assert loaders.load_exchange_rates(spark, land, root, dry_run=True) == 3
     assert sinks.current_version(spark, root, "fact_exchange_rate") is None
-    pipelines.load_exchange_rates(spark, land, root)
+    loaders.load_exchange_rates(spark, land, root)
     got = {str(r.rate_date): r.value for r in sinks.read_table(spark, root, "fact_exchange_rate").collect()}
     assert got == {"2024-01-02": 0.68, "2024-01-03": 0.675, "2024-01-04": 0.66}
-    pipelines.load_exchange_rates(spark, land, root)  # rerun: idempotent
+    loaders.load_exchange_rates(spark, land, root)  # rerun: idempotent
     assert sinks.read_table(spark, root, "fact_exchange_rate").count() == 3
-    counts = {r.table_name: r.rows for r in pipelines.table_counts(spark, root, ["fact_exchange_rate", "x"]).collect()}
+    counts = {r.table_name: r.rows for r in loaders.table_counts(spark, root, ["fact_exchange_rate", "x"]).collect()}
     assert counts == {"fact_exchange_rate": 3, "x": 0}
-    assert pipelines.missing_tables(spark, root, ["fact_exchange_rate", "fact_cpi"]) == ["fact_cpi"]
+    assert loaders.missing_tables(spark, root, ["fact_exchange_rate", "fact_cpi"]) == ["fact_cpi"]
 
 
 def test_two_grains_never_unioned(spark, tmp_root):
@@ -126,6 +126,6 @@ def test_two_grains_never_unioned(spark, tmp_root):
     detailed = spark.createDataFrame([(2024, 6, "China", "NSW", "IT", 60), (2024, 6, "China", "NSW", "Law", 40)],
                                      "y INT, m INT, nat STRING, st STRING, field STRING, ytd BIGINT")
     with pytest.raises(ValueError):
-        pipelines.load_enrolment_grains(spark, basic, detailed, tmp_root, ["y", "m", "nat", "st"], ["y", "m", "nat", "st"])
-    assert pipelines.load_enrolment_grains(
+        loaders.load_enrolment_grains(spark, basic, detailed, tmp_root, ["y", "m", "nat", "st"], ["y", "m", "nat", "st"])
+    assert loaders.load_enrolment_grains(
         spark, basic, detailed, tmp_root, ["y", "m", "nat", "st"], ["y", "m", "nat", "st", "field"]) == (1, 2)

@@ -174,7 +174,7 @@ def test_detailed_enrolment_sheet_keeps_every_dimension(spark, tmp_root):
     import pytest
 
     from tidemark.operators.quality import redundant_share
-    from tidemark.plans import pipelines
+    from tidemark.plans import loaders
     from tidemark.sources import sinks
 
     header = ["Year", "Month", "Region", "Nationality", "State", "ProviderType", "Sector",
@@ -196,15 +196,15 @@ def test_detailed_enrolment_sheet_keeps_every_dimension(spark, tmp_root):
     _workbook(os.path.join(d, "detailed.xlsx"), {"Notes": [["About this release"]],
                                                   "Data": [["Detailed enrolments"], [], header, *rows]})
     grid = xlsx.read_grid(spark, d)
-    raw = pipelines.parse_enrolment_grid(grid, "detailed")
+    raw = loaders.parse_enrolment_grid(grid, "detailed")
     out = raw.collect()
     assert len(out) == 3 and all(r.enrol_month == 12 for r in out)
     assert "provider_type" in raw.columns and "total" not in raw.columns
-    with_total = pipelines.parse_enrolment_grid(grid, "basic")
+    with_total = loaders.parse_enrolment_grid(grid, "basic")
     assert redundant_share(with_total, "total", "ytd_enrolments").first().same_pct == 100.0
     with pytest.raises(sinks.LoadError):
-        sinks.replace_table(spark, raw, os.path.join(tmp_root, "pub"), "basic", list(pipelines.BASIC_KEY))
-    ok = sinks.replace_table(spark, raw, os.path.join(tmp_root, "pub"), "detailed", list(pipelines.DETAILED_KEY))
+        sinks.replace_table(spark, raw, os.path.join(tmp_root, "pub"), "basic", list(loaders.BASIC_KEY))
+    ok = sinks.replace_table(spark, raw, os.path.join(tmp_root, "pub"), "detailed", list(loaders.DETAILED_KEY))
     assert ok.rows_written == 3
 
 

@@ -890,7 +890,7 @@ def q_st2(t: Tables) -> DataFrame:
 
 @query("s09_enrolment_sheets_roundtrip")
 def q_s09(t: Tables) -> DataFrame:
-    from tidemark.plans.pipelines import parse_enrolment_grid
+    from tidemark.plans.loaders import parse_enrolment_grid
 
     return parse_enrolment_grid(marts.m_enrol_sheets(t), "basic")
 

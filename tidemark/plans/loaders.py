@@ -1,4 +1,4 @@
-"""Source pipelines (L05) composed from the operators: read the landed files,
+"""Source loaders (L05) composed from the operators: read the landed files,
 tidy them into the target fact, publish.  Each returns the rows it loaded so
 :func:`tidemark.operators.runs.run_sources` can isolate and summarise them."""
 
