@@ -201,27 +201,33 @@ def grid_to_table(
 ) -> DataFrame:
     """Rows below each sheet's header as named columns.
 
-    Header names are normalised (P01) and matched to ``columns`` per sheet, so
-    sheets whose columns sit in different positions still line up.  Long form
-    (one row per cell) avoids collecting the header names to the driver; the
-    wanted columns are a fixed list, so the result schema is known up front.
-    The header table holds one row per sheet and is joined by equality.
+    Header names are normalised (P01, plus optional synonyms) and matched to
+    ``columns`` per sheet, so sheets whose columns sit in different positions
+    still line up; the first header cell with a wanted name wins.  Each sheet's
+    header row becomes one row of normalised names; every data row joins its
+    sheet's names (an equi-join on (path, sheet) against one row per sheet) and
+    picks its cells by position.  No cell is exploded into its own row and
+    nothing is regrouped, so the cost is one pass over the grid; the result
+    schema is the fixed ``columns`` list.
     """
     h = headers.select("path", "sheet", F.col(header_col).alias("__hdr"))
-    g = grid.join(h, ["path", "sheet"])
-    names = g.where(F.col("row_idx") == F.col("__hdr")).select(
-        "path", "sheet", F.posexplode("cells").alias("pos", "raw_name")
-    ).select("path", "sheet", "pos", norm_name_expr("raw_name").alias("name"))
-    if synonyms:
-        syn = F.create_map(*[F.lit(x) for kv in synonyms.items() for x in kv])
-        names = names.withColumn("name", F.coalesce(F.try_element_at(syn, F.col("name")), F.col("name")))
-    body = g.where(F.col("row_idx") > F.col("__hdr")).select(
-        "path", "sheet", "row_idx", F.posexplode("cells").alias("pos", "value")
-    )
-    cells = body.join(names, ["path", "sheet", "pos"])
-    return cells.groupBy("path", "sheet", "row_idx").agg(
-        *[F.max(F.when(F.col("name") == F.lit(c), F.col("value"))).alias(c) for c in columns]
+    syn = F.create_map(*[F.lit(x) for kv in (synonyms or {}).items() for x in kv]) if synonyms else None
+
+    def canon(c: Column) -> Column:
+        n = norm_name_expr(c)
+        return F.coalesce(F.try_element_at(syn, n), n) if syn is not None else n
+
+    names = (
+        grid.join(h, ["path", "sheet"])
+        .where(F.col("row_idx") == F.col("__hdr"))
+        .select("path", "sheet", "__hdr", F.transform(F.col("cells"), canon).alias("__names"))
     )
+    body = grid.join(names, ["path", "sheet"]).where(F.col("row_idx") > F.col("__hdr"))
+    picked = []
+    for c in columns:
+        pos = F.array_position(F.col("__names"), F.lit(c)).cast("int")
+        picked.append(F.when(pos > 0, F.try_element_at(F.col("cells"), pos)).alias(c))
+    return body.select("path", "sheet", "row_idx", *picked)
 
 
 FILENAME_PATTERN = r"(\d{2})_(\d{4})_([^_]+)_([^_]+)_(.+)\.csv$"
