@@ -31,6 +31,27 @@ BASE_CONF: dict[str, str] = {
 }
 
 
+def cluster_conf(total_cores: int, scan_partition_mb: int = 256, shuffle_partition_mb: int = 128) -> dict[str, str]:
+    """Settings for a large cluster (for example 1000 executors reading 100 TB).
+
+    Scans split into ``scan_partition_mb`` pieces (100 TB is about 400k tasks
+    at 256 MB).  Shuffles start with three partitions per core and AQE merges
+    them towards ``shuffle_partition_mb`` each, so a small stage does not run
+    thousands of empty tasks and a large one keeps every partition within
+    executor memory.  A partition over five times the median (and over 256 MB)
+    is split by the skew-join rule.
+    """
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{scan_partition_mb}m",
+        "spark.sql.shuffle.partitions": str(max(200, 3 * total_cores)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{shuffle_partition_mb}m",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "tidemark",
