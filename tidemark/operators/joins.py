@@ -25,7 +25,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan
     early); a larger side is returned unchanged so the join shuffles instead.
     """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    try:
+        app = df.sparkSession.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no local context
+        app = id(df.sparkSession)
+    key = (app, df.semanticHash(), max_rows)
     fits = _BOUND_CHECKS.get(key)
     if fits is None:
         fits = df.limit(max_rows + 1).count() <= max_rows
