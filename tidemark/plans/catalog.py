@@ -919,3 +919,17 @@ def q_t03(t: Tables) -> DataFrame:
 @query("l03_freshness_banner")
 def q_l03(t: Tables) -> DataFrame:
     return audit.freshness(audit.fold_runs(marts.m_audit(t)))
+
+
+@query("s10_pivot_cache_decode")
+def q_s10(t: Tables) -> DataFrame:
+    from tidemark.sources.xlsx import decode_pivot_records
+
+    fields, records = marts.m_enrol_pivot_cache(t)
+    long = decode_pivot_records(fields, records)
+    wide = long.groupBy("record_idx").agg(
+        *[F.max(F.when(F.col("field_name") == n, F.col("value"))).alias(n) for n in ("Nationality", "Sector", "YTD")]
+    )
+    return wide.groupBy(F.col("Nationality").alias("nationality"), F.col("Sector").alias("sector")).agg(
+        F.count(F.lit(1)).alias("n_records"), F.sum(F.col("YTD").cast("long")).alias("ytd_total")
+    )

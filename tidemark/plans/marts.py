@@ -670,3 +670,45 @@ def m_audit(t: Tables) -> DataFrame:
         F.when(F.col("failed"), F.concat(F.lit("load failed: "), F.col("props"))).alias("error_message"),
     )
     return running.unionByName(final)
+
+
+# ---------------------------------------------------------------------------
+# The enrolment fact as a dictionary-encoded pivot cache
+
+
+def m_enrol_pivot_cache(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The YTD fact encoded the way a spreadsheet pivot cache stores it: a field
+    list with shared items (distinct nationalities and sectors, indexed in
+    sorted order) and records whose text cells are item indices (kind x) and
+    whose counts are numbers (kind n).  Returns (fields, records) in the shapes
+    :func:`tidemark.sources.xlsx.read_pivot_cache` produces."""
+    e = m_enrol(t)
+    path = F.lit("enrolments_pivot.xlsx")
+
+    def items(col: str, field_idx: int) -> DataFrame:
+        d = e.select(col).distinct()
+        idx = F.dense_rank().over(Window.orderBy(col)) - 1  # one row per distinct member (bounded by the dimension)
+        return d.select(path.alias("path"), F.lit(field_idx).alias("field_idx"), F.lit(col.title()).alias("field_name"),
+                        idx.cast("int").alias("item_idx"), F.col(col).alias("item_value"))
+
+    nat, sec = items("nationality", 0), items("sector", 1)
+    ytd_field = t.spark.range(1).select(path.alias("path"), F.lit(2).alias("field_idx"), F.lit("YTD").alias("field_name"),
+                                        F.lit(None).cast("int").alias("item_idx"),
+                                        F.lit(None).cast("string").alias("item_value"))
+    fields = nat.unionByName(sec).unionByName(ytd_field)
+    rid = F.xxhash64("enrol_year", "enrol_month", "nationality", "sector", "state_code")
+    enc = (
+        e.join(nat.select(F.col("item_value").alias("nationality"), F.col("item_idx").alias("n_idx")), "nationality")
+        .join(sec.select(F.col("item_value").alias("sector"), F.col("item_idx").alias("s_idx")), "sector")
+    )
+    records = enc.select(
+        path.alias("path"),
+        rid.alias("record_idx"),
+        F.explode(F.array(
+            F.struct(F.lit(0).alias("field_idx"), F.lit("x").alias("kind"), F.col("n_idx").cast("string").alias("value")),
+            F.struct(F.lit(1).alias("field_idx"), F.lit("x").alias("kind"), F.col("s_idx").cast("string").alias("value")),
+            F.struct(F.lit(2).alias("field_idx"), F.lit("n").alias("kind"),
+                     F.col("ytd_enrolments").cast("string").alias("value")),
+        )).alias("c"),
+    ).select("path", "record_idx", "c.field_idx", "c.kind", "c.value")
+    return fields, records

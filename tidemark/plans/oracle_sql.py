@@ -1408,3 +1408,10 @@ register(
     + "SELECT max(completed_at) AS latest_completed, count(DISTINCT (source, table_name)) AS tables_tracked "
     "FROM runs WHERE status = 'completed'",
 )
+
+register(
+    "s10_pivot_cache_decode",
+    with_(M_ENROL)
+    + "SELECT nationality, sector, count(*) AS n_records, CAST(sum(ytd_enrolments) AS BIGINT) AS ytd_total "
+    "FROM m_enrol GROUP BY nationality, sector",
+)

@@ -105,15 +105,32 @@ def parse_workbook(path: str, content: bytes) -> Iterator[tuple[str, str, int, l
             el.clear()
 
 
+# Rows handed to Arrow per output batch: a large workbook is emitted in pieces,
+# so a task never holds all of its rows at once.
+CHUNK_ROWS = 100_000
+
+
+def _chunked(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
+    buf: list[tuple] = []
+    for row in rows:
+        buf.append(row)
+        if len(buf) >= CHUNK_ROWS:
+            yield pd.DataFrame(buf, columns=columns)
+            buf = []
+    if buf:
+        yield pd.DataFrame(buf, columns=columns)
+
+
 def _grid_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows = []
-        for path, content in zip(pdf["path"], pdf["content"]):
-            try:
-                rows.extend(parse_workbook(path, bytes(content)))
-            except (zipfile.BadZipFile, KeyError, ET.ParseError):
-                continue  # not a workbook: reported by workbook_checks
-        yield pd.DataFrame(rows, columns=["path", "sheet", "row_idx", "cells"])
+    def rows():
+        for pdf in batches:
+            for path, content in zip(pdf["path"], pdf["content"]):
+                try:
+                    yield from parse_workbook(path, bytes(content))
+                except (zipfile.BadZipFile, KeyError, ET.ParseError):
+                    continue  # not a workbook: reported by workbook_checks
+
+    yield from _chunked(rows(), ["path", "sheet", "row_idx", "cells"])
 
 
 def read_grid(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFrame:
@@ -128,13 +145,14 @@ def csv_grid(spark: SparkSession, path: str, glob: str = "*.csv", encoding: str
     import csv
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for p, content in zip(pdf["path"], pdf["content"]):
-                text = decode_with_fallback(bytes(content), encoding)
-                for i, rec in enumerate(csv.reader(io.StringIO(text))):
-                    rows.append((p, "", i, [c if c != "" else None for c in rec]))
-            yield pd.DataFrame(rows, columns=["path", "sheet", "row_idx", "cells"])
+        def rows():
+            for pdf in batches:
+                for p, content in zip(pdf["path"], pdf["content"]):
+                    text = decode_with_fallback(bytes(content), encoding)
+                    for i, rec in enumerate(csv.reader(io.StringIO(text))):
+                        yield p, "", i, [c if c != "" else None for c in rec]
+
+        yield from _chunked(rows(), ["path", "sheet", "row_idx", "cells"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
     return files.mapInPandas(parse, GRID_SCHEMA)
@@ -172,17 +190,19 @@ def parse_pivot_cache(path: str, content: bytes):
                 for it in si:
                     items.append(it.get("v"))
             fields.append(("field", fi, name, items))
-    records = []
-    if recs:
+
+    def records():
+        if not recs:
+            return
         ri = 0
         for _, el in ET.iterparse(z.open(recs[0])):
             if el.tag == NS + "r":
                 for fi, cell in enumerate(el):
-                    kind = cell.tag.replace(NS, "")
-                    records.append((ri, fi, kind, cell.get("v")))
+                    yield ri, fi, cell.tag.replace(NS, ""), cell.get("v")
                 ri += 1
                 el.clear()
-    return fields, records
+
+    return fields, records()
 
 
 def read_pivot_cache(spark: SparkSession, path: str, glob: str = "*.xlsx") -> tuple[DataFrame, DataFrame]:
@@ -205,15 +225,17 @@ def read_pivot_cache(spark: SparkSession, path: str, glob: str = "*.xlsx") -> tu
             yield pd.DataFrame(rows, columns=["path", "field_idx", "field_name", "item_idx", "item_value"])
 
     def records_fn(batches):
-        for pdf in batches:
-            rows = []
-            for p, c in zip(pdf["path"], pdf["content"]):
-                try:
-                    _, recs = parse_pivot_cache(p, bytes(c))
-                except (zipfile.BadZipFile, KeyError, ET.ParseError):
-                    continue
-                rows.extend((p, ri, fi, k, v) for ri, fi, k, v in recs)
-            yield pd.DataFrame(rows, columns=["path", "record_idx", "field_idx", "kind", "value"])
+        def rows():
+            for pdf in batches:
+                for p, c in zip(pdf["path"], pdf["content"]):
+                    try:
+                        _, recs = parse_pivot_cache(p, bytes(c))
+                        for ri, fi, k, v in recs:
+                            yield p, ri, fi, k, v
+                    except (zipfile.BadZipFile, KeyError, ET.ParseError):
+                        continue
+
+        yield from _chunked(rows(), ["path", "record_idx", "field_idx", "kind", "value"])
 
     return files.mapInPandas(fields_fn, PIVOT_FIELD_SCHEMA), files.mapInPandas(records_fn, PIVOT_RECORD_SCHEMA)
 
@@ -225,17 +247,19 @@ def decode_pivot_records(fields: DataFrame, records: DataFrame) -> DataFrame:
     implicit (a record cell without a field is dropped, a missing cell is
     absent)."""
     items = fields.where(F.col("item_idx").isNotNull()).select(
-        "path", "field_idx", "item_idx", "item_value"
+        F.col("path").alias("__ipath"), F.col("field_idx").alias("__ifield"), F.col("item_idx").alias("__iitem"),
+        F.col("item_value").alias("__ivalue"),
     )
     names = fields.select("path", "field_idx", "field_name").distinct()
     r = records.withColumn("__item", F.when(F.col("kind") == "x", F.col("value").try_cast("int")))
     j = r.join(
         items,
-        (r.path == items.path) & (r.field_idx == items.field_idx) & (r.__item == items.item_idx),
+        (F.col("path") == F.col("__ipath")) & (F.col("field_idx") == F.col("__ifield"))
+        & (F.col("__item") == F.col("__iitem")),
         "left",
-    ).select(r.path, r.record_idx, r.field_idx, r.kind, r.value, items.item_value)
+    )
     val = (
-        F.when(F.col("kind") == "x", F.col("item_value"))
+        F.when(F.col("kind") == "x", F.col("__ivalue"))
         .when(F.col("kind") == "m", F.lit(None).cast("string"))
         .otherwise(F.col("value"))
     )
