@@ -88,24 +88,27 @@ def q_by_country_latest(t: Tables) -> DataFrame:
 
 @query("a01_enrolment_by_country_at")
 def q_by_country_at(t: Tables) -> DataFrame:
-    return en.snapshot_totals(marts.m_enrol(t), 2000, 8, by=["nationality"])
+    return en.snapshot_totals(marts.m_enrol(t, years=(2000, 2000)), 2000, 8, by=["nationality"])
 
 
 @query("a02_sector_breakdown_at")
 def q_sector_at(t: Tables) -> DataFrame:
-    return en.snapshot_totals(marts.m_enrol(t), 1999, 6, by=["sector"])
+    return en.snapshot_totals(marts.m_enrol(t, years=(1999, 1999)), 1999, 6, by=["sector"])
 
 
 @query("a02_sector_breakdown_for_nationality")
 def q_sector_for_nat(t: Tables) -> DataFrame:
-    return en.snapshot_totals(marts.m_enrol(t), 1999, 6, by=["sector"], where=F.col("nationality") == "NATION_3")
+    return en.snapshot_totals(
+        marts.m_enrol(t, years=(1999, 1999)), 1999, 6, by=["sector"], where=F.col("nationality") == "NATION_3"
+    )
 
 
 @query("a03_country_sector_comparison")
 def q_country_sector(t: Tables) -> DataFrame:
     members = ("NATION_1", "NATION_4", "NATION_9")
     return en.snapshot_totals(
-        marts.m_enrol(t), 2000, 12, by=["nationality", "sector"], where=F.col("nationality").isin(*members)
+        marts.m_enrol(t, years=(2000, 2000)), 2000, 12, by=["nationality", "sector"],
+        where=F.col("nationality").isin(*members),
     )
 
 

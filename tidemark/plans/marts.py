@@ -26,11 +26,22 @@ def customer_dims(t: Tables) -> DataFrame:
     )
 
 
-def enrol_monthly(t: Tables) -> DataFrame:
+def year_range(column: str, years: tuple[int, int]) -> F.Column:
+    """``column`` within calendar years [first, last], as a plain range on the
+    raw timestamp so the parquet scan receives it as a pushed filter."""
+    lo = F.lit(f"{years[0]:04d}-01-01 00:00:00").cast("timestamp_ntz")
+    hi = F.lit(f"{years[1] + 1:04d}-01-01 00:00:00").cast("timestamp_ntz")
+    return (F.col(column) >= lo) & (F.col(column) < hi)
+
+
+def enrol_monthly(t: Tables, years: tuple[int, int] | None = None) -> DataFrame:
     """Monthly flows: orders per (year, month, nationality, sector, state); commencements
     are orders with status F.  One scan of orders, one shuffle join on customer
-    key, aggregation combined map-side."""
+    key, aggregation combined map-side.  ``years`` restricts the scan to those
+    calendar years (a snapshot never needs other years: YTD restarts each year)."""
     orders = t.read("orders", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    if years is not None:
+        orders = orders.where(year_range("o_orderdate", years))
     joined = orders.join(customer_dims(t), orders.o_custkey == F.col("c_custkey"), "inner")
     return joined.groupBy(
         F.year("o_orderdate").alias("y"),
@@ -44,10 +55,11 @@ def enrol_monthly(t: Tables) -> DataFrame:
     )
 
 
-def m_enrol(t: Tables) -> DataFrame:
-    """YTD-cumulative enrolment fact (grain: year, month, nationality, sector, state_code)."""
+def m_enrol(t: Tables, years: tuple[int, int] | None = None) -> DataFrame:
+    """YTD-cumulative enrolment fact (grain: year, month, nationality, sector, state_code);
+    ``years`` builds only those calendar years."""
     return accumulate_ytd(
-        enrol_monthly(t),
+        enrol_monthly(t, years),
         "y",
         "m",
         ENROL_KEYS,
