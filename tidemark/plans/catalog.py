@@ -82,7 +82,7 @@ def q_yearly_snapshot_filtered(t: Tables) -> DataFrame:
 
 @query("a01_enrolment_by_country_at_latest")
 def q_by_country_latest(t: Tables) -> DataFrame:
-    res = en.snapshot_at_latest(marts.m_enrol(t), by=["nationality"])
+    res = en.snapshot_at_latest(marts.m_enrol_recent(t), by=["nationality"])
     return res.orderBy(F.col("total_enrolments").desc(), "nationality")
 
 
@@ -128,7 +128,7 @@ def q_country_trend(t: Tables) -> DataFrame:
 
 @query("j02_country_growth")
 def q_country_growth(t: Tables) -> DataFrame:
-    return en.country_growth_latest(marts.m_enrol(t))
+    return en.country_growth_latest(marts.m_enrol_recent(t))
 
 
 GROWTH_MIN_BASE = 40
@@ -136,19 +136,19 @@ GROWTH_MIN_BASE = 40
 
 @query("w05_top_growth")
 def q_top_growth(t: Tables) -> DataFrame:
-    top, _ = en.growth_movers(en.country_growth_latest(marts.m_enrol(t)), min_previous=GROWTH_MIN_BASE)
+    top, _ = en.growth_movers(en.country_growth_latest(marts.m_enrol_recent(t)), min_previous=GROWTH_MIN_BASE)
     return top.withColumn("growth_pct", F.round("growth_pct", 6))
 
 
 @query("w05_top_decline")
 def q_top_decline(t: Tables) -> DataFrame:
-    _, bottom = en.growth_movers(en.country_growth_latest(marts.m_enrol(t)), min_previous=GROWTH_MIN_BASE)
+    _, bottom = en.growth_movers(en.country_growth_latest(marts.m_enrol_recent(t)), min_previous=GROWTH_MIN_BASE)
     return bottom.withColumn("growth_pct", F.round("growth_pct", 6))
 
 
 @query("b06_kpi_block")
 def q_kpi(t: Tables) -> DataFrame:
-    return en.kpi_block(marts.m_enrol(t))
+    return en.kpi_block(marts.m_enrol_recent(t))
 
 
 @query("a13_all_nationalities")
@@ -268,7 +268,7 @@ def q_b10(t: Tables) -> DataFrame:
 
 
 def _score_inputs(t: Tables) -> DataFrame:
-    return scoring.opportunity_inputs(marts.m_enrol(t), marts.m_skilled_cob(t))
+    return scoring.opportunity_inputs(marts.m_enrol_recent(t), marts.m_skilled_cob(t))
 
 
 @query("b01_opportunity_score_inputs")
@@ -292,7 +292,7 @@ def q_b02(t: Tables) -> DataFrame:
 
 @query("w01_percentile_rank_growth")
 def q_w01(t: Tables) -> DataFrame:
-    g = en.country_growth_latest(marts.m_enrol(t)).withColumn(
+    g = en.country_growth_latest(marts.m_enrol_recent(t)).withColumn(
         "growth_pct", X.pct_change("current_total", "previous_total")
     )
     r = percentile_rank(g, "previous_total", "prev_rank")
@@ -320,12 +320,12 @@ def q_b03(t: Tables) -> DataFrame:
 
 @query("b04_sector_yoy")
 def q_b04(t: Tables) -> DataFrame:
-    return scoring.sector_yoy(marts.m_enrol(t))
+    return scoring.sector_yoy(marts.m_enrol_recent(t))
 
 
 @query("x20_formatted_kpis")
 def q_x20(t: Tables) -> DataFrame:
-    k = en.kpi_block(marts.m_enrol(t))
+    k = en.kpi_block(marts.m_enrol_recent(t))
     return k.select(
         X.period_label(en.YEAR, en.MONTH).alias("period"),
         X.fmt_number("current_total").alias("current_text"),
@@ -478,7 +478,7 @@ def q_j19(t: Tables) -> DataFrame:
 @query("j19_enrolment_by_region")
 def q_j19b(t: Tables) -> DataFrame:
     dim = marts.m_alias(t).select(F.col("canonical_name").alias("nationality"), "region")
-    snap = en.snapshot_at_latest(marts.m_enrol(t), by=["nationality"])
+    snap = en.snapshot_at_latest(marts.m_enrol_recent(t), by=["nationality"])
     j = snap.join(joins.bounded_broadcast(dim), "nationality", "left")
     return j.groupBy("region").agg(F.sum("total_enrolments").cast("long").alias("total_enrolments"))
 
@@ -751,7 +751,7 @@ def q_a25(t: Tables) -> DataFrame:
 
 @query("a26_grand_total_kpi")
 def q_a26(t: Tables) -> DataFrame:
-    return en.snapshot_at_latest(marts.m_enrol(t), by=[])
+    return en.snapshot_at_latest(marts.m_enrol_recent(t), by=[])
 
 
 @query("f06_numeric_profile_values")
@@ -803,7 +803,7 @@ def q_t06(t: Tables) -> DataFrame:
 
 @query("t07_head_enrolments")
 def q_t07(t: Tables) -> DataFrame:
-    s = en.snapshot_at_latest(marts.m_enrol(t), by=["nationality"])
+    s = en.snapshot_at_latest(marts.m_enrol_recent(t), by=["nationality"])
     return s.orderBy(F.col("total_enrolments").desc(), "nationality").limit(5)
 
 
@@ -835,7 +835,7 @@ def q_r03(t: Tables) -> DataFrame:
 
 @query("r06_crosstab_to_long")
 def q_r06(t: Tables) -> DataFrame:
-    snap = en.snapshot_at_latest(marts.m_enrol(t), by=["nationality", "sector"])
+    snap = en.snapshot_at_latest(marts.m_enrol_recent(t), by=["nationality", "sector"])
     # pivot headers: the priority labels (a handful), from that one column of orders
     pri = t.read("orders", "o_orderpriority").distinct()
     sectors = sorted(r[0] for r in pri.collect())

@@ -55,6 +55,23 @@ def enrol_monthly(t: Tables, years: tuple[int, int] | None = None) -> DataFrame:
     )
 
 
+def latest_order_year(t: Tables) -> int | None:
+    """The calendar year of the newest order: one value to the driver (a max
+    over one column; footer statistics can answer it where aggregate pushdown
+    is enabled)."""
+    v = t.read("orders", "o_orderdate").agg(F.max("o_orderdate").alias("d")).first()["d"]
+    return None if v is None else v.year
+
+
+def m_enrol_recent(t: Tables) -> DataFrame:
+    """The YTD fact for the latest year and the one before - all a query pinned
+    to the latest period (and its same-month comparison) needs.  The year
+    bounds become a pushed range filter on the orders scan, so the older years
+    are never joined or aggregated."""
+    ly = latest_order_year(t)
+    return m_enrol(t) if ly is None else m_enrol(t, years=(ly - 1, ly))
+
+
 def m_enrol(t: Tables, years: tuple[int, int] | None = None) -> DataFrame:
     """YTD-cumulative enrolment fact (grain: year, month, nationality, sector, state_code);
     ``years`` builds only those calendar years."""
