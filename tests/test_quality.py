@@ -48,3 +48,15 @@ def test_delta_and_known_empty(spark):
     nulls = {r.column_name: r.nulls for r in qa.nulls_per_column(
         spark.createDataFrame([(1, None), (None, None)], "a INT, b STRING")).collect()}
     assert nulls == {"a": 1, "b": 2}
+
+
+def test_keyed_table_checks_one_pass(spark):
+    ok = spark.createDataFrame([("2024-01", "a"), ("2024-02", "b")], "p STRING, k STRING")
+    bad = spark.createDataFrame([("2024-1", "a"), ("2024-1", "a"), (None, "b")], "p STRING, k STRING")
+    res_ok = {r.check: (r.observed, r.passed) for r in qa.keyed_table_checks(
+        ok, "t", ["p", "k"], distinct=("k", 2), formats={"p": r"^\d{4}-\d{2}$"}).collect()}
+    assert all(p for _, p in res_ok.values()) and res_ok["non_empty"] == (2, True)
+    res_bad = {r.check: (r.observed, r.passed) for r in qa.keyed_table_checks(
+        bad, "t", ["p", "k"], distinct=("k", 2), formats={"p": r"^\d{4}-\d{2}$"}).collect()}
+    assert res_bad["null_keys"] == (1, False) and res_bad["duplicate_keys"] == (1, False)
+    assert res_bad["format_p"] == (3, False) and res_bad["distinct_k"] == (2, True)

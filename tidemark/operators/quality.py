@@ -181,3 +181,53 @@ def report(checks: Sequence[DataFrame]) -> DataFrame:
     for c in checks[1:]:
         out = out.unionByName(c)
     return out
+
+
+def keyed_table_checks(
+    df: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    blanks: Mapping[str, str] | None = None,
+    distinct: tuple[str, int] | None = None,
+    formats: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """G01 + G02 + G03 (+ G05, G06 on key columns) from one grouped pass.
+
+    The table is grouped once by its (NULL-safe) key; the per-key counts give
+    the row count, the rows with a NULL key part, the duplicated keys, the
+    distinct count of one key column and the rows whose key column breaks a
+    format.  The single stats row is turned into check rows by exploding an
+    array, so the table is read once for all of them.
+    """
+    blanks = dict(blanks or {})
+    formats = dict(formats or {})
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(k).isNull()
+    grouped = df.groupBy(*[null_safe_key(k, blanks[k]).alias(k) if k in blanks else F.col(k) for k in keys]).agg(
+        F.count(F.lit(1)).alias("__n"), F.count_if(any_null).alias("__nn")
+    )
+    aggs = [F.sum("__n").alias("rows"), F.sum("__nn").alias("null_rows"), F.count_if(F.col("__n") > 1).alias("dups")]
+    if distinct:
+        aggs.append(F.countDistinct(distinct[0]).alias("distinct"))
+    for i, (c, pattern) in enumerate(formats.items()):
+        bad = F.col(c).isNull() | (F.trim(F.col(c)) == "") | ~F.col(c).rlike(pattern)
+        aggs.append(F.sum(F.when(bad, F.col("__n")).otherwise(F.lit(0))).alias(f"fmt{i}"))
+    stats = grouped.agg(*aggs)
+
+    def row(check: str, observed: Column, passed: Column) -> Column:
+        return F.struct(F.lit(check).alias("check"), F.coalesce(observed, F.lit(0)).cast("long").alias("observed"),
+                        passed.alias("passed"))
+
+    rows_ = F.coalesce(F.col("rows"), F.lit(0))
+    items = [
+        row("non_empty", rows_, rows_ > 0),
+        row("null_keys", F.col("null_rows"), F.coalesce(F.col("null_rows"), F.lit(0)) == 0),
+        row("duplicate_keys", F.col("dups"), F.col("dups") == 0),
+    ]
+    if distinct:
+        items.append(row(f"distinct_{distinct[0]}", F.col("distinct"), F.col("distinct") == distinct[1]))
+    for i, c in enumerate(formats):
+        items.append(row(f"format_{c}", F.col(f"fmt{i}"), F.coalesce(F.col(f"fmt{i}"), F.lit(0)) == 0))
+    out = stats.select(F.explode(F.array(*items)).alias("r"))
+    return out.select(F.col("r.check").alias("check"), F.lit(table).alias("table_name"), "r.observed", "r.passed")

@@ -537,13 +537,10 @@ def q_g14(t: Tables) -> DataFrame:
     enrol = marts.m_enrol(t)
     vac = marts.m_vacancy(t)
     return qa.report([
-        qa.non_empty(enrol, "fact_student_enrolment"),
-        qa.null_keys(enrol, "fact_student_enrolment", BASIC_KEYS),
-        qa.duplicate_keys(enrol, "fact_student_enrolment", BASIC_KEYS),
-        qa.distinct_count_equals(enrol, "fact_student_enrolment", "sector", 5),
-        qa.format_violations(vac, "fact_job_vacancy", "vacancy_period", r"^\d{4}-\d{2}$"),
-        qa.duplicate_keys(vac, "fact_job_vacancy", ["vacancy_period", "anzsco_code", "state_code", "measure"],
-                          {"anzsco_code": ""}),
+        qa.keyed_table_checks(enrol, "fact_student_enrolment", BASIC_KEYS, distinct=("sector", 5)),
+        qa.keyed_table_checks(vac, "fact_job_vacancy", ["vacancy_period", "anzsco_code", "state_code", "measure"],
+                              blanks={"anzsco_code": ""}, formats={"vacancy_period": r"^\d{4}-\d{2}$"}).where(
+            F.col("check").isin("duplicate_keys", "format_vacancy_period")),
         qa.orphans_count(marts.m_bridge(t), marts.m_course(t), "bridge_course_location", "cricos_code",
                          "cricos_code"),
         qa.in_range(marts.m_cpi(t), "fact_cpi", "value", 1.0, 50.0),
