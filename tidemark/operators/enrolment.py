@@ -24,20 +24,6 @@ YEAR, MONTH = "enrol_year", "enrol_month"
 YTD, COMMENCE = "ytd_enrolments", "ytd_commencements"
 
 
-def _member_filter(nationality: str | None = None, **members) -> Column | None:
-    cond = None
-    items = {"nationality": nationality, **members}
-    for col, val in items.items():
-        if val is None:
-            continue
-        if isinstance(val, (list, tuple, set, frozenset)):
-            c = F.col(col).isin(*sorted(val))
-        else:
-            c = F.col(col) == F.lit(val)
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def empty_like(df: DataFrame) -> DataFrame:
     """an empty IN-list gives an empty frame of the same schema (no scan)."""
     return df.limit(0)

@@ -34,9 +34,6 @@ MSG_STABLE = "Stable market ({g} YoY) -- maintain current marketing effort."
 EXCLUDED_COMPONENTS = ("competition",)
 # ---------------------------------------------------------------------------
 
-SCORE_COLUMNS = {"growth": "growth_score", "market_size": "market_size_score", "visa_pathway": "visa_score"}
-
-
 def opportunity_inputs(fact: DataFrame, visa: DataFrame, visa_country: str = "country_name",
                        visa_value: str = "value") -> DataFrame:
     """B01 (A12, J06, X15, X17): one row per nationality at the latest period: current volume, growth %

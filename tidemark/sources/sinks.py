@@ -41,11 +41,6 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(conf), p, jvm
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p, _ = _fs(spark, path)
-    return fs.exists(p)
-
-
 def _read_text(spark: SparkSession, path: str) -> str | None:
     fs, p, jvm = _fs(spark, path)
     if not fs.exists(p):
