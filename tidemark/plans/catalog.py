@@ -933,3 +933,36 @@ def q_s10(t: Tables) -> DataFrame:
     return wide.groupBy(F.col("Nationality").alias("nationality"), F.col("Sector").alias("sector")).agg(
         F.count(F.lit(1)).alias("n_records"), F.sum(F.col("YTD").cast("long")).alias("ytd_total")
     )
+
+
+@query("a04_yearly_snapshot_nationality_global")
+def q_a04_global(t: Tables) -> DataFrame:
+    """Q3: the latest month of each year taken over all members, then NATION_7."""
+    return en.at_latest_month_of_year(
+        marts.m_enrol(t),
+        where=F.col("nationality") == "NATION_7",
+        scope="global",
+        measures={"total_enrolments": en.YTD, "total_commencements": en.COMMENCE},
+    )
+
+
+@query("a05_sector_yearly_trend_selected")
+def q_a05_selected(t: Tables) -> DataFrame:
+    sectors = ("1-URGENT", "5-LOW")
+    res = en.at_latest_month_of_year(marts.m_enrol(t), by=["sector"], where=F.col("sector").isin(*sectors),
+                                     scope="global")
+    return res.drop(en.MONTH)
+
+
+@query("a13_skilled_migration_countries")
+def q_a13_countries(t: Tables) -> DataFrame:
+    return en.distinct_sorted(marts.m_skilled_cob(t), "country_name")
+
+
+@query("p24_skilled_migration_by_country")
+def q_p24_country(t: Tables) -> DataFrame:
+    s = flt.where_equal(marts.m_skilled_cob(t), country_name="NATION_3")
+    return s.select(
+        X.fy_dash("financial_year").alias("financial_year"), "country_name", "anzsco_code", "occupation_name",
+        "visa_subclass", "measure", "value",
+    ).orderBy("financial_year")

@@ -1415,3 +1415,41 @@ register(
     + "SELECT nationality, sector, count(*) AS n_records, CAST(sum(ytd_enrolments) AS BIGINT) AS ytd_total "
     "FROM m_enrol GROUP BY nationality, sector",
 )
+
+register(
+    "a04_yearly_snapshot_nationality_global",
+    with_(M_ENROL)
+    + """
+SELECT e.enrol_year, e.enrol_month,
+       CAST(sum(e.ytd_enrolments) AS BIGINT) AS total_enrolments,
+       CAST(sum(e.ytd_commencements) AS BIGINT) AS total_commencements
+FROM m_enrol e
+JOIN (SELECT enrol_year, max(enrol_month) AS latest_month FROM m_enrol GROUP BY enrol_year) l
+  ON e.enrol_year = l.enrol_year AND e.enrol_month = l.latest_month
+WHERE e.nationality = 'NATION_7'
+GROUP BY e.enrol_year, e.enrol_month""",
+)
+register(
+    "a05_sector_yearly_trend_selected",
+    with_(M_ENROL)
+    + """
+SELECT e.enrol_year, e.sector, CAST(sum(e.ytd_enrolments) AS BIGINT) AS total_enrolments
+FROM m_enrol e
+JOIN (SELECT enrol_year, max(enrol_month) AS latest_month FROM m_enrol GROUP BY enrol_year) l
+  ON e.enrol_year = l.enrol_year AND e.enrol_month = l.latest_month
+WHERE e.sector IN ('1-URGENT', '5-LOW')
+GROUP BY e.enrol_year, e.sector""",
+)
+register(
+    "a13_skilled_migration_countries",
+    with_(M_SKILLED_COB)
+    + "SELECT DISTINCT country_name FROM m_skilled_cob WHERE country_name IS NOT NULL ORDER BY country_name",
+)
+register(
+    "p24_skilled_migration_by_country",
+    with_(M_SKILLED_COB)
+    + """
+SELECT replace(financial_year, '_', '-') AS financial_year, country_name, anzsco_code, occupation_name,
+       visa_subclass, measure, value
+FROM m_skilled_cob WHERE country_name = 'NATION_3' ORDER BY financial_year""",
+)
