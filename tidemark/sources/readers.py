@@ -56,9 +56,43 @@ def series_csv_long(grid: DataFrame, meta_scan_rows: int = 20) -> DataFrame:
     ).where(F.col("series_id").isNotNull() & F.col("value").isNotNull())
 
 
-def read_series_csv(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """S01 end to end: files -> grid -> long series."""
-    return series_csv_long(csv_grid(spark, path, glob))
+def read_series_csv(spark: SparkSession, path: str, glob: str = "*.csv", max_columns: int = 256) -> DataFrame:
+    """S01 end to end as one splittable CSV scan (no Python on the rows).
+
+    Every line is read against a fixed wide all-text schema (a short row gets
+    a NULL tail), tagged with its file.  Metadata lines are recognised by their
+    label and data lines by a first cell that parses as a day-first date, so
+    line order is never needed and a large file is split across tasks.  The
+    metadata (a handful of lines per file) is turned into one row per (file,
+    column) and joined to the unpivoted data cells.  ``max_columns`` must cover
+    the widest file (series per file plus the date column).
+    """
+    schema = ", ".join(f"c{i} STRING" for i in range(max_columns))
+    raw = (
+        spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE")
+        .option("pathGlobFilter", glob).csv(path)
+        .withColumn("path", F.col("_metadata.file_path"))
+    )
+    cols = [f"c{i}" for i in range(1, max_columns)]
+    label = F.trim(F.col("c0"))
+    meta = raw.where(label.isin(*SERIES_META_LABELS)).select(
+        "path", label.alias("label"), *cols
+    ).unpivot(["path", "label"], cols, "col", "v")
+    wide_meta = meta.groupBy("path", "col").agg(
+        *[F.max(F.when(F.col("label") == k, F.col("v"))).alias(v) for k, v in SERIES_META_LABELS.items()]
+    ).where(F.col("series_id").isNotNull())
+    data = raw.select("path", parse_day_first_date("c0").alias("date"), *cols).where(F.col("date").isNotNull())
+    # only filled cells become rows (no expansion of the empty tail of a wide schema)
+    filled = F.filter(
+        F.transform(F.array(*cols), lambda x, i: F.struct(F.concat(F.lit("c"), (i + 1).cast("string")).alias("col"),
+                                                          x.alias("raw"))),
+        lambda c: c["raw"].isNotNull(),
+    )
+    cells = data.select("path", "date", F.explode(filled).alias("c")).select("path", "date", "c.col", "c.raw")
+    j = cells.join(wide_meta, ["path", "col"], "inner")
+    return j.select(
+        "path", "date", "series_id", lenient_double("raw").alias("value"), "title", "units", "frequency"
+    ).where(F.col("value").isNotNull())
 
 
 def read_sdmx_csv(
