@@ -47,13 +47,18 @@ def build_manifest(
     """The manifest record for a downloaded release, status 'downloaded'."""
     from tidemark.functions.scalars import month_label
 
-    def part(name: str, url: str):
-        d = digests.where(F.col("filename") == name)
+    # one pass over the digests picks both files' size and hash
+    picked = digests.agg(
+        F.max(F.when(F.col("filename") == basic_name, F.struct("size_bytes", "sha256"))).alias("b"),
+        F.max(F.when(F.col("filename") == detailed_name, F.struct("size_bytes", "sha256"))).alias("d"),
+    )
+
+    def part(name: str, url: str, col: str):
         return F.struct(
             F.lit(name).alias("filename"),
             F.lit(url).alias("url"),
-            d.select(F.max("size_bytes")).scalar().alias("size_bytes"),
-            d.select(F.max("sha256")).scalar().alias("sha256"),
+            F.col(f"{col}.size_bytes").alias("size_bytes"),
+            F.col(f"{col}.sha256").alias("sha256"),
             F.lit(release_year).alias("release_year"),
             F.lit(release_month).alias("release_month"),
             F.lit(None).cast("string").alias("raw_split_filename"),
@@ -61,16 +66,15 @@ def build_manifest(
             F.lit(None).cast("string").alias("raw_split_sha256"),
         )
 
-    one = spark.range(1)
-    record = one.select(
+    record = picked.select(
         month_label(F.lit(release_year), F.lit(release_month)).alias("release_label"),
         F.lit(release_year).alias("release_year"),
         F.lit(release_month).alias("release_month"),
         F.lit(page_url).alias("publication_page_url"),
         F.lit(downloaded_at_utc).alias("downloaded_at_utc"),
         F.lit("downloaded").alias("status"),
-        part(basic_name, basic_url).alias("basic"),
-        part(detailed_name, detailed_url).alias("detailed"),
+        part(basic_name, basic_url, "b").alias("basic"),
+        part(detailed_name, detailed_url, "d").alias("detailed"),
     )
     return _freeze(spark, record)
 
@@ -83,14 +87,19 @@ def _freeze(spark: SparkSession, record: DataFrame) -> DataFrame:
 
 def mark_extracted(manifest: DataFrame, basic_split: DataFrame, detailed_split: DataFrame) -> DataFrame:
     """Record the extracted (raw split) files and move the status to
-    'extracted'.  ``*_split`` are one-row digest frames of the split files."""
-    def with_split(col: str, split: DataFrame):
-        return F.col(col).withField("raw_split_filename", split.select(F.max("filename")).scalar()).withField(
-            "raw_split_size_bytes", split.select(F.max("size_bytes")).scalar()
-        ).withField("raw_split_sha256", split.select(F.max("sha256")).scalar())
-
-    out = manifest.withColumn("basic", with_split("basic", basic_split)).withColumn(
-        "detailed", with_split("detailed", detailed_split)
+    'extracted'.  ``*_split`` are digest frames of the split files; each is
+    reduced to one struct by an aggregate used as a scalar subquery (Spark
+    evaluates a repeated identical subquery once)."""
+    def one(split: DataFrame):
+        return split.agg(F.max(F.struct("filename", "size_bytes", "sha256"))).scalar()
+
+    def with_split(col: str, s):
+        return F.col(col).withField("raw_split_filename", s.getField("filename")).withField(
+            "raw_split_size_bytes", s.getField("size_bytes")
+        ).withField("raw_split_sha256", s.getField("sha256"))
+
+    out = manifest.withColumn("basic", with_split("basic", one(basic_split))).withColumn(
+        "detailed", with_split("detailed", one(detailed_split))
     ).withColumn("status", F.lit("extracted"))
     return _freeze(manifest.sparkSession, out)
 
