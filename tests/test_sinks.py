@@ -112,3 +112,14 @@ def test_csv_export_row_cap(spark, tmp_root):
     sinks.export_csv(df, f"{tmp_root}/out", null_value="\\N", max_records=4)
     files = glob.glob(f"{tmp_root}/out/*.csv")
     assert len(files) == 3
+
+
+def test_partitioned_version_prunes(spark, tmp_root):
+    df = spark.createDataFrame(_rows(30), ENROL)
+    sinks.replace_table(spark, df, tmp_root, "enrol_p", KEY, partition_by=["enrol_year"])
+    t = sinks.read_table(spark, tmp_root, "enrol_p")
+    assert t.count() == 30
+    q = t.where(F.col("enrol_year") == 2021)
+    assert q.count() == 12
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(enrol_year" in plan

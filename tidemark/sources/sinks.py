@@ -133,12 +133,18 @@ class LoadError(RuntimeError):
     pass
 
 
-def _write_version(df: DataFrame, path: str, max_records: int | None = None) -> int:
+def _write_version(
+    df: DataFrame, path: str, max_records: int | None = None, partition_by: Sequence[str] | None = None
+) -> int:
     """Write ``df`` once and return the number of rows written (observed during
-    the write, no second pass)."""
+    the write, no second pass).  ``partition_by`` lays the version out in
+    folders per value (e.g. the year of a YTD fact), so a reader filtering on
+    it prunes whole folders."""
     obs = Observation("rows")
     observed = df.observe(obs, F.count(F.lit(1)).alias("n"))
     w = observed.write.mode("errorifexists")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     if max_records:
         w = w.option("maxRecordsPerFile", max_records)
     w.parquet(path)
@@ -158,6 +164,7 @@ def replace_table(
     dry_run: bool = False,
     expected_rows: int | None = None,
     blanks: Mapping[str, str] | None = None,
+    partition_by: Sequence[str] | None = None,
 ) -> LoadResult:
     """K04 (+ G03, G12): validated atomic full replace.
 
@@ -179,7 +186,7 @@ def replace_table(
     cur = current_version(spark, root, table)
     ver = _next_version(cur)
     path = f"{table_dir(root, table)}/{ver}"
-    written = _write_version(nan_to_null_all(df), path)
+    written = _write_version(nan_to_null_all(df), path, partition_by=partition_by)
     recount = spark.read.parquet(path).count()
     if recount != written or (expected_rows is not None and recount != expected_rows):
         _delete(spark, path)
