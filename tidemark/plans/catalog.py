@@ -966,3 +966,11 @@ def q_p24_country(t: Tables) -> DataFrame:
         X.fy_dash("financial_year").alias("financial_year"), "country_name", "anzsco_code", "occupation_name",
         "visa_subclass", "measure", "value",
     ).orderBy("financial_year")
+
+
+@query("r13_message_cells_roundtrip")
+def q_r13(t: Tables) -> DataFrame:
+    from tidemark.sources.readers import MESSAGE_SCHEMA, hypercube_cells
+
+    msgs = marts.m_messages(t).select(F.from_json("json", MESSAGE_SCHEMA).alias("m")).select("m.*")
+    return hypercube_cells(msgs)

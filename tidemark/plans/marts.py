@@ -741,3 +741,22 @@ def m_enrol_pivot_cache(t: Tables) -> tuple[DataFrame, DataFrame]:
         )).alias("c"),
     ).select("path", "record_idx", "c.field_idx", "c.kind", "c.value")
     return fields, records
+
+
+# ---------------------------------------------------------------------------
+# Conversations as a JSON message log
+
+
+def m_messages(t: Tables) -> DataFrame:
+    """Each conversation turn as one JSON message of a data-page log: the method is
+    the speaker's role, the id is derived from (conversation, turn), and the
+    turn's whole text sits in a one-cell data page (qText) with the turn number
+    as its numeric value (qNum)."""
+    c = t.read("conversations", "conv_id", "turn", "role", "text")
+    cell = F.struct(F.col("text").alias("qText"), F.col("turn").cast("double").alias("qNum"))
+    msg = F.struct(
+        F.col("role").alias("method"),
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
+        F.struct(F.array(F.struct(F.array(F.array(cell)).alias("qMatrix"))).alias("qDataPages")).alias("result"),
+    )
+    return c.select(F.to_json(msg).alias("json"))
