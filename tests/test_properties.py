@@ -83,3 +83,24 @@ def test_upsert_is_idempotent(spark, rows):
     second = sorted(tuple(r) for r in sinks.read_table(spark, root, "t").collect())
     assert first == second == sorted(rows)
     assert (res.inserted, res.updated, res.unchanged) == (0, 0, len(rows))
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([2020, 2021]), st.integers(1, 12), st.sampled_from(["a", "b", "c"]),
+                          st.integers(0, 9)), min_size=1, max_size=25))
+def test_accumulate_ytd_matches_brute_force(spark, rows):
+    from tidemark.operators.windows import accumulate_ytd
+
+    flows = {}
+    for y, m, k, v in rows:
+        flows[(y, m, k)] = flows.get((y, m, k), 0) + v
+    monthly = spark.createDataFrame([(y, m, k, v) for (y, m, k), v in flows.items()], "y INT, m INT, k STRING, v BIGINT")
+    got = sorted(tuple(r) for r in accumulate_ytd(monthly, "y", "m", ["k"], ["v"]).collect())
+    published = {(y, m) for (y, m, _k) in flows}
+    want = []
+    for (y, m) in sorted(published):
+        for k in sorted({k for (yy, _mm, k) in flows if yy == y}):
+            months = [mm for (yy, mm, kk) in flows if yy == y and kk == k]
+            if min(months) <= m:
+                want.append((y, m, k, sum(v for (yy, mm, kk), v in flows.items() if yy == y and kk == k and mm <= m)))
+    assert got == sorted(want)
