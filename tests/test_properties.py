@@ -104,3 +104,29 @@ def test_accumulate_ytd_matches_brute_force(spark, rows):
             if min(months) <= m:
                 want.append((y, m, k, sum(v for (yy, mm, kk), v in flows.items() if yy == y and kk == k and mm <= m)))
     assert got == sorted(want)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.lists(st.one_of(st.none(), st.sampled_from(["Country", "Year", "total", "x", "Table of country"])),
+                         min_size=0, max_size=4), min_size=1, max_size=12))
+def test_header_rows_match_brute_force(spark, sheet_rows):
+    from tidemark.operators.shape import header_rows
+
+    rows = [("p", "s", i, cells) for i, cells in enumerate(sheet_rows)]
+    grid = spark.createDataFrame(rows, "path STRING, sheet STRING, row_idx INT, cells ARRAY<STRING>")
+
+    def first(pred):
+        return next((i for i, cells in enumerate(sheet_rows) if i < 20 and pred(cells)), 0)
+
+    def filled(cells):
+        return sum(1 for c in cells if c is not None and c.strip() != "")
+
+    def hint(cells):
+        return any(c is not None and "country" in c.lower() for c in cells)
+
+    got_hint = header_rows(grid, hint="country").first().header_row
+    got_both = header_rows(grid, hint="country", min_nonnull=3).first().header_row
+    got_plain = header_rows(grid).first().header_row
+    assert got_hint == first(hint)
+    assert got_both == first(lambda c: hint(c) and filled(c) >= 3)
+    assert got_plain == first(lambda c: filled(c) > 2)
