@@ -130,3 +130,31 @@ def test_header_rows_match_brute_force(spark, sheet_rows):
     assert got_hint == first(hint)
     assert got_both == first(lambda c: hint(c) and filled(c) >= 3)
     assert got_plain == first(lambda c: filled(c) > 2)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(1, 50)), st.one_of(st.none(), st.integers(-20, 20)),
+                          st.one_of(st.none(), st.integers(0, 30))), min_size=1, max_size=10))
+def test_opportunity_scores_match_formula(spark, rows):
+    from tidemark.operators.scoring import WEIGHTS, opportunity_scores
+
+    data = [(f"n{i}", v, None if g is None else float(g), None if s is None else float(s))
+            for i, (v, g, s) in enumerate(rows)]
+    df = spark.createDataFrame(data, "nationality STRING, current_volume BIGINT, growth_pct DOUBLE, visa_volume DOUBLE")
+    got = {r.nationality: (r.opportunity_score, r.data_confidence_pct) for r in opportunity_scores(df).collect()}
+    pdf = pd.DataFrame(data, columns=["nationality", "current_volume", "growth_pct", "visa_volume"])
+    ranks = {
+        "growth": pdf["growth_pct"].astype("float64").rank(pct=True) * 100,
+        "market_size": pdf["current_volume"].astype("float64").rank(pct=True) * 100,
+        "visa_pathway": pdf["visa_volume"].astype("float64").rank(pct=True) * 100,
+    }
+    for i, name in enumerate(pdf["nationality"]):
+        present = {k: ranks[k][i] for k in WEIGHTS if not math.isnan(ranks[k][i])}
+        score, conf = got[name]
+        assert abs(conf - round(len(present) / 3 * 100, 1)) < 1e-9
+        if not present:
+            assert score is None
+        else:
+            tw = sum(WEIGHTS[k] for k in present)
+            want = sum(WEIGHTS[k] / tw * v for k, v in present.items())
+            assert abs(score - want) <= 0.05 + 1e-9
