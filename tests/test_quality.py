@@ -60,3 +60,9 @@ def test_keyed_table_checks_one_pass(spark):
         bad, "t", ["p", "k"], distinct=("k", 2), formats={"p": r"^\d{4}-\d{2}$"}).collect()}
     assert res_bad["null_keys"] == (1, False) and res_bad["duplicate_keys"] == (1, False)
     assert res_bad["format_p"] == (3, False) and res_bad["distinct_k"] == (2, True)
+
+
+def test_grain_guard_non_nested_keys(spark):
+    df = spark.createDataFrame([(1, "a", "x"), (1, "b", "x"), (2, "a", "y")], "k INT, f STRING, g STRING")
+    g = qa.grain_guard(df, ["k"], ["f", "g"]).first()  # narrow key not inside the wide key: two passes
+    assert (g.rows, g.colliding_rows, g.wide_key_unique) == (3, 2, True)

@@ -95,3 +95,14 @@ def test_bucketed_rank_many_ranges(spark):
     got = [r.r for r in percentile_rank_by_value_counts(df, "v", "r", buckets=7).orderBy("id").collect()]
     expected = list(pd.Series(values, dtype="float64").rank(pct=True, na_option="keep") * 100)
     assert _same(got, expected)
+
+
+def test_rank_within_partitions(spark):
+    df = spark.createDataFrame([("p", 1.0), ("p", 2.0), ("q", 5.0), ("q", 5.0), ("q", None)], "g STRING, v DOUBLE")
+    got = sorted((r.g, r.v, r.r) for r in percentile_rank(df, "v", "r", partition=["g"]).collect()
+                 if r.v is not None)
+    # pandas: two tied values share rank 1.5 of 2 -> 75 %
+    assert got == [("p", 1.0, 50.0), ("p", 2.0, 100.0), ("q", 5.0, 75.0), ("q", 5.0, 75.0)]
+    got2 = sorted((r.g, r.v, r.r) for r in percentile_rank_by_value_counts(df, "v", "r", partition=["g"]).collect()
+                  if r.v is not None)
+    assert got2 == got
