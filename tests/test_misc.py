@@ -82,3 +82,14 @@ def test_workbook_loader(spark, tmp_root):
     got = {r.provider_code: r.state for r in sinks.read_table(spark, tmp_root, "dim_provider").collect()}
     assert got == {"00001A": "NSW", "00002B": "NSW"}
     assert loaders.missing_columns(sinks.read_table(spark, tmp_root, "dim_provider"), ["state", "cricos"]) == ["cricos"]
+
+
+def test_session_settings(spark):
+    from tidemark.session import checkpoint_dir, cluster_conf
+
+    conf = cluster_conf(4000)
+    assert conf["spark.sql.shuffle.partitions"] == "12000"
+    assert conf["spark.sql.files.maxPartitionBytes"] == "256m"
+    # the folder named by the session (set in conftest) is used, never replaced
+    assert checkpoint_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/").replace("file:", "")) or \
+        spark.conf.get("spark.checkpoint.dir") in checkpoint_dir(spark)
