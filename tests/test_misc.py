@@ -93,3 +93,14 @@ def test_session_settings(spark):
     # the folder named by the session (set in conftest) is used, never replaced
     assert checkpoint_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/").replace("file:", "")) or \
         spark.conf.get("spark.checkpoint.dir") in checkpoint_dir(spark)
+
+
+def test_not_in_and_orphans_null_semantics(spark):
+    from tidemark.operators.joins import not_in_anti, orphans
+
+    child = spark.createDataFrame([("c1", "p1"), ("c2", "p9"), ("c3", None)], "c STRING, pk STRING")
+    parent = spark.createDataFrame([("p1",)], "pk STRING")
+    assert sorted(r.c for r in orphans(child, parent, "pk", "pk").collect()) == ["c2", "c3"]  # NULL key is an orphan
+    assert [r.c for r in not_in_anti(child, parent, "pk", "pk").collect()] == ["c2"]          # NOT IN skips NULL keys
+    with_null = parent.union(spark.createDataFrame([(None,)], "pk STRING"))
+    assert not_in_anti(child, with_null, "pk", "pk").count() == 0                            # a NULL in the list empties it
