@@ -104,3 +104,23 @@ def test_not_in_and_orphans_null_semantics(spark):
     assert [r.c for r in not_in_anti(child, parent, "pk", "pk").collect()] == ["c2"]          # NOT IN skips NULL keys
     with_null = parent.union(spark.createDataFrame([(None,)], "pk STRING"))
     assert not_in_anti(child, with_null, "pk", "pk").count() == 0                            # a NULL in the list empties it
+
+
+def test_guarded_sum_refuses_rates_and_mixed_measures(spark):
+    import pytest
+
+    from tidemark.operators.macro import guarded_corr, guarded_sum
+
+    df = spark.createDataFrame([("2020", "lodged", 5.0), ("2020", "grant_rate_pct", 50.0)], "fy STRING, measure STRING, v DOUBLE")
+    with pytest.raises(ValueError):
+        guarded_sum(df, ["fy"], "v", "t", measure="grant_rate_pct")
+    with pytest.raises(ValueError):
+        guarded_sum(df, ["fy"], "v", "t")
+    assert guarded_sum(df, ["fy"], "v", "t", measure="lodged").first().t == 5.0
+    assert guarded_sum(df, ["fy", "measure"], "v", "t").count() == 2
+    pairs = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, 6.5), (4.0, None)], "x DOUBLE, y DOUBLE")
+    c = guarded_corr(pairs, "x", "y").first()
+    assert c.n_pairs == 3 and c.correlation > 0.99
+    const = spark.createDataFrame([(1.0, 2.0), (2.0, 2.0), (3.0, 2.0)], "x DOUBLE, y DOUBLE")
+    assert guarded_corr(const, "x", "y").first().correlation is None       # constant side: no correlation
+    assert guarded_corr(pairs.limit(2), "x", "y").first().correlation is None  # fewer than 3 pairs
