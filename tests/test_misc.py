@@ -124,3 +124,17 @@ def test_guarded_sum_refuses_rates_and_mixed_measures(spark):
     const = spark.createDataFrame([(1.0, 2.0), (2.0, 2.0), (3.0, 2.0)], "x DOUBLE, y DOUBLE")
     assert guarded_corr(const, "x", "y").first().correlation is None       # constant side: no correlation
     assert guarded_corr(pairs.limit(2), "x", "y").first().correlation is None  # fewer than 3 pairs
+
+
+def test_year_alignment_and_gaps(spark):
+    from tidemark.operators.macro import aggregate_or_member, align_years, coverage_gaps
+
+    a = spark.createDataFrame([(2019, 10), (2020, 12)], "year INT, enrol BIGINT")
+    b = spark.createDataFrame([("2020", 1.5), ("2021", 2.5)], "year STRING, ind DOUBLE")
+    full = {r.year: (r.enrol, r.ind) for r in align_years(a, b).collect()}
+    assert full == {"2019": (10, None), "2020": (12, 1.5), "2021": (None, 2.5)}
+    gaps = {(r.year, r.only_in) for r in coverage_gaps(a, b).collect()}
+    assert gaps == {("2019", "left"), ("2021", "right")}
+    pop = spark.createDataFrame([("Total", 100), ("India", 7)], "country_name STRING, n INT")
+    assert aggregate_or_member(pop, "country_name").first().n == 100
+    assert aggregate_or_member(pop, "country_name", "India").first().n == 7
