@@ -138,3 +138,26 @@ def test_year_alignment_and_gaps(spark):
     pop = spark.createDataFrame([("Total", 100), ("India", 7)], "country_name STRING, n INT")
     assert aggregate_or_member(pop, "country_name").first().n == 100
     assert aggregate_or_member(pop, "country_name", "India").first().n == 7
+
+
+def test_competition_and_aliases(spark):
+    from tidemark.operators import geo, providers
+
+    prov = spark.createDataFrame([("1", "A", "NSW"), ("2", "B", "NSW"), ("3", "C", "VIC"), ("4", "D", None)],
+                                 "provider_id STRING, provider_name STRING, state_code STRING")
+    course = spark.createDataFrame([("c1", "1"), ("c2", "1"), ("c3", "3"), ("c4", "4"), ("c5", None)],
+                                   "cricos_code STRING, provider_id STRING")
+    dens = {r.state_code: (r.provider_count, r.course_count, r.courses_per_provider)
+            for r in providers.competition_density(prov, course).collect()}
+    assert dens == {"NSW": (2, 2, 1.0), "VIC": (1, 1, 1.0)}
+    ext = providers.competition_extremes(providers.competition_density(prov, course)).first()
+    assert (ext.highest_competition_state, ext.lowest_competition_state) == ("VIC", "NSW")  # ties by name
+    alias = spark.createDataFrame([("Korea", "Korea, Republic of", "KOREA", "Korea", None)],
+                                  "canonical_name STRING, name_education STRING, name_home_affairs STRING, "
+                                  "name_abs STRING, name_skilled_mig STRING")
+    long = geo.alias_long(alias)
+    src = spark.createDataFrame([("Korea, Republic of",), ("Atlantis",)], "name STRING")
+    got = {r.name: r.canonical_name for r in geo.canonicalise(src, "name", long, "education").collect()}
+    assert got == {"Korea, Republic of": "Korea", "Atlantis": None}
+    un = {(r.source, r.name) for r in geo.unmapped_names({"education": src}, long).collect()}
+    assert un == {("education", "Atlantis")}
