@@ -161,3 +161,36 @@ def test_competition_and_aliases(spark):
     assert got == {"Korea, Republic of": "Korea", "Atlantis": None}
     un = {(r.source, r.name) for r in geo.unmapped_names({"education": src}, long).collect()}
     assert un == {("education", "Atlantis")}
+
+
+def test_occupation_view_and_mart(spark):
+    from tidemark.operators import occupation as occ
+
+    shortage = spark.createDataFrame([("261313", "Software Engineer", "Shortage", "cat", "2025", "AUS")],
+                                     "anzsco_code STRING, occupation_name STRING, shortage_status STRING, "
+                                     "osca_category STRING, assessment_year STRING, state_code STRING")
+    vac = spark.createDataFrame([("2024-01", "2613", "AUS", "Seasonally Adjusted", 10),
+                                 ("2024-03", "2613", "AUS", "Seasonally Adjusted", 12),
+                                 ("2024-04", "2613", "AUS", "Trend", 99)],
+                                "vacancy_period STRING, anzsco_code STRING, state_code STRING, measure STRING, "
+                                "vacancy_count BIGINT")
+    prof = spark.createDataFrame([("261313", "median_full_time_earnings_per_week", "2000.50"),
+                                  ("261313", "employed", "150000")],
+                                 "anzsco_code STRING, dimension STRING, value_text STRING")
+    exact = occ.occupation_view(shortage, vac, prof).first()
+    assert exact.latest_vacancies is None  # six-digit vs four-digit codes never match exactly
+    pref = occ.occupation_view(shortage, vac, prof, code_prefix=4).first()
+    assert (pref.latest_vacancies, pref.vacancy_as_at, float(pref.median_annual_salary_aud), pref.employment_size) == (
+        12, "2024-03", 104026.0, "150000")
+    ceil = spark.createDataFrame(
+        [("261313", "SE", "189", "NATIONAL", 100, 50, 50.0, "UP", 1), ("261313", "SE", "189", "ALL", 120, 60, 50.0, "DOWN", 2),
+         ("261313", "SE", "190", "NSW", 9, 9, 100.0, "UP", 3)],
+        "anzsco_code STRING, occupation_name STRING, visa_subclass STRING, state STRING, ceiling BIGINT, "
+        "invitations_issued BIGINT, fill_rate_pct DOUBLE, trend STRING, source_row BIGINT")
+    osl = spark.createDataFrame([("261313", "SE", "National Shortage", "L1", "National")],
+                                "anzsco_code STRING, occupation_name STRING, shortage_status STRING, shortage_level STRING, state STRING")
+    lists = spark.createDataFrame([("261313", "SE", "MLTSSL", "ACS", "189, 190")],
+                                  "anzsco_code STRING, occupation_name STRING, list_type STRING, assessing_body STRING, visa_subclass STRING")
+    m = occ.occupation_mart(ceil, osl, lists, "2025-06").first()
+    assert (m.ceiling_189, m.trend_189, m.ceiling_190) == (120, "DOWN", None)  # last national row wins; NSW ignored
+    assert (m.shortage_national, m.eligible_189, m.eligible_190, m.eligible_491, m.list_type) == (1, 1, 1, 0, "MLTSSL")
