@@ -194,3 +194,24 @@ def test_occupation_view_and_mart(spark):
     m = occ.occupation_mart(ceil, osl, lists, "2025-06").first()
     assert (m.ceiling_189, m.trend_189, m.ceiling_190) == (120, "DOWN", None)  # last national row wins; NSW ignored
     assert (m.shortage_national, m.eligible_189, m.eligible_190, m.eligible_491, m.list_type) == (1, 1, 1, 0, "MLTSSL")
+
+
+def test_sector_yoy_new_and_vanished(spark):
+    from tidemark.operators.scoring import sector_yoy
+
+    rows = [(2020, 6, "A", "HE", "x", 100, 0), (2020, 6, "A", "VET", "x", 50, 0),
+            (2021, 6, "A", "HE", "x", 120, 0), (2021, 6, "A", "ELICOS", "x", 30, 0)]
+    fact = spark.createDataFrame(rows, "enrol_year INT, enrol_month INT, nationality STRING, sector STRING, "
+                                       "state_code STRING, ytd_enrolments BIGINT, ytd_commencements BIGINT")
+    got = {r.sector: (r.current_total, r.previous_total, r.yoy_pct) for r in sector_yoy(fact).collect()}
+    assert got == {"HE": (120, 100, 20.0), "VET": (0, 50, -100.0), "ELICOS": (30, 0, None)}
+
+
+def test_crosstabs(spark):
+    from tidemark.operators.reshape import crosstab_periods_to_long, crosstab_to_long
+
+    ct = spark.createDataFrame([("India", 5, None), ("Nepal", 2, 3)], "country STRING, `2006_07` INT, `2007_08` INT")
+    long = {(r.country, r.period): r.v for r in crosstab_periods_to_long(ct, ["country"], "v").collect()}
+    assert long == {("India", "2006-07"): 5, ("Nepal", "2006-07"): 2, ("Nepal", "2007-08"): 3}
+    two = spark.createDataFrame([("189", 4, None)], "visa STRING, NSW INT, VIC INT")
+    assert [(r.visa, r.state, r.n) for r in crosstab_to_long(two, "visa", "state", "n").collect()] == [("189", "NSW", 4.0)]
