@@ -215,3 +215,15 @@ def test_crosstabs(spark):
     assert long == {("India", "2006-07"): 5, ("Nepal", "2006-07"): 2, ("Nepal", "2007-08"): 3}
     two = spark.createDataFrame([("189", 4, None)], "visa STRING, NSW INT, VIC INT")
     assert [(r.visa, r.state, r.n) for r in crosstab_to_long(two, "visa", "state", "n").collect()] == [("189", "NSW", 4.0)]
+
+
+def test_trend_labels_and_ytd_checks(spark):
+    from tidemark.operators.windows import trend_label, ytd_decreases
+
+    s = spark.createDataFrame([("A", 2019, 10), ("A", 2020, 12), ("A", 2021, 12), ("A", 2022, 5)], "k STRING, y INT, v INT")
+    got = [r.trend for r in trend_label(s, ["k"], "y", "v").orderBy("y").collect()]
+    assert got == [None, "UP", "STABLE", "DOWN"]
+    ytd = spark.createDataFrame([(2020, 1, "A", 5), (2020, 2, "A", 4), (2020, 3, "A", 6), (2021, 1, "A", 1)],
+                                "y INT, m INT, k STRING, ytd INT")
+    bad = ytd_decreases(ytd, "y", "m", ["k"], "ytd").collect()
+    assert [(r.y, r.m, r.ytd, r.prev_ytd) for r in bad] == [(2020, 2, 4, 5)]  # a new year may restart lower
