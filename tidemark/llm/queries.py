@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, sharding
+from tidemark.llm import decontam, langid, sharding
 from tidemark.llm.common import held_out, table
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand inside a benchmark window."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard of at most SHARD_BYTES bytes of text."""
     return sharding.assign_shards(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("_key")
@@ -24,11 +30,31 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
     "op7_shards": op7_shards,
     "op10_language": op10_language,
 }
 
+_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLE: dict[str, str] = {
+    "op1_decontaminate": f"""
+WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
+wins AS (
+  SELECT item_id, least(13, len(w)) AS n, array_to_string(w[s + 1:s + least(13, len(w))], ' ') AS g
+  FROM i, unnest(range(0, greatest(0, len(w) - 13) + 1)) AS t(s) WHERE len(w) > 0),
+grams AS (
+  SELECT doc_id, n, p, array_to_string(w[p + 1:p + n], ' ') AS g
+  FROM d, (SELECT DISTINCT n FROM wins), unnest(range(0, len(w) - n + 1)) AS t(p) WHERE len(w) >= n),
+hits AS (SELECT DISTINCT doc_id, item_id, p, n FROM grams JOIN wins USING (n, g)),
+per AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit, list_sort(list(DISTINCT item_id)) AS ids
+  FROM hits, unnest(range(p, p + n)) AS t(q) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(ids), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN per USING (doc_id)""",
     "op7_shards": f"""
 WITH keyed AS (
   SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes,
