@@ -56,3 +56,24 @@ def small(df: DataFrame, bytes_of: Column, limit: int = BROADCAST_BYTES) -> tupl
     is (a shuffle join follows), and which of the two it was."""
     fits = (df.agg(F.sum(bytes_of + F.lit(64))).first()[0] or 0) <= limit
     return (F.broadcast(df) if fits else df), fits
+
+
+#: Bits of the map behind :func:`may_match`: at most 4 MiB are broadcast, at every input size.
+MAP_BITS = 1 << 25
+
+
+def may_match(df: DataFrame, key: Column, keys: DataFrame, key_of: Column) -> DataFrame:
+    """``df`` without most rows whose ``key`` is none of ``key_of`` in ``keys``; loses none that is.
+
+    The keys' hashes are set in a bit map of fixed size, which is broadcast.  It only
+    spares a later join rows to shuffle; once it is full it lets all of them through.
+    """
+    spot = F.pmod(F.xxhash64(key_of), F.lit(MAP_BITS))
+    bits = keys.select(spot.alias("_s")).groupBy(F.call_function("bitmap_bucket_number", "_s").alias("_bucket")) \
+        .agg(F.call_function("bitmap_construct_agg", F.call_function("bitmap_bit_position", "_s")).alias("_bits"))
+    own = df.withColumn("_s", F.pmod(F.xxhash64(key), F.lit(MAP_BITS))) \
+        .withColumn("_bucket", F.call_function("bitmap_bucket_number", "_s"))
+    at = F.call_function("bitmap_bit_position", "_s")
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, (at % 8).cast("int")) == 1
+    return own.join(F.broadcast(bits), "_bucket").where(is_set).drop("_bucket", "_s", "_bits")

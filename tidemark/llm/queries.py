@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, langid, sharding
+from tidemark.llm import decontam, langid, sharding, suffixdedup
 from tidemark.llm.common import held_out, table
 
 
@@ -22,6 +22,11 @@ def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("_key")
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document covered by 200-byte strings that start elsewhere too."""
+    return suffixdedup.dedup_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language; learned from the documents that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -32,6 +37,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op7_shards": op7_shards,
+    "op9_substrings": op9_substrings,
     "op10_language": op10_language,
 }
 
