@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, langid, sharding, suffixdedup
+from tidemark.llm import decontam, jaccard, langid, sharding, suffixdedup
 from tidemark.llm.common import held_out, table
 
 
@@ -17,6 +17,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shingle count and the component of its near copies."""
+    return jaccard.similarity_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard of at most SHARD_BYTES bytes of text."""
     return sharding.assign_shards(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("_key")
@@ -36,6 +41,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op6_jaccard": op6_jaccard,
     "op7_shards": op7_shards,
     "op9_substrings": op9_substrings,
     "op10_language": op10_language,
@@ -61,6 +67,23 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
        sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN per USING (doc_id)""",
+    "op6_jaccard": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p + 1:p + 5], ' ') AS g
+  FROM d, unnest(range(0, greatest(0, len(w) - 5) + 1)) AS t(p) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY ALL),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s AS x JOIN s AS y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b
+  WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)""",
     "op7_shards": f"""
 WITH keyed AS (
   SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes,
