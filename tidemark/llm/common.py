@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -42,7 +44,24 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each Spark context, wherever they start."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tidemark_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    path = os.path.join(tempfile.mkdtemp(prefix="tidemark-py-"), f"tidemark-{uuid.uuid4().hex}.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(os.path.join(root, "tidemark")):
+            for name in names:
+                if name.endswith(".py"):
+                    out.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), root))
+    sc.addPyFile(path)
+    sc._tidemark_shipped = True
+
+
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    ship(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, jaccard, langid, sharding, suffixdedup
+from tidemark.llm import decontam, jaccard, langid, neardup, sharding, suffixdedup
 from tidemark.llm.common import held_out, table
 
 
@@ -17,6 +17,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's links of cosine 0.9 and more, and the component they make."""
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shingle count and the component of its near copies."""
     return jaccard.similarity_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -41,6 +46,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op5_embeddings": op5_embeddings,
     "op6_jaccard": op6_jaccard,
     "op7_shards": op7_shards,
     "op9_substrings": op9_substrings,
