@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, jaccard, langid, neardup, sharding, suffixdedup
+from tidemark.llm import chat, decontam, jaccard, langid, neardup, sharding, suffixdedup
 from tidemark.llm.common import held_out, table
 
 
@@ -17,6 +17,14 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation in budgeted windows, read back; with one that quotes control strings."""
+    extra = spark.createDataFrame([(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")],
+                                  "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.digests(chat.windows(turns))
+
+
 def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's links of cosine 0.9 and more, and the component they make."""
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
@@ -46,6 +54,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op3_chat": op3_chat,
     "op5_embeddings": op5_embeddings,
     "op6_jaccard": op6_jaccard,
     "op7_shards": op7_shards,
