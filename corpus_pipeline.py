@@ -1,4 +1,9 @@
-"""The corpus pipeline: stages over documents, each written and read again."""
+"""The corpus pipeline: five stages over documents, each written and read again.
+
+Language identification, near-copy removal, benchmark decontamination, mixing and
+sharding.  Every stage reads all rows that the one before it kept; all but the last
+return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
@@ -6,12 +11,81 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm.common import shared_dir, table
+from tidemark.llm import decontam, jaccard, langid, mixing, sharding
+from tidemark.llm.common import cut, held_out, maybe, shared_dir, table
+from tidemark.llm.queries import labelled_domains
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+#: A document whose n-grams fit no learned language better than this is rejected.
+MIN_SCORE = 0.05
+
+
+def without(docs: DataFrame, key: list[F.Column], gone: DataFrame, names: list[str]) -> DataFrame:
+    """``docs`` but the rows whose ``key`` is in ``gone`` (columns ``names``); rows that are
+    surely not in it are not shuffled."""
+    flagged = maybe(docs, F.xxhash64(*key), gone, F.xxhash64(*names))
+    for n, k in zip(names, key, strict=True):
+        flagged = flagged.withColumn(f"_{n}", k)
+    same = [F.col(f"_{n}").eqNullSafe(F.col(f"gone.{n}")) for n in names]
+    met = flagged.where("_maybe").join(gone.alias("gone"), same, "left_anti")
+    return flagged.where("not _maybe").unionByName(met).select(docs.columns)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without a recognisable language; a missing lang is filled in."""
+    train = docs.where(~held_out(F.col("doc_id"))).select("text", "lang")
+    told = langid.identify(docs, train, keep_text=True)
+    known = told.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE))
+    return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one of the smallest id."""
+    sets, _, joined = jaccard.similar_classes(docs.select("doc_id", "text"))
+    placed = sets.where("ck IS NOT NULL").join(joined.withColumnRenamed("node", "ck"), "ck", "left") \
+        .withColumn("component", F.coalesce("component", "ck"))
+    # rows of one id and text are equal: of those that stay, one does
+    each = cut(placed.groupBy("component", "doc_id", "th").agg(F.count("*").alias("n")), "placed-documents")
+    first = each.groupBy("component").agg(F.min(F.struct("doc_id", "th")).alias("first"))
+    judged = each.join(first, "component").withColumn(
+        "stays", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th")))
+    gone = cut(judged.where("NOT stays OR n > 1").select("doc_id", "th", "stays"), "removed-documents")
+    key = [F.col("doc_id").cast("long"), F.xxhash64("text")]
+    rest = without(docs, key, gone, ["doc_id", "th"])
+    again = docs.withColumn("th", key[1]).alias("d").join(
+        F.broadcast(gone.where("stays").alias("g")) if gone.where("stays").limit(10_000).count() < 10_000 else gone.where("stays").alias("g"),
+        F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.th") == F.col("g.th")), "left_semi")
+    return rest.unionByName(again.dropDuplicates(["doc_id", "th"]).select(docs.columns))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents of which a twentieth or more stands in benchmark windows."""
+    report = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
+    gone = cut(report.where("contaminated").select("doc_id").distinct(), "contaminated")
+    return without(docs, [F.col("doc_id")], gone, ["doc_id"])
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats documents of the domains that are short of their targets; drops none."""
+    labelled = labelled_domains(docs, table(spark, sf_dir, "labels"))
+    return mixing.repeated(mixing.mix(docs, labelled, least=1.0), docs.columns)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The corpus with each row's shard."""
+    return sharding.with_shards(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language ID", language),
+    ("n-gram Jaccard join", near_copies),
+    ("benchmark decontamination", decontaminate),
+    ("mixing sources to target weights", mix),
+    ("sharding", shard),
+]
 
 #: Rank-order profiles and fitted rates are no SQL; tests hold the stages to brute force.
 ORACLE_SQL: str | None = None

@@ -77,15 +77,15 @@ def small(df: DataFrame, bytes_of: Column, limit: int = BROADCAST_BYTES) -> tupl
     return (F.broadcast(df) if fits else df), fits
 
 
-#: Bits of the map behind :func:`may_match`: at most 4 MiB are broadcast, at every input size.
+#: Bits of the map behind :func:`maybe`: at most 4 MiB are broadcast, at every input size.
 MAP_BITS = 1 << 25
 
 
-def may_match(df: DataFrame, key: Column, keys: DataFrame, key_of: Column) -> DataFrame:
-    """``df`` without most rows whose ``key`` is none of ``key_of`` in ``keys``; loses none that is.
+def maybe(df: DataFrame, key: Column, keys: DataFrame, key_of: Column) -> DataFrame:
+    """``df`` with ``_maybe``: False where ``key`` is surely none of ``key_of`` in ``keys``.
 
     The keys' hashes are set in a bit map of fixed size, which is broadcast.  It only
-    spares a later join rows to shuffle; once it is full it lets all of them through.
+    spares a join rows to shuffle; once it is full every row may match.
     """
     spot = F.pmod(F.xxhash64(key_of), F.lit(MAP_BITS))
     bits = keys.select(spot.alias("_s")).groupBy(F.call_function("bitmap_bucket_number", "_s").alias("_bucket")) \
@@ -95,4 +95,9 @@ def may_match(df: DataFrame, key: Column, keys: DataFrame, key_of: Column) -> Da
     at = F.call_function("bitmap_bit_position", "_s")
     byte = F.conv(F.hex(F.substring(F.col("_bits"), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     is_set = F.getbit(byte, (at % 8).cast("int")) == 1
-    return own.join(F.broadcast(bits), "_bucket").where(is_set).drop("_bucket", "_s", "_bits")
+    return own.join(F.broadcast(bits), "_bucket", "left").withColumn("_maybe", F.coalesce(is_set, F.lit(False))).drop("_bucket", "_s", "_bits")
+
+
+def may_match(df: DataFrame, key: Column, keys: DataFrame, key_of: Column) -> DataFrame:
+    """``df`` without most rows whose ``key`` is none of ``key_of`` in ``keys``; loses none that is."""
+    return maybe(df, key, keys, key_of).where("_maybe").drop("_maybe")

@@ -4,9 +4,9 @@ The index stores postings (term, document, position) of the terms that a test se
 asks for.  A phrase is looked up from its rarest terms: their posting lists,
 each shifted by the term's offset in the phrase, are intersected, so an
 occurrence shows as one (document, phrase, start) met by every list.  The lists
-of the rarest terms leave next to nothing but true occurrences; the postings of
-the rarest one also carry the words around it, and those settle the rest of the
-phrase exactly.  Everything is DataFrame and SQL expressions.
+of the rarest terms leave next to nothing but true occurrences; the words that stand
+there, read from those documents only, settle the rest of the phrase exactly.
+Everything is DataFrame and SQL expressions.
 
 A word is a maximal run outside ASCII punctuation, space and control characters,
 with A-Z lower-cased.  A benchmark item asks for its windows of 13 words; an item
@@ -26,7 +26,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, small
+from tidemark.llm.common import cut, may_match, small
 
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 13
@@ -52,18 +52,11 @@ def term_counts(docs: DataFrame, terms: DataFrame, text: str = "text") -> DataFr
         .join(side, "term").groupBy("term").agg(F.count("*").alias("n"))
 
 
-def build_index(docs: DataFrame, terms: DataFrame, around: int = 0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Postings (term, doc_id, pos) of ``terms`` (term, and boolean ``wide``), stored in
-    the shared folder.  Those of wide terms carry ``near``: up to ``around`` words to
-    either side, and ``left``, how many stand before the term."""
-    side, _ = small(terms.select("term", "wide"), F.octet_length("term"))
-    said = docs.select(F.col(doc_id).alias("doc_id"), words_of(F.col(text)).alias("_ws"))
-    left = F.least(F.col("pos"), F.lit(around))
-    near = F.transform(F.slice("_ws", F.col("pos") - left + 1, left + 1 + around), folded)
-    postings = said.select("doc_id", "_ws", F.posexplode("_ws").alias("pos", "_w")) \
-        .withColumn("term", folded(F.col("_w"))).join(side, "term")
-    return cut(postings.select("term", "doc_id", "pos", left.alias("left"),
-                               F.when(F.col("wide"), near).alias("near")), "postings")
+def build_index(docs: DataFrame, terms: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Postings (term, doc_id, pos) of ``terms`` (term), stored in the shared folder."""
+    side, _ = small(terms.select("term"), F.octet_length("term"))
+    said = docs.select(F.col(doc_id).alias("doc_id"), F.posexplode(words_of(F.col(text))).alias("pos", "_w"))
+    return cut(said.select(folded(F.col("_w")).alias("term"), "doc_id", "pos").join(side, "term"), "postings")
 
 
 def phrase_windows(items: DataFrame, counts: DataFrame, window: int = WINDOW, lists: int = LISTS) -> DataFrame:
@@ -95,30 +88,32 @@ def phrase_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, list
     vocabulary = items.select(F.explode("words").alias("term")).distinct()
     counts = cut(term_counts(docs, vocabulary), "term-counts")
     asked = cut(phrase_windows(items, counts, window, lists), "phrase-windows")
-    probes = asked.select("item", "words", F.explode("windows").alias("w")) \
-        .select("item", "words", F.posexplode("w.probes").alias("rank", "p")) \
-        .select("item", F.col("p.ipos").alias("ipos"), F.element_at("words", F.col("p.ipos") + 1).alias("term"), "rank") \
-        .groupBy("item", "ipos", "term").agg((F.min("rank") == 0).alias("wide"))
-    probes = cut(probes, "probes")
-    index = build_index(docs, probes.groupBy("term").agg(F.max("wide").alias("wide")), window - 1)
+    probes = cut(asked.select("item", "words", F.explode(F.array_distinct(F.flatten(F.transform(
+        "windows", lambda w: F.transform(w["probes"], lambda p: p["ipos"]))))).alias("ipos"))
+        .select("item", "ipos", F.element_at("words", F.col("ipos") + 1).alias("term")), "probes")
+    index = build_index(docs, probes.select("term").distinct())
     side, _ = small(probes, F.octet_length("term"))
-    met = index.join(side.withColumnRenamed("wide", "seed"), "term") \
-        .groupBy("doc_id", "item", (F.col("pos") - F.col("ipos")).alias("at")) \
-        .agg(F.collect_set("ipos").alias("places"),
-             F.collect_set(F.when(F.col("seed"), F.struct("ipos", "left", "near"))).alias("seeds"))
+    met = index.join(side, "term").groupBy("doc_id", "item", (F.col("pos") - F.col("ipos")).alias("at")) \
+        .agg(F.collect_set("ipos").alias("places"))
     by_item, _ = small(asked, F.octet_length(F.to_json(F.struct("words", "windows"))))
-
-    def found(w: Column) -> Column:
-        seed, first = w["probes"][0]["ipos"], w["start"]
-        exact = F.exists("seeds", lambda s: (s["ipos"] == seed) & (s["left"] >= seed - first) & (
-            F.slice(s["near"], F.greatest(F.lit(1), s["left"] - (seed - first) + 1), w["n"])
-            == F.slice("words", first + 1, w["n"])))
-        return F.forall(w["probes"], lambda p: F.array_contains("places", p["ipos"])) & exact
-
     fewest = F.array_min(F.transform("windows", lambda w: F.size(w["probes"])))
-    return met.join(by_item, "item").where(F.size("places") >= fewest) \
-        .select("doc_id", "item", "item_id", "at", F.explode(F.filter("windows", found)).alias("w")) \
-        .select("doc_id", "item", "item_id", (F.col("at") + F.col("w.start")).alias("start"), F.col("w.n").alias("n"))
+    inside = F.filter("windows", lambda w: (F.col("at") + w["start"] >= 0)
+                      & F.forall(w["probes"], lambda p: F.array_contains("places", p["ipos"])))
+    likely = cut(met.join(by_item, "item").where(F.size("places") >= fewest)
+                 .select("doc_id", "item", "at", F.explode(inside).alias("w"))
+                 .select("doc_id", F.struct("item", (F.col("at") + F.col("w.start")).alias("start"), F.col("w.start").alias("first"),
+                                            F.col("w.n").alias("n")).alias("x"))
+                 .groupBy("doc_id").agg(F.collect_set("x").alias("asked")), "likely")
+    # the words that stand there settle the terms whose lists were not read
+    read = may_match(docs.select("doc_id", "text"), F.col("doc_id"), likely, F.col("doc_id")).alias("d").join(
+        likely.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))) \
+        .select("d.doc_id", "asked", words_of(F.col("text")).alias("_ws"))
+    there = F.transform("asked", lambda x: F.struct(
+        x["item"].alias("item"), x["start"].alias("start"), x["first"].alias("first"), x["n"].alias("n"),
+        F.transform(F.slice("_ws", x["start"] + 1, x["n"]), folded).alias("said")))
+    return read.select("doc_id", F.explode(there).alias("x")).select("doc_id", "x.*").join(by_item, "item") \
+        .where(F.col("said") == F.slice("words", F.col("first") + 1, F.col("n"))) \
+        .select("doc_id", "item", "item_id", "start", "n").distinct()
 
 
 def proximity_matches(index: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -128,9 +128,9 @@ def learn_profiles(docs: DataFrame, size: int = PROFILE) -> DataFrame:
     return total.withColumn("place", place).where(F.col("place") < size).select("lang", "gram", "place")
 
 
-def predict(docs: DataFrame, profiles: DataFrame, size: int = PROFILE) -> DataFrame:
-    """``docs`` columns but ``text`` with lang_pred and score (1 less the distance as a
-    part of the largest possible one).
+def predict(docs: DataFrame, profiles: DataFrame, size: int = PROFILE, keep_text: bool = False) -> DataFrame:
+    """``docs`` (but ``text``, if it isn't to be kept) with lang_pred and score (1 less the
+    distance as a part of the largest possible one).
 
     The profiles reach the driver: ``size`` rows a language, so they follow the number
     of languages and not the corpus.
@@ -163,11 +163,12 @@ def predict(docs: DataFrame, profiles: DataFrame, size: int = PROFILE) -> DataFr
             yield pa.RecordBatch.from_arrays([*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                              names=[*others, "lang_pred", "score"])
 
-    others = [c for c in docs.columns if c not in ("text", "lang_pred", "score")]
+    others = [c for c in docs.columns if c not in ("lang_pred", "score") and (keep_text or c != "text")]
     types = dict(docs.dtypes)
     schema = ", ".join([*(f"`{c}` {types[c]}" for c in others), "lang_pred string", "score double"])
-    return arrow_map(docs.select(*others, "text"), score, schema)
+    return arrow_map(docs.select(*others, *([] if keep_text else ["text"])), score, schema)
 
 
-def identify(docs: DataFrame, train: DataFrame, size: int = PROFILE) -> DataFrame:
-    return predict(docs, cut(learn_profiles(train, size), "language-profiles"), size)
+def identify(docs: DataFrame, train: DataFrame, size: int = PROFILE, keep_text: bool = False) -> DataFrame:
+    """:func:`predict` for ``docs`` with the profiles of ``train`` (text, lang)."""
+    return predict(docs, cut(learn_profiles(train, size), "language-profiles"), size, keep_text)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, jaccard, langid, neardup, sharding, suffixdedup
+from tidemark.llm import chat, decontam, jaccard, langid, mixing, neardup, ordinal, sharding, suffixdedup, warc
 from tidemark.llm.common import held_out, table
 
 
@@ -17,6 +17,13 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's expected grade and whether it is selected."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights, thresholds = ordinal.fit(docs, ordinal.grades(table(spark, sf_dir, "labels")))
+    return ordinal.score(docs, weights, thresholds).drop("place")
+
+
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation in budgeted windows, read back; with one that quotes control strings."""
     extra = spark.createDataFrame([(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")],
@@ -25,6 +32,17 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.windows(turns))
 
 
+def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, y): the language, as domain, of the documents that the labelled table holds."""
+    return docs.select("doc_id", F.col("lang").alias("y")).join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's rate, so that the languages' expected tokens match their targets."""
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mix(docs.select("doc_id", "text"), labelled_domains(docs, table(spark, sf_dir, "labels"))).drop("text")
+
+
 def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's links of cosine 0.9 and more, and the component they make."""
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
@@ -37,7 +55,21 @@ def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard of at most SHARD_BYTES bytes of text."""
-    return sharding.assign_shards(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("_key")
+    return sharding.assign_shards(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op8_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's WARC record, and what an audit of a damaged second replica says of it."""
+    held = warc.archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    draw = F.conv(F.substring(F.md5(F.coalesce(F.col("page_id").cast("string"), F.lit("")).cast("binary")), 1, 8), 16, 10).cast("long")
+    flipped = F.overlay("record", F.lit(b"\x01"), F.col("length").cast("int") - 4)
+    copy = held.where(draw % 97 != 1).withColumn("record", F.when(draw % 89 == 0, flipped).otherwise(F.col("record")))
+    ours, theirs = warc.leaves(held), warc.leaves(copy)
+    found = warc.audit(ours, theirs)
+    return held.select("page_id", "file", "offset", F.col("length").alias("n_bytes")) \
+        .join(ours.select("file", "offset", F.col("hash").alias("record_sha256")), ["file", "offset"]) \
+        .join(found, ["file", "offset"], "left") \
+        .select("page_id", "n_bytes", "record_sha256", F.coalesce("status", F.lit("intact")).alias("status"))
 
 
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,10 +86,13 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_quality": op2_quality,
     "op3_chat": op3_chat,
+    "op4_mixing": op4_mixing,
     "op5_embeddings": op5_embeddings,
     "op6_jaccard": op6_jaccard,
     "op7_shards": op7_shards,
+    "op8_fixity": op8_fixity,
     "op9_substrings": op9_substrings,
     "op10_language": op10_language,
 }
@@ -117,4 +152,14 @@ SELECT doc_id, n_bytes, substr(lpad(bin(k), 60, '0'), 1, lev) AS shard,
                  // greatest(1, {sharding.SHARD_BYTES} // greatest(n_bytes, 1)) ELSE 0 END AS page,
        lev::INTEGER AS shard_depth, b AS shard_bytes, n AS shard_docs
 FROM leaves""",
+    "op8_fixity": r"""
+WITH r AS (
+  SELECT page_id, ('0x' || substr(md5(coalesce(CAST(page_id AS VARCHAR), '')), 1, 8))::BIGINT AS draw,
+         'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
+         || coalesce(CAST(page_id AS VARCHAR), '') || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')
+         || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: '
+         || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '')
+         || chr(13) || chr(10) || chr(13) || chr(10) AS record FROM pages)
+SELECT page_id, strlen(record) AS n_bytes, sha256(record) AS record_sha256,
+       CASE WHEN draw % 97 = 1 THEN 'missing' WHEN draw % 89 = 0 THEN 'corrupt' ELSE 'intact' END AS status FROM r""",
 }

@@ -10,8 +10,8 @@ the directory stays a DataFrame: nothing but one total reaches the driver.
 Defined cases: a null text has 0 bytes and a null id takes part as such; an empty
 table gives no rows; a row larger than the limit gets a shard of its own; rows
 repeated exactly share every key bit, so a bucket of them is paged instead
-(``page`` 0, 1, ...), each page within the limit; further columns are ignored
-by :func:`assign_shards` and kept by :func:`with_shards`.
+(``page`` 0, 1, ...), each page within the limit; further columns are kept by
+:func:`with_shards`, and replaced where they are called like one that is added.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import cut, small
 
 KEY_BITS = 60
 #: Bytes of text in a shard.  Small, as the given tables are; use 256 MiB and more at 100 TB.
@@ -73,59 +73,59 @@ def _pages(rows: DataFrame, limit: int) -> DataFrame:
         .withColumn("page", F.floor((F.col("_rank") + F.col("_before")) / per_page).cast("long"))
 
 
+#: Columns that the result adds or that are needed on the way; such columns of the input are replaced.
+ADDED = ["n_bytes", "shard", "page", "shard_depth", "shard_bytes", "shard_docs"]
+_OWN = ["_key", "_rid", "_fine", "_pid", "_rank", "_before", "leaf"]
+
+
+def with_shards(docs: DataFrame, limit: int = SHARD_BYTES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with n_bytes, shard (its prefix as 0s and 1s; the single bucket of an
+    unsplit directory is the empty string), page, shard_depth, shard_bytes and
+    shard_docs (both of the bucket).  Rows meet the directory, never each other: no
+    text is shuffled while the directory is small enough to broadcast."""
+    kept = [c for c in docs.columns if c not in ADDED + _OWN]
+    return _assign(docs, limit, doc_id, text, kept)
+
+
 def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, n_bytes, shard (its prefix as 0s and 1s; the
-    single bucket of an unsplit directory is the empty string), page, shard_depth,
-    shard_bytes and shard_docs (of the bucket)."""
+    """Like :func:`with_shards`, but of the columns of ``docs`` only the id is kept."""
+    return _assign(docs, limit, doc_id, text, [doc_id])
+
+
+def _assign(docs: DataFrame, limit: int, doc_id: str, text: str, kept: list[str]) -> DataFrame:
     rows = cut(docs.select(
-        F.col(doc_id).alias("_id"), hash_key(F.col(doc_id), F.col(text)).alias("_key"),
+        *kept, hash_key(F.col(doc_id), F.col(text)).alias("_key"),
         F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long").alias("n_bytes"),
-        F.monotonically_increasing_id().alias("_rid")), "shard-keys")
+        F.monotonically_increasing_id().alias("_rid")), "shard-rows")
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
     levels = min(KEY_BITS, max(1, math.ceil(math.log2(max(1.0, total / limit))) + 4))
     done, todo, depth = [], rows, 0
     while True:
-        leaves = split_levels(todo, depth, levels, limit)
-        if depth + levels < KEY_BITS:
-            leaves = cut(leaves, "shard-directory")
-        keyed = todo.withColumn("_fine", _prefix(F.lit(depth + levels)))
+        finest = depth + levels
+        leaves, _ = small(cut(split_levels(todo.select("_key", "n_bytes"), depth, levels, limit), "shard-directory"), F.lit(64))
+        keyed = todo.withColumn("_fine", _prefix(F.lit(finest)))
         done.append(keyed.join(leaves, "_fine"))
-        if depth + levels >= KEY_BITS:
-            break
         rest = keyed.join(leaves, "_fine", "left_anti")
-        if rest.isEmpty():
+        if finest >= KEY_BITS or rest.isEmpty():
             break
-        todo, depth = cut(rest.select(rows.columns), "shard-rest"), depth + levels
+        todo, depth = cut(rest.select(rows.columns), "shard-rest"), finest
         levels = min(levels, KEY_BITS - depth)
     found = done[0]
     for more in done[1:]:
         found = found.unionByName(more)
     full = F.col("leaf.one") & (F.col("leaf.n") > 1) & (F.col("leaf.b") > limit)
-    paged = _pages(found.where(full), limit).drop("_pid", "_rank", "_before")
-    every = found.where(~full).withColumn("page", F.lit(0).cast("long")).unionByName(paged)
+    paged = _pages(found.where(full).select("_key", "_rid", "n_bytes"), limit).select("_rid", F.col("page").alias("_page"))
+    every = found.where(~full).withColumn("page", F.lit(0).cast("long")).unionByName(
+        found.where(full).join(paged, "_rid").withColumnRenamed("_page", "page"))
     bits = F.substring(F.lpad(F.conv(F.col("leaf.p").cast("string"), 10, 2), KEY_BITS, "0"),
                        F.lit(KEY_BITS + 1) - F.col("leaf.lev"), F.col("leaf.lev"))
     return every.select(
-        F.col("_id").alias(doc_id), "n_bytes", bits.alias("shard"), "page", F.col("leaf.lev").alias("shard_depth"),
-        F.col("leaf.b").alias("shard_bytes"), F.col("leaf.n").alias("shard_docs"), "_key")
-
-
-def with_shards(docs: DataFrame, limit: int = SHARD_BYTES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with a column ``shard`` (prefix, and page where there is more than one).
-
-    The rows carry their texts only as far as the join on the key.  A column of that
-    name in ``docs`` is replaced.  Rows repeated exactly are told apart by page in
-    :func:`assign_shards`; here each takes a page by turns.
-    """
-    shards = assign_shards(docs, limit, doc_id, text)
-    by_key = shards.groupBy("_key").agg(F.first("shard").alias("_shard"), (F.max("page") + 1).alias("_pages"))
-    keyed = docs.drop("shard").withColumn("_key", hash_key(F.col(doc_id), F.col(text)))
-    page = F.when(F.col("_pages") > 1, F.concat(F.lit("."), F.pmod(F.monotonically_increasing_id(), F.col("_pages")).cast("string")))
-    return keyed.join(by_key, "_key").withColumn("shard", F.concat("_shard", F.coalesce(page, F.lit("")))) \
-        .drop("_key", "_shard", "_pages")
+        *kept, "n_bytes", bits.alias("shard"), "page", F.col("leaf.lev").alias("shard_depth"),
+        F.col("leaf.b").alias("shard_bytes"), F.col("leaf.n").alias("shard_docs"))
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES, doc_id: str = "doc_id", text: str = "text") -> None:
-    """Parquet, one folder per shard."""
-    with_shards(docs, limit, doc_id, text).withColumn("shard", F.concat(F.lit("s"), F.col("shard"))) \
-        .repartition("shard").write.partitionBy("shard").parquet(path)
+    """Parquet, one folder per shard and page."""
+    name = F.concat(F.lit("s"), F.col("shard"), F.lit("."), F.col("page").cast("string"))
+    with_shards(docs, limit, doc_id, text).withColumn("folder", name).drop(*ADDED) \
+        .repartition("folder").write.partitionBy("folder").parquet(path)
