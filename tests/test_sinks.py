@@ -123,3 +123,45 @@ def test_partitioned_version_prunes(spark, tmp_root):
     assert q.count() == 12
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(enrol_year" in plan
+
+
+def test_upsert_null_key_rerun_changes_nothing(spark, tmp_root):
+    batch = spark.createDataFrame([(None, "NSW", 1), ("India", None, 2)], "name STRING, state STRING, value INT")
+    batch = batch.withColumn("_etl_loaded_at", F.current_timestamp())
+    for expected in ((2, 0, 0), (0, 0, 2)):
+        res = sinks.upsert(spark, batch, tmp_root, "n", ["name", "state"])
+        assert (res.inserted, res.updated, res.unchanged) == expected
+    res = sinks.upsert(spark, batch.withColumn("value", F.col("value") + 1), tmp_root, "n", ["name", "state"])
+    assert (res.inserted, res.updated, res.unchanged) == (0, 2, 0)
+    assert sinks.read_table(spark, tmp_root, "n").count() == 2
+
+
+def test_upsert_blank_equals_null(spark, tmp_root):
+    sinks.upsert(spark, spark.createDataFrame([(None, 1)], "name STRING, value INT"), tmp_root, "b", ["name"], blanks={"name": ""})
+    res = sinks.upsert(spark, spark.createDataFrame([("", 5)], "name STRING, value INT"), tmp_root, "b", ["name"], blanks={"name": ""})
+    assert (res.inserted, res.updated) == (0, 1)
+    assert [tuple(r) for r in sinks.read_table(spark, tmp_root, "b").collect()] == [(None, 5)]
+
+
+def test_release_switches_with_one_commit(spark, tmp_root, monkeypatch):
+    one = spark.createDataFrame([(1,)], "k INT")
+    sinks.publish_release(spark, tmp_root, {"a": one, "b": one})
+    before = sinks.live_tables(spark, tmp_root)
+
+    def broken(*_):
+        raise OSError("the store went away")
+
+    monkeypatch.setattr(sinks, "_write_new", broken)
+    with pytest.raises(OSError):
+        sinks.publish_release(spark, tmp_root, {"a": one.union(one), "b": one.union(one)})
+    monkeypatch.undo()
+    assert sinks.live_tables(spark, tmp_root) == before
+    assert sinks.read_table(spark, tmp_root, "a").count() == sinks.read_table(spark, tmp_root, "b").count() == 1
+
+
+def test_append_leaves_open_readers_alone(spark, tmp_root):
+    a = spark.range(5)
+    sinks.append_rows(spark, a, tmp_root, "app")
+    reader = sinks.read_table(spark, tmp_root, "app")
+    sinks.append_rows(spark, a, tmp_root, "app")
+    assert reader.count() == 5 and sinks.read_table(spark, tmp_root, "app").count() == 10

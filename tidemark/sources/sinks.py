@@ -1,16 +1,17 @@
 """Publishing: keyed upsert, validated atomic replace, appends and exports.
 
 Tables are folders of immutable versions under a root on the cluster's shared
-file system::
+file system, and a commit log says which of them are live::
 
     {root}/{table}/v=000001/part-*.parquet
-    {root}/{table}/_CURRENT            <- text: "v=000001"
+    {root}/_COMMITS/000000000007      <- JSON: {"enrol": ["v=000003"], "fx": ["v=000001", "v=000002"]}
 
-A write never touches the version being read: it lands in a new version
-folder, is validated and recounted, and only then does ``_CURRENT`` switch
-(write to a temporary name, then rename).  Readers resolve ``_CURRENT``, so a
-failed or short load leaves the previous version in place.  Several tables can
-switch together through one release file (K09).
+A write never touches a folder that a reader may see: it lands in a new version
+folder, is validated and recounted, and only then is the next commit written,
+under a temporary name and renamed to a name that did not exist before.  Readers
+take the highest commit, and one commit holds every table's live folders, so a table or
+a whole release switches with one rename and there is no moment without a published
+state.  A failed or short load leaves the state before it.
 
 File-system access goes through Hadoop's ``FileSystem`` on the JVM, so the same
 code works on HDFS, object stores and local disk.
@@ -19,6 +20,7 @@ code works on HDFS, object stores and local disk.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -26,8 +28,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-POINTER = "_CURRENT"
-RELEASE = "_RELEASE"
+COMMITS = "_COMMITS"
+#: Older commits are removed, but for this many.
+KEPT_COMMITS = 20
+#: Columns that say where and when a row was loaded; a change in them alone is no change.
+LINEAGE = ("_etl_source", "_etl_loaded_at", "_etl_file")
 
 
 # ---------------------------------------------------------------------------
@@ -58,20 +63,18 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def _write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
-    """Write to ``path.tmp`` then rename over ``path`` (delete-then-rename where
-    the file system cannot rename over an existing file)."""
+def _write_new(spark: SparkSession, path: str, text: str) -> None:
+    """Write to a temporary name, then rename to ``path``, which must not exist."""
     fs, p, jvm = _fs(spark, path)
-    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    out = fs.create(tmp, True)
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(tmp, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(tmp, p):
-        raise OSError(f"could not publish {path}")
+    if fs.exists(p) or not fs.rename(tmp, p):
+        fs.delete(tmp, False)
+        raise OSError(f"could not publish {path}: it exists already")
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -88,25 +91,52 @@ def table_dir(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
+def _commits(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the complete commits, ascending."""
+    fs, p, _ = _fs(spark, f"{root.rstrip('/')}/{COMMITS}")
+    if not fs.exists(p):
+        return []
+    return sorted(int(f.getPath().getName()) for f in fs.listStatus(p) if f.getPath().getName().isdigit())
+
+
+def live_tables(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """Every published table's live version folders: the newest commit."""
+    done = _commits(spark, root)
+    return json.loads(_read_text(spark, f"{root.rstrip('/')}/{COMMITS}/{done[-1]:012d}") or "{}") if done else {}
+
+
+def commit(spark: SparkSession, root: str, changes: Mapping[str, Sequence[str]]) -> None:
+    """Make ``changes`` (table to version folders) live, all with one rename."""
+    done = _commits(spark, root)
+    state = {**live_tables(spark, root), **{t: list(v) for t, v in changes.items()}}
+    folder = f"{root.rstrip('/')}/{COMMITS}"
+    _write_new(spark, f"{folder}/{(done[-1] if done else 0) + 1:012d}", json.dumps(state, sort_keys=True))
+    for old in done[:-KEPT_COMMITS]:
+        _delete(spark, f"{folder}/{old:012d}")
+
+
 def current_version(spark: SparkSession, root: str, table: str) -> str | None:
-    txt = _read_text(spark, f"{table_dir(root, table)}/{POINTER}")
-    return txt.strip() if txt else None
+    """The newest live version folder of a table."""
+    live = live_tables(spark, root).get(table)
+    return live[-1] if live else None
 
 
-def _next_version(current: str | None) -> str:
-    n = int(current.split("=")[1]) + 1 if current else 1
-    return f"v={n:06d}"
+def _next_version(spark: SparkSession, root: str, table: str) -> str:
+    """A folder name after every one there is, published or left over."""
+    fs, p, _ = _fs(spark, table_dir(root, table))
+    names = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+    return f"v={max([int(n[2:]) for n in names if n.startswith('v=') and n[2:].isdigit()], default=0) + 1:06d}"
 
 
 def read_table(spark: SparkSession, root: str, table: str, schema: T.StructType | str | None = None) -> DataFrame | None:
-    """The published version of a table (``None`` when nothing is published)."""
-    v = current_version(spark, root, table)
-    if v is None:
+    """The published rows of a table (``None`` when nothing is published)."""
+    live = live_tables(spark, root).get(table)
+    if not live:
         return None
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(f"{table_dir(root, table)}/{v}")
+    return reader.parquet(*[f"{table_dir(root, table)}/{v}" for v in live])
 
 
 def nan_to_null_all(df: DataFrame) -> DataFrame:
@@ -151,10 +181,6 @@ def _write_version(
     return int(obs.get["n"])
 
 
-def publish(spark: SparkSession, root: str, table: str, version: str) -> None:
-    _write_text_atomic(spark, f"{table_dir(root, table)}/{POINTER}", version)
-
-
 def replace_table(
     spark: SparkSession,
     df: DataFrame,
@@ -173,7 +199,7 @@ def replace_table(
     2. write the frame to a new version folder, counting rows as they pass;
     3. recount the written version from its files and compare with the rows
        written (and ``expected_rows`` when given);
-    4. only then switch ``_CURRENT``.  Any failure leaves the old version live.
+    4. only then commit it.  Any failure leaves the old version live.
     """
     from tidemark.operators.quality import duplicate_key_groups
 
@@ -183,15 +209,14 @@ def replace_table(
             raise LoadError(f"{table}: duplicate keys on {list(key_columns)}, e.g. {[r.asDict() for r in dups]}")
     if dry_run:
         return LoadResult(table, None, df.count(), dry_run=True)
-    cur = current_version(spark, root, table)
-    ver = _next_version(cur)
+    ver = _next_version(spark, root, table)
     path = f"{table_dir(root, table)}/{ver}"
     written = _write_version(nan_to_null_all(df), path, partition_by=partition_by)
     recount = spark.read.parquet(path).count()
     if recount != written or (expected_rows is not None and recount != expected_rows):
         _delete(spark, path)
         raise LoadError(f"{table}: wrote {written}, found {recount}, expected {expected_rows}; old version kept")
-    publish(spark, root, table, ver)
+    commit(spark, root, {table: [ver]})
     return LoadResult(table, ver, written, inserted=written, published=True)
 
 
@@ -204,6 +229,8 @@ def upsert(
     mode: str = "update",
     order_col: str | None = None,
     dry_run: bool = False,
+    blanks: Mapping[str, str] | None = None,
+    lineage: Sequence[str] = LINEAGE,
 ) -> LoadResult:
     """K01/K02 (K06 dry run, Q10 idempotent rerun, U06 dedupe only on the
     declared key): keyed upsert into the published table, producing a new version.
@@ -213,38 +240,42 @@ def upsert(
     ``mode="replace_row"``: the new row replaces the old one whole; columns
     ``df`` lacks become NULL.  Within ``df`` a repeated key keeps the row with
     the highest ``order_col`` (last wins); without ``order_col`` a repeated key
-    is an error.  Counts of inserted, updated and unchanged keys are returned.
+    is an error.  NULL key parts equal each other, and the blank value that
+    ``blanks`` gives for their column.  Counts of inserted, updated and unchanged keys
+    are returned; a row that differs in ``lineage`` columns only is unchanged and stays
+    as it was, so a rerun of the same batch changes nothing.
 
-    Plan: one full outer join of old and new on the key (shuffled on the key),
-    one aggregate for the counts, one write.
+    Plan: one full outer join of old and new on the key (shuffled on the key)
+    and one write, which also counts.
     """
+    from tidemark.operators.quality import duplicate_key_groups
     from tidemark.operators.windows import last_wins
 
     if mode not in ("update", "replace_row"):
         raise ValueError("mode must be 'update' or 'replace_row'")
     keys = list(key_columns)
+    same = {k: F.coalesce(F.col(k).cast("string"), F.lit(blanks[k])) if k in (blanks or {}) else F.col(k) for k in keys}
+    parts = [f"__k{i}" for i in range(len(keys))]
     new = nan_to_null_all(df)
     if order_col is not None:
-        new = last_wins(new, keys, order_col).drop(order_col)
-    else:
-        from tidemark.operators.quality import duplicate_key_groups
-
-        if duplicate_key_groups(new, keys).limit(1).count():
-            raise LoadError(f"{table}: repeated keys in the batch and no order column")
+        new = last_wins(new.select("*", *[same[k].alias(p) for k, p in zip(keys, parts, strict=True)]), parts, order_col) \
+            .drop(order_col, *parts)
+    elif duplicate_key_groups(new, keys, blanks).limit(1).count():
+        raise LoadError(f"{table}: repeated keys in the batch and no order column")
     old = read_table(spark, root, table)
     if dry_run:
         return LoadResult(table, None, new.count(), dry_run=True)
     if old is None:
-        return replace_table(spark, new, root, table, keys)
+        return replace_table(spark, new, root, table, keys, blanks=blanks)
     value_cols = [c for c in old.columns if c not in keys]
     extra = [c for c in new.columns if c not in old.columns and c not in keys]
-    o = old.select(*keys, *[F.col(c).alias(f"__o_{c}") for c in value_cols], F.lit(True).alias("__in_old"))
-    n = new.select(*keys, *[F.col(c).alias(f"__n_{c}") for c in new.columns if c not in keys],
-                   F.lit(True).alias("__in_new"))
-    j = o.join(n, keys, "full")
+    key_parts = [same[k].alias(p) for k, p in zip(keys, parts, strict=True)]
+    o = old.select(*key_parts, *[F.col(c).alias(f"__o_{c}") for c in old.columns], F.lit(True).alias("__in_old")).alias("o")
+    n = new.select(*key_parts, *[F.col(c).alias(f"__n_{c}") for c in new.columns], F.lit(True).alias("__in_new")).alias("n")
+    j = o.join(n, [F.col(f"o.{p}").eqNullSafe(F.col(f"n.{p}")) for p in parts], "full")
     in_new = F.coalesce(F.col("__in_new"), F.lit(False))
     in_old = F.coalesce(F.col("__in_old"), F.lit(False))
-    out_cols = []
+    values = {}
     changed = F.lit(False)
     for c in value_cols + extra:
         has_new = c in new.columns
@@ -253,19 +284,22 @@ def upsert(
             val = F.when(in_new, F.col(f"__n_{c}") if has_new else F.lit(None)).otherwise(old_c)
         else:
             val = F.when(in_new, F.col(f"__n_{c}")).otherwise(old_c) if has_new else old_c
-        out_cols.append(val.alias(c))
-        changed = changed | ~val.eqNullSafe(old_c)
-    merged = j.select(*keys, *out_cols, in_new.alias("__in_new"), in_old.alias("__in_old"), changed.alias("__chg"))
-    merged = merged.persist()
-    try:
-        stats = merged.agg(
-            F.count_if(F.col("__in_new") & ~F.col("__in_old")).alias("ins"),
-            F.count_if(F.col("__in_new") & F.col("__in_old") & F.col("__chg")).alias("upd"),
-            F.count_if(F.col("__in_new") & F.col("__in_old") & ~F.col("__chg")).alias("same"),
-        ).first()
-        res = replace_table(spark, merged.drop("__in_new", "__in_old", "__chg"), root, table)
-    finally:
-        merged.unpersist()
+        values[c] = val
+        if c not in lineage:
+            changed = changed | ~val.eqNullSafe(old_c)
+    same_row = in_new & in_old & ~changed
+    out_cols = [F.when(same_row, F.col(f"__o_{c}")).otherwise(v).alias(c) if c in lineage and c in value_cols else v.alias(c)
+                for c, v in values.items()]
+    out_keys = [F.when(in_old, F.col(f"__o_{k}")).otherwise(F.col(f"__n_{k}")).alias(k) for k in keys]
+    counts = Observation("upsert")
+    merged = j.observe(
+        counts,
+        F.count_if(in_new & ~in_old).alias("ins"),
+        F.count_if(in_new & in_old & changed).alias("upd"),
+        F.count_if(same_row).alias("same"),
+    ).select(*out_keys, *out_cols)
+    res = replace_table(spark, merged, root, table)
+    stats = counts.get
     res.inserted, res.updated, res.unchanged = int(stats["ins"]), int(stats["upd"]), int(stats["same"])
     return res
 
@@ -273,20 +307,13 @@ def upsert(
 def append_rows(spark: SparkSession, df: DataFrame, root: str, table: str) -> LoadResult:
     """Bulk append; returns the number of rows appended.
 
-    New files go into the published version folder (the first load creates
-    version 1), so the cost is that of the new rows only.  Spark's job commit
-    moves task outputs into place when the job succeeds; a failed append
-    leaves no files behind.
+    The new rows are one more version folder, committed beside those that are live, so
+    the cost is that of the new rows only and readers never see a part of them.
     """
-    cur = current_version(spark, root, table)
-    ver = cur or _next_version(None)
-    path = f"{table_dir(root, table)}/{ver}"
-    obs = Observation("append")
-    counted = nan_to_null_all(df).observe(obs, F.count(F.lit(1)).alias("n"))
-    counted.write.mode("append").parquet(path)
-    if cur is None:
-        publish(spark, root, table, ver)
-    n = int(obs.get["n"])
+    live = live_tables(spark, root).get(table, [])
+    ver = _next_version(spark, root, table)
+    n = _write_version(nan_to_null_all(df), f"{table_dir(root, table)}/{ver}")
+    commit(spark, root, {table: [*live, ver]})
     return LoadResult(table, ver, n, inserted=n, published=True)
 
 
@@ -308,9 +335,8 @@ def export_csv(df: DataFrame, path: str, null_value: str = "", max_records: int
 def publish_release(spark: SparkSession, root: str, frames: Mapping[str, DataFrame],
                     key_columns: Mapping[str, Sequence[str]] | None = None) -> dict[str, str]:
     """Several tables published together: each is validated and written as a
-    new version; only when all succeed do their pointers switch, recorded in
-    one release file.  A failure before the switch leaves every table on its
-    old version (new folders are removed)."""
+    new version; only when all succeed does one commit make them live together.
+    A failure leaves every table on its old version (new folders are removed)."""
     staged: dict[str, str] = {}
     try:
         for table, df in frames.items():
@@ -320,19 +346,17 @@ def publish_release(spark: SparkSession, root: str, frames: Mapping[str, DataFra
 
                 if duplicate_key_groups(df, keys).limit(1).count():
                     raise LoadError(f"{table}: duplicate keys")
-            ver = _next_version(current_version(spark, root, table))
+            ver = _next_version(spark, root, table)
             path = f"{table_dir(root, table)}/{ver}"
             written = _write_version(nan_to_null_all(df), path)
             staged[table] = ver
             if spark.read.parquet(path).count() != written:
                 raise LoadError(f"{table}: recount mismatch")
+        commit(spark, root, {table: [ver] for table, ver in staged.items()})
     except Exception:
         for table, ver in staged.items():
             _delete(spark, f"{table_dir(root, table)}/{ver}")
         raise
-    for table, ver in staged.items():
-        publish(spark, root, table, ver)
-    _write_text_atomic(spark, f"{root.rstrip('/')}/{RELEASE}", json.dumps(staged, sort_keys=True))
     return staged
 
 
