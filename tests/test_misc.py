@@ -187,13 +187,19 @@ def test_occupation_view_and_mart(spark):
          ("261313", "SE", "190", "NSW", 9, 9, 100.0, "UP", 3)],
         "anzsco_code STRING, occupation_name STRING, visa_subclass STRING, state STRING, ceiling BIGINT, "
         "invitations_issued BIGINT, fill_rate_pct DOUBLE, trend STRING, source_row BIGINT")
-    osl = spark.createDataFrame([("261313", "SE", "National Shortage", "L1", "National")],
-                                "anzsco_code STRING, occupation_name STRING, shortage_status STRING, shortage_level STRING, state STRING")
-    lists = spark.createDataFrame([("261313", "SE", "MLTSSL", "ACS", "189, 190")],
-                                  "anzsco_code STRING, occupation_name STRING, list_type STRING, assessing_body STRING, visa_subclass STRING")
+    osl = spark.createDataFrame([("261313", "SE", "National Shortage", "L1", "National", 1), ("261313", "SE", "A", "L0", "National", 2)],
+                                "anzsco_code STRING, occupation_name STRING, shortage_status STRING, shortage_level STRING, state STRING, "
+                                "source_row INT")
+    lists = spark.createDataFrame([("261313", "SE", "MLTSSL", "ACS", "189, 190", 1), ("261313", "SE", "A", "AAA", "190", 2)],
+                                  "anzsco_code STRING, occupation_name STRING, list_type STRING, assessing_body STRING, visa_subclass STRING, "
+                                  "source_row INT")
     m = occ.occupation_mart(ceil, osl, lists, "2025-06").first()
     assert (m.ceiling_189, m.trend_189, m.ceiling_190) == (120, "DOWN", None)  # last national row wins; NSW ignored
     assert (m.shortage_national, m.eligible_189, m.eligible_190, m.eligible_491, m.list_type) == (1, 1, 1, 0, "MLTSSL")
+    # the first row of the source counts, whatever its text
+    swapped = occ.occupation_mart(ceil.unionByName(ceil.withColumn("anzsco_code", F.lit(None).cast("string"))),
+                                  osl.withColumn("source_row", -F.col("source_row")), lists, "2025-06").collect()
+    assert [(r.anzsco_code, r.shortage_status, r.shortage_national) for r in swapped] == [("261313", "A", 0)]
 
 
 def test_sector_yoy_new_and_vanished(spark):

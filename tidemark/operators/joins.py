@@ -1,7 +1,7 @@
-"""Join helpers: size-checked broadcast, lookups, anti/semi flags.
+"""Join helpers: lookups, anti/semi flags.
 
-Broadcasting is only done behind a row-count check; above the bound the plain
-join is returned and the planner (with AQE) picks a shuffle join.
+No side is hinted for broadcast: the planner takes it from file sizes and AQE from
+measured shuffle sizes, each time a query runs, and a side that has grown is shuffled.
 """
 
 from __future__ import annotations
@@ -11,32 +11,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side is held in every executor's memory; 1M narrow dimension
-# rows stay far under the default executor heap.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-# Outcome of each size check, per application and plan, so one dimension is
-# counted once per session rather than once per query.
-_BOUND_CHECKS: dict[tuple, bool] = {}
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only if ``df`` provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan
-    early); a larger side is returned unchanged so the join shuffles instead.
-    """
-    try:
-        app = df.sparkSession.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - a remote (Connect) session has no local context
-        app = id(df.sparkSession)
-    key = (app, df.semanticHash(), max_rows)
-    fits = _BOUND_CHECKS.get(key)
-    if fits is None:
-        fits = df.limit(max_rows + 1).count() <= max_rows
-        _BOUND_CHECKS[key] = fits
-    return F.broadcast(df) if fits else df
-
-
 def map_lookup(c: Column | str, mapping: Mapping[str, str], keep_unmapped: bool = False) -> Column:
     """Value map as a literal map (unmapped is NULL, or kept with ``keep_unmapped``)."""
     col = F.col(c) if isinstance(c, str) else c
@@ -61,11 +35,17 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 
 def not_in_anti(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """SQL ``NOT IN`` semantics: a NULL in the parent list empties the result,
-    a NULL child key is never returned."""
-    # Spark plans this as a null-aware anti join (one hash-join probe per row).
-    spark = child.sparkSession
-    return spark.sql(
-        f"SELECT * FROM {{c}} WHERE `{child_key}` NOT IN (SELECT `{parent_key}` FROM {{p}})",
-        c=child,
-        p=parent,
-    )
+    a NULL child key is never returned (unless the parent list is empty: then every
+    row is).
+
+    A null-aware anti join would broadcast the whole parent whatever its size.  Here
+    the keys meet in an ordinary anti join, and the parent's one-row summary (is it empty,
+    does it hold a NULL) is joined on a constant.
+    """
+    keys = parent.select(F.col(parent_key).alias("__pk"))
+    summary = keys.agg(F.count(F.lit(1)).alias("__rows"), F.count_if(F.col("__pk").isNull()).alias("__nulls")) \
+        .withColumn("__one", F.lit(1))
+    left = child.join(keys.where(F.col("__pk").isNotNull()).dropDuplicates(), F.col(child_key) == F.col("__pk"), "left_anti")
+    kept = left.withColumn("__one", F.lit(1)).join(summary, "__one") \
+        .where((F.col("__rows") == 0) | ((F.col("__nulls") == 0) & F.col(child_key).isNotNull()))
+    return kept.select(*[F.col(f"`{c}`") for c in child.columns])

@@ -109,7 +109,9 @@ def occupation_mart(
     data_month: str,
     subclasses: Sequence[str] = ("189", "190", "491"),
 ) -> DataFrame:
-    """B07 (R10 + J10 + J11): one row per occupation code of the ceilings input.
+    """B07 (R10 + J10 + J11): one row per occupation code of the ceilings input; rows
+    without a code are dropped.  Every input has ``source_row``, its row's position in
+    the source: "first" and "last" go by it.
 
     Ceiling columns come from national rows only (F16), the last row per code
     and subclass winning; the name is the first row's; shortage fields from the
@@ -130,19 +132,18 @@ def occupation_mart(
         hit = national & (F.col("visa_subclass") == F.lit(v))
         for src, pattern in measures.items():
             aggs.append(F.max_by(F.when(hit, F.col(src)), F.when(hit, F.col("source_row"))).alias(pattern.format(v=v)))
-    fact = ceilings.groupBy("anzsco_code").agg(*aggs)
+    fact = ceilings.where(F.col("anzsco_code").isNotNull() & (F.col("anzsco_code") != "")).groupBy("anzsco_code").agg(*aggs)
     osl_nat = osl.where(F.coalesce(F.col("state"), F.lit("")).isin(*OSL_NATIONAL_STATES))
     osl_first = first_wins(
-        osl_nat.select("anzsco_code", "shortage_status", "shortage_level"), "anzsco_code",
-        [F.col("shortage_status"), F.col("shortage_level")],
-    )
+        osl_nat.select("anzsco_code", "shortage_status", "shortage_level", "source_row"), "anzsco_code", [F.col("source_row")],
+    ).drop("source_row")
     fact = fact.join(osl_first, "anzsco_code", "left").withColumn(
         "shortage_national", F.coalesce(F.col("shortage_status").contains("National").cast("int"), F.lit(0))
     )
     text = F.coalesce(F.col("visa_subclass"), F.lit(""))
     per_code = lists.groupBy("anzsco_code").agg(
         *[F.max(text.contains(s).cast("int")).alias(f"eligible_{s}") for s in subclasses],
-        F.min(F.struct("list_type", "assessing_body")).alias("__meta"),
+        F.min(F.struct("source_row", "list_type", "assessing_body")).alias("__meta"),
     )
     fact = fact.join(per_code, "anzsco_code", "left")
     for s in subclasses:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import pct_change
+from tidemark.functions.scalars import pct_change, python_round
 from tidemark.operators.enrolment import MONTH, YEAR, YTD, pin_latest
 from tidemark.operators.windows import percentile_rank
 
@@ -87,7 +87,7 @@ def opportunity_scores(inputs: DataFrame, weights: dict[str, float] | None = Non
         (F.coalesce(F.col(sources[k]) * F.lit(w), F.lit(0.0)) for k, w in weights.items()), F.lit(0.0)
     )
     n_present: Column = sum((present[k].cast("int") for k in weights), F.lit(0))
-    score = F.when(total_w > 0, F.round(weighted / total_w, 1))
+    score = F.when(total_w > 0, python_round(weighted / total_w, 1))
     confidence = F.round(n_present.cast("double") / F.lit(float(len(weights))) * F.lit(100.0), 1)
     wmap = F.map_filter(
         F.create_map(

@@ -23,6 +23,7 @@ def accumulate_ytd(
     out_year: str | None = None,
     out_month: str | None = None,
     out_measures: Sequence[str] | None = None,
+    periods: DataFrame | None = None,
 ) -> DataFrame:
     """Monthly flows to a densified year-to-date fact.
 
@@ -33,8 +34,10 @@ def accumulate_ytd(
 
     Plan: each monthly row is fanned out to the months it counts towards (at
     most 12, so the expansion is bounded), summed per (year, month, member) -
-    combined map-side - and periods nobody published are dropped with a window
-    over (year, month).  The input is read once; no self-join.
+    combined map-side.  Periods nobody published are dropped before the fan-out is
+    summed, by a semi join with ``periods`` (year and month, at most 12 rows a year),
+    or where none is given with a window over (year, month) afterwards, which reads the
+    input once and suits facts that are small once summed.
     """
     out_year = out_year or year
     out_month = out_month or month
@@ -47,6 +50,11 @@ def accumulate_ytd(
         F.col(month).alias("__origin"),
         F.explode(F.sequence(F.col(month), F.lit(12))).alias("__m"),
     )
+    if periods is not None:
+        out = periods.select(F.col(year), F.col(month).alias("__m"))
+        return fanned.join(out, [year, "__m"], "left_semi").groupBy(year, "__m", *keys).agg(
+            *[F.sum(F.coalesce(F.col(m), F.lit(0))).cast("long").alias(o) for m, o in zip(measures, out_measures)],
+        ).select(F.col(year).cast("int").alias(out_year), F.col("__m").cast("int").alias(out_month), *keys, *out_measures)
     summed = fanned.groupBy(year, "__m", *keys).agg(
         *[F.sum(F.coalesce(F.col(m), F.lit(0))).cast("long").alias(o) for m, o in zip(measures, out_measures)],
         F.max(F.col("__origin") == F.col("__m")).alias("__has"),
@@ -172,7 +180,7 @@ def percentile_rank(df: DataFrame, value: str, out: str, partition: Sequence[str
 
 
 def percentile_rank_by_value_counts(
-    df: DataFrame, value: str, out: str, partition: Sequence[str] = (), buckets: int = 200
+    df: DataFrame, value: str, out: str, partition: Sequence[str] = (), buckets: int | None = None
 ) -> DataFrame:
     """W01 for large inputs: rank the distinct values, not the rows.
 
@@ -180,7 +188,8 @@ def percentile_rank_by_value_counts(
     a third of all rows is one row after the partial aggregate) is ranked by a
     running sum over the distinct values.  With a ``partition`` the running sum
     is a window per partition.  Without one, the distinct values are cut into
-    ``buckets`` value ranges (boundaries from ``approxQuantile``: only the
+    ``buckets`` value ranges (by default one for every 100,000 distinct values, so a
+    task's share does not grow with the data; boundaries from ``approxQuantile``: only the
     boundary numbers reach the driver); each range runs its own window, and a
     prefix over the per-range totals (one row per range) supplies the offset.
     No task ever holds all values.  The rank is joined back on the value.
@@ -200,8 +209,10 @@ def percentile_rank_by_value_counts(
             ).alias(out),
         )
         return df.join(ranked, [*parts, value], "left")
+    if buckets is None:
+        buckets = 1 + counts.count() // 100_000
     probs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted({b for b in counts.approxQuantile(value, probs, 0.001) if b is not None})
+    bounds = sorted({b for b in counts.approxQuantile(value, probs, min(0.001, 0.2 / buckets)) if b is not None}) if probs else []
     arr = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>")
     bucket = F.size(F.filter(arr, lambda b: b < F.col(value)))
     c = counts.withColumn("__b", bucket)
@@ -213,7 +224,7 @@ def percentile_rank_by_value_counts(
         F.sum("__bn").over(Window.partitionBy()).alias("__total"),
     )
     w_run = Window.partitionBy("__b").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = c.join(F.broadcast(prefix), "__b").select(  # at most `buckets` rows
+    ranked = c.join(prefix, "__b").select(
         value,
         (
             (F.col("__before") + F.sum("__n").over(w_run) - F.col("__n") + (F.col("__n") + F.lit(1)) / F.lit(2.0))

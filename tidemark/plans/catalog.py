@@ -479,7 +479,7 @@ def q_j19(t: Tables) -> DataFrame:
 def q_j19b(t: Tables) -> DataFrame:
     dim = marts.m_alias(t).select(F.col("canonical_name").alias("nationality"), "region")
     snap = en.snapshot_at_latest(marts.m_enrol_recent(t), by=["nationality"])
-    j = snap.join(joins.bounded_broadcast(dim), "nationality", "left")
+    j = snap.join(dim, "nationality", "left")
     return j.groupBy("region").agg(F.sum("total_enrolments").cast("long").alias("total_enrolments"))
 
 
@@ -490,7 +490,7 @@ def _skilled_names(t: Tables) -> DataFrame:
 @query("j13_canonical_country_names")
 def q_j13(t: Tables) -> DataFrame:
     aliases = geo.alias_long(marts.m_alias(t))
-    return geo.canonicalise(_skilled_names(t), "source_name", joins.bounded_broadcast(aliases), "skilled_mig")
+    return geo.canonicalise(_skilled_names(t), "source_name", aliases, "skilled_mig")
 
 
 @query("u07_unmapped_country_names")

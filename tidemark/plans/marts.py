@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import bounded_broadcast
 from tidemark.operators.windows import accumulate_ytd
 from tidemark.sources.tables import Tables
 
@@ -18,9 +17,9 @@ ENROL_KEYS = ("nationality", "sector", "state_code")
 
 
 def customer_dims(t: Tables) -> DataFrame:
-    """customer with its nation name (nation is a 25-row dimension, size-checked)."""
+    """customer with its nation name (nation is a 25-row dimension)."""
     cust = t.read("customer", "c_custkey", "c_nationkey", "c_mktsegment")
-    nation = bounded_broadcast(t.read("nation", "n_nationkey", "n_name"))
+    nation = t.read("nation", "n_nationkey", "n_name")
     return cust.join(nation, cust.c_nationkey == nation.n_nationkey, "inner").select(
         "c_custkey", F.col("n_name").alias("nationality"), F.col("c_mktsegment").alias("state_code")
     )
@@ -55,28 +54,27 @@ def enrol_monthly(t: Tables, years: tuple[int, int] | None = None) -> DataFrame:
     )
 
 
-def latest_order_year(t: Tables) -> int | None:
-    """The calendar year of the newest order: one value to the driver (a max
-    over one column; footer statistics can answer it where aggregate pushdown
-    is enabled)."""
-    v = t.read("orders", "o_orderdate").agg(F.max("o_orderdate").alias("d")).first()["d"]
-    return None if v is None else v.year
-
-
 def m_enrol_recent(t: Tables) -> DataFrame:
-    """The YTD fact for the latest year and the one before - all a query pinned
-    to the latest period (and its same-month comparison) needs.  The year
-    bounds become a pushed range filter on the orders scan, so the older years
-    are never joined or aggregated."""
-    ly = latest_order_year(t)
-    return m_enrol(t) if ly is None else m_enrol(t, years=(ly - 1, ly))
+    """The YTD fact for its latest year and the one before - all a query pinned to the
+    latest period (and its same-month comparison) needs.  The latest year is that of
+    the joined monthly flows, so an order without a customer does not move it.  Only
+    flows already summed per month and member are compared with it, before they are
+    fanned out; no job runs while the plan is built."""
+    monthly = enrol_monthly(t)
+    newest = F.max("y").over(Window.partitionBy())  # rows are bounded by months x members
+    recent = monthly.withColumn("__ly", newest).where(F.col("y") >= F.col("__ly") - 1).drop("__ly")
+    return _enrol_ytd(recent)
 
 
 def m_enrol(t: Tables, years: tuple[int, int] | None = None) -> DataFrame:
     """YTD-cumulative enrolment fact (grain: year, month, nationality, sector, state_code);
     ``years`` builds only those calendar years."""
+    return _enrol_ytd(enrol_monthly(t, years))
+
+
+def _enrol_ytd(monthly: DataFrame) -> DataFrame:
     return accumulate_ytd(
-        enrol_monthly(t, years),
+        monthly,
         "y",
         "m",
         ENROL_KEYS,
@@ -145,8 +143,8 @@ def _fy_text(date_col: str, sep: str = "-") -> F.Column:
 def _orders_by_country(t: Tables) -> DataFrame:
     orders = t.read("orders", "o_custkey", "o_orderdate", "o_orderstatus")
     cust = t.read("customer", "c_custkey", "c_nationkey", "c_mktsegment")
-    nation = bounded_broadcast(t.read("nation", "n_nationkey", "n_name", "n_regionkey"))
-    region = bounded_broadcast(t.read("region", "r_regionkey", "r_name"))
+    nation = t.read("nation", "n_nationkey", "n_name", "n_regionkey")
+    region = t.read("region", "r_regionkey", "r_name")
     geo = (
         cust.join(nation, cust.c_nationkey == nation.n_nationkey)
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -230,7 +228,7 @@ def m_skilled_cob(t: Tables) -> DataFrame:
 
     li = t.read("lineitem", "l_suppkey", "l_partkey", "l_shipdate", "l_returnflag")
     sup = t.read("supplier", "s_suppkey", "s_nationkey", "s_acctbal")
-    nation = bounded_broadcast(t.read("nation", "n_nationkey", "n_name"))
+    nation = t.read("nation", "n_nationkey", "n_name")
     sup_geo = sup.join(nation, sup.s_nationkey == nation.n_nationkey, "left").select(
         "s_suppkey", F.when(F.col("s_acctbal") >= 0, F.col("n_name")).alias("country_name")
     )
@@ -363,35 +361,43 @@ def m_ceilings(t: Tables) -> DataFrame:
 
 
 def m_osl(t: Tables) -> DataFrame:
-    """Shortage list rows with a state column ('National' or a state)."""
+    """Shortage list rows with a state column ('National' or a state).  Every fourth
+    code is listed twice, and ``source_row`` is the row's position in the source: the
+    second listing stands before the first one where the key is a multiple of 8."""
     p = t.read("part", "p_partkey", "p_name", "p_type", "p_size")
-    return p.select(
+    first = F.when(F.col("p_size") <= 15, F.lit("National Shortage")).when(F.col("p_size") <= 35, F.lit("No Shortage")) \
+        .otherwise(F.lit("Regional Shortage"))
+    again = F.when(first == "National Shortage", F.lit("Shortage")).otherwise(F.lit("National Shortage"))
+    listed = p.withColumn("nth", F.explode(F.when(F.col("p_partkey") % 4 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    place = F.when((F.col("p_partkey") % 8 == 0), 1 - F.col("nth")).otherwise(F.col("nth"))
+    return listed.select(
         occupation_code("p_partkey").alias("anzsco_code"),
         F.col("p_name").alias("occupation_name"),
-        F.when(F.col("p_size") <= 15, F.lit("National Shortage"))
-        .when(F.col("p_size") <= 35, F.lit("No Shortage"))
-        .otherwise(F.lit("Regional Shortage"))
-        .alias("shortage_status"),
+        F.when(F.col("nth") == 0, first).otherwise(again).alias("shortage_status"),
         F.col("p_type").alias("shortage_level"),
         F.when(F.col("p_type") == "PROMO", F.lit("NSW")).otherwise(F.lit("National")).alias("state"),
+        (F.col("p_partkey") * 2 + place).alias("source_row"),
     )
 
 
 def m_visa_lists(t: Tables) -> DataFrame:
-    """Skilled occupation lists: list type and the eligible subclasses as text."""
+    """Skilled occupation lists: list type and the eligible subclasses as text; a code whose
+    key is a multiple of 5 stands on a second list, in front of the first
+    (``source_row``: position in the source)."""
     p = t.read("part", "p_partkey", "p_name", "p_brand", "p_size").where(F.col("p_size") <= 40)
-    lst = F.when(F.col("p_size") <= 10, F.lit("MLTSSL")).when(F.col("p_size") <= 25, F.lit("STSOL")).otherwise(
-        F.lit("ROL")
-    )
+    listed = p.withColumn("nth", F.explode(F.when(F.col("p_partkey") % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    lst = F.when(F.col("nth") == 1, F.lit("ROL")).when(F.col("p_size") <= 10, F.lit("MLTSSL")) \
+        .when(F.col("p_size") <= 25, F.lit("STSOL")).otherwise(F.lit("ROL"))
     subs = F.when(lst == "MLTSSL", F.lit("189, 190, 491")).when(lst == "STSOL", F.lit("190, 491")).otherwise(
         F.lit("491")
     )
-    return p.select(
+    return listed.select(
         occupation_code("p_partkey").alias("anzsco_code"),
         F.col("p_name").alias("occupation_name"),
         lst.alias("list_type"),
         F.col("p_brand").alias("assessing_body"),
         subs.alias("visa_subclass"),
+        (F.col("p_partkey") * 2 - F.col("nth")).alias("source_row"),
     )
 
 
@@ -408,7 +414,7 @@ def m_provider(t: Tables) -> DataFrame:
     from tidemark.operators.joins import map_lookup
 
     sup = t.read("supplier", "s_suppkey", "s_name", "s_nationkey", "s_acctbal")
-    nation = bounded_broadcast(t.read("nation", "n_nationkey", "n_regionkey"))
+    nation = t.read("nation", "n_nationkey", "n_regionkey")
     j = sup.join(nation, sup.s_nationkey == nation.n_nationkey, "left")
     state = F.when(F.col("s_acctbal") >= 0, map_lookup(F.col("n_regionkey").cast("string"), STATE_BY_REGION))
     return j.select(
@@ -482,7 +488,7 @@ def m_alias(t: Tables) -> DataFrame:
     """Country alias dimension: canonical name plus one spelling per source;
     nations of the MIDDLE EAST region have no skilled-migration alias."""
     n = t.read("nation", "n_nationkey", "n_name", "n_regionkey")
-    r = bounded_broadcast(t.read("region", "r_regionkey", "r_name"))
+    r = t.read("region", "r_regionkey", "r_name")
     j = n.join(r, n.n_regionkey == r.r_regionkey, "left")
     spaced = F.replace(F.col("n_name"), F.lit("_"), F.lit(" "))
     return j.select(
@@ -528,7 +534,7 @@ def m_enrol_detailed(t: Tables) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("enr"), F.count_if(F.col("l_linestatus") == "F").alias("com"))
     ytd = accumulate_ytd(
         monthly, "y", "m", DETAILED_KEYS, ["enr", "com"], out_year="enrol_year", out_month="enrol_month",
-        out_measures=["ytd_enrolments", "ytd_commencements"],
+        out_measures=["ytd_enrolments", "ytd_commencements"], periods=monthly.select("y", "m").distinct(),
     )
     return ytd.withColumn("total", F.col("ytd_enrolments"))
 
@@ -549,7 +555,7 @@ def m_grid(t: Tables) -> DataFrame:
     r = t.read("region", "r_regionkey", "r_name")
     off = F.col("r_regionkey") * 2
     pos = F.row_number().over(Window.partitionBy("r_regionkey").orderBy("n_nationkey"))
-    data = n.join(bounded_broadcast(r), n.n_regionkey == r.r_regionkey).select(
+    data = n.join(r, n.n_regionkey == r.r_regionkey).select(
         F.lit(GRID_PATH).alias("path"),
         F.col("r_name").alias("sheet"),
         (off + pos).cast("int").alias("row_idx"),

@@ -467,7 +467,7 @@ register(
     with_(M_ENROL, LATEST, M_SKILLED_COB, SCORE_INPUTS, SCORES)
     + """
 SELECT nationality, round(gs, 6) AS growth_score, round(ms, 6) AS market_size_score, round(vs, 6) AS visa_score,
-       CASE WHEN tw > 0 THEN round(wsum / tw, 1) END AS opportunity_score,
+       CASE WHEN tw > 0 THEN round_even(wsum / tw, 1) END AS opportunity_score,
        round(np / 3.0 * 100.0, 1) AS data_confidence_pct,
        concat_ws(';',
          CASE WHEN gs IS NOT NULL THEN 'growth=' || printf('%.3f', round(0.4 / tw, 3)) END,
@@ -599,21 +599,23 @@ m_ceilings AS (
 
 M_OSL = """
 m_osl AS (
-  SELECT s.anzsco_code, s.occupation_name,
-         CASE WHEN s.shortage_status = 'Shortage' THEN 'National Shortage' ELSE s.shortage_status END
-           AS shortage_status,
-         s.osca_category AS shortage_level,
-         CASE WHEN p.p_type = 'PROMO' THEN 'NSW' ELSE 'National' END AS state
-  FROM m_shortage s JOIN part p ON s.anzsco_code = printf('%06d', p.p_partkey))"""
+  SELECT printf('%06d', p_partkey) AS anzsco_code, p_name AS occupation_name,
+         CASE WHEN nth = 0 THEN first_status WHEN first_status = 'National Shortage' THEN 'Shortage'
+              ELSE 'National Shortage' END AS shortage_status,
+         p_type AS shortage_level, CASE WHEN p_type = 'PROMO' THEN 'NSW' ELSE 'National' END AS state,
+         2 * p_partkey + CASE WHEN p_partkey % 8 = 0 THEN 1 - nth ELSE nth END AS source_row
+  FROM (SELECT *, CASE WHEN p_size <= 15 THEN 'National Shortage' WHEN p_size <= 35 THEN 'No Shortage'
+                       ELSE 'Regional Shortage' END AS first_status FROM part) p
+  JOIN (VALUES (0), (1)) AS n(nth) ON nth = 0 OR p_partkey % 4 = 0)"""
 
 M_VISA_LISTS = """
 m_visa_lists AS (
-  SELECT printf('%06d', p_partkey) AS anzsco_code, p_name AS occupation_name,
-         CASE WHEN p_size <= 10 THEN 'MLTSSL' WHEN p_size <= 25 THEN 'STSOL' ELSE 'ROL' END AS list_type,
-         p_brand AS assessing_body,
-         CASE WHEN p_size <= 10 THEN '189, 190, 491' WHEN p_size <= 25 THEN '190, 491' ELSE '491' END
-           AS visa_subclass
-  FROM part WHERE p_size <= 40)"""
+  SELECT printf('%06d', p_partkey) AS anzsco_code, p_name AS occupation_name, list_type, p_brand AS assessing_body,
+         CASE list_type WHEN 'MLTSSL' THEN '189, 190, 491' WHEN 'STSOL' THEN '190, 491' ELSE '491' END AS visa_subclass,
+         2 * p_partkey - nth AS source_row
+  FROM (SELECT *, CASE WHEN nth = 1 THEN 'ROL' WHEN p_size <= 10 THEN 'MLTSSL' WHEN p_size <= 25 THEN 'STSOL'
+                       ELSE 'ROL' END AS list_type
+        FROM part JOIN (VALUES (0), (1)) AS n(nth) ON nth = 0 OR p_partkey % 5 = 0 WHERE p_size <= 40) p)"""
 
 
 def _view_sql(prefix: str) -> str:
@@ -702,7 +704,7 @@ wide AS (SELECT anzsco_code,
     + """
          FROM nat GROUP BY anzsco_code),
 osl1 AS (SELECT anzsco_code, shortage_status, shortage_level FROM (
-           SELECT *, row_number() OVER (PARTITION BY anzsco_code ORDER BY shortage_status, shortage_level) AS rn
+           SELECT *, row_number() OVER (PARTITION BY anzsco_code ORDER BY source_row) AS rn
            FROM m_osl WHERE coalesce(state, '') IN ('', 'National')) x WHERE rn = 1),
 flags AS (SELECT anzsco_code,
                  max(CAST(contains(coalesce(visa_subclass, ''), '189') AS INTEGER)) AS e189,
@@ -710,7 +712,7 @@ flags AS (SELECT anzsco_code,
                  max(CAST(contains(coalesce(visa_subclass, ''), '491') AS INTEGER)) AS e491
           FROM m_visa_lists GROUP BY anzsco_code),
 meta AS (SELECT anzsco_code, list_type, assessing_body FROM (
-           SELECT *, row_number() OVER (PARTITION BY anzsco_code ORDER BY list_type, assessing_body) AS rn
+           SELECT *, row_number() OVER (PARTITION BY anzsco_code ORDER BY source_row) AS rn
            FROM m_visa_lists) y WHERE rn = 1)
 SELECT n.anzsco_code, n.occupation_name, w.* EXCLUDE (anzsco_code),
        o.shortage_status, o.shortage_level,
@@ -1311,7 +1313,7 @@ register(
     + """,
 t189 AS (SELECT anzsco_code, arg_max(trend, source_row) FILTER (WHERE visa_subclass = '189') AS trend_189
          FROM nat GROUP BY anzsco_code),
-osl1 AS (SELECT anzsco_code, min(shortage_status) AS shortage_status FROM m_osl
+osl1 AS (SELECT anzsco_code, arg_min(shortage_status, source_row) AS shortage_status FROM m_osl
          WHERE coalesce(state, '') IN ('', 'National') GROUP BY anzsco_code),
 flags AS (SELECT anzsco_code,
                  max(CAST(contains(coalesce(visa_subclass, ''), '189') AS INTEGER)) AS e189,
