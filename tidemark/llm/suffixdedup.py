@@ -15,10 +15,14 @@ owners at equal offsets, so:
   at most 368 bytes; segments can only match within the same owner hash;
 * segments that occur twice or more as they are need no further look, and owner
   hashes that occur once cannot match: neither sends any text;
-* only what is left, segments that are unlike but share an owner, is built into
-  collections, and suffixes whose common prefix reaches 200 are repeated windows.
-
-A collection holds a bounded number of segments, so its files are arrays in the
+* what is left, segments that are unlike but share an owner, is cut by the window's
+  distance from its owner into steps of STEP: the windows of a step all hold the same
+  core of 200 - STEP + 1 bytes, so they can only match where the cores do, and a core
+  is one symbol with at most STEP - 1 bytes before and behind it;
+* these short documents are built into collections, and suffixes whose common prefix
+  reaches STEP symbols, core included, are repeated windows.
+
+A collection holds a bounded number of documents, so its files are arrays in the
 memory of one task.  An owner shared by more unlike segments than a collection
 takes goes by counts of single windows instead, exactly and without a bound.
 
@@ -43,8 +47,10 @@ from tidemark.llm.common import arrow_map, cut, may_match
 LENGTH = 200
 _K = 32
 _PIECE = 1 << 22
-#: Segments in a collection, and the most unlike segments of one owner that go into one.
-COLLECTION = 512
+#: Windows of one step share a core.
+STEP = 32
+#: Documents in a collection, and the most unlike segments of one owner that go into one.
+COLLECTION = 2048
 ONE_OWNER = 4096
 
 _rng = np.random.default_rng(20)
@@ -53,8 +59,8 @@ _ODD = [np.uint64(x) | np.uint64(1) for x in _rng.integers(0, 1 << 63, 6, dtype=
 _INDEX = np.uint64((1 << 24) - 1)
 
 
-def owners(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first start, number of starts, owner hash) of each run of windows with one owner."""
+def owners(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first start, number of starts, owner hash, owner's place) of each run of windows with one owner."""
     h = _BYTE[data]
     step = 1
     for odd in _ODD[:5]:
@@ -69,7 +75,7 @@ def owners(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarr
     key = np.minimum(key[:len(key) - (width - have)], key[width - have:])
     place = (key & _INDEX).astype(np.int64)
     first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    return first, np.diff(np.concatenate([first, [len(place)]])), h[place[first]]
+    return first, np.diff(np.concatenate([first, [len(place)]])), h[place[first]], place[first]
 
 
 def _segments(length: int):
@@ -80,15 +86,16 @@ def _segments(length: int):
             sizes: dict[str, list[int]] = {"owner": [0], "own": [0]}
             for doc, th, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "th", "text")), strict=True):
                 raw = text.encode("utf-8", "surrogatepass")
-                lo_, n_, o_ = [], [], []
+                lo_, n_, o_, p_ = [], [], [], []
                 for at in range(0, len(raw) - length + 1, _PIECE):
-                    lo, n, o = owners(np.frombuffer(raw, np.uint8, min(len(raw) - at, _PIECE + length - 1), at), length)
+                    lo, n, o, place = owners(np.frombuffer(raw, np.uint8, min(len(raw) - at, _PIECE + length - 1), at), length)
+                    p_.append(place - lo)
                     lo_.append(lo + at)
                     n_.append(n)
                     o_.append(o)
                 if not lo_:
                     continue
-                lo, n, o = np.concatenate(lo_), np.concatenate(n_), np.concatenate(o_).view(np.int64)
+                lo, n, o, ahead = np.concatenate(lo_), np.concatenate(n_), np.concatenate(o_).view(np.int64), np.concatenate(p_)
                 seg = np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(lo.tolist(), (lo + n + (length - 1)).tolist(), strict=True)],
                                dtype=np.uint64).view(np.int64)
                 _, first, place, count = np.unique(seg, return_index=True, return_inverse=True, return_counts=True)
@@ -103,7 +110,7 @@ def _segments(length: int):
                 hashes.append(th)
                 cols["owner"].append(o[first])
                 cols["seg"].append(seg[first])
-                cols["at"].append((lo[first] << 9) | (n[first] << 1) | twice)
+                cols["at"].append((lo[first] << 25) | (ahead[first] << 13) | (n[first] << 1) | twice)
                 cols["own"].append(own)
                 sizes["owner"].append(len(first))
                 sizes["own"].append(len(own))
@@ -117,15 +124,17 @@ def _segments(length: int):
     return run
 
 
-def bwt_lcp(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Column-wise transform of a collection: (bwt, lcp, document, suffix length) in suffix
-    order.  Symbols are bytes + 1, 0 ends a document; lcp counts no end mark."""
+def bwt_lcp(segments: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Column-wise transform of a collection of symbol arrays: (bwt, lcp, document, suffix
+    length) in suffix order.  In the transform a symbol is one more than it was and 0 ends
+    a document; lcp counts no end mark."""
     n = len(segments)
     size = np.array([len(s) for s in segments], dtype=np.int64)
     text = np.zeros((n, int(size.max(initial=0)) + 1), dtype=np.uint16)
     for i, s in enumerate(segments):
-        text[i, text.shape[1] - len(s):] = np.frombuffer(s, np.uint8).astype(np.uint16) + 1
-    text = text[:, ::-1].astype(np.uint16)
+        text[i, text.shape[1] - len(s):] = s
+        text[i, text.shape[1] - len(s):] += 1
+    text = text[:, ::-1]
     symbols, text = np.unique(text, return_inverse=True)
     text = text.reshape(n, -1).astype(np.uint8 if len(symbols) < 256 else np.uint16)
     bwt, lcp = text[:, 0].copy(), np.zeros(n, dtype=np.uint16)
@@ -170,8 +179,8 @@ def bwt_lcp(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return symbols[bwt], lcp, doc, length
 
 
-def repeated_starts(segments: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
-    """For each segment, the offsets whose ``length``-byte string starts at another place too."""
+def repeated_starts(segments: list[np.ndarray], length: int) -> list[np.ndarray]:
+    """For each segment, the offsets whose ``length`` symbols start at another place too."""
     _, lcp, doc, suffix = bwt_lcp(segments)
     long = lcp >= length
     long[:-1] |= long[1:].copy()
@@ -189,28 +198,45 @@ def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(starts[np.concatenate([[0], cutat + 1])].tolist(), (starts[np.concatenate([cutat, [len(starts) - 1]])] + 1).tolist(), strict=True))
 
 
-def _collections(length: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-
-        def solve() -> pa.RecordBatch:
-            out = []
-            for (doc, th, lo, settled, _, _), at in zip(held, repeated_starts([h[4] for h in held], length), strict=True):
-                if not settled:
-                    out += [(doc, th, lo + a, lo + b) for a, b in _runs(at)]
-            held.clear()
-            cols = list(zip(*out, strict=True)) or [[], [], [], []]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "th", "a", "b"])
-
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "th", "lo", "settled", "bytes", "owner")), strict=True):
-                if len(held) >= COLLECTION and row[5] != held[-1][5]:
+def _collections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by (owner, step, core)."""
+    held: list[tuple] = []
+    group: list[tuple] = []
+    key = None
+
+    def close() -> None:
+        # a core that stands alone, or whose documents are all settled, tells nothing
+        if len(group) > 1 and not all(r[3] for r in group):
+            held.extend((*r, len(group)) for r in group)
+        group.clear()
+
+    def solve() -> pa.RecordBatch:
+        out, told, core, last = [], [], 255, None
+        for _, _, _, _, before, after, which, _ in held:
+            core, last = (core, last) if which == last else (core + 1, which)
+            told.append(np.concatenate([np.frombuffer(before, np.uint8), [core], np.frombuffer(after, np.uint8)]).astype(np.uint16))
+        for (doc, th, lo, settled, _, _, _, _), at in zip(held, repeated_starts(told, STEP), strict=True):
+            if not settled:
+                out += [(doc, th, lo + a, lo + b) for a, b in _runs(at)]
+        held.clear()
+        cols = list(zip(*out, strict=True)) or [[], [], [], []]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc_id", "th", "a", "b"])
+
+    for batch in batches:
+        for owner, step, core, *row in zip(*(batch.column(c).to_pylist() for c in ("owner", "step", "core", "doc_id", "th", "lo", "settled", "before", "after")), strict=True):
+            if (owner, step, core) != key:
+                close()
+                key = (owner, step, core)
+                if len(held) >= COLLECTION:
                     yield solve()
-                held.append(row)
-        if held:
-            yield solve()
+            group.append((*row, key))
+    close()
+    if held:
+        yield solve()
 
-    return run
+
+_PIECE_COLUMNS = {"doc_id": pa.int64(), "th": pa.int64(), "owner": pa.int64(), "step": pa.int32(), "core": pa.int64(), "lo": pa.int64(),
+                  "settled": pa.bool_(), "crowded": pa.bool_(), "before": pa.binary(), "after": pa.binary()}
 
 
 def _cut_out(length: int):
@@ -220,12 +246,18 @@ def _cut_out(length: int):
             for doc, th, text, asked in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "th", "text", "asked")), strict=True):
                 raw = text.encode("utf-8", "surrogatepass")
                 for x in asked:
-                    lo, n = x["at"] >> 9, (x["at"] >> 1) & 255
-                    rows.append((doc, th, x["owner"], lo, x["settled"], x["crowded"], raw[lo:lo + n + length - 1]))
-            cols = list(zip(*rows, strict=True)) or [[]] * 7
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
-                                             names=["doc_id", "th", "owner", "lo", "settled", "crowded", "bytes"])
+                    lo, ahead, n = x["at"] >> 25, (x["at"] >> 13) & 4095, (x["at"] >> 1) & 4095
+                    if x["crowded"]:
+                        rows.append((doc, th, x["owner"], -1, 0, lo, x["settled"], True, raw[lo:lo + n + length - 1], b""))
+                        continue
+                    for step in range((ahead - n + 1) // STEP, ahead // STEP + 1):
+                        core = lo + ahead - STEP * step  # the last start of this step; the core goes on from it
+                        end = core - STEP + 1 + length
+                        first, last = max(lo, core - STEP + 1), min(lo + n - 1, core)
+                        rows.append((doc, th, x["owner"], step, xxhash.xxh3_64_intdigest(raw[core:end]) - (1 << 63), first, x["settled"],
+                                     False, raw[first:core], raw[end:last + length]))
+            cols = list(zip(*rows, strict=True)) or [[]] * len(_PIECE_COLUMNS)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _PIECE_COLUMNS.values(), strict=True)], names=list(_PIECE_COLUMNS))
 
     return run
 
@@ -234,7 +266,7 @@ def _windows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, th, lo, settled, data in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "th", "lo", "settled", "bytes")), strict=True):
+            for doc, th, lo, settled, data in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "th", "lo", "settled", "before")), strict=True):
                 rows += [(xxhash.xxh3_128_digest(data[i:i + length]), doc, th, lo + i, settled) for i in range(len(data) - length + 1)]
             cols = list(zip(*rows, strict=True)) or [[]] * 5
             kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
@@ -259,8 +291,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     shared = cut(flat.groupBy("owner").agg(F.sum(seen).alias("n"), (F.min("seg") != F.max("seg")).alias("unlike"))
                  .where("n > 1").select("owner", "unlike"), "shared-owners")
     members = cut(may_match(flat, F.col("owner"), shared, F.col("owner")).join(shared, "owner"), "members")
-    n = F.col("at").bitwiseAND(511).cast("long")
-    lo, n = F.call_function("shiftright", F.col("at"), F.lit(9)), F.call_function("shiftright", n, F.lit(1))
+    lo, n = F.call_function("shiftright", F.col("at"), F.lit(25)), F.call_function("shiftright", F.col("at").bitwiseAND(8191), F.lit(1))
     run = [F.col("doc_id"), F.col("th"), lo.alias("a"), (lo + n).alias("b")]
     alike = members.where(~F.col("unlike")).select(*run)
     # unlike segments of one owner: those seen twice are settled, the others are compared
@@ -278,9 +309,10 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         asked.alias("q"), F.col("t.doc_id").eqNullSafe(F.col("q.doc_id")) & (F.col("t.th") == F.col("q.th"))) \
         .select("t.doc_id", "t.th", "text", "asked")
     pieces = cut(arrow_map(texts, _cut_out(length),
-                           "doc_id long, th long, owner long, lo long, settled boolean, crowded boolean, bytes binary"), "pieces")
-    compared = arrow_map(pieces.where("not crowded").repartition("owner").sortWithinPartitions("owner"),
-                         _collections(length), "doc_id long, th long, a long, b long")
+                           "doc_id long, th long, owner long, step int, core long, lo long, settled boolean, crowded boolean, "
+                           "before binary, after binary"), "pieces")
+    compared = arrow_map(pieces.where("not crowded").repartition("owner", "step", "core").sortWithinPartitions("owner", "step", "core"),
+                         _collections, "doc_id long, th long, a long, b long")
     windows = arrow_map(pieces.where("crowded"), _windows(length), "w binary, doc_id long, th long, s long, settled boolean")
     twice = windows.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w")
     crowded = windows.where("not settled").join(twice, "w").select("doc_id", "th", F.col("s").alias("a"), (F.col("s") + 1).alias("b"))
