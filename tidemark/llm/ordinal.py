@@ -29,6 +29,8 @@ from tidemark.llm.hashed import BITS, descend, feature_sums, features, row_sums,
 GRADES = 3
 #: Rows of each grade that the model is fitted on.
 PER_GRADE = 4000
+#: Standard scores below which a feature tells nothing.
+LEAST_EVIDENCE = 3.0
 #: Selection: probability of the best grade at least this.
 TAIL = 0.5
 
@@ -49,14 +51,29 @@ def grade_probabilities(place: np.ndarray, thresholds: np.ndarray) -> np.ndarray
     return np.diff(np.concatenate([np.zeros((len(place), 1)), below, np.ones((len(place), 1))], axis=1), axis=1)
 
 
+def evidence(y: np.ndarray, starts: np.ndarray, flat: np.ndarray, size: int, least: float = LEAST_EVIDENCE) -> np.ndarray:
+    """How surely each feature goes with one side of a threshold: the largest standard
+    score, over the thresholds, of the share of its rows above, less ``least``, as a
+    factor from 0 to 1.  Words that chance alone explains are left out, so long texts
+    don't add them up."""
+    n = np.maximum(1, np.bincount(flat, minlength=size))
+    score = np.zeros(size)
+    for k in range(1, int(y.max()) + 1):
+        above = (y >= k).astype(float)
+        spread = max(1e-9, float(above.std()))
+        score = np.maximum(score, np.abs(feature_sums(above, starts, flat, size) / n - above.mean()) * np.sqrt(n) / spread)
+    return np.clip((score - least) / least, 0, 1)
+
+
 def fit(docs: DataFrame, graded: DataFrame, k: int = GRADES, per_grade: int = PER_GRADE, bits: int = BITS,
-        ridge: float = 2e-4, rounds: int = 120) -> tuple[np.ndarray, np.ndarray]:
+        ridge: float = 1e-4, rounds: int = 150) -> tuple[np.ndarray, np.ndarray]:
     """(weights, thresholds); thresholds stay ordered, as steps above the first are exponentials."""
     y, starts, flat, have = sample_rows(docs, graded, per_grade, list(range(k)))
     size = 1 << bits
     if len(np.unique(y)) < 2:
         return np.zeros(size), np.log(np.arange(1, k) / np.arange(k - 1, 0, -1))
     used, flat = np.unique(flat, return_inverse=True)
+    strength = evidence(y, starts, flat, len(used))
     n = np.bincount(y, minlength=k)
     weight = np.array([have.get(i, 0) / max(1, n[i]) for i in range(k)])[y]
     weight /= weight.sum()
@@ -66,13 +83,13 @@ def fit(docs: DataFrame, graded: DataFrame, k: int = GRADES, per_grade: int = PE
 
     def slope(x: np.ndarray) -> tuple[float, np.ndarray]:
         cuts, w = thresholds(x), x[k - 1:]
-        place = row_sums(w, starts, flat)
+        place = row_sums(w * strength, starts, flat)
         edges = np.concatenate([[-np.inf], cuts, [np.inf]])
         hi, lo = _sigmoid(edges[y + 1] - place), _sigmoid(edges[y] - place)
         p = np.maximum(hi - lo, 1e-12)
         dhi, dlo = weight * hi * (1 - hi) / p, weight * lo * (1 - lo) / p
         g = np.empty_like(x)
-        g[k - 1:] = feature_sums(dhi - dlo, starts, flat, len(used)) + ridge * w
+        g[k - 1:] = strength * feature_sums(dhi - dlo, starts, flat, len(used)) + ridge * w
         at = np.bincount(y, weights=-dhi, minlength=k)[:k - 1] + np.bincount(y, weights=dlo, minlength=k)[1:]
         g[0] = at.sum()
         g[1:k - 1] = [np.exp(x[j]) * at[j:].sum() for j in range(1, k - 1)]
@@ -80,7 +97,7 @@ def fit(docs: DataFrame, graded: DataFrame, k: int = GRADES, per_grade: int = PE
 
     x = descend(slope, np.concatenate([[-1.0], np.zeros(k - 2), np.zeros(len(used))]), rounds, 0.15)
     weights = np.zeros(size)
-    weights[used] = x[k - 1:]
+    weights[used] = x[k - 1:] * strength
     return weights, thresholds(x)
 
 
