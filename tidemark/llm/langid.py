@@ -32,6 +32,8 @@ PROFILE = 300
 UNKNOWN = "und"
 _PIECE = 1 << 20
 _FLUSH = 1 << 20
+#: Stands for a word boundary in n-grams, after every code point.
+_GAP = np.uint64(0x110000)
 _LETTERS: list[np.ndarray] = []
 
 
@@ -62,10 +64,11 @@ def _pieces(text: str) -> Iterator[np.ndarray]:
 def grams(text: str) -> Iterator[np.ndarray]:
     """Keys of the 1-, 2- and 3-grams, in pieces; 21 bits a letter."""
     seen = 1
-    for codes in _pieces(text):
+    for piece in _pieces(text):
+        codes = np.where(piece == 0, _GAP, piece)
         one, two = codes[seen:], (codes[:-1] << np.uint64(21)) | codes[1:]
         three = (two[:-1] << np.uint64(21)) | codes[2:]
-        yield np.concatenate([one[one > 0], two[seen - 1:], three[max(0, seen - 2):]])
+        yield np.concatenate([one[one != _GAP], two[seen - 1:], three[max(0, seen - 2):]])
         seen = min(2, len(codes))
 
 
@@ -147,8 +150,7 @@ def predict(docs: DataFrame, profiles: DataFrame, size: int = PROFILE, keep_text
             names, scores = [], []
             for text in batch.column("text").to_pylist():
                 top = ranked(text, size) if text else keys[:0]
-                top_is_letters = len(top) > 0 and bool(np.any(top > 0))
-                if not top_is_letters or not langs:
+                if not len(top) or not langs:
                     names.append(UNKNOWN)
                     scores.append(0.0)
                     continue
