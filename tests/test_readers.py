@@ -6,6 +6,7 @@ import json
 import os
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.shape import header_rows
@@ -177,3 +178,40 @@ def test_alias_csv_with_quoted_comma(spark, tmp_root):
     df = readers.read_csv(spark, p, schema="canonical_name STRING, iso_alpha2 STRING, name_education STRING")
     got = {r.canonical_name: r.name_education for r in df.collect()}
     assert got == {"South Korea": "Korea, Republic of", "India": "India"}
+
+
+def test_series_csv_is_as_wide_as_its_files(spark, tmp_root):
+    d = os.path.join(tmp_root, "wide")
+    os.makedirs(d)
+    n = 1500
+    with open(os.path.join(d, "w.csv"), "w") as fh:
+        fh.write("F99\ntitle," + ",".join(f'"T, {i}"' for i in range(n)) + "\nseries_id," + ",".join(f"S{i}" for i in range(n)) + "\n")
+        fh.write("01-Jan-2020," + ",".join(str(i) for i in range(n)) + "\n")
+    out = readers.read_series_csv(spark, d)
+    got = {r.series_id: (r.value, r.title) for r in out.collect()}
+    assert len(got) == n and got["S1499"] == (1499.0, "T, 1499")
+    with open(os.path.join(d, "bad.csv"), "w") as fh:
+        fh.write("Title,a\n01-Jan-2020,1\n")
+    with pytest.raises(ValueError, match="bad.csv"):
+        readers.read_series_csv(spark, d)
+
+
+def test_message_log_of_objects(spark, tmp_root):
+    page = {"qDataPages": [{"qMatrix": [[{"qText": "a", "qNum": 1}, {"qText": "b", "qNum": "NaN"}]]}]}
+    log = [{"dir": "recv", "ts": "t1", "data": {"id": 7, "result": {"x": [{"deep": page}]}}},
+           {"dir": "sent", "ts": "t2", "data": {"result": page}}, {"direction": "recv", "data": {"nothing": 1}}]
+    p = os.path.join(tmp_root, "list.json")
+    with open(p, "w") as fh:
+        json.dump(log, fh)
+    cells = readers.hypercube_cells(readers.read_messages(spark, p)).orderBy("col_idx").collect()
+    assert [(c.id, c.ts, c.col_idx, c.text, c.number) for c in cells] == [(7, "t1", 0, "a", 1.0), (7, "t1", 1, "b", None)]
+
+
+def test_broken_workbook_fails_with_its_path(spark, tmp_root):
+    d = os.path.join(tmp_root, "broken")
+    os.makedirs(d)
+    _workbook(os.path.join(d, "a.xlsx"), {"S": [["a"]]})
+    with open(os.path.join(d, "torn.xlsx"), "wb") as fh:
+        fh.write(b"PK not really")
+    with pytest.raises(Exception, match="torn.xlsx"):
+        xlsx.read_grid(spark, d).collect()

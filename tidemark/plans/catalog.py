@@ -970,7 +970,6 @@ def q_p24_country(t: Tables) -> DataFrame:
 
 @query("r13_message_cells_roundtrip")
 def q_r13(t: Tables) -> DataFrame:
-    from tidemark.sources.readers import MESSAGE_SCHEMA, hypercube_cells
+    from tidemark.sources.readers import hypercube_cells, with_envelope
 
-    msgs = marts.m_messages(t).select(F.from_json("json", MESSAGE_SCHEMA).alias("m")).select("m.*")
-    return hypercube_cells(msgs)
+    return hypercube_cells(with_envelope(marts.m_messages(t)))

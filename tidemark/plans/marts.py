@@ -754,15 +754,16 @@ def m_enrol_pivot_cache(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 
 def m_messages(t: Tables) -> DataFrame:
-    """Each conversation turn as one JSON message of a data-page log: the method is
-    the speaker's role, the id is derived from (conversation, turn), and the
-    turn's whole text sits in a one-cell data page (qText) with the turn number
-    as its numeric value (qNum)."""
+    """Each conversation turn as one JSON message of a captured log (``dir``, ``ts``,
+    ``data``): received for a user's or assistant's turn, sent for the system's.  The id
+    is derived from (conversation, turn), and the turn's whole text sits in a one-cell
+    data page (qText, with the turn number as qNum) some levels down, at another place
+    for odd turns."""
     c = t.read("conversations", "conv_id", "turn", "role", "text")
     cell = F.struct(F.col("text").alias("qText"), F.col("turn").cast("double").alias("qNum"))
-    msg = F.struct(
-        F.col("role").alias("method"),
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
-        F.struct(F.array(F.struct(F.array(F.array(cell)).alias("qMatrix"))).alias("qDataPages")).alias("result"),
-    )
-    return c.select(F.to_json(msg).alias("json"))
+    pages = F.to_json(F.struct(F.array(F.struct(F.array(F.array(cell)).alias("qMatrix"))).alias("qDataPages")))
+    data = F.when(F.col("turn") % 2 == 1, F.concat(F.lit('{"result":{"qLayout":{"qHyperCube":'), pages, F.lit("}}")))         .otherwise(F.concat(F.lit('{"result":['), pages, F.lit("]")))
+    message = F.concat(
+        F.lit('{"dir":"'), F.when(F.col("role") == "system", F.lit("sent")).otherwise(F.lit("recv")), F.lit('","ts":"'),
+        F.col("turn").cast("string"), F.lit('","data":'), data, F.lit(',"id":'), (F.col("conv_id") * 1000 + F.col("turn")).cast("string"), F.lit("}}"))
+    return c.select(message.alias("json"))

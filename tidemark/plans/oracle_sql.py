@@ -1458,6 +1458,6 @@ FROM m_skilled_cob WHERE country_name = 'NATION_3' ORDER BY financial_year""",
 
 register(
     "r13_message_cells_roundtrip",
-    "SELECT conv_id * 1000 + turn AS id, 0 AS page_idx, 0 AS row_idx, 0 AS col_idx, text, "
-    "CAST(turn AS DOUBLE) AS number FROM conversations",
+    "SELECT conv_id * 1000 + turn AS id, CAST(turn AS VARCHAR) AS ts, 0 AS page_idx, 0 AS row_idx, 0 AS col_idx, text, "
+    "CAST(turn AS DOUBLE) AS number FROM conversations WHERE role <> 'system'",
 )

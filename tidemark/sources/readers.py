@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import lenient_double, month_number, parse_day_first_date
-from tidemark.sources.xlsx import csv_grid
 
-# Fixed labels of the metadata rows in a statistical-series CSV.
-SERIES_META_LABELS = {"Title": "title", "Units": "units", "Frequency": "frequency", "Series ID": "series_id"}
+# Fixed labels (lower case) of the metadata rows in a statistical-series CSV.
+SERIES_META_LABELS = {"title": "title", "units": "units", "frequency": "frequency", "series id": "series_id", "series_id": "series_id"}
+SERIES_ID_LABELS = ("series id", "series_id")
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | None = None, **options) -> DataFrame:
@@ -26,70 +26,47 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, **option
     return r.csv(path)
 
 
-def series_csv_long(grid: DataFrame, meta_scan_rows: int = 20) -> DataFrame:
-    """S01 (+ X05, X01, R02): a ragged series CSV (metadata rows, then dated
-    rows) to long ``(path, date, series_id, value, title, units, frequency)``.
-
-    Metadata rows are found among the first ``meta_scan_rows`` by their label
-    in the first cell; data rows are those below the "Series ID" row whose first
-    cell parses as a day-first date.  Each data cell is matched to its
-    column's metadata by (file, position) - an equi-join on a small frame.
-    """
-    label = F.element_at(F.col("cells"), 1)
-    meta = grid.where((F.col("row_idx") < meta_scan_rows) & label.isin(*SERIES_META_LABELS))
-    meta_cells = meta.select(
-        "path", label.alias("label"), "row_idx", F.posexplode("cells").alias("pos", "v")
-    ).where(F.col("pos") > 0)
-    sid_row = meta.where(label == "Series ID").groupBy("path").agg(F.min("row_idx").alias("__sid_row"))
-    wide_meta = meta_cells.groupBy("path", "pos").agg(
-        *[F.max(F.when(F.col("label") == k, F.col("v"))).alias(v) for k, v in SERIES_META_LABELS.items()]
-    )
-    data = grid.join(sid_row, "path").where(F.col("row_idx") > F.col("__sid_row"))
-    data = data.select(
-        "path", parse_day_first_date(F.element_at(F.col("cells"), 1)).alias("date"), F.posexplode("cells").alias(
-            "pos", "raw"
-        )
-    ).where(F.col("date").isNotNull() & (F.col("pos") > 0))
-    j = data.join(wide_meta, ["path", "pos"], "left")
-    return j.select(
-        "path", "date", "series_id", lenient_double("raw").alias("value"), "title", "units", "frequency"
-    ).where(F.col("series_id").isNotNull() & F.col("value").isNotNull())
-
-
-def read_series_csv(spark: SparkSession, path: str, glob: str = "*.csv", max_columns: int = 256) -> DataFrame:
-    """S01 end to end as one splittable CSV scan (no Python on the rows).
-
-    Every line is read against a fixed wide all-text schema (a short row gets
-    a NULL tail), tagged with its file.  Metadata lines are recognised by their
-    label and data lines by a first cell that parses as a day-first date, so
-    line order is never needed and a large file is split across tasks.  The
-    metadata (a handful of lines per file) is turned into one row per (file,
-    column) and joined to the unpivoted data cells.  ``max_columns`` must cover
-    the widest file (series per file plus the date column).
+def _series_width(spark: SparkSession, path: str, glob: str) -> int:
+    """Columns of the widest file, from its "Series ID" line (commas inside quotes only
+    make it wider than needed).  A file without that line is an error."""
+    lines = spark.read.option("pathGlobFilter", glob).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    label = F.lower(F.trim(F.regexp_extract("value", r'^\ufeff?"?([^",]*)', 1)))
+    width = F.when(label.isin(*SERIES_ID_LABELS), F.length(F.regexp_replace("value", "[^,]", "")) + 1)
+    per_file = lines.groupBy("path").agg(F.max(width).alias("width"))
+    found = per_file.agg(F.max("width").alias("width"), F.min(F.when(F.col("width").isNull(), F.col("path"))).alias("bad")).first()
+    if found["bad"] is not None:
+        raise ValueError(f"{found['bad']}: no 'Series ID' row")
+    return found["width"] or 1
+
+
+def read_series_csv(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
+    """S01 end to end as one splittable CSV scan (no Python on the rows): long rows
+    ``(path, date, series_id, value, title, units, frequency)``.
+
+    Every line is read against an all-text schema as wide as the widest file's
+    "Series ID" line says (a short row gets a NULL tail), tagged with its file.
+    Metadata lines are recognised by their label, in any case, and data lines by a first
+    cell that parses as a day-first date, so line order is never needed and a large
+    file is split across tasks.  The metadata (a handful of lines per file) is turned
+    into one row per (file, position) and joined to the exploded data cells.  A file
+    without a "Series ID" row raises.
     """
-    schema = ", ".join(f"c{i} STRING" for i in range(max_columns))
+    width = _series_width(spark, path, glob)
     raw = (
-        spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE")
-        .option("pathGlobFilter", glob).csv(path)
-        .withColumn("path", F.col("_metadata.file_path"))
+        spark.read.schema(", ".join(f"c{i} STRING" for i in range(width))).option("header", False)
+        .option("mode", "PERMISSIVE").option("pathGlobFilter", glob).csv(path)
+        .select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("c0", "^\ufeff", "").alias("c0"),
+                F.array(*[F.col(f"c{i}") for i in range(1, width)]).cast("array<string>").alias("cells"))
     )
-    cols = [f"c{i}" for i in range(1, max_columns)]
-    label = F.trim(F.col("c0"))
-    meta = raw.where(label.isin(*SERIES_META_LABELS)).select(
-        "path", label.alias("label"), *cols
-    ).unpivot(["path", "label"], cols, "col", "v")
-    wide_meta = meta.groupBy("path", "col").agg(
-        *[F.max(F.when(F.col("label") == k, F.col("v"))).alias(v) for k, v in SERIES_META_LABELS.items()]
-    ).where(F.col("series_id").isNotNull())
-    data = raw.select("path", parse_day_first_date("c0").alias("date"), *cols).where(F.col("date").isNotNull())
-    # only filled cells become rows (no expansion of the empty tail of a wide schema)
-    filled = F.filter(
-        F.transform(F.array(*cols), lambda x, i: F.struct(F.concat(F.lit("c"), (i + 1).cast("string")).alias("col"),
-                                                          x.alias("raw"))),
-        lambda c: c["raw"].isNotNull(),
-    )
-    cells = data.select("path", "date", F.explode(filled).alias("c")).select("path", "date", "c.col", "c.raw")
-    j = cells.join(wide_meta, ["path", "col"], "inner")
+    label = F.lower(F.trim(F.col("c0")))
+    names = sorted(set(SERIES_META_LABELS.values()))
+    meta = raw.where(label.isin(*SERIES_META_LABELS)).select("path", label.alias("label"), F.posexplode("cells").alias("pos", "v"))
+    wide_meta = meta.groupBy("path", "pos").agg(
+        *[F.max(F.when(F.col("label").isin(*[k for k, v in SERIES_META_LABELS.items() if v == n]), F.trim("v"))).alias(n) for n in names]
+    ).where(F.col("series_id") != "")
+    data = raw.select("path", parse_day_first_date("c0").alias("date"), "cells").where(F.col("date").isNotNull())
+    cells = data.select("path", "date", F.posexplode("cells").alias("pos", "raw")).where(F.col("raw").isNotNull())
+    j = cells.join(wide_meta, ["path", "pos"], "inner")
     return j.select(
         "path", "date", "series_id", lenient_double("raw").alias("value"), "title", "units", "frequency"
     ).where(F.col("value").isNotNull())
@@ -118,13 +95,17 @@ def newest_file(spark: SparkSession, path: str, glob: str) -> str | None:
 
 
 def first_available(spark: SparkSession, candidates: Sequence[tuple[str, str]]) -> tuple[str, str] | None:
-    """The first (folder, glob) in the fallback chain that holds a file."""
+    """The first (folder, glob) in the fallback chain that holds a file; a folder that
+    is not there holds none, any other failure is raised."""
+    from pyspark.errors import AnalysisException
+
     for folder, glob in candidates:
         try:
             if newest_file(spark, folder, glob):
                 return folder, glob
-        except Exception:  # noqa: BLE001 - a missing folder just falls through
-            continue
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     return None
 
 
@@ -139,37 +120,69 @@ def file_context(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # JSON message logs
 
-QCELL = "struct<qText:string,qNum:double>"
-MESSAGE_SCHEMA = (
-    "method STRING, id BIGINT, "
-    f"result STRUCT<qLayout: STRUCT<qHyperCube: STRUCT<qDataPages: ARRAY<STRUCT<qMatrix: ARRAY<ARRAY<{QCELL}>>>>>>, "
-    f"qDataPages: ARRAY<STRUCT<qMatrix: ARRAY<ARRAY<{QCELL}>>>>>"
-)
+#: Depth to which a message is searched for its data pages.
+PAGE_DEPTH = 8
+CELL_SCHEMA = "id long, ts string, page_idx int, row_idx int, col_idx int, text string, number double"
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
     """A message log - either a JSON list of messages or an object with
-    ``requests`` and ``responses`` lists - one row per message."""
-    raw = spark.read.option("multiLine", True).json(path)
-    if "requests" in raw.columns or "responses" in raw.columns:
-        parts = [c for c in ("requests", "responses") if c in raw.columns]
-        arr = F.concat(*[F.coalesce(F.col(c).cast("array<string>"), F.array().cast("array<string>")) for c in parts])
-        msgs = raw.select(F.explode(arr).alias("json"))
-        return msgs.select(F.from_json("json", MESSAGE_SCHEMA).alias("m")).select("m.*")
-    text = spark.read.option("wholetext", True).text(path)
-    msgs = text.select(F.explode(F.from_json("value", "array<string>")).alias("json"))
-    return msgs.select(F.from_json("json", MESSAGE_SCHEMA).alias("m")).select("m.*")
+    ``requests`` and ``responses`` lists - one row per message: method, id, dir, ts and the
+    message's JSON.  A message may be an object or an object written as a string."""
+    log = F.parse_json(F.col("value"))
+    raw = spark.read.option("wholetext", True).text(path).select(log.alias("log"))
+    none = F.array().cast("array<variant>")
+    both = F.concat(*[F.coalesce(F.try_variant_get("log", f"$.{k}", "array<variant>"), none) for k in ("requests", "responses")])
+    items = F.coalesce(F.try_variant_get("log", "$", "array<variant>"), both)
+    # as text, a string item is the JSON it holds and an object item its own JSON
+    return with_envelope(raw.select(F.explode(items).alias("m")).select(F.try_variant_get("m", "$", "string").alias("json")))
+
+
+def with_envelope(messages: DataFrame) -> DataFrame:
+    """method, id, dir (``dir`` or ``direction``) and ts beside each message's ``json``."""
+    def get(*names: str) -> F.Column:
+        return F.coalesce(*[F.get_json_object("json", f"$.{n}") for n in names])
+
+    return messages.select(get("method", "data.method").alias("method"), get("id", "data.id").try_cast("bigint").alias("id"),
+                           get("dir", "direction").alias("dir"), get("ts").alias("ts"), "json")
+
+
+def _data_pages(part: object, depth: int = 0) -> list:
+    """The first ``qDataPages`` found, searching in order to PAGE_DEPTH."""
+    if depth > PAGE_DEPTH:
+        return []
+    if isinstance(part, dict) and "qDataPages" in part:
+        return part["qDataPages"] or []
+    inner = part.values() if isinstance(part, dict) else part if isinstance(part, list) else ()
+    return next((pages for x in inner if (pages := _data_pages(x, depth + 1))), [])
 
 
 def hypercube_cells(messages: DataFrame) -> DataFrame:
-    """R13 + X27: data pages to rows: (message id, page, row, column, text, number).
-    Pages are taken from the layout's hypercube or from a direct result."""
-    pages = F.coalesce(F.col("result.qLayout.qHyperCube.qDataPages"), F.col("result.qDataPages"))
-    p = messages.select("id", F.posexplode(pages).alias("page_idx", "page"))
-    r = p.select("id", "page_idx", F.posexplode("page.qMatrix").alias("row_idx", "row"))
-    c = r.select("id", "page_idx", "row_idx", F.posexplode("row").alias("col_idx", "cell"))
-    return c.select("id", "page_idx", "row_idx", "col_idx", F.col("cell.qText").alias("text"),
-                    F.col("cell.qNum").alias("number"))
+    """R13 + X27: the data pages of received messages to rows: (id, ts, page, row, column,
+    text, number).  A message that names a direction counts only if it is ``recv``.  Pages
+    are sought in ``data``, or in the whole message where there is none, at any place to
+    PAGE_DEPTH levels; that search is a small Python helper, one message at a time."""
+    import json
+
+    import pandas as pd
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for key, ts, text in zip(pdf["id"], pdf["ts"], pdf["json"]):
+                message = json.loads(text)
+                part = message.get("data", message) if isinstance(message, dict) else message
+                for p, page in enumerate(_data_pages(part)):
+                    for r, row in enumerate(page.get("qMatrix") or []):
+                        for c, cell in enumerate(row):
+                            if isinstance(cell, dict):
+                                number = cell.get("qNum")
+                                out.append((key, ts, p, r, c, cell.get("qText"), float(number) if isinstance(number, (int, float)) else None))
+            frame = pd.DataFrame(out, columns=["id", "ts", "page_idx", "row_idx", "col_idx", "text", "number"])
+            yield frame.astype({"id": "Int64", "number": "float64"})
+
+    kept = messages.where(F.col("json").isNotNull() & (F.coalesce("dir", F.lit("recv")) == "recv"))
+    return kept.select("id", "ts", "json").mapInPandas(run, CELL_SCHEMA)
 
 
 def method_histogram(messages: DataFrame, n: int = 15) -> DataFrame:

@@ -11,6 +11,7 @@ Parallelism is one task per file; a large workbook is streamed with
 
 from __future__ import annotations
 
+import contextlib
 import io
 import re
 import zipfile
@@ -76,8 +77,11 @@ def parse_workbook(path: str, content: bytes) -> Iterator[tuple[str, str, int, l
     for sheet, part in _sheet_paths(z):
         if part not in z.namelist():
             continue
-        expected = 0
-        for _, el in ET.iterparse(z.open(part)):
+        expected, rows = 0, None
+        for event, el in ET.iterparse(z.open(part), events=("start", "end")):
+            if event == "start":
+                rows = el if el.tag == NS + "sheetData" else rows
+                continue
             if el.tag != NS + "row":
                 continue
             r = int(el.get("r", expected + 1)) - 1
@@ -102,7 +106,8 @@ def parse_workbook(path: str, content: bytes) -> Iterator[tuple[str, str, int, l
                 cells.append(val)
             yield path, sheet, r, cells
             expected = r + 1
-            el.clear()
+            if rows is not None:
+                rows.clear()  # drops the row itself too, not only what it holds
 
 
 # Rows handed to Arrow per output batch: a large workbook is emitted in pieces,
@@ -121,14 +126,21 @@ def _chunked(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame
         yield pd.DataFrame(buf, columns=columns)
 
 
+@contextlib.contextmanager
+def _naming(path: str):
+    """A file that is no readable workbook fails the load, with its path."""
+    try:
+        yield
+    except (zipfile.BadZipFile, KeyError, ET.ParseError) as e:
+        raise ValueError(f"{path}: not a readable workbook ({type(e).__name__}: {e})") from e
+
+
 def _grid_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def rows():
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                try:
+                with _naming(path):
                     yield from parse_workbook(path, bytes(content))
-                except (zipfile.BadZipFile, KeyError, ET.ParseError):
-                    continue  # not a workbook: reported by workbook_checks
 
     yield from _chunked(rows(), ["path", "sheet", "row_idx", "cells"])
 
@@ -139,25 +151,6 @@ def read_grid(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFrame
     return files.mapInPandas(_grid_batches, GRID_SCHEMA)
 
 
-def csv_grid(spark: SparkSession, path: str, glob: str = "*.csv", encoding: str = "utf-8-sig") -> DataFrame:
-    """A ragged CSV as the same grid (sheet ''): short rows stay short, so
-    metadata rows above the data keep their positions (S01)."""
-    import csv
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def rows():
-            for pdf in batches:
-                for p, content in zip(pdf["path"], pdf["content"]):
-                    text = decode_with_fallback(bytes(content), encoding)
-                    for i, rec in enumerate(csv.reader(io.StringIO(text))):
-                        yield p, "", i, [c if c != "" else None for c in rec]
-
-        yield from _chunked(rows(), ["path", "sheet", "row_idx", "cells"])
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
-    return files.mapInPandas(parse, GRID_SCHEMA)
-
-
 def decode_with_fallback(content: bytes, first: str = "utf-8-sig", fallback: str = "latin-1") -> str:
     """UTF-8 (BOM stripped) when valid, else Latin-1."""
     try:
@@ -170,39 +163,33 @@ def decode_with_fallback(content: bytes, first: str = "utf-8-sig", fallback: str
 # Pivot cache
 
 
-def parse_pivot_cache(path: str, content: bytes):
-    """Yield field rows ``(field_idx, field_name, item_idx, item_value)`` and
-    record cells ``(record_idx, field_idx, kind, value)`` of the first pivot
-    cache in the workbook.  ``kind`` is x (index into the field's shared
-    items), n (number), s (inline string), m (missing), b/d/e (other)."""
+def parse_pivot_caches(path: str, content: bytes):
+    """Yield ``(source, fields, records)`` for every pivot cache of the workbook: fields
+    ``(field_idx, field_name, item values)``, records ``(record_idx, field_idx, kind,
+    value)``.  ``kind`` is x (index into the field's shared items), n (number), s (inline
+    string), m (missing), b/d/e (other).  ``source`` is the path, with ``#2`` and so on
+    for the caches after the first."""
     z = zipfile.ZipFile(io.BytesIO(content))
-    names = z.namelist()
-    defs = sorted(n for n in names if re.match(r"xl/pivotCache/pivotCacheDefinition\d+\.xml$", n))
-    recs = sorted(n for n in names if re.match(r"xl/pivotCache/pivotCacheRecords\d+\.xml$", n))
-    fields = []
-    if defs:
-        root = ET.parse(z.open(defs[0])).getroot()
-        for fi, cf in enumerate(root.iter(NS + "cacheField")):
-            name = cf.get("name")
-            items = []
+    found = [(int(m[1]), n) for n in z.namelist() if (m := re.match(r"xl/pivotCache/pivotCacheDefinition(\d+)\.xml$", n))]
+    for k, (number, name) in enumerate(sorted(found), start=1):
+        fields = []
+        for fi, cf in enumerate(ET.parse(z.open(name)).getroot().iter(NS + "cacheField")):
             si = cf.find(NS + "sharedItems")
-            if si is not None:
-                for it in si:
-                    items.append(it.get("v"))
-            fields.append(("field", fi, name, items))
+            fields.append((fi, cf.get("name"), [] if si is None else [it.get("v") for it in si]))
+        part = f"xl/pivotCache/pivotCacheRecords{number}.xml"
+        yield path if k == 1 else f"{path}#{k}", fields, _pivot_records(z, part) if part in z.namelist() else iter(())
 
-    def records():
-        if not recs:
-            return
-        ri = 0
-        for _, el in ET.iterparse(z.open(recs[0])):
-            if el.tag == NS + "r":
-                for fi, cell in enumerate(el):
-                    yield ri, fi, cell.tag.replace(NS, ""), cell.get("v")
-                ri += 1
-                el.clear()
 
-    return fields, records()
+def _pivot_records(z: zipfile.ZipFile, part: str):
+    ri, whole = 0, None
+    for event, el in ET.iterparse(z.open(part), events=("start", "end")):
+        if event == "start":
+            whole = el if whole is None else whole
+        elif el.tag == NS + "r":
+            for fi, cell in enumerate(el):
+                yield ri, fi, cell.tag.replace(NS, ""), cell.get("v")
+            ri += 1
+            whole.clear()
 
 
 def read_pivot_cache(spark: SparkSession, path: str, glob: str = "*.xlsx") -> tuple[DataFrame, DataFrame]:
@@ -213,27 +200,23 @@ def read_pivot_cache(spark: SparkSession, path: str, glob: str = "*.xlsx") -> tu
         for pdf in batches:
             rows = []
             for p, c in zip(pdf["path"], pdf["content"]):
-                try:
-                    fields, _ = parse_pivot_cache(p, bytes(c))
-                except (zipfile.BadZipFile, KeyError, ET.ParseError):
-                    continue
-                for _, fi, name, items in fields:
-                    if not items:
-                        rows.append((p, fi, name, None, None))
-                    for ii, v in enumerate(items):
-                        rows.append((p, fi, name, ii, v))
+                with _naming(p):
+                    for source, fields, _ in parse_pivot_caches(p, bytes(c)):
+                        for fi, name, items in fields:
+                            if not items:
+                                rows.append((source, fi, name, None, None))
+                            for ii, v in enumerate(items):
+                                rows.append((source, fi, name, ii, v))
             yield pd.DataFrame(rows, columns=["path", "field_idx", "field_name", "item_idx", "item_value"])
 
     def records_fn(batches):
         def rows():
             for pdf in batches:
                 for p, c in zip(pdf["path"], pdf["content"]):
-                    try:
-                        _, recs = parse_pivot_cache(p, bytes(c))
-                        for ri, fi, k, v in recs:
-                            yield p, ri, fi, k, v
-                    except (zipfile.BadZipFile, KeyError, ET.ParseError):
-                        continue
+                    with _naming(p):
+                        for source, _, recs in parse_pivot_caches(p, bytes(c)):
+                            for ri, fi, k, v in recs:
+                                yield source, ri, fi, k, v
 
         yield from _chunked(rows(), ["path", "record_idx", "field_idx", "kind", "value"])
 
