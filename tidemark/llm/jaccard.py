@@ -8,10 +8,15 @@ sought: an index of group prefixes, cut by size and by position.  Candidate grou
 are expanded into their classes and every pair of classes is verified on whole sets.
 
 What is asked for are classes and the links that join them, so links inside what is
-already joined need not be shown: first each group is held against the smallest group
-it shares its prefix with (one pair a group), the links found are joined into
-components, and then all candidates across *different* components are verified.  A
-crowd of near copies thus costs one pair each, and no link between components is lost.
+already joined need not be shown.  In each of a few rounds, every part of a group that
+is joined so far is held against one other: the hub, the one whose shingles are most
+common, of the prefix shingles it shares.  Then all candidates across what is still
+apart are verified.  A crowd of near copies thus costs a pair or two each, and no link
+between components is lost.
+
+Before texts are sent for, a pair must pass its bit maps: shingles are dealt over about
+four bits each, an odd number in a bit sets it, and sets differ in at least as many
+shingles as their maps do in bits.
 
 The order needs the frequent shingles only, and any order gives the same result: each
 task counts its own shingles, and the most frequent go last.
@@ -41,6 +46,8 @@ WORDS = 5
 PERCENT = 80
 #: Frequent shingles that the order knows, and how many a task puts forward.
 FREQUENT = 50_000
+#: Rounds of pairing with hubs before all candidates are taken.
+ROUNDS = 2
 #: Partners of one class that are verified in one task.
 PARTNERS = 500
 
@@ -64,6 +71,33 @@ def shingles(text: str | None, k: int = WORDS) -> np.ndarray:
     return np.unique(out)
 
 
+def bit_map(own: np.ndarray) -> bytes:
+    """Parities of the shingles that fall on each of 4 to 8 bits a shingle."""
+    bits = 8 << max(0, int(len(own) - 1).bit_length() - 1)
+    odd = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """Shingles that two sets differ in at least, by their maps; the larger is folded."""
+    x, y = (np.frombuffer(m, np.uint8) for m in (a, b))
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _likely(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [(a, b) for a, b, n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "n_a", "n_b", "sig_a", "sig_b")), strict=True)
+                    if (100 + percent) * least_difference(x, y) <= (100 - percent) * (n + m)]
+            yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in kept], pa.binary()) for i in (0, 1)], names=["a", "b"])
+
+    return run
+
+
 def prefix_size(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
@@ -106,7 +140,7 @@ def _prefixes(frequent: np.ndarray, k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, places = frequent
         for batch in batches:
-            ids, ths, cks, sizes, gids, prefixes, ends = [], [], [], [], [], [], [0]
+            ids, ths, cks, sizes, gids, prefixes, ends, sigs = [], [], [], [], [], [], [0], []
             for doc, th, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "th", "text")), strict=True):
                 own = shingles(text, k)
                 n = len(own)
@@ -116,6 +150,7 @@ def _prefixes(frequent: np.ndarray, k: int, percent: int):
                 if not n:
                     cks.append(None)
                     gids.append(None)
+                    sigs.append(None)
                     ends.append(ends[-1])
                     continue
                 last = np.zeros(n, np.uint64)
@@ -123,6 +158,7 @@ def _prefixes(frequent: np.ndarray, k: int, percent: int):
                     at = np.minimum(np.searchsorted(tokens, own), len(tokens) - 1)
                     last = np.where(tokens[at] == own, places[at], np.uint64(0))
                 prefix = own[np.lexsort([own, last])[:prefix_size(n, percent)]]
+                sigs.append(bit_map(own))
                 cks.append(xxhash.xxh3_128_digest(own.tobytes()))
                 gids.append(xxhash.xxh3_64_intdigest(prefix.tobytes(), seed=n) - (1 << 63))
                 prefixes.append(prefix)
@@ -130,8 +166,8 @@ def _prefixes(frequent: np.ndarray, k: int, percent: int):
             flat = np.concatenate(prefixes).view(np.int64) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(ths, pa.int64()), pa.array(cks, pa.binary()), pa.array(sizes, pa.int32()),
-                 pa.array(gids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
-                names=["doc_id", "th", "ck", "n", "gid", "prefix"])
+                 pa.array(gids, pa.int64()), pa.array(sigs, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
+                names=["doc_id", "th", "ck", "n", "gid", "sig", "prefix"])
 
     return run
 
@@ -184,6 +220,13 @@ def _texts_of(rows: DataFrame, classes: DataFrame, cks: DataFrame) -> DataFrame:
         .select("r.ck", "t.text").dropDuplicates(["ck"]), "texts")
 
 
+def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and bit maps do not rule out."""
+    side = {x: classes.select(F.col("ck").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}")) for x in "ab"}
+    full = pairs.join(side["a"], "a").join(side["b"], "b").where(_near("n_a", "n_b", percent))
+    return arrow_map(full, _likely(percent), "a binary, b binary")
+
+
 def _pair_cks(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("ck")).unionByName(pairs.select(F.col("b").alias("ck")))
 
@@ -197,52 +240,62 @@ def similar_classes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) ->
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
     sets = cut(arrow_map(rows, _prefixes(frequent_shingles(docs, k), k, percent),
-                         "doc_id long, th long, ck binary, n int, gid long, prefix array<long>"), "prefixes")
+                         "doc_id long, th long, ck binary, n int, gid long, sig binary, prefix array<long>"), "prefixes")
     known = sets.where(F.col("ck").isNotNull())
     classes = cut(known.groupBy("ck").agg(F.min(F.struct("doc_id", "th")).alias("one"), F.min("n").alias("n"),
-                                          F.min("gid").alias("gid")), "classes")
-    groups = cut(known.groupBy("gid").agg(F.min(F.struct("n", "prefix")).alias("x")).select("gid", "x.n", "x.prefix"), "groups")
-    heads = classes.groupBy("gid").agg(F.min("ck").alias("head"), F.min("n").alias("head_n"))
-
-    postings = groups.select("gid", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = cut(postings.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token"), "shared-shingles")
-    index = cut(may_match(postings, F.col("token"), shared, F.col("token")).join(shared, "token"), "index")
-
-    # one pair a group: the smallest group that it shares most prefix shingles with
-    pivots = index.groupBy("token").agg(F.min(F.struct("n", "gid")).alias("p")).select("token", F.col("p.gid").alias("pivot"))
-    chosen = index.join(pivots, "token").where("gid != pivot").groupBy("gid", "pivot").agg(F.count("*").alias("c")) \
-        .groupBy("gid").agg(F.max(F.struct("c", "pivot")).alias("x")).select("gid", F.col("x.pivot").alias("pivot"))
-    to_head = classes.join(heads, "gid").where("ck != head").select(F.col("head").alias("a"), F.col("ck").alias("b"))
-    to_pivot = classes.join(chosen, "gid").join(heads.withColumnRenamed("gid", "pivot"), "pivot") \
-        .where(_near("n", "head_n", percent)).select(F.col("head").alias("a"), F.col("ck").alias("b"))
-    first = cut(to_head.unionByName(to_pivot), "first-pairs")
-    links = cut(verified(first, _texts_of(rows, classes, _pair_cks(first)), k, percent), "first-links")
-
-    # every candidate across components
-    joined = components(links)
-    placed = classes.select("ck", "gid").join(joined.withColumnRenamed("node", "ck"), "ck", "left") \
-        .select("gid", "ck", F.coalesce("component", "ck").alias("comp"))
-    placed = cut(placed, "placed")
-    members = index.join(placed, "gid")
-    per = members.groupBy("token", "comp").agg(F.count("*").alias("c"))
-    main = per.groupBy("token").agg(F.max(F.struct("c", "comp")).alias("x"), F.count("*").alias("comps")).where("comps > 1") \
-        .select("token", F.col("x.comp").alias("main"))
-    split = cut(members.join(main, "token"), "split-shingles")
-    stray = split.where("comp != main").select("token", *(F.col(c).alias(f"{c}_a") for c in ("ck", "comp", "n", "pos")))
-    other = split.select("token", "main", *(F.col(c).alias(f"{c}_b") for c in ("ck", "comp", "n", "pos")))
+                                          F.min("gid").alias("gid"), F.min("sig").alias("sig")), "classes")
+    groups = known.groupBy("gid").agg(F.min(F.struct("n", "prefix")).alias("x")) \
+        .join(classes.groupBy("gid").agg(F.count("*").alias("members")), "gid").select("gid", "members", "x.n", "x.prefix")
+    groups = cut(groups, "groups")
+
+    postings = groups.select("gid", "n", "members", F.posexplode("prefix").alias("pos", "token"))
+    shared = cut(postings.groupBy("token").agg(F.sum("members").alias("df")).where("df > 1"), "shared-shingles")
+    index = cut(may_match(postings.drop("members"), F.col("token"), shared, F.col("token")).join(shared, "token"), "index")
+    common = cut(index.groupBy("gid").agg((F.sum("df") / F.first("n")).alias("common")), "commonness")
+
+    def judged(pairs: DataFrame, name: str) -> DataFrame:
+        some = cut(likely(pairs, classes, percent), f"{name}-pairs")
+        return cut(verified(some, _texts_of(rows, classes, _pair_cks(some)), k, percent), f"{name}-links")
+
+    def parts() -> DataFrame:
+        """Parts of groups by component: (gid, comp, rep, common)."""
+        comps = classes.select("ck", "gid") if joined is None else classes.select("ck", "gid").join(joined.withColumnRenamed("node", "ck"), "ck", "left")
+        comp = F.col("ck") if joined is None else F.coalesce("component", "ck")
+        return cut(comps.select("gid", "ck", comp.alias("comp")).groupBy("gid", "comp").agg(F.min("ck").alias("rep"))
+                   .join(common, "gid"), "parts")
+
+    links, joined = None, None
+    for _ in range(ROUNDS):
+        members = index.select("token", "gid").join(parts(), "gid")
+        told = F.struct("common", "comp", "rep")
+        best = members.groupBy("token").agg(F.max(told).alias("hub"), (F.min("comp") != F.max("comp")).alias("apart")).where("apart").drop("apart")
+        open_ = cut(members.join(best, "token"), "open-shingles")
+        next_best = open_.where(F.col("comp") != F.col("hub.comp")).groupBy("token").agg(F.max(told).alias("next"))
+        other = F.when(F.col("comp") == F.col("hub.comp"), F.col("next.rep")).otherwise(F.col("hub.rep"))
+        chosen = open_.join(next_best, "token").groupBy("gid", "comp", "rep", other.alias("other")).agg(F.count("*").alias("c")) \
+            .groupBy("gid", "comp", "rep").agg(F.max(F.struct("c", "other")).alias("x"))
+        found = judged(chosen.select(F.least("rep", "x.other").alias("a"), F.greatest("rep", "x.other").alias("b")).distinct(), "hub")
+        links = found if links is None else links.unionByName(found)
+        joined = cut(components(links), "components-so-far")
+
+    # every candidate across components: pairs of parts of groups, expanded into their classes
+    where = parts()
+    per = index.select("token", "gid", "n", "pos").join(where.select("gid", "comp"), "gid")
+    main = per.groupBy("token", "comp").agg(F.count("*").alias("c")).groupBy("token") \
+        .agg(F.max(F.struct("c", "comp")).alias("x"), F.count("*").alias("comps")).where("comps > 1").select("token", F.col("x.comp").alias("main"))
+    split = cut(per.join(main, "token"), "split-shingles")
+    stray = split.where("comp != main").select("token", *(F.col(c).alias(f"{c}_a") for c in ("gid", "comp", "n", "pos")))
+    other = split.select("token", "main", *(F.col(c).alias(f"{c}_b") for c in ("gid", "comp", "n", "pos")))
     rest = 1 + F.least(F.col("n_a") - F.col("pos_a") - 1, F.col("n_b") - F.col("pos_b") - 1)
     across = stray.join(other, "token").where(
-        (F.col("comp_a") != F.col("comp_b")) & ((F.col("comp_b") == F.col("main")) | (F.col("ck_a") < F.col("ck_b")))
+        (F.col("comp_a") != F.col("comp_b")) & ((F.col("comp_b") == F.col("main")) | (F.col("comp_a") < F.col("comp_b")))
         & _near("n_a", "n_b", percent) & ((100 + percent) * rest >= percent * (F.col("n_a") + F.col("n_b")))) \
-        .select(F.least("ck_a", "ck_b").alias("a"), F.greatest("ck_a", "ck_b").alias("b")).distinct()
-    in_group = placed.alias("x").join(heads.alias("h"), "gid").where("x.ck != h.head")  # classes of one group, not with its head
-    strays = in_group.join(placed.select(F.col("ck").alias("head"), F.col("comp").alias("head_comp")), "head") \
-        .where("comp != head_comp").select("gid", "ck", "comp")
-    within = strays.select("gid", F.col("ck").alias("a"), F.col("comp").alias("comp_a")).join(
-        placed.select("gid", F.col("ck").alias("b"), F.col("comp").alias("comp_b")), "gid") \
-        .where((F.col("comp_a") != F.col("comp_b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    second = cut(across.unionByName(within).distinct(), "second-pairs")
-    more = cut(verified(second, _texts_of(rows, classes, _pair_cks(second)), k, percent), "second-links")
+        .select("gid_a", "comp_a", "gid_b", "comp_b").distinct()
+    placed = classes.select("ck", "gid").join(joined.withColumnRenamed("node", "ck"), "ck", "left") \
+        .select("ck", "gid", F.coalesce("component", "ck").alias("comp"))
+    for x, name in (("a", "x"), ("b", "y")):
+        across = across.join(placed.select(F.col("gid").alias(f"gid_{x}"), F.col("comp").alias(f"comp_{x}"), F.col("ck").alias(name)), [f"gid_{x}", f"comp_{x}"])
+    more = judged(across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "last")
     links = links.unionByName(more)
     return sets.select("doc_id", "th", "n", "ck"), links, cut(components(links), "components")
 
