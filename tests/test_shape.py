@@ -30,21 +30,38 @@ def test_value_column_and_report_type(spark):
     df = spark.createDataFrame([("a", "1", "x"), ("b", "2", "y")], "label STRING, count_granted STRING, note STRING")
     assert shape.detect_value_column(df) == "count_granted"
     assert shape.detect_value_column(df.withColumnRenamed("note", "Total")) == "Total"
-    assert shape.classify_report(["Visa Subclass", "Financial Year", "x"]) == "skilled"
-    assert shape.classify_report(["Nationality", "Sector"]) == "education"
+    texts = spark.createDataFrame([("none", "7"), ("many", "8")], "data_count_total STRING, x STRING")
+    assert shape.detect_value_column(texts) == "x"  # named like a count, but without a number
+    assert shape.detect_value_column(texts.select("data_count_total")) is None
+    assert shape.classify_report(["Citizenship Country", "Nominated Occupation", "Visa Type"]) == "skilled"
+    assert shape.classify_report(["Citizenship Country", "Visa Type"]) == "whm"
+    assert shape.classify_report(["Nationality", "Sector"]) == shape.classify_report(["Sum of YTD Enrolments"]) == "education"
+    assert shape.classify_report(["Visa Subclass", "Financial Year", "x"]) == "generic"
     assert shape.is_long_layout(["dim", "count"]) and not shape.is_long_layout(["dim", "2019"])
 
 
 def test_filename_context_and_view_dimensions(spark):
-    df = spark.createDataFrame([("03_2025_189_SUBMITTED_occupation_by_state.csv",), ("notes.csv",)], "f STRING")
+    names = ["03_2025_189_SUBMITTED_occupation_by_state.csv", "3-2025-190_Invited_Occupations_Points.csv", "notes.csv",
+             "June_491_Submitted_State_English.csv", "11_2024_All_Lodged.csv", "491.csv"]
+    df = spark.createDataFrame(list(enumerate(names)), "i INT, f STRING")
     ctx = shape.filename_context(F.col("f"))
-    rows = df.select(*[c.alias(k) for k, c in ctx.items()]).collect()
-    assert (rows[0].as_at_month, rows[0].visa_type, rows[0].eoi_status, rows[0].source_view) == (
-        "03/2025", "189", "SUBMITTED", "occupation_by_state")
-    assert rows[1].visa_type is None
-    dims = shape.view_dimensions(F.lit("occ_by_state"), {"occ": "occupation"})
-    got = spark.range(1).select(*[c.alias(k) for k, c in dims.items()]).first()
-    assert (got.dimension_1_name, got.dimension_2_name) == ("occupation", "state")
+    rows = [tuple(r)[1:] for r in df.select("i", *[c.alias(k) for k, c in ctx.items()]).orderBy("i").collect()]
+    assert rows == [
+        ("03/2025", "189", "SUBMITTED", "occupation_by_state"), ("03/2025", "190", "Invited", "Occupations_Points"),
+        (None, None, None, None), ("June", "491", "Submitted", "State_English"), ("11/2024", "All", "Lodged", None),
+        (None, "491", None, None)]
+    views = spark.createDataFrame([(1, "Occupations_Points"), (2, "State_English"), (3, "Groups")], "i INT, v STRING")
+    got = views.select("i", *[c.alias(k) for k, c in shape.view_dimensions(F.col("v")).items()]).orderBy("i").collect()
+    assert [tuple(r)[1:] for r in got] == [("Occupations", "Points"), ("Nominated State", "English Test Score"), ("Occupation Groups", "Unknown")]
+
+
+def test_roles_go_column_by_column():
+    rules = [("anzsco_code", [("anzsco", "code"), "=anzsco"]), ("occupation_name", ["occupation", "title"]),
+             ("state_territory", ["state", "territory"]), ("assessment_year", ["year"])]
+    cols = ["occupation title", "anzsco_version", "anzsco_code", "anzsco", "state", "territory", "title", "year"]
+    assert shape.assign_roles(cols, rules, repeatable=["state_territory"]) == {
+        "occupation title": "occupation_name", "anzsco_code": "anzsco_code", "state": "state_territory",
+        "territory": "state_territory", "year": "assessment_year"}
 
 
 def test_data_start_rows(spark):

@@ -63,25 +63,35 @@ def rename_with_fallback(df: DataFrame, synonyms: Mapping[str, Sequence[str]]) -
 
 
 def assign_roles(
-    columns: Sequence[str], rules: Sequence[tuple[str, Sequence[str]]], on_collision: str = "skip"
+    columns: Sequence[str], rules: Sequence[tuple[str, Sequence[str | Sequence[str]]]], on_collision: str = "skip",
+    repeatable: Sequence[str] = (),
 ) -> dict[str, str]:
-    """Keyword role assignment.  Rules are tried in order; for each role
-    the first column containing any keyword (case-insensitive) wins, and a column
-    already taken is not given a second role (``on_collision="skip"``), or the
-    collision is an error (``"error"``), or ignored (``"allow"``)."""
-    taken: dict[str, str] = {}
+    """Keyword role assignment, column by column: a column takes the first rule
+    that matches it (case-insensitive).  A rule is a list of alternatives; a plain one is
+    a text the name contains, one starting with ``=`` is the whole name, and a tuple
+    asks for all of its parts.  A role is given once, to the first column
+    (``on_collision="skip"``), a second column for it being an error with ``"error"``; with
+    ``"allow"``, and for ``repeatable`` roles, every matching column takes it.
+    """
+    def holds(part: str | Sequence[str], name: str) -> bool:
+        if not isinstance(part, str):
+            return all(holds(p, name) for p in part)
+        return name == part[1:].lower() if part.startswith("=") else part.lower() in name
+
     roles: dict[str, str] = {}
-    for role, keywords in rules:
-        for c in columns:
-            lc = c.lower()
-            if any(k.lower() in lc for k in keywords):
-                if c in taken and on_collision != "allow":
-                    if on_collision == "error":
-                        raise ValueError(f"column {c!r} matches roles {taken[c]!r} and {role!r}")
-                    continue
-                roles[c] = role
-                taken[c] = role
-                break
+    given: dict[str, str] = {}
+    for c in columns:
+        matching = [role for role, alternatives in rules if any(holds(a, c.lower()) for a in alternatives)]
+        if not matching:
+            continue
+        role = matching[0]
+        if on_collision == "error" and (len(set(matching)) > 1 or role in given):
+            raise ValueError(f"column {c!r} matches roles {matching}" if len(set(matching)) > 1
+                             else f"columns {given[role]!r} and {c!r} match role {role!r}")
+        if role in given and on_collision != "allow" and role not in repeatable:
+            continue
+        given.setdefault(role, c)
+        roles[c] = role
     return roles
 
 
@@ -112,36 +122,34 @@ def add_lineage(df: DataFrame, source: str, with_file: bool = False) -> DataFram
     return df.withColumns(cols)
 
 
-def detect_value_column(df: DataFrame, keywords: Sequence[str] = ("total", "count", "value", "number")) -> str | None:
-    """The measure column: `Total` when present, else the column with the
-    most keyword hits, then the most numeric cells; first column on ties.
-    One aggregate counts numeric cells of every column; only that one row
-    reaches the driver."""
-    for c in df.columns:
-        if c.strip().lower() == "total":
-            return c
+#: Fixed words of measure names.
+VALUE_KEYWORDS = ("total", "sum of", "count", "enrolment", "enrollment", "grant", "grants", "data", "value", "values")
+
+
+def detect_value_column(df: DataFrame, keywords: Sequence[str] = VALUE_KEYWORDS) -> str | None:
+    """The measure column: ``Total`` when present, else among the columns that hold any
+    number the one with the most keyword hits, then the most numbers; the first column on
+    ties, ``None`` where no column holds a number.  One aggregate counts the numbers of
+    every column; only that one row reaches the driver."""
+    if "Total" in df.columns:
+        return "Total"
     if not df.columns:
         return None
     counts = df.agg(
         *[F.count(F.col(f"`{c}`").cast("string").try_cast("double")).alias(f"c{i}") for i, c in enumerate(df.columns)]
     ).first()
-    best, best_key = None, None
-    for i, c in enumerate(df.columns):
-        hits = sum(k in c.lower() for k in keywords)
-        key = (hits, counts[f"c{i}"] or 0)
-        if best_key is None or key > best_key:
-            best, best_key = c, key
-    return best
+    found = [(sum(k in c.lower() for k in keywords), counts[f"c{i}"], -i, c) for i, c in enumerate(df.columns) if counts[f"c{i}"]]
+    return max(found)[3] if found else None
 
 
 def classify_report(columns: Sequence[str]) -> str:
-    """P20: report type from its field names."""
-    lc = {norm_col(c) for c in columns}
-    if {"visa_subclass", "financial_year"} <= lc:
+    """P20: report type from its field names, as they are written."""
+    fields = set(columns)
+    if {"Citizenship Country", "Nominated Occupation"} <= fields:
         return "skilled"
-    if "whm" in " ".join(lc) or "working_holiday" in lc:
+    if {"Citizenship Country", "Visa Type"} <= fields:
         return "whm"
-    if {"nationality", "sector"} <= lc:
+    if {"Sector", "Nationality"} <= fields or any("YTD Enrolments" in f for f in fields):
         return "education"
     return "generic"
 
@@ -230,32 +238,53 @@ def grid_to_table(
     return body.select("path", "sheet", "row_idx", *picked)
 
 
-FILENAME_PATTERN = r"(\d{2})_(\d{4})_([^_]+)_([^_]+)_(.+)\.csv$"
+FILENAME_PATTERN = r"^(\d{1,2})[_-](\d{4})[_-](.+)$"
+#: Fixed visa tokens sought in file names of another shape.
+VISA_TOKENS = ("189", "190", "491", "All")
+#: Fixed names of abbreviated view dimensions.
+DIMENSION_NAMES = {"English": "English Test Score", "State": "Nominated State", "AustralianStudy": "Australian Study",
+                   "RegionalStudy": "Regional Study", "ProfYear": "Professional Year", "CommunityLang": "Community Language",
+                   "Groups": "Occupation Groups"}
 
 
 def filename_context(file_col: Column) -> dict[str, Column]:
-    """`{MM}_{YYYY}_{visa}_{status}_{view}.csv` to columns (NULL on no match)."""
-    def part(i: int) -> Column:
-        return F.nullif(F.regexp_extract(file_col, FILENAME_PATTERN, i), F.lit(""))
+    """``{M or MM}{_ or -}{YYYY}{_ or -}{visa}_{status}_{view}`` to columns.  In a name of
+    another shape the first visa token counts, with the part before it as the month,
+    the one after it as status and the rest as view; absent parts are NULL."""
+    stem = F.regexp_replace(file_col, r"\.[^.]*$", "")
+
+    def group(i: int) -> Column:
+        return F.nullif(F.regexp_extract(stem, FILENAME_PATTERN, i), F.lit(""))
+
+    def rest(parts: Column, first: Column) -> Column:
+        left = F.size(parts) - first + 1
+        return F.when(left > 0, F.array_join(F.slice(parts, first, F.greatest(left, F.lit(1))), "_"))
+
+    dated = group(1).isNotNull()
+    tail, loose = F.split(group(3), "_"), F.split(stem, "_")
+    at = F.array_min(F.filter(F.transform(loose, lambda x, i: F.when(x.isin(*VISA_TOKENS), i + 1)), lambda x: x.isNotNull()))
+
+    def near(step: int) -> Column:
+        return F.when(at + step >= 1, F.try_element_at(loose, F.greatest(at + step, F.lit(1))))
 
     return {
-        "as_at_month": F.when(part(1).isNotNull(), F.concat(part(1), F.lit("/"), part(2))),
-        "visa_type": part(3),
-        "eoi_status": part(4),
-        "source_view": part(5),
+        "as_at_month": F.when(dated, F.concat(F.lpad(group(1), 2, "0"), F.lit("/"), group(2))).otherwise(near(-1)),
+        "visa_type": F.when(dated, F.try_element_at(tail, F.lit(1))).otherwise(near(0)),
+        "eoi_status": F.when(dated, F.try_element_at(tail, F.lit(2))).otherwise(near(1)),
+        "source_view": F.when(dated, rest(tail, F.lit(3))).when(at.isNotNull(), rest(loose, at + 2)),
     }
 
 
-def view_dimensions(view: Column, abbreviations: Mapping[str, str]) -> dict[str, Column]:
-    """Dimension names from a view name `a_by_b`: split on '_by_' and expand
-    known abbreviations (unknown stay as written)."""
-    parts = F.split(view, "_by_", 2)
-    m = F.create_map(*[F.lit(x) for kv in abbreviations.items() for x in kv]) if abbreviations else None
+def view_dimensions(view: Column, abbreviations: Mapping[str, str] = DIMENSION_NAMES) -> dict[str, Column]:
+    """Dimension names from a view name ``First_Second``: split at the first ``_``, known
+    abbreviations written out; ``Unknown`` where there is no second part."""
+    parts = F.split(view, "_", 2)
+    names = F.create_map(*[F.lit(x) for kv in abbreviations.items() for x in kv]) if abbreviations else None
 
     def expand(c: Column) -> Column:
-        return F.coalesce(F.try_element_at(m, c), c) if m is not None else c
+        return F.coalesce(F.try_element_at(names, c), c) if names is not None else c
 
     return {
         "dimension_1_name": expand(F.element_at(parts, 1)),
-        "dimension_2_name": expand(F.try_element_at(parts, F.lit(2))),
+        "dimension_2_name": F.coalesce(expand(F.try_element_at(parts, F.lit(2))), F.lit("Unknown")),
     }
