@@ -441,6 +441,30 @@ def q_j16(t: Tables) -> DataFrame:
     return o.select("cricos_code", "provider_id")
 
 
+def _courses_with_gaps(t: Tables) -> DataFrame:
+    """Courses, those whose code ends in 7 without a provider."""
+    gap = F.col("cricos_code").endswith("7")
+    return marts.m_course(t).select("cricos_code", F.when(~gap, F.col("provider_id")).alias("provider_id"))
+
+
+@query("j15_courses_without_listed_provider")
+def q_j15c(t: Tables) -> DataFrame:
+    listed = marts.m_provider(t).where(F.col("state_code").isNotNull())
+    return joins.orphans(_courses_with_gaps(t), listed, "provider_id", "provider_id").select("cricos_code", "provider_id")
+
+
+@query("j16_not_in_with_and_without_null")
+def q_j16b(t: Tables) -> DataFrame:
+    provider = marts.m_provider(t)
+    listed = provider.where(F.col("state_code").isNotNull()).select("provider_id")
+    holed = provider.select(F.when(F.col("state_code").isNotNull(), F.col("provider_id")).alias("provider_id"))
+    courses, out = _courses_with_gaps(t), None
+    for name, parent in (("listed", listed), ("listed or null", holed), ("none", listed.limit(0))):
+        part = joins.not_in_anti(courses, parent, "provider_id", "provider_id").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("parents"), "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("j17_course_locations")
 def q_j17(t: Tables) -> DataFrame:
     return prov.course_locations(marts.m_course(t), marts.m_bridge(t), marts.m_location(t))
@@ -555,6 +579,15 @@ def q_w06(t: Tables) -> DataFrame:
     return ytd_decreases(marts.m_enrol(t), en.YEAR, en.MONTH, ["nationality", "sector", "state_code"], en.YTD)
 
 
+@query("w06_monthly_flow_falls")
+def q_w06b(t: Tables) -> DataFrame:
+    from tidemark.operators.windows import deaccumulate_ytd, ytd_decreases
+
+    keys = ["nationality", "sector", "state_code"]
+    flows = deaccumulate_ytd(marts.m_enrol(t), en.YEAR, en.MONTH, keys, en.YTD, "flow")
+    return ytd_decreases(flows, en.YEAR, en.MONTH, keys, "flow").withColumnRenamed("prev_ytd", "previous_flow")
+
+
 @query("w07_monthly_flow_from_ytd")
 def q_w07(t: Tables) -> DataFrame:
     from tidemark.operators.windows import deaccumulate_ytd

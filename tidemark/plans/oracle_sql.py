@@ -1461,3 +1461,34 @@ register(
     "SELECT conv_id * 1000 + turn AS id, CAST(turn AS VARCHAR) AS ts, 0 AS page_idx, 0 AS row_idx, 0 AS col_idx, text, "
     "CAST(turn AS DOUBLE) AS number FROM conversations WHERE role <> 'system'",
 )
+
+GAPPED = """
+gapped AS (SELECT cricos_code, CASE WHEN cricos_code NOT LIKE '%7' THEN provider_id END AS provider_id FROM m_course),
+listed AS (SELECT provider_id FROM m_provider WHERE state_code IS NOT NULL),
+holed AS (SELECT CASE WHEN state_code IS NOT NULL THEN provider_id END AS provider_id FROM m_provider)"""
+
+register(
+    "j15_courses_without_listed_provider",
+    with_(M_PROVIDER, M_COURSE, GAPPED)
+    + """
+SELECT g.cricos_code, g.provider_id FROM gapped g LEFT JOIN listed l ON g.provider_id = l.provider_id WHERE l.provider_id IS NULL""",
+)
+register(
+    "j16_not_in_with_and_without_null",
+    with_(M_PROVIDER, M_COURSE, GAPPED)
+    + """
+SELECT 'listed' AS parents, count(*) AS n FROM gapped WHERE provider_id NOT IN (SELECT provider_id FROM listed)
+UNION ALL SELECT 'listed or null', count(*) FROM gapped WHERE provider_id NOT IN (SELECT provider_id FROM holed)
+UNION ALL SELECT 'none', count(*) FROM gapped""",
+)
+register(
+    "w06_monthly_flow_falls",
+    with_(M_ENROL)
+    + """,
+flows AS (SELECT enrol_year, enrol_month, nationality, sector, state_code,
+                 ytd_enrolments - coalesce(lag(ytd_enrolments) OVER w, 0) AS flow
+          FROM m_enrol WINDOW w AS (PARTITION BY enrol_year, nationality, sector, state_code ORDER BY enrol_month))
+SELECT * FROM (SELECT *, lag(flow) OVER (PARTITION BY enrol_year, nationality, sector, state_code ORDER BY enrol_month)
+                         AS previous_flow FROM flows) f
+WHERE previous_flow IS NOT NULL AND flow < previous_flow""",
+)

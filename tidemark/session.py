@@ -65,7 +65,10 @@ def build_session(
     conf = dict(BASE_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "16g"))
+    if os.environ.get("TIDEMARK_DRIVER_MEMORY"):
+        conf["spark.driver.memory"] = os.environ["TIDEMARK_DRIVER_MEMORY"]
+    elif (master or "").startswith("local"):
+        conf["spark.driver.memory"] = "4g"  # one JVM holds the executor too
     if extra:
         conf.update(extra)
     for key, value in conf.items():
@@ -80,11 +83,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
     reach (HDFS, object store); it is read from the session and never
-    replaced.  Only when it is unset (local tests) is a scratch folder chosen.
+    replaced.  Only in local mode is a scratch folder chosen when it is unset; on a
+    cluster that is an error, as executors could not see a folder of the driver's.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
         current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
