@@ -39,13 +39,11 @@ def not_in_anti(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
     row is).
 
     A null-aware anti join would broadcast the whole parent whatever its size.  Here
-    the keys meet in an ordinary anti join, and the parent's one-row summary (is it empty,
-    does it hold a NULL) is joined on a constant.
+    the keys meet in an ordinary anti join, and whether the parent is empty or holds a
+    NULL are scalar subqueries.
     """
     keys = parent.select(F.col(parent_key).alias("__pk"))
-    summary = keys.agg(F.count(F.lit(1)).alias("__rows"), F.count_if(F.col("__pk").isNull()).alias("__nulls")) \
-        .withColumn("__one", F.lit(1))
+    rows = keys.agg(F.count(F.lit(1))).scalar()
+    nulls = keys.agg(F.count_if(F.col("__pk").isNull())).scalar()
     left = child.join(keys.where(F.col("__pk").isNotNull()).dropDuplicates(), F.col(child_key) == F.col("__pk"), "left_anti")
-    kept = left.withColumn("__one", F.lit(1)).join(summary, "__one") \
-        .where((F.col("__rows") == 0) | ((F.col("__nulls") == 0) & F.col(child_key).isNotNull()))
-    return kept.select(*[F.col(f"`{c}`") for c in child.columns])
+    return left.where((rows == 0) | ((nulls == 0) & F.col(child_key).isNotNull()))
