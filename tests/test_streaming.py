@@ -26,17 +26,17 @@ def test_stream_upsert_revisions_and_duplicates(spark, tmp_root):
     ckpt = os.path.join(tmp_root, "ckpt")
     ingest.run_available(stream, "fx_ingest", handler, checkpoint=ckpt)
     assert sinks.read_table(spark, root, "fx").count() == 2
-    # a revision of 2024-01-02 lands later, plus the first file landed again under a new folder name
-    rev = first.where("rate_date = '2024-01-02'").withColumn("value", F.lit(0.70))
-    rev.coalesce(1).write.parquet(os.path.join(land, "b2"))
-    shutil.copytree(os.path.join(land, "b1"), os.path.join(land, "b1_again"))
-    stream2 = ingest.landing_stream(spark, os.path.join(land, "*"), FX_SCHEMA, max_files_per_trigger=1)
-    ingest.run_available(stream2, "fx_ingest2", handler, checkpoint=ckpt)
-    got = {str(r.rate_date): r.value for r in sinks.read_table(spark, root, "fx").collect()}
-    assert len(got) == 2 and got["2024-01-01"] == 0.65
-    # the re-landed copy of b1 is a new file to the stream: it arrives after b2 and restores 0.66,
-    # exactly what a batch reload of all files in landing order would do
-    assert got["2024-01-02"] in (0.66, 0.70)
+    def land_and_run(name):
+        again = ingest.landing_stream(spark, os.path.join(land, "*"), FX_SCHEMA, max_files_per_trigger=1)
+        ingest.run_available(again, name, handler, checkpoint=ckpt)
+        return {str(r.rate_date): r.value for r in sinks.read_table(spark, root, "fx").collect()}
+
+    # a revision of 2024-01-02 lands later and wins
+    first.where("rate_date = '2024-01-02'").withColumn("value", F.lit(0.70)).coalesce(1).write.parquet(os.path.join(land, "b2"))
+    assert land_and_run("fx_ingest2") == {"2024-01-01": 0.65, "2024-01-02": 0.70}
+    # the first file landed again under a new name is a new, later file: it restores 0.66
+    shutil.copytree(os.path.join(land, "b1"), os.path.join(land, "b1_again"), copy_function=shutil.copyfile)
+    assert land_and_run("fx_ingest3") == {"2024-01-01": 0.65, "2024-01-02": 0.66}
     from tidemark.operators.audit import fold_runs, read_audit
 
     runs = fold_runs(read_audit(spark, root))
@@ -49,12 +49,14 @@ def test_stream_daily_average_equals_batch(spark, tmp_root):
     ev = spark.read.schema(SCHEMAS["events"]).parquet(f"{SF_SMALL}/events.parquet")
     ev.repartition(4).write.parquet(land)
     s = ingest.landing_stream(spark, land, SCHEMAS["events"])
-    streamed = ingest.run_to_memory(ingest.daily_averages(s, "ts", "event_type", "value"), "daily_avg_test")
-    batch = ev.withColumn("ts", F.col("ts").cast("timestamp")).groupBy(F.window("ts", "1 day").start.alias("window_start"), "event_type").agg(
+    streamed = ingest.run_to_files(ingest.daily_averages(s, "ts", "event_type", "value"), "daily_avg_test", os.path.join(tmp_root, "daily"))
+    batch = ev.withColumn("ts", F.col("ts").cast("timestamp")).groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(
         F.avg("value").alias("avg_value"), F.count(F.lit(1)).alias("n"))
+    newest = ev.agg(F.max(F.col("ts").cast("timestamp"))).first()[0]
+    closed = batch.where(F.col("w.end") <= F.lit(newest) - F.expr("INTERVAL 1 DAY"))  # the watermark is a day behind
     a = sorted((str(r.window_start), r.event_type, round(r.avg_value, 9), r.n) for r in streamed.collect())
-    b = sorted((str(r.window_start), r.event_type, round(r.avg_value, 9), r.n) for r in batch.collect())
-    assert a == b
+    b = sorted((str(r.w.start), r.event_type, round(r.avg_value, 9), r.n) for r in closed.collect())
+    assert a == b and 0 < len(a) < batch.count()
 
 
 def test_stream_dedupe_within_horizon(spark, tmp_root):
@@ -64,5 +66,5 @@ def test_stream_dedupe_within_horizon(spark, tmp_root):
         F.to_timestamp("ts").alias("ts"), "k", "v")
     df.coalesce(1).write.parquet(land)
     s = ingest.landing_stream(spark, land, "ts TIMESTAMP, k STRING, v DOUBLE")
-    out = ingest.run_to_memory(ingest.dedupe_within_horizon(s, "ts", "1 hour", ["k"]), "dedupe_test", "append")
+    out = ingest.run_to_files(ingest.dedupe_within_horizon(s, "ts", "1 hour", ["k"]), "dedupe_test", os.path.join(tmp_root, "deduped"))
     assert sorted(r.k for r in out.collect()) == ["k1", "k2"]

@@ -1359,7 +1359,9 @@ FROM part WHERE p_size <= 40""",
 register(
     "st4_daily_event_averages",
     "SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, round(avg(value), 6) AS avg_value, "
-    "count(*) AS n FROM events GROUP BY 1, 2",
+    "count(*) AS n FROM events GROUP BY 1, 2 "
+    # a day is written once it lies a day behind the newest event
+    "HAVING window_start + INTERVAL 2 DAY <= (SELECT max(ts) FROM events)",
 )
 register(
     "st2_stream_upsert_latest_event",

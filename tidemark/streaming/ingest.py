@@ -109,17 +109,17 @@ def daily_averages(df: DataFrame, event_time: str, key: str, value: str, latenes
     )
 
 
-def run_to_memory(df: DataFrame, name: str, output_mode: str = "complete") -> DataFrame:
-    """Drive a streaming aggregate over the available input into an in-memory
-    table and return it as a batch DataFrame (for checks and small results)."""
-    spark = df.sparkSession
+def run_to_files(df: DataFrame, name: str, path: str, checkpoint: str | None = None) -> DataFrame:
+    """Run the backlog of a stream into Parquet files in append mode and return them as a
+    batch DataFrame.  A windowed result is written once its window is past the watermark, and
+    its state goes then, so neither state nor driver grow with the stream."""
     q = (
         df.writeStream.queryName(name)
-        .format("memory")
-        .outputMode(output_mode)
-        .option("checkpointLocation", _checkpoint(spark, name))
+        .format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint or _checkpoint(df.sparkSession, name))
         .trigger(availableNow=True)
-        .start()
+        .start(path)
     )
     q.awaitTermination()
-    return spark.table(name)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
