@@ -172,10 +172,10 @@ def month_label(year: ColumnOrName, month: ColumnOrName) -> Column:
     return F.date_format(F.make_date(_c(year), _c(month), F.lit(1)), "MMMM yyyy")
 
 
-def absolute_url(href: ColumnOrName, base: str) -> Column:
+def absolute_url(href: ColumnOrName, base: str | Column) -> Column:
     """A site-relative href joined to the site base."""
-    h = _c(href)
-    return F.when(h.startswith("/"), F.concat(F.lit(base.rstrip("/")), h)).otherwise(h)
+    h, b = _c(href), F.lit(base) if isinstance(base, str) else base
+    return F.when(h.startswith("/"), F.concat(F.rtrim(b, F.lit("/")), h)).otherwise(h)
 
 
 def python_round(c: ColumnOrName, digits: int) -> Column:

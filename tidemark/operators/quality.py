@@ -150,6 +150,15 @@ def nulls_per_column(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     return wide.unpivot([], cols, "column_name", "nulls")
 
 
+def all_null_columns(df: DataFrame, table: str) -> DataFrame:
+    """The columns of a table with rows that hold no value at all, as (table_name,
+    column_name, rows); counted in one aggregate."""
+    wide = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    long = wide.unpivot(["__rows"], list(df.columns), "column_name", "filled")
+    return long.where((F.col("filled") == 0) & (F.col("__rows") > 0)).select(
+        F.lit(table).alias("table_name"), "column_name", F.col("__rows").alias("rows"))
+
+
 def known_empty(df: DataFrame, table: str, registry: Mapping[str, str]) -> DataFrame:
     """(table, rows, known_empty, reason): an empty table listed in the registry
     is explained rather than failed."""

@@ -717,7 +717,7 @@ def q_b12(t: Tables) -> DataFrame:
             "link_pos", "href"
         )
     )
-    absolute = F.when(F.col("href").startswith("/"), F.concat(F.col("base"), F.col("href"))).otherwise(F.col("href"))
+    absolute = X.absolute_url("href", F.col("base"))
     return links.select(
         "page_id", "link_pos", absolute.alias("link"), absolute.rlike(ALLOWED_LINK).alias("is_allowed")
     )
@@ -1007,3 +1007,117 @@ def q_r13(t: Tables) -> DataFrame:
     from tidemark.sources.readers import hypercube_cells, with_envelope
 
     return hypercube_cells(with_envelope(marts.m_messages(t)))
+
+
+# ---------------------------------------------------------------------------
+# Scalars, quality checks and sinks over the landed tables
+
+
+@query("x06_orders_by_month_text")
+def q_x06(t: Tables) -> DataFrame:
+    o = t.read("orders", "o_orderdate")
+    return o.groupBy(X.date_text("o_orderdate", "yyyy-MM").alias("month"), X.date_text(F.to_date("o_orderdate")).alias("day")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("x12_x13_x22_part_texts")
+def q_x12(t: Tables) -> DataFrame:
+    p = t.read("part", "p_partkey", "p_name", "p_brand", "p_size")
+    padded = F.when(F.col("p_size") > 3, F.concat(F.lit("  "), F.col("p_name"), F.lit(" ")))
+    return p.select("p_partkey", X.title_part("p_brand", "#([0-9]{2})$").alias("two_digit_brand"), X.trim_keep_null(padded).alias("name"),
+                    X.truncate_text("p_name", 5).alias("short_name"))
+
+
+@query("x30_fill_rates")
+def q_x30(t: Tables) -> DataFrame:
+    c = marts.m_ceilings(t)
+    rate = X.fill_rate("invitations_issued", F.col("ceiling") - 10)  # a single round leaves no ceiling: NULL
+    return c.select("anzsco_code", "visa_subclass", "state", F.round(rate, 6).alias("fill_rate"))
+
+
+@query("f17_allowed_links")
+def q_f17(t: Tables) -> DataFrame:
+    from tidemark.sources.readers import allowed_url
+
+    p = t.read("pages", "page_id", "url", "html")
+    hrefs = p.select("page_id", F.regexp_extract("url", r"^(https?://[^/]+)", 1).alias("base"),
+                     F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit(r'<a href="(/[A-Za-z0-9]+)"'), 1))).alias("href"))
+    link = X.absolute_url("href", F.col("base"))
+    host = F.regexp_extract("base", "^https?://(.+)$", 1)
+    ok = allowed_url(link, host, "/T", "the")
+    return hrefs.where(ok).select("page_id", link.alias("link"))
+
+
+@query("a17_codes_listed_twice")
+def q_a17(t: Tables) -> DataFrame:
+    return qa.duplicate_rows_mask(marts.m_osl(t), ["anzsco_code", "state"]).select("anzsco_code", "state", "shortage_status", "source_row")
+
+
+@query("g08_g18_counts_after_rerun")
+def q_g08(t: Tables) -> DataFrame:
+    o = t.read("orders", "o_orderpriority", "o_orderstatus")
+    name = F.col("o_orderpriority").alias("table_name")
+    before = o.where(F.col("o_orderstatus") != "P").groupBy(name).agg(F.count(F.lit(1)).alias("rows"))
+    after = o.where(F.col("o_orderpriority") != "5-LOW").groupBy(name).agg(F.count(F.lit(1)).alias("rows"))
+    return qa.count_delta(before, after, tolerance_pct=40.0)
+
+
+@query("g13_columns_without_values")
+def q_g13(t: Tables) -> DataFrame:
+    osl = marts.m_osl(t).withColumn("assessor", F.when(F.col("source_row") < 0, F.col("occupation_name")))
+    empty = marts.m_osl(t).limit(0)
+    return qa.all_null_columns(osl, "osl").unionByName(qa.all_null_columns(empty, "none"))
+
+
+@query("r05_profile_unpivot_all")
+def q_r05(t: Tables) -> DataFrame:
+    wide = marts.occupation_profile_wide(t)
+    return reshape.unpivot_columns(wide, ["anzsco_code"], None, "field", "text")
+
+
+def _order_batches(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Orders per (month, priority) in two releases; a low priority is not reported (NULL)."""
+    o = t.read("orders", "o_orderdate", "o_orderpriority", "o_orderstatus")
+    priority = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("priority")
+    per = o.groupBy(X.date_text("o_orderdate", "yyyy-MM").alias("month"), priority)
+    first = per.agg(F.count_if(F.col("o_orderstatus") == "F").alias("orders")).withColumn("note", F.lit("first"))
+    return first.where(F.col("month") < "1997-01"), per.agg(F.count(F.lit(1)).alias("orders")).where(F.col("month") >= "1996-01")
+
+
+def _upserts(t: Tables):
+    """Two batches, the second one twice: results of the loads, and the root of the table."""
+    from tidemark.operators.shape import add_lineage
+    from tidemark.sources import sinks
+
+    root = f"{checkpoint_dir(t.spark).rstrip('/')}/published/{uuid.uuid4().hex}"
+    first, second = _order_batches(t)
+    return [sinks.upsert(t.spark, add_lineage(b, "orders"), root, "orders_by_month", ["month", "priority"]) for b in (first, second, second)], root
+
+
+@query("k01_upsert_with_null_keys")
+def q_k01(t: Tables) -> DataFrame:
+    from tidemark.sources import sinks
+
+    _, root = _upserts(t)
+    return sinks.read_table(t.spark, root, "orders_by_month").select("month", "priority", "orders", "note")
+
+
+@query("k01_upsert_counts")
+def q_k01_counts(t: Tables) -> DataFrame:
+    results, _ = _upserts(t)
+    return t.spark.createDataFrame([(i, r.inserted, r.updated, r.unchanged) for i, r in enumerate(results)],
+                                   "load INT, inserted BIGINT, updated BIGINT, unchanged BIGINT")
+
+
+@query("k02_k03_replace_row_then_append")
+def q_k02(t: Tables) -> DataFrame:
+    from tidemark.sources import sinks
+
+    root = f"{checkpoint_dir(t.spark).rstrip('/')}/published/{uuid.uuid4().hex}"
+    first, second = _order_batches(t)
+    keys = ["month", "priority"]
+    sinks.upsert(t.spark, first, root, "orders_by_month", keys)
+    sinks.upsert(t.spark, second.where(F.col("month") < "1997-01"), root, "orders_by_month", keys, mode="replace_row")
+    sinks.append_rows(t.spark, second.where(F.col("month") >= "1997-01").withColumn("note", F.lit("appended")).select(*keys, "orders", "note"),
+                      root, "orders_by_month")
+    return sinks.read_table(t.spark, root, "orders_by_month").select("month", "priority", "orders", "note")

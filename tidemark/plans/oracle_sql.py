@@ -1494,3 +1494,90 @@ SELECT * FROM (SELECT *, lag(flow) OVER (PARTITION BY enrol_year, nationality, s
                          AS previous_flow FROM flows) f
 WHERE previous_flow IS NOT NULL AND flow < previous_flow""",
 )
+
+register(
+    "x06_orders_by_month_text",
+    "SELECT strftime(o_orderdate, '%Y-%m') AS month, strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS n FROM orders GROUP BY 1, 2",
+)
+register(
+    "x12_x13_x22_part_texts",
+    "SELECT p_partkey, nullif(regexp_extract(p_brand, '#([0-9][0-9])$', 1), '') AS two_digit_brand, "
+    "CASE WHEN p_size > 3 THEN trim(p_name) END AS name, left(p_name, 5) AS short_name FROM part",
+)
+register(
+    "x30_fill_rates",
+    with_(M_CEILINGS)
+    + "SELECT anzsco_code, visa_subclass, state, "
+    "CASE WHEN ceiling <> 10 THEN round(invitations_issued * 100.0 / (ceiling - 10), 6) END AS fill_rate FROM m_ceilings",
+)
+register(
+    "f17_allowed_links",
+    r"""
+SELECT page_id, base || href AS link
+FROM (SELECT page_id, regexp_extract(url, '^(https?://[^/]+)', 1) AS base,
+             unnest(list_distinct(regexp_extract_all(html, '<a href="(/[A-Za-z0-9]+)"', 1))) AS href FROM pages) h
+WHERE base LIKE 'https://%' AND lower(href) = '/the' AND href LIKE '/T%'""",
+)
+register(
+    "a17_codes_listed_twice",
+    with_(M_OSL)
+    + "SELECT anzsco_code, state, shortage_status, source_row FROM m_osl "
+    "QUALIFY count(*) OVER (PARTITION BY anzsco_code, state) > 1",
+)
+register(
+    "g08_g18_counts_after_rerun",
+    """
+SELECT coalesce(b.p, a.p) AS table_name, b.n AS rows_before, a.n AS rows_after, coalesce(a.n, 0) - coalesce(b.n, 0) AS delta,
+       abs(coalesce(a.n, 0) - coalesce(b.n, 0)) <= coalesce(b.n, 0) * 0.4 AS passed
+FROM (SELECT o_orderpriority AS p, count(*) AS n FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1) b
+FULL JOIN (SELECT o_orderpriority AS p, count(*) AS n FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY 1) a ON a.p = b.p""",
+)
+register(
+    "g13_columns_without_values",
+    "SELECT 'osl' AS table_name, 'assessor' AS column_name, "
+    "count(*) + count(*) FILTER (WHERE p_partkey % 4 = 0) AS rows FROM part",
+)
+register(
+    "r05_profile_unpivot_all",
+    """
+WITH w AS (
+  SELECT printf('%06d', p_partkey) AS anzsco_code, p_name, CASE WHEN p_size > 45 THEN 'np' ELSE printf('%.2f', p_retailprice) END AS e,
+         CAST(p_size * 100 AS VARCHAR) AS m, p_brand FROM part)
+SELECT anzsco_code, 'occupation_name' AS field, p_name AS text FROM w
+UNION ALL SELECT anzsco_code, 'median_full_time_earnings_per_week', e FROM w
+UNION ALL SELECT anzsco_code, 'employed', m FROM w
+UNION ALL SELECT anzsco_code, 'skill_level', p_brand FROM w""",
+)
+
+ORDER_BATCHES = """
+per AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS priority,
+               count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'F') AS f FROM orders GROUP BY 1, 2),
+first AS (SELECT month, priority, f AS orders, 'first' AS note FROM per WHERE month < '1997-01'),
+second AS (SELECT month, priority, n AS orders FROM per WHERE month >= '1996-01')"""
+
+register(
+    "k01_upsert_with_null_keys",
+    with_(ORDER_BATCHES)
+    + """
+SELECT coalesce(s.month, f.month) AS month, CASE WHEN s.month IS NOT NULL THEN s.priority ELSE f.priority END AS priority,
+       coalesce(s.orders, f.orders) AS orders, f.note
+FROM first f FULL JOIN second s ON f.month = s.month AND f.priority IS NOT DISTINCT FROM s.priority""",
+)
+register(
+    "k01_upsert_counts",
+    with_(ORDER_BATCHES)
+    + """,
+j AS (SELECT f.month AS fm, s.month AS sm, f.orders AS fo, s.orders AS so
+      FROM first f FULL JOIN second s ON f.month = s.month AND f.priority IS NOT DISTINCT FROM s.priority)
+SELECT 0 AS load, count(fm) AS inserted, 0 AS updated, 0 AS unchanged FROM j
+UNION ALL SELECT 1, count(*) FILTER (WHERE fm IS NULL), count(*) FILTER (WHERE fm IS NOT NULL AND sm IS NOT NULL AND fo <> so),
+                 count(*) FILTER (WHERE fm IS NOT NULL AND sm IS NOT NULL AND fo = so) FROM j
+UNION ALL SELECT 2, 0, 0, count(sm) FROM j""",
+)
+register(
+    "k02_k03_replace_row_then_append",
+    with_(ORDER_BATCHES)
+    + """
+SELECT month, priority, orders, note FROM first WHERE month < '1996-01'
+UNION ALL SELECT month, priority, orders, CASE WHEN month >= '1997-01' THEN 'appended' END FROM second""",
+)

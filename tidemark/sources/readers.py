@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import lenient_double, month_number, parse_day_first_date
+from tidemark.functions.scalars import absolute_url, lenient_double, month_number, parse_day_first_date
 
 # Fixed labels (lower case) of the metadata rows in a statistical-series CSV.
 SERIES_META_LABELS = {"title": "title", "units": "units", "frequency": "frequency", "series id": "series_id", "series_id": "series_id"}
@@ -218,19 +218,16 @@ def release_links(pages: DataFrame, base_url: str) -> DataFrame:
         F.regexp_extract("block", RELEASE_HEADING, 3).alias("label"),
         F.regexp_extract("block", XLSX_LINK, 1).alias("href"),
     ).where((F.col("label") != "") & (F.col("href") != ""))
-    absolute = F.when(F.col("href").startswith("/"), F.concat(F.lit(base_url.rstrip("/")), F.col("href"))).otherwise(
-        F.col("href")
-    )
     return h.select(
         "page_id",
         F.col("year").cast("int").alias("year"),
         month_number("month_name").alias("month"),
         map_lookup("label", KIND_BY_LABEL).alias("kind"),
-        absolute.alias("url"),
+        absolute_url("href", base_url).alias("url"),
     )
 
 
-def allowed_url(url: F.Column, host: str, path_prefix: str = "/download/", last_segment: str = "xlsx") -> F.Column:
+def allowed_url(url: F.Column, host: str | F.Column, path_prefix: str = "/download/", last_segment: str = "xlsx") -> F.Column:
     """https only, exact host, path under the prefix, given last segment."""
     path = F.parse_url(url, F.lit("PATH"))
     last = F.element_at(F.split(F.regexp_replace(path, "/+$", ""), "/"), -1)
