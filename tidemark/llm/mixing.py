@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import arrow_map, cut
 from tidemark.llm.hashed import BITS, descend, feature_sums, features, row_sums, sample_rows
 
-#: Labelled rows of each domain that the classifier is fitted on, and domains at most (the largest ones).
-PER_DOMAIN, DOMAINS = 1500, 64
+#: Labelled rows that the classifier is fitted on, of each domain and in all, and domains at most (the largest ones).
+PER_DOMAIN, FIT_ROWS, DOMAINS = 1500, 12_000, 32
 #: Without given targets a domain's target share is its share to this power (0: all alike, 1: as they are).
 TEMPERATURE = 0.5
 PULL = 1e-3
@@ -59,7 +59,7 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, per_domain: int = PER_DOMA
     k = len(domains)
     if not k:
         return DomainModel([], np.zeros((1 << bits, 0), np.float32), np.zeros(0))
-    y, starts, flat, have = sample_rows(docs, known, per_domain, domains)
+    y, starts, flat, have = sample_rows(docs, known, min(per_domain, FIT_ROWS // k), domains)
     used, flat = np.unique(flat, return_inverse=True)
     scale = 1 / np.sqrt(np.maximum(1, np.diff(starts)))
     n = np.bincount(y, minlength=k)
@@ -68,7 +68,7 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, per_domain: int = PER_DOMA
 
     def slope(x: np.ndarray) -> tuple[float, np.ndarray]:
         w, b = x[k:].reshape(len(used), k), x[:k]
-        z = row_sums(w, starts, flat) * scale[:, None] + b
+        z = np.stack([row_sums(w[:, j], starts, flat) for j in range(k)], axis=1) * scale[:, None] + b
         e = np.exp(z - z.max(axis=1, keepdims=True))
         p = e / e.sum(axis=1, keepdims=True)
         d = p.copy()
