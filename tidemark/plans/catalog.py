@@ -1044,7 +1044,7 @@ def q_f17(t: Tables) -> DataFrame:
                      F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit(r'<a href="(/[A-Za-z0-9]+)"'), 1))).alias("href"))
     link = X.absolute_url("href", F.col("base"))
     host = F.regexp_extract("base", "^https?://(.+)$", 1)
-    ok = allowed_url(link, host, "/T", "the")
+    ok = allowed_url(link, host, "/d", "de")
     return hrefs.where(ok).select("page_id", link.alias("link"))
 
 

@@ -1516,7 +1516,7 @@ register(
 SELECT page_id, base || href AS link
 FROM (SELECT page_id, regexp_extract(url, '^(https?://[^/]+)', 1) AS base,
              unnest(list_distinct(regexp_extract_all(html, '<a href="(/[A-Za-z0-9]+)"', 1))) AS href FROM pages) h
-WHERE base LIKE 'https://%' AND lower(href) = '/the' AND href LIKE '/T%'""",
+WHERE base LIKE 'https://%' AND lower(href) = '/de' AND href LIKE '/d%'""",
 )
 register(
     "a17_codes_listed_twice",
