@@ -422,8 +422,7 @@ def test_shards_written(spark, tmp_path):
 def test_audit_finds_exactly_the_damage(spark):
     pages = spark.createDataFrame([(i % 50, f"http://h/{i}", "p" * (i % 700)) for i in range(300)] + [(None, None, None)],
                                   "page_id BIGINT, url STRING, html STRING").withColumn("offset", F.lit("clash"))
-    held = warc.archive(pages)
-    ours = warc.leaves(held).cache()
+    ours = warc.leaves(*warc.archive(pages))
     offsets = [tuple(r) for r in ours.select("file", "offset", "length").orderBy("file", "offset").collect()]
     assert len(offsets) == 301
     assert all(f != g or o + n == p for (f, o, n), (g, p, _) in zip(offsets, offsets[1:], strict=False))

@@ -60,16 +60,14 @@ def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's WARC record, and what an audit of a damaged second replica says of it."""
-    held = warc.archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    held, offsets = warc.archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     draw = F.conv(F.substring(F.md5(F.coalesce(F.col("page_id").cast("string"), F.lit("")).cast("binary")), 1, 8), 16, 10).cast("long")
     flipped = F.overlay("record", F.lit(b"\x01"), F.col("length").cast("int") - 4)
     copy = held.where(draw % 97 != 1).withColumn("record", F.when(draw % 89 == 0, flipped).otherwise(F.col("record")))
-    ours, theirs = warc.leaves(held), warc.leaves(copy)
-    found = warc.audit(ours, theirs)
-    return held.select("page_id", "file", "offset", F.col("length").alias("n_bytes")) \
-        .join(ours.select("file", "offset", F.col("hash").alias("record_sha256")), ["file", "offset"]) \
-        .join(found, ["file", "offset"], "left") \
-        .select("page_id", "n_bytes", "record_sha256", F.coalesce("status", F.lit("intact")).alias("status"))
+    ours = warc.leaves(held, offsets)
+    found = warc.audit(ours, warc.leaves(copy, offsets))
+    return ours.join(found, ["file", "offset"], "left").select(
+        "page_id", F.col("length").alias("n_bytes"), F.col("hash").alias("record_sha256"), F.coalesce("status", F.lit("intact")).alias("status"))
 
 
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

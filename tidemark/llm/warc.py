@@ -35,23 +35,27 @@ def record_bytes(record_id: Column, url: Column, payload: Column) -> Column:
         F.octet_length(body).cast("string"), F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n")).cast("binary")
 
 
-def archive(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """Records in files: (file, offset, length, page_id, record), stored in the shared folder.
+def archive(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> tuple[DataFrame, DataFrame]:
+    """Records in files, both tables stored in the shared folder: (rid, file, length,
+    page_id, record) and (rid, offset); rid names a record and orders its file.
 
     Each task's rows are one file, so a file is bounded by the size of a scan split
-    and its offsets are a running sum within it, whatever keys the rows have.
+    and its offsets are a running sum within it, whatever keys the rows have.  Only
+    lengths are shuffled for that, never records.
     """
     rows = cut(pages.select(F.monotonically_increasing_id().alias("rid"), F.col(page_id).alias("page_id"),
                             record_bytes(F.col(page_id), F.col(url), F.col(html)).alias("record")), "warc-records")
-    placed = rows.withColumn("file", F.call_function("shiftright", F.col("rid"), F.lit(33))).withColumn("length", F.octet_length("record").cast("long"))
+    records = rows.select("rid", F.call_function("shiftright", F.col("rid"), F.lit(33)).alias("file"),
+                          F.octet_length("record").cast("long").alias("length"), "page_id", "record")
     before = Window.partitionBy("file").orderBy("rid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = placed.select("rid", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset"))
-    return cut(placed.join(offsets, "rid").select("file", "offset", "length", "page_id", "record"), "warc-archive")
+    offsets = records.select("rid", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long").alias("offset"))
+    return records, cut(offsets, "warc-offsets")
 
 
-def leaves(records: DataFrame) -> DataFrame:
-    """(file, offset, length, hash) of a replica's records."""
-    return records.select("file", "offset", F.col("length"), F.sha2("record", 256).alias("hash"))
+def leaves(records: DataFrame, offsets: DataFrame) -> DataFrame:
+    """(file, offset, length, hash, page_id) of a replica's records, stored."""
+    hashed = records.select("rid", "file", "length", "page_id", F.sha2("record", 256).alias("hash"))
+    return cut(hashed.join(offsets, "rid").select("file", "offset", "length", "hash", "page_id"), "warc-hashes")
 
 
 def tree(hashed: DataFrame, levels: int, range_bytes: int = RANGE_BYTES, fanout: int = FANOUT) -> list[DataFrame]:
