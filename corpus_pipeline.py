@@ -45,8 +45,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one of the smallest id."""
     sets, _, joined = jaccard.similar_classes(docs.select("doc_id", "text"))
-    placed = sets.where("ck IS NOT NULL").join(joined.withColumnRenamed("node", "ck"), "ck", "left") \
-        .withColumn("component", F.coalesce("component", "ck"))
+    placed = sets.where("class_id IS NOT NULL").join(joined.withColumnRenamed("node", "class_id"), "class_id", "left") \
+        .withColumn("component", F.coalesce("component", "class_id"))
     # rows of one id and text are equal: of those that stay, one does
     each = cut(placed.groupBy("component", "doc_id", "th").agg(F.count("*").alias("n")), "placed-documents")
     first = each.groupBy("component").agg(F.min(F.struct("doc_id", "th")).alias("first"))

@@ -45,7 +45,7 @@ from tidemark.llm.graph import components
 WORDS = 5
 PERCENT = 80
 #: Frequent shingles that the order knows, and how many a task puts forward.
-FREQUENT = 50_000
+FREQUENT = 400_000
 #: Rounds of pairing with hubs before all candidates are taken.
 ROUNDS = 2
 #: Partners of one class that are verified in one task.
@@ -93,7 +93,7 @@ def _likely(percent: int):
         for batch in batches:
             kept = [(a, b) for a, b, n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "n_a", "n_b", "sig_a", "sig_b")), strict=True)
                     if (100 + percent) * least_difference(x, y) <= (100 - percent) * (n + m)]
-            yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in kept], pa.binary()) for i in (0, 1)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in kept], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     return run
 
@@ -128,17 +128,29 @@ def _frequent(k: int):
 
 def frequent_shingles(docs: DataFrame, k: int = WORDS) -> np.ndarray:
     """At most FREQUENT shingles, sorted, that go last in the order, the most frequent at
-    the very end; second row: their place."""
-    top = arrow_map(docs.select("text"), _frequent(k), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")) \
-        .orderBy(F.desc("n"), "token").limit(FREQUENT).collect()
-    tokens = np.array([r["token"] for r in top], dtype=np.int64).view(np.uint64)
+    the very end; second row: their place.  Those from a count upwards are taken, the
+    count being set by how many shingles have each."""
+    counts = cut(arrow_map(docs.select("text"), _frequent(k), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")), "frequent")
+    least, some = 0, 0
+    for r in counts.groupBy("n").agg(F.count("*").alias("c")).orderBy(F.desc("n")).collect():
+        some += r["c"]
+        if some > FREQUENT:
+            break
+        least = r["n"]
+    if not least:
+        return np.zeros((2, 0), np.uint64)
+    top = counts.where(F.col("n") >= least).toArrow()
+    tokens, n = top.column("token").to_numpy().view(np.uint64), top.column("n").to_numpy()
+    place = np.empty(len(tokens), np.uint64)
+    place[np.lexsort([tokens, n])] = np.arange(1, len(tokens) + 1, dtype=np.uint64)
     by = np.argsort(tokens)
-    return np.stack([tokens[by], (len(top) - by).astype(np.uint64)]) if len(top) else np.zeros((2, 0), np.uint64)
+    return np.stack([tokens[by], place[by]])
 
 
-def _prefixes(frequent: np.ndarray, k: int, percent: int):
+def _prefixes(frequent, k: int, percent: int):
+    """frequent: the broadcast result of :func:`frequent_shingles`."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, places = frequent
+        tokens, places = frequent.value
         for batch in batches:
             ids, ths, cks, sizes, gids, prefixes, ends, sigs = [], [], [], [], [], [], [0], []
             for doc, th, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "th", "text")), strict=True):
@@ -187,24 +199,24 @@ def _verify(k: int, percent: int):
                 if 100 * common >= percent * (len(left) + len(own) - common):
                     a_.append(a)
                     b_.append(b)
-            yield pa.RecordBatch.from_arrays([pa.array(a_, pa.binary()), pa.array(b_, pa.binary())], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(a_, pa.int64()), pa.array(b_, pa.int64())], names=["a", "b"])
 
     return run
 
 
 def verified(pairs: DataFrame, texts: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) of classes whose sets are alike enough, by their texts (ck, text).
+    """The pairs (a, b) of classes whose sets are alike enough, by their texts (class_id, text).
 
     The partners of one class are dealt over tasks, some hundreds to each, with a copy
     of the class's own text in front.
     """
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("parts"))
-    left = parts.join(texts, parts["a"] == texts["ck"]).select(
+    left = parts.join(texts, parts["a"] == texts["class_id"]).select(
         "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), F.lit(0).alias("role"), F.col("a").alias("b"), "text")
     right = pairs.join(parts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int")) \
-        .join(texts, F.col("b") == texts["ck"]).select("a", "salt", F.lit(1).alias("role"), "b", "text")
+        .join(texts, F.col("b") == texts["class_id"]).select("a", "salt", F.lit(1).alias("role"), "b", "text")
     return arrow_map(left.unionByName(right).repartition("a", "salt").sortWithinPartitions("a", "salt", "role"),
-                     _verify(k, percent), "a binary, b binary")
+                     _verify(k, percent), "a long, b long")
 
 
 def _near(na: str, nb: str, percent: int) -> F.Column:
@@ -212,38 +224,37 @@ def _near(na: str, nb: str, percent: int) -> F.Column:
     return (100 * F.least(na, nb) >= percent * F.greatest(na, nb))
 
 
-def _texts_of(rows: DataFrame, classes: DataFrame, cks: DataFrame) -> DataFrame:
-    """One text for each class asked for: (ck, text)."""
-    reps = classes.join(cks.distinct(), "ck").select("ck", "one.doc_id", "one.th")
+def _texts_of(rows: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """One text for each class of the pairs: (class_id, text)."""
+    asked = pairs.select(F.col("a").alias("class_id")).unionByName(pairs.select(F.col("b").alias("class_id"))).distinct()
+    reps = classes.join(asked, "class_id").select("class_id", "one.doc_id", "one.th")
     return cut(may_match(rows, F.col("th"), reps, F.col("th")).alias("t").join(
         reps.alias("r"), F.col("t.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("t.th") == F.col("r.th")))
-        .select("r.ck", "t.text").dropDuplicates(["ck"]), "texts")
+        .select("r.class_id", "t.text").dropDuplicates(["class_id"]), "texts")
 
 
 def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that sizes and bit maps do not rule out."""
-    side = {x: classes.select(F.col("ck").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}")) for x in "ab"}
+    side = {x: classes.select(F.col("class_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}")) for x in "ab"}
     full = pairs.join(side["a"], "a").join(side["b"], "b").where(_near("n_a", "n_b", percent))
-    return arrow_map(full, _likely(percent), "a binary, b binary")
-
-
-def _pair_cks(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("ck")).unionByName(pairs.select(F.col("b").alias("ck")))
+    return arrow_map(full, _likely(percent), "a long, b long")
 
 
 def similar_classes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents, links, components) of ``docs`` (doc_id, text):
 
-    documents: doc_id, th (hash of the text), n (set size) and ck (class of the set;
-    null for the empty one); links: pairs (a, b) of classes, verified, that join every
+    documents: doc_id, th (hash of the text), n (set size) and class_id (null for the
+    empty set); links: pairs (a, b) of classes, verified, that join every
     class to all it is linked with; components: (node, component) of the linked classes.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    sets = cut(arrow_map(rows, _prefixes(frequent_shingles(docs, k), k, percent),
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, k))
+    sets = cut(arrow_map(rows, _prefixes(frequent, k, percent),
                          "doc_id long, th long, ck binary, n int, gid long, sig binary, prefix array<long>"), "prefixes")
     known = sets.where(F.col("ck").isNotNull())
     classes = cut(known.groupBy("ck").agg(F.min(F.struct("doc_id", "th")).alias("one"), F.min("n").alias("n"),
-                                          F.min("gid").alias("gid"), F.min("sig").alias("sig")), "classes")
+                                          F.min("gid").alias("gid"), F.min("sig").alias("sig"))
+                  .withColumn("class_id", F.monotonically_increasing_id()), "classes")
     groups = known.groupBy("gid").agg(F.min(F.struct("n", "prefix")).alias("x")) \
         .join(classes.groupBy("gid").agg(F.count("*").alias("members")), "gid").select("gid", "members", "x.n", "x.prefix")
     groups = cut(groups, "groups")
@@ -255,13 +266,14 @@ def similar_classes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) ->
 
     def judged(pairs: DataFrame, name: str) -> DataFrame:
         some = cut(likely(pairs, classes, percent), f"{name}-pairs")
-        return cut(verified(some, _texts_of(rows, classes, _pair_cks(some)), k, percent), f"{name}-links")
+        return cut(verified(some, _texts_of(rows, classes, some), k, percent), f"{name}-links")
 
     def parts() -> DataFrame:
         """Parts of groups by component: (gid, comp, rep, common)."""
-        comps = classes.select("ck", "gid") if joined is None else classes.select("ck", "gid").join(joined.withColumnRenamed("node", "ck"), "ck", "left")
-        comp = F.col("ck") if joined is None else F.coalesce("component", "ck")
-        return cut(comps.select("gid", "ck", comp.alias("comp")).groupBy("gid", "comp").agg(F.min("ck").alias("rep"))
+        comps = classes.select("class_id", "gid") if joined is None else \
+            classes.select("class_id", "gid").join(joined.withColumnRenamed("node", "class_id"), "class_id", "left")
+        comp = F.col("class_id") if joined is None else F.coalesce("component", "class_id")
+        return cut(comps.select("gid", "class_id", comp.alias("comp")).groupBy("gid", "comp").agg(F.min("class_id").alias("rep"))
                    .join(common, "gid"), "parts")
 
     links, joined = None, None
@@ -269,9 +281,9 @@ def similar_classes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) ->
         members = index.select("token", "gid").join(parts(), "gid")
         told = F.struct("common", "comp", "rep")
         best = members.groupBy("token").agg(F.max(told).alias("hub"), (F.min("comp") != F.max("comp")).alias("apart")).where("apart").drop("apart")
-        open_ = cut(members.join(best, "token"), "open-shingles")
-        next_best = open_.where(F.col("comp") != F.col("hub.comp")).groupBy("token").agg(F.max(told).alias("next"))
-        other = F.when(F.col("comp") == F.col("hub.comp"), F.col("next.rep")).otherwise(F.col("hub.rep"))
+        open_ = cut(members.join(best.select("token", F.col("hub.comp").alias("hub_comp"), F.col("hub.rep").alias("hub")), "token"), "open-shingles")
+        next_best = open_.where("comp != hub_comp").groupBy("token").agg(F.max(told).alias("x")).select("token", F.col("x.rep").alias("next"))
+        other = F.when(F.col("comp") == F.col("hub_comp"), F.col("next")).otherwise(F.col("hub"))
         chosen = open_.join(next_best, "token").groupBy("gid", "comp", "rep", other.alias("other")).agg(F.count("*").alias("c")) \
             .groupBy("gid", "comp", "rep").agg(F.max(F.struct("c", "other")).alias("x"))
         found = judged(chosen.select(F.least("rep", "x.other").alias("a"), F.greatest("rep", "x.other").alias("b")).distinct(), "hub")
@@ -291,19 +303,21 @@ def similar_classes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) ->
         (F.col("comp_a") != F.col("comp_b")) & ((F.col("comp_b") == F.col("main")) | (F.col("comp_a") < F.col("comp_b")))
         & _near("n_a", "n_b", percent) & ((100 + percent) * rest >= percent * (F.col("n_a") + F.col("n_b")))) \
         .select("gid_a", "comp_a", "gid_b", "comp_b").distinct()
-    placed = classes.select("ck", "gid").join(joined.withColumnRenamed("node", "ck"), "ck", "left") \
-        .select("ck", "gid", F.coalesce("component", "ck").alias("comp"))
+    placed = classes.select("class_id", "gid").join(joined.withColumnRenamed("node", "class_id"), "class_id", "left") \
+        .select("class_id", "gid", F.coalesce("component", "class_id").alias("comp"))
     for x, name in (("a", "x"), ("b", "y")):
-        across = across.join(placed.select(F.col("gid").alias(f"gid_{x}"), F.col("comp").alias(f"comp_{x}"), F.col("ck").alias(name)), [f"gid_{x}", f"comp_{x}"])
+        across = across.join(placed.select(F.col("gid").alias(f"gid_{x}"), F.col("comp").alias(f"comp_{x}"), F.col("class_id").alias(name)), [f"gid_{x}", f"comp_{x}"])
     more = judged(across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "last")
     links = links.unionByName(more)
-    return sets.select("doc_id", "th", "n", "ck"), links, cut(components(links), "components")
+    placed = sets.select("doc_id", "th", "n", "ck").join(classes.select("ck", "class_id"), "ck", "left").drop("ck")
+    return placed, links, cut(components(links), "components")
 
 
 def similarity_report(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
     sets, _, joined = similar_classes(docs, k, percent)
-    placed = sets.join(joined.withColumnRenamed("node", "ck"), "ck", "left").withColumn("component", F.coalesce("component", "ck"))
+    placed = sets.join(joined.withColumnRenamed("node", "class_id"), "class_id", "left") \
+        .withColumn("component", F.coalesce("component", "class_id"))
     lowest = placed.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return placed.join(lowest, "component", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("component").isNull(), F.col("doc_id"))
