@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import arrow_map, cut
@@ -139,47 +139,62 @@ def fit_rates(stored: DataFrame, k: int, targets: np.ndarray | None = None, leas
     return history, goal * size, now
 
 
-def _score(model, history: list[np.ndarray] | None, least: float, kept: list[str]):
-    """model: the broadcast classifier; history None: posteriors, else rates."""
+def _posteriors(model, kept: list[str]):
+    """model: the broadcast classifier."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = model.value
         for batch in batches:
-            p, t = own.posteriors(batch.column("_text").to_pylist())
-            cols = [batch.column(c) for c in kept]
-            if history is None:
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(p.tolist(), pa.list_(pa.float64())), pa.array(t)], names=[*kept, "p", "n_tokens"])
-                continue
-            r = rates(p, history, least) if own.domains else np.ones(len(t))
-            best = p.argmax(axis=1) if own.domains else np.zeros(len(t), int)
-            names = [own.domains[i] if own.domains else None for i in best]
-            top = p.max(axis=1) if own.domains else np.ones(len(t))
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(t), pa.array(names, pa.string()), pa.array(top), pa.array(r)],
-                                             names=[*kept, "n_tokens", "domain", "p_domain", "rate"])
+            p, t = model.value.posteriors(batch.column("_text").to_pylist())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(p.tolist(), pa.list_(pa.float64())), pa.array(t)],
+                                             names=[*kept, "p", "n_tokens"])
 
     return run
 
 
+def rate_of(p: Column, history: list[np.ndarray], least: float, pull: float = PULL) -> Column:
+    """:func:`rates` as an expression over the posteriors."""
+    start = F.lit(max(1.0, least))
+    if not history:
+        return start
+    rounds = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in history])
+
+    def step(r: Column, g: Column) -> Column:
+        along = F.aggregate(F.zip_with(p, g, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+        return F.greatest(F.lit(float(least)), r - (along + F.lit(pull) * (r - 1)) / F.lit(1 + pull))
+
+    return F.aggregate(rounds, start, step)
+
+
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, least: float = 0.0,
-        text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+        text: str = "text", doc_id: str = "doc_id", keep_text: bool = True) -> DataFrame:
     """``docs`` with n_tokens, domain (the likeliest), p_domain, rate and copies: rate rounded
     up or down by a hash of the row, so that it is right in expectation and the same on
-    every run.  ``labelled`` is (doc_id, y), y being the domain; ``least`` a floor of rates."""
-    sc = docs.sparkSession.sparkContext
+    every run.  ``labelled`` is (doc_id, y), y being the domain; ``least`` a floor of rates.
+    Texts are read once: the rows are stored with their posteriors, and with their text
+    unless ``keep_text`` is False."""
     added = ["n_tokens", "domain", "p_domain", "rate", "copies"]
-    kept = [c for c in docs.columns if c not in added]
+    kept = [c for c in docs.columns if c not in added and (keep_text or c != text)]
     model = fit_domains(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), labelled)
-    sent = sc.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    types = dict(docs.dtypes)
+    chance = F.pmod(F.xxhash64(F.col(doc_id), F.col(text), F.lit("mix")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    plain = [c for c in kept if c != text]
+    source = docs.select(*plain, F.col(text).alias("_text"), chance.alias("_chance"))
+    passed = [*plain, "_chance", *(["_text"] if text in kept else [])]
+    schema = ", ".join([*(f"`{c}` {types[c]}" for c in plain), "_chance double", *(["_text string"] if text in kept else []),
+                        "p array<double>", "n_tokens long"])
+    stored = cut(arrow_map(source, _posteriors(sent, passed), schema), "posteriors")
     history: list[np.ndarray] = []
     if model.domains:
-        stored = cut(arrow_map(docs.select(F.col(text).alias("_text")), _score(sent, None, least, []), "p array<double>, n_tokens long"), "posteriors")
         goal = None if targets is None else np.array([targets.get(d, 0.0) for d in model.domains])
-        history, _, _ = fit_rates(stored, len(model.domains), goal, least)
-    types = dict(docs.dtypes)
-    schema = ", ".join([*(f"`{c}` {types[c]}" for c in kept), "n_tokens long", "domain string", "p_domain double", "rate double"])
-    scored = arrow_map(docs.select(*kept, F.col(text).alias("_text")), _score(sent, history, least, kept), schema)
-    chance = F.pmod(F.xxhash64(F.col(doc_id), F.col(text), F.lit("mix")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    whole = F.floor("rate")
-    return scored.withColumn("copies", (whole + F.when(chance < F.col("rate") - whole, 1).otherwise(0)).cast("int"))
+        history, _, _ = fit_rates(stored.select("p", "n_tokens"), len(model.domains), goal, least)
+    top = F.array_max("p")
+    names = F.array(*[F.lit(d) for d in model.domains]) if model.domains else F.lit(None).cast("array<string>")
+    rated = stored.withColumn("rate", rate_of(F.col("p"), history, least)).withColumn("_whole", F.floor("rate"))
+    columns = {c: F.col("_text").alias(text) if c == text else F.col(f"`{c}`") for c in kept}
+    return rated.select(
+        *columns.values(), "n_tokens", F.element_at(names, F.array_position("p", top).cast("int")).alias("domain"),
+        F.coalesce(top, F.lit(1.0)).alias("p_domain"), "rate",
+        (F.col("_whole") + F.when(F.col("_chance") < F.col("rate") - F.col("_whole"), 1).otherwise(0)).cast("int").alias("copies"))
 
 
 def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:

@@ -40,7 +40,7 @@ def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's rate, so that the languages' expected tokens match their targets."""
     docs = table(spark, sf_dir, "documents")
-    return mixing.mix(docs.select("doc_id", "text"), labelled_domains(docs, table(spark, sf_dir, "labels"))).drop("text")
+    return mixing.mix(docs.select("doc_id", "text"), labelled_domains(docs, table(spark, sf_dir, "labels")), keep_text=False)
 
 
 def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
