@@ -185,6 +185,23 @@ def test_embeddings_against_brute_force(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
+def test_embeddings_rare_near_copies(spark, monkeypatch):
+    """Few pairs, hardly any in the sample: links must not hang on what the sample finds."""
+    monkeypatch.setattr(neardup, "FIT_ROWS", 40)
+    monkeypatch.setattr(neardup, "SAMPLE_QUERIES", 2, raising=False)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(600, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.normal(size=(60, 16))
+    side -= (side * x[:60]).sum(axis=1, keepdims=True) * x[:60]
+    x = np.concatenate([x, x[:60] * 0.92 + side / np.linalg.norm(side, axis=1, keepdims=True) * (1 - 0.92**2) ** 0.5])
+    hit = x @ x.T >= 0.9
+    got = neardup.near_duplicates(spark.createDataFrame(
+        [(i, v) for i, v in enumerate(x.tolist())], "vec_id BIGINT, embedding ARRAY<DOUBLE>")).collect()
+    assert hit.sum() >= len(x) + 120
+    assert [r.n_links for r in sorted(got)] == (hit.sum(axis=1) - 1).tolist()
+
+
 def test_embeddings_empty_and_all_bad(spark):
     kinds = "vec_id BIGINT, embedding ARRAY<FLOAT>"
     assert neardup.near_duplicates(spark.createDataFrame([], kinds)).collect() == []

@@ -3,15 +3,18 @@
 Vectors are cut in halves and each half has a codebook of its own; a cell of the
 product grid is a pair of codewords, and every vector is filed in the cell of its two
 nearest ones.  A query walks the grid by multi-sequence traversal: cells in order of
-the sum of the two distances, read off two sorted lists with a heap.  How many cells it
-visits is set by a target recall: for sample queries all vectors are compared, and the
-walk must be long enough to reach the target share of the neighbours found so.  What a
-visited cell holds is verified by cosine in double precision.
-
-Equal vectors are one class from the start.  A cell's members and the queries that visit
-it are dealt in blocks over tasks, so a cell with a third of all vectors is many blocks;
-a block sends back, for each vector, a count and one link to the smallest vector it is
-joined with, never the pairs.
+the sum of two lower bounds, read off two sorted lists with a heap, until the sum passes the
+squared distance of the least cosine.  The bounds hold for every member: a codeword's members
+lie within its radius, measured over all vectors, and on its side of the plane halfway to the
+query's own codeword.  So no neighbour lies beyond the end of a walk, and the sample that the
+codebooks are fitted on bears on the time only.  Cells travel by regions, codewords near each
+other in each half being one group, and what a visited region holds is verified by cosine in
+double precision.
+
+Equal vectors are one class from the start.  Of two regions one asks the other, so a pair
+is met once.  A region's members and the queries that visit it are dealt in blocks over
+tasks, so a region with a third of all vectors is many blocks; a block sends back, for each
+vector, a count and one link to the smallest vector it is joined with, never the pairs.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components
 link with nothing; shorter vectors count as padded with zeros; equal vectors link;
@@ -34,12 +37,12 @@ from tidemark.llm.common import arrow_map, cut
 from tidemark.llm.graph import components
 
 MIN_COSINE = 0.9
-#: Share of the sample queries' neighbours that the walk must reach.
-RECALL = 0.9999
-#: Vectors the codebooks are fitted on, and queries compared with all vectors: chosen by hash.
-FIT_ROWS, SAMPLE_QUERIES = 20_000, 2_000
-#: Vectors a cell should hold, cells of a walk at most, members of a block.
-PER_CELL, LONGEST_WALK, BLOCK = 16, 1024, 1024
+#: Vectors the codebooks are fitted on, chosen by hash.
+FIT_ROWS = 20_000
+#: Vectors a cell should hold, a region and a block of its members, queries compared at a time; cells of a walk at most.
+PER_CELL, REGION, BLOCK, LONGEST_WALK = 16, 8192, 1024, 1024
+#: Taken off each lower bound for rounding; codewords nearer than the gap have no plane between them.
+SLACK, LEAST_GAP = 1e-6, 1e-3
 
 
 def _unit(raw: list[bytes]) -> np.ndarray:
@@ -85,13 +88,16 @@ def nearest(x: np.ndarray, book: np.ndarray) -> np.ndarray:
     return np.concatenate([distances(x[i:i + 4096], book).argmin(1) for i in range(0, len(x), 4096)]) if len(x) else np.zeros(0, np.int64)
 
 
-def walk(left: np.ndarray, right: np.ndarray, steps: int) -> list[int]:
-    """Multi-sequence traversal: the first ``steps`` cells by left[i] + right[j], as i * len(right) + j."""
+def walk(left: np.ndarray, right: np.ndarray, steps: int, limit: float = math.inf) -> list[int]:
+    """Multi-sequence traversal: the first ``steps`` cells by left[i] + right[j] whose sum is within
+    ``limit``, as i * len(right) + j."""
     a, b = np.argsort(left, kind="stable"), np.argsort(right, kind="stable")
     la, lb, width = left[a].tolist(), right[b].tolist(), len(right)
     heap, out, reached = [(la[0] + lb[0], 0, 0)], [], {}
     while heap and len(out) < steps:
-        _, i, j = heapq.heappop(heap)
+        total, i, j = heapq.heappop(heap)
+        if total > limit:
+            break
         out.append(int(a[i]) * width + int(b[j]))
         reached[i] = j
         # a cell is ready once both cells before it have been visited
@@ -102,74 +108,90 @@ def walk(left: np.ndarray, right: np.ndarray, steps: int) -> list[int]:
     return out
 
 
+class Half:
+    """The codebook of a half: each codeword's group, and the radius around it that holds all its members."""
+
+    def __init__(self, book: np.ndarray, groups: int):
+        self.book, self.radius = book, np.full(len(book), math.inf)
+        _, self.group = np.unique(nearest(book, fit_codebook(book, groups)), return_inverse=True)
+        self.groups = int(self.group.max()) + 1
+        self.gaps = np.sqrt(distances(book, book))
+
+    def bounds(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each row its own group, and for each group a bound below the squared distance to any member."""
+        d = distances(x, self.book)
+        own = d.argmin(1)
+        gap = self.gaps[own]
+        plane = np.where(gap > LEAST_GAP, (d - d[np.arange(len(x)), own][:, None]) / np.maximum(2 * gap, LEAST_GAP), 0)
+        low = np.maximum(np.maximum(plane, np.sqrt(d) - self.radius) - SLACK, 0) ** 2
+        return self.group[own], np.stack([low[:, self.group == g].min(axis=1) for g in range(self.groups)], axis=1)
+
+
 class MultiIndex:
-    """Two codebooks; ``steps`` is the length of a walk."""
+    """Two codebooks; a region is a pair of groups of codewords."""
 
-    def __init__(self, first: np.ndarray, second: np.ndarray, steps: int = 1):
-        self.first, self.second, self.steps = first, second, steps
+    def __init__(self, first: Half, second: Half, width: int, limit: float):
+        self.first, self.second, self.width, self.limit = first, second, width, limit
 
-    def walks(self, u: np.ndarray, steps: int) -> list[list[int]]:
-        half = self.first.shape[1]
-        left, right = distances(u[:, :half], self.first), distances(u[:, half:], self.second)
-        return [walk(left[i], right[i], steps) for i in range(len(u))]
+    def halves(self, u: np.ndarray) -> tuple[tuple[Half, np.ndarray], tuple[Half, np.ndarray]]:
+        return (self.first, u[:, :self.width]), (self.second, u[:, self.width:])
 
-    def homes(self, u: np.ndarray) -> np.ndarray:
-        half = self.first.shape[1]
-        return nearest(u[:, :half], self.first) * len(self.second) + nearest(u[:, half:], self.second)
+    def walks(self, u: np.ndarray) -> tuple[np.ndarray, list[list[int]]]:
+        """For each vector its region, and the regions that it asks."""
+        (a, left), (b, right) = (half.bounds(x) for half, x in self.halves(u))
+        home = a * self.second.groups + b
+        return home, [[r for r in walk(left[i], right[i], LONGEST_WALK, self.limit) if _asks(h, r)] for i, h in enumerate(home.tolist())]
 
 
-def _steps_needed(index: MultiIndex, queries: np.ndarray, min_cosine: float):
+def _asks(region: int, other: int) -> bool:
+    """Of two regions one asks the other; which one is alternated, to spread the work."""
+    return region == other or (region < other) == ((region + other) % 2 == 0)
+
+
+def _reach(index: MultiIndex):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = [{cell: r for r, cell in enumerate(w)} for w in index.walks(queries, LONGEST_WALK)]
-        found: dict[tuple[int, int], int] = {}
+        far = [np.full(len(half.book), -1.0) for half in (index.first, index.second)]
         for batch in batches:
             u = _unit(batch.column("raw").to_pylist())
-            home = index.homes(u)
-            for i in range(0, len(queries), 256):
-                for q, x in zip(*np.nonzero(queries[i:i + 256] @ u.T >= min_cosine), strict=True):
-                    spot = (i + int(q), order[i + q].get(int(home[x]), LONGEST_WALK))
-                    found[spot] = found.get(spot, 0) + 1
-        cols = [[q for q, _ in found], [r for _, r in found], list(found.values())]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["q", "r", "n"])
+            if len(u):
+                for (half, x), most in zip(index.halves(u), far, strict=True):
+                    d = np.sqrt(distances(x, half.book))
+                    # of codewords as good as equally near, rounding may choose any: each counts the row
+                    np.maximum(most, np.where(d <= d.min(1)[:, None] + SLACK, d, -1).max(axis=0), out=most)
+        for side, most in enumerate(far):
+            met = np.flatnonzero(most >= 0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(met), side), pa.int64()), pa.array(met, pa.int64()), pa.array(most[met], pa.float64())],
+                                             names=["side", "word", "far"])
 
     return run
 
 
-def build_index(classes: DataFrame, min_cosine: float = MIN_COSINE, recall: float = RECALL) -> MultiIndex | None:
-    """Codebooks from at most FIT_ROWS classes (c, raw) and the walk that reaches
-    ``recall`` of what SAMPLE_QUERIES classes find among all of them, as the mean over
-    the queries that find any beside themselves, so a crowd counts no more than a pair."""
+def build_index(classes: DataFrame, min_cosine: float = MIN_COSINE) -> MultiIndex | None:
+    """Codebooks from at most FIT_ROWS classes (c, raw), and the radii of their codewords over all classes."""
     sample = classes.orderBy(F.xxhash64("c")).limit(FIT_ROWS).select("raw").collect()
     if not sample:
         return None
     u = _unit([r["raw"] for r in sample])
-    k = max(1, min(len(u), round(math.sqrt(classes.count() / PER_CELL))))
+    n = classes.count()
+    k = max(1, min(len(u), round(math.sqrt(n / PER_CELL))))
+    groups = min(k, math.ceil(math.sqrt(n / REGION)))
     half = (u.shape[1] + 1) // 2
-    index = MultiIndex(fit_codebook(u[:, :half], k), fit_codebook(u[:, half:], k))
-    ranks = arrow_map(classes.select("raw"), _steps_needed(index, u[:SAMPLE_QUERIES], min_cosine), "q long, r long, n long") \
-        .groupBy("q", "r").agg(F.sum("n").alias("n")).orderBy("r").collect()
-    mine: dict[int, int] = {}
-    for x in ranks:
-        mine[x["q"]] = mine.get(x["q"], 0) + x["n"]
-    asked, reached = sum(n > 1 for n in mine.values()), 0.0
-    for x in ranks:
-        if mine[x["q"]] > 1:
-            own = 1 if x["r"] == 0 else 0
-            reached += (x["n"] - own) / (mine[x["q"]] - 1)
-            if reached < recall * asked:
-                continue
-            index.steps = min(x["r"] + 1, LONGEST_WALK)
-            break
+    index = MultiIndex(Half(fit_codebook(u[:, :half], k), groups), Half(fit_codebook(u[:, half:], k), groups), half, 2 - 2 * min_cosine + SLACK)
+    reach = arrow_map(classes.select("raw"), _reach(index), "side long, word long, far double") \
+        .groupBy("side", "word").agg(F.max("far").alias("far")).collect()
+    for side in (index.first, index.second):
+        side.radius[:] = -math.inf  # a codeword that no row is nearest to has no members
+    for r in reach:
+        (index.first, index.second)[r["side"]].radius[r["word"]] = r["far"]
     return index
 
 
 def _file(index: MultiIndex):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            u = _unit(batch.column("raw").to_pylist())
-            walks = index.walks(u, index.steps)
+            home, walks = index.walks(_unit(batch.column("raw").to_pylist())) if batch.num_rows else ([], [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("c"), batch.column("n"), batch.column("raw"), pa.array([w[0] for w in walks], pa.int64()),
+                [batch.column("c"), batch.column("n"), batch.column("raw"), pa.array(home, pa.int64()),
                  pa.array(walks, pa.list_(pa.int64()))], names=["c", "n", "raw", "home", "visits"])
 
     return run
@@ -192,28 +214,26 @@ def _compare(min_cosine: float):
         held: list[tuple] = []
 
         def members(rows: list[tuple]) -> dict:
-            return {"c": np.array([r[0] for r in rows]), "n": np.array([r[1] for r in rows]), "u": _unit([r[2] for r in rows]),
-                    "visits": np.array([r[4] for r in rows])}
+            return {"c": np.array([r[0] for r in rows]), "n": np.array([r[1] for r in rows]), "u": _unit([r[2] for r in rows])}
 
         def block(asking: list[tuple]) -> Iterator[tuple[int, int, int]]:
+            if not len(member["c"]):
+                return
             c, n = np.array([r[0] for r in asking]), np.array([r[1] for r in asking])
-            home, u = np.array([r[3] for r in asking]), _unit([r[2] for r in asking])
-            hit = (u @ member["u"].T >= min_cosine) & (c[:, None] != member["c"][None, :])
-            if not hit.any():
+            hit = (_unit([r[2] for r in asking]) @ member["u"].T >= min_cosine) & (c[:, None] != member["c"][None, :])
+            p, h = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
+            if not len(p):
                 return
-            own = hit @ member["n"]
-            p, h = np.nonzero(hit)
-            # the member does not meet this query on its own walk: count it here
-            unseen = np.zeros(len(p), bool)
-            for i in range(0, len(p), 1 << 16):
-                s = slice(i, i + (1 << 16))
-                unseen[s] = ~(member["visits"][h[s]] == home[p[s], None]).any(axis=1)
-            back = np.bincount(h[unseen], weights=n[p[unseen]], minlength=len(member["c"])).astype(np.int64)
+            hit = hit[np.ix_(p, h)]
+            own = hit @ member["n"][h]
+            # members of the queries' own region ask for themselves, others are counted here
+            away = n[p] * np.array([asking[i][3] != key[0] for i in p])
+            back = away @ hit
             rows, cols = _join_labels(hit)
-            for i in np.flatnonzero(hit.any(axis=1)):
-                yield int(c[i]), int(own[i]), int(c[rows[i]])
-            for i in np.flatnonzero(hit.any(axis=0)):
-                yield int(member["c"][i]), int(back[i]), int(c[cols[i]])
+            for i in range(len(p)):
+                yield int(c[p[i]]), int(own[i]), int(c[p[rows[i]]])
+            for i in range(len(h)):
+                yield int(member["c"][h[i]]), int(back[i]), int(c[p[cols[i]]])
 
         def told(rows: list[tuple]) -> pa.RecordBatch:
             cols = list(zip(*rows, strict=True)) or [[], [], []]
@@ -222,13 +242,13 @@ def _compare(min_cosine: float):
         asking: list[tuple] = []
         out: list[tuple] = []
         for batch in batches:
-            for cell, chunk, role, *row in zip(*(batch.column(x).to_pylist() for x in ("cell", "chunk", "role", "c", "n", "raw", "home", "visits")), strict=True):
-                if (cell, chunk) != key or len(asking) >= BLOCK:
+            for region, chunk, role, *row in zip(*(batch.column(x).to_pylist() for x in ("region", "chunk", "role", "c", "n", "raw", "home")), strict=True):
+                if (region, chunk) != key or len(asking) >= BLOCK:
                     if asking:
                         out += block(asking)
                         asking = []
-                    if (cell, chunk) != key:
-                        key, member, held = (cell, chunk), None, []
+                    if (region, chunk) != key:
+                        key, member, held = (region, chunk), None, []
                 if role == 0:
                     held.append(tuple(row))
                     continue
@@ -245,7 +265,7 @@ def _compare(min_cosine: float):
     return run
 
 
-def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE, recall: float = RECALL,
+def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE,
                     vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """One row per vector: vec_id, n_links, component_id (smallest vec_id reachable), kept."""
     own = F.col(embedding).cast("array<double>")
@@ -253,19 +273,18 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE, recall:
     rows = cut(arrow_map(vectors.select(F.monotonically_increasing_id().alias("rid"), F.col(vec_id).cast("long").alias("vec_id"), own.alias("v")),
                          _clean(dim), "rid long, vec_id long, raw binary"), "vectors")
     classes = cut(rows.where("raw IS NOT NULL").groupBy("raw").agg(F.min("rid").alias("c"), F.count("*").alias("n")), "vector-classes")
-    index = build_index(classes, min_cosine, recall)
+    index = build_index(classes, min_cosine)
     if index is None:
         return rows.select(F.col("vec_id").alias(vec_id), F.lit(0).cast("long").alias("n_links"),
                            F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     filed = cut(arrow_map(classes, _file(index), "c long, n long, raw binary, home long, visits array<long>"), "filed")
-    cells = filed.groupBy(F.col("home").alias("cell")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks"))
-    whole = ["c", "n", "raw", "home", "visits"]
-    members = filed.withColumn("cell", F.col("home")).join(cells, "cell") \
-        .select("cell", F.pmod(F.xxhash64("c"), F.col("chunks")).cast("int").alias("chunk"), F.lit(0).alias("role"), *whole)
-    asking = filed.withColumn("cell", F.explode("visits")).join(cells, "cell") \
-        .select("cell", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("role"),
-                "c", "n", "raw", "home", F.lit(None).cast("array<long>").alias("visits"))
-    met = cut(arrow_map(members.unionByName(asking).repartition("cell", "chunk").sortWithinPartitions("cell", "chunk", "role"),
+    regions = filed.groupBy(F.col("home").alias("region")).agg(F.ceil(F.count("*") / REGION).cast("int").alias("chunks"))
+    whole = ["c", "n", "raw", "home"]
+    members = filed.withColumn("region", F.col("home")).join(regions, "region") \
+        .select("region", F.pmod(F.xxhash64("c"), F.col("chunks")).cast("int").alias("chunk"), F.lit(0).alias("role"), *whole)
+    asking = filed.withColumn("region", F.explode("visits")).join(regions, "region") \
+        .select("region", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("role"), *whole)
+    met = cut(arrow_map(members.unionByName(asking).repartition("region", "chunk").sortWithinPartitions("region", "chunk", "role"),
                         _compare(min_cosine), "c long, links long, other long"), "links-met")
     links = met.groupBy("c").agg(F.sum("links").alias("links"))
     joined = components(met.select(F.col("c").alias("a"), F.col("other").alias("b")))
