@@ -202,6 +202,18 @@ def test_embeddings_rare_near_copies(spark, monkeypatch):
     assert [r.n_links for r in sorted(got)] == (hit.sum(axis=1) - 1).tolist()
 
 
+def test_embeddings_walks_of_any_length():
+    """Bounds that spare nothing: of any two of 1,600 regions one asks the other."""
+    rng = np.random.default_rng(9)
+    first, second = neardup.Half(rng.normal(size=(40, 8)), 40), neardup.Half(rng.normal(size=(40, 8)), 40)
+    whole = first.groups * second.groups
+    home, asked = neardup.MultiIndex(first, second, 8, 1e9).walks(rng.normal(size=(30, 16)))
+    assert whole > 1024
+    for h, regions in zip(home.tolist(), asked, strict=True):
+        assert sorted(regions) == [r for r in range(whole) if neardup._asks(h, r)]
+    assert all(neardup._asks(a, b) != neardup._asks(b, a) for a in range(50) for b in range(a))
+
+
 def test_embeddings_empty_and_all_bad(spark):
     kinds = "vec_id BIGINT, embedding ARRAY<FLOAT>"
     assert neardup.near_duplicates(spark.createDataFrame([], kinds)).collect() == []

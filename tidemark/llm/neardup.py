@@ -39,8 +39,8 @@ from tidemark.llm.graph import components
 MIN_COSINE = 0.9
 #: Vectors the codebooks are fitted on, chosen by hash.
 FIT_ROWS = 20_000
-#: Vectors a cell should hold, a region and a block of its members, queries compared at a time; cells of a walk at most.
-PER_CELL, REGION, BLOCK, LONGEST_WALK = 16, 8192, 1024, 1024
+#: Vectors a cell should hold, members of a region or of a block of a larger one, queries compared at a time.
+PER_CELL, REGION, BLOCK = 16, 8192, 1024
 #: Taken off each lower bound for rounding; codewords nearer than the gap have no plane between them.
 SLACK, LEAST_GAP = 1e-6, 1e-3
 
@@ -88,13 +88,13 @@ def nearest(x: np.ndarray, book: np.ndarray) -> np.ndarray:
     return np.concatenate([distances(x[i:i + 4096], book).argmin(1) for i in range(0, len(x), 4096)]) if len(x) else np.zeros(0, np.int64)
 
 
-def walk(left: np.ndarray, right: np.ndarray, steps: int, limit: float = math.inf) -> list[int]:
-    """Multi-sequence traversal: the first ``steps`` cells by left[i] + right[j] whose sum is within
-    ``limit``, as i * len(right) + j."""
+def walk(left: np.ndarray, right: np.ndarray, steps: int | None, limit: float = math.inf) -> list[int]:
+    """Multi-sequence traversal: the first ``steps`` cells (None: all) by left[i] + right[j] whose
+    sum is within ``limit``, as i * len(right) + j."""
     a, b = np.argsort(left, kind="stable"), np.argsort(right, kind="stable")
     la, lb, width = left[a].tolist(), right[b].tolist(), len(right)
     heap, out, reached = [(la[0] + lb[0], 0, 0)], [], {}
-    while heap and len(out) < steps:
+    while heap and (steps is None or len(out) < steps):
         total, i, j = heapq.heappop(heap)
         if total > limit:
             break
@@ -140,7 +140,7 @@ class MultiIndex:
         """For each vector its region, and the regions that it asks."""
         (a, left), (b, right) = (half.bounds(x) for half, x in self.halves(u))
         home = a * self.second.groups + b
-        return home, [[r for r in walk(left[i], right[i], LONGEST_WALK, self.limit) if _asks(h, r)] for i, h in enumerate(home.tolist())]
+        return home, [[r for r in walk(left[i], right[i], None, self.limit) if _asks(h, r)] for i, h in enumerate(home.tolist())]
 
 
 def _asks(region: int, other: int) -> bool:
