@@ -59,6 +59,33 @@ def test_stream_daily_average_equals_batch(spark, tmp_root):
     assert a == b and 0 < len(a) < batch.count()
 
 
+def test_registered_daily_averages_hold_every_day(spark):
+    import __spark_entry__ as E
+
+    ev = spark.read.schema(SCHEMAS["events"]).parquet(f"{SF_SMALL}/events.parquet")
+    batch = ev.groupBy(F.date_trunc("day", F.col("ts").cast("timestamp")).alias("day"), "event_type").agg(
+        F.round(F.avg("value"), 6).alias("avg_value"), F.count(F.lit(1)).alias("n"))
+    got = E.queries()["st4_daily_event_averages"](spark, SF_SMALL).collect()
+    assert sorted((str(r.window_start), r.event_type, r.avg_value, r.n) for r in got) == \
+        sorted((str(r.day), r.event_type, r.avg_value, r.n) for r in batch.collect())
+
+
+def test_stream_later_batch_replaces_open_windows(spark, tmp_root):
+    land, schema = os.path.join(tmp_root, "open"), "ts TIMESTAMP, k STRING, v DOUBLE"
+
+    def land_and_run(rows):
+        df = spark.createDataFrame(rows, "ts STRING, k STRING, v DOUBLE").withColumn("ts", F.to_timestamp("ts"))
+        df.coalesce(1).write.mode("append").parquet(land)
+        daily = ingest.daily_averages(ingest.landing_stream(spark, land, schema), "ts", "k", "v")
+        out = ingest.run_to_table(daily, "open_test", tmp_root, "daily", ["window_start", "k"], os.path.join(tmp_root, "ck"))
+        return sorted((str(r.window_start)[:10], r.avg_value, r.n) for r in out.collect())
+
+    assert land_and_run([("2024-01-01 01:00:00", "a", 1.0), ("2024-01-02 01:00:00", "a", 2.0)]) == [
+        ("2024-01-01", 1.0, 1), ("2024-01-02", 2.0, 1)]
+    assert land_and_run([("2024-01-02 05:00:00", "a", 4.0), ("2024-01-03 00:00:00", "a", 5.0)]) == [
+        ("2024-01-01", 1.0, 1), ("2024-01-02", 3.0, 2), ("2024-01-03", 5.0, 1)]
+
+
 def test_stream_dedupe_within_horizon(spark, tmp_root):
     land = os.path.join(tmp_root, "dups")
     rows = [("2024-01-01 00:00:00", "k1", 1.0), ("2024-01-01 00:05:00", "k1", 2.0), ("2024-01-01 00:00:00", "k2", 3.0)]

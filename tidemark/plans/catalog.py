@@ -900,8 +900,9 @@ def _events_stream(t: Tables) -> DataFrame:
 @query("st4_daily_event_averages")
 def q_st4(t: Tables) -> DataFrame:
     name = f"st4_{uuid.uuid4().hex}"  # a fresh checkpoint per run: every run sees the whole table
-    path = f"{checkpoint_dir(t.spark).rstrip('/')}/published/{name}"
-    out = ingest.run_to_files(ingest.daily_averages(_events_stream(t), "ts", "event_type", "value"), name, path)
+    root = f"{checkpoint_dir(t.spark).rstrip('/')}/published/{name}"
+    daily = ingest.daily_averages(_events_stream(t), "ts", "event_type", "value")
+    out = ingest.run_to_table(daily, name, root, "daily_averages", ["window_start", "event_type"])
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type",
                       F.round("avg_value", 6).alias("avg_value"), "n")
 

@@ -123,3 +123,22 @@ def run_to_files(df: DataFrame, name: str, path: str, checkpoint: str | None = N
     )
     q.awaitTermination()
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def run_to_table(df: DataFrame, name: str, root: str, table: str, keys: Sequence[str], checkpoint: str | None = None) -> DataFrame:
+    """Run the backlog of a stream in update mode into a published table, by the keyed upsert of
+    ST2, and return the table as a batch DataFrame.  Windows not yet past the watermark are in it
+    as they stand; a later batch replaces them, and the state of closed ones goes."""
+    from tidemark.sources.sinks import read_table
+
+    q = (
+        df.writeStream.queryName(name)
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint or _checkpoint(df.sparkSession, name))
+        .foreachBatch(upsert_each_batch(root, table, keys))
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    out = read_table(df.sparkSession, root, table)
+    return df.sparkSession.createDataFrame([], df.schema) if out is None else out
