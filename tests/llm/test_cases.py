@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, jaccard, langid, mixing, neardup, ordinal, sharding, suffixdedup, warc
+from tidemark.llm import chat, decontam, hashed, jaccard, langid, mixing, neardup, ordinal, sharding, suffixdedup, warc
 from tidemark.llm.common import held_out, maybe, may_match
 
 DOCS = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
@@ -370,6 +370,13 @@ def test_ordinal_grades_separate(spark):
     assert not w.any() and np.allclose(ordinal.grade_probabilities(np.zeros(1), t), 1 / 3)
 
 
+def test_rows_that_share_a_labelled_id_are_one_sample(spark):
+    docs = spark.createDataFrame([(1, f"text {i % 7}") for i in range(50)] + [(2, "two"), (3, None)], "doc_id BIGINT, text STRING")
+    graded = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "doc_id BIGINT, y STRING")
+    y, starts, _, have = hashed.sample_rows(docs, graded, 10, ["a", "b"])
+    assert sorted(y.tolist()) == [0, 1, 1] and len(starts) == 4 and have == {"a": 1, "b": 2}
+
+
 # --- mixing -----------------------------------------------------------------------------------------------------------
 
 

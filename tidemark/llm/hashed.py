@@ -38,7 +38,8 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def sample_rows(docs: DataFrame, graded: DataFrame, per_class: int, classes: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict]:
     """(class numbers, row starts, features, rows a class has in all) of at most ``per_class`` rows of each class.
 
-    ``graded`` is (doc_id, y); rows are chosen by hash, and only their features reach the driver.
+    ``graded`` is (doc_id, y); ids are chosen by hash, an id that rows share
+    gives one row, and only the rows' features reach the driver.
     """
     have = {r["y"]: r["n"] for r in graded.groupBy("y").agg(F.count("*").alias("n")).collect()}
     chosen = None
@@ -46,7 +47,8 @@ def sample_rows(docs: DataFrame, graded: DataFrame, per_class: int, classes: lis
         part = graded.where(F.col("y") == F.lit(y)).orderBy(F.xxhash64("doc_id")).limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
     kind = dict(graded.dtypes)["y"]
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("y", "text")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id") \
+        .groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("row")).select("y", "row.text")
     got = arrow_map(texts, _rows, f"y {kind}, idx array<int>").collect()
     number = {y: i for i, y in enumerate(classes)}
     sizes = np.array([len(r["idx"]) for r in got], dtype=np.int64)
