@@ -62,10 +62,12 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents of which a twentieth or more stands in benchmark windows."""
-    report = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
+    """Drops documents of which a twentieth or more stands in benchmark windows; rows that
+    share an id, or have none, are judged each by its own text."""
+    key = F.xxhash64("doc_id", "text")
+    report = decontam.contamination(docs.select(key.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
     gone = cut(report.where("contaminated").select("doc_id").distinct(), "contaminated")
-    return without(docs, [F.col("doc_id")], gone, ["doc_id"])
+    return without(docs, [key], gone, ["doc_id"])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

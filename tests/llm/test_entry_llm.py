@@ -76,3 +76,12 @@ def test_near_copies_keep_one_of_repeated_rows(spark):
     got = corpus_pipeline.near_copies(spark, docs, SF_SMALL).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in got if r.text) in ([(False, 1, text)], [(True, 0, text)])
     assert sum(1 for r in got if r.text == "") == 2
+
+
+def test_decontamination_judges_rows_that_share_an_id_each(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(1).drop("doc_id", "text")
+    item = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").where("length(text) > 100").first().text
+    clean = " ".join(f"unlike{i}" for i in range(40))
+    given = spark.createDataFrame([(None, item), (None, clean), (7, item), (7, clean), (8, clean)], "doc_id BIGINT, text STRING")
+    left = corpus_pipeline.decontaminate(spark, given.crossJoin(docs), SF_SMALL).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == [(0, clean), (7, clean), (8, clean)]
