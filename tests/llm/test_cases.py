@@ -401,6 +401,16 @@ def test_mixing_reaches_targets(spark):
         [r.copies for r in sorted(got, key=lambda r: r.doc_id)]
 
 
+def test_mixing_with_many_domains(spark):
+    names = [f"d{k:02}" for k in range(40)]
+    rows = [(i, f"word{i % 40} " * 20) for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    labelled = spark.createDataFrame([(i, names[i % 40]) for i in range(240)], "doc_id BIGINT, y STRING")
+    assert mixing.fit_domains(docs, labelled, rounds=2).domains == names
+    with pytest.raises(ValueError, match="nowhere"):
+        mixing.mix(docs, labelled, {"d00": 0.5, "nowhere": 0.5})
+
+
 def test_mixing_with_a_floor_keeps_every_row(spark):
     docs, labelled = mixing_input(spark)
     mixed = mixing.mix(docs, labelled, {"a": 0.4, "b": 0.6}, least=1.0)

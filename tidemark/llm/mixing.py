@@ -14,7 +14,8 @@ metric used the largest curvature is 1, so a step of 1 / (1 + pull) always desce
 
 Defined cases: a null or empty text has no tokens, and its rate moves no total; labelled
 rows without a domain teach nothing; with no labelled domain, or no tokens, every rate
-is 1; a domain without tokens takes no part; repeated rows get equal rates; a column
+is 1; a target for a domain that is not labelled is an error; a domain without tokens
+takes no part; repeated rows get equal rates; a column
 called like one that is added is replaced.
 """
 
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import arrow_map, cut
 from tidemark.llm.hashed import BITS, descend, feature_sums, features, row_sums, sample_rows
 
-#: Labelled rows that the classifier is fitted on, of each domain and in all, and domains at most (the largest ones).
-PER_DOMAIN, FIT_ROWS, DOMAINS = 1500, 12_000, 32
+#: Labelled rows that the classifier is fitted on: of each domain, in all, and of each domain however many there are.
+PER_DOMAIN, FIT_ROWS, LEAST_ROWS = 1500, 12_000, 100
 #: Without given targets a domain's target share is its share to this power (0: all alike, 1: as they are).
 TEMPERATURE = 0.5
 PULL = 1e-3
@@ -55,11 +56,11 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, per_domain: int = PER_DOMA
                 ridge: float = 1e-5, rounds: int = 60) -> DomainModel:
     """Fit on documents of ``labelled`` (doc_id, y), at most ``per_domain`` rows of each domain y."""
     known = labelled.where(F.col("y").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("y").alias("y"))
-    domains = sorted(r["y"] for r in known.groupBy("y").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "y").limit(DOMAINS).collect())
+    domains = sorted(r["y"] for r in known.select("y").distinct().collect())
     k = len(domains)
     if not k:
         return DomainModel([], np.zeros((1 << bits, 0), np.float32), np.zeros(0))
-    y, starts, flat, have = sample_rows(docs, known, min(per_domain, FIT_ROWS // k), domains)
+    y, starts, flat, have = sample_rows(docs, known, min(per_domain, max(LEAST_ROWS, FIT_ROWS // k)), domains)
     used, flat = np.unique(flat, return_inverse=True)
     scale = 1 / np.sqrt(np.maximum(1, np.diff(starts)))
     n = np.bincount(y, minlength=k)
@@ -174,6 +175,9 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None =
     added = ["n_tokens", "domain", "p_domain", "rate", "copies"]
     kept = [c for c in docs.columns if c not in added and (keep_text or c != text)]
     model = fit_domains(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), labelled)
+    unknown = sorted(d for d, share in (targets or {}).items() if share and d not in model.domains)
+    if model.domains and unknown:
+        raise ValueError(f"targets for domains without labelled rows: {unknown}")
     sent = docs.sparkSession.sparkContext.broadcast(model)
     types = dict(docs.dtypes)
     chance = F.pmod(F.xxhash64(F.col(doc_id), F.col(text), F.lit("mix")), F.lit(1 << 30)) / F.lit(float(1 << 30))
