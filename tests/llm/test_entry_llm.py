@@ -17,11 +17,11 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(
 
 def test_every_operator_is_registered_once():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in E.queries()
 
 
-@pytest.mark.parametrize("name", ["op1_decontaminate", "op6_jaccard", "op7_shards", "op8_fixity"])
+@pytest.mark.parametrize("name", ["op1_decontaminate", "op6_jaccard", "op7_shards", "op8_fixity", "op11_fim", "op12_topk", "op13_ranked"])
 def test_sql(spark, name):
     from check_oracle import rows_of
 
@@ -29,7 +29,7 @@ def test_sql(spark, name):
     for t in SOURCE_TABLES:
         if os.path.exists(f"{SF_SMALL}/{t}.parquet"):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "embeddings"):
         con.execute(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     got = E.queries()[name](spark, SF_SMALL)
     cur = con.execute(E.oracle_sql()[name])

@@ -8,6 +8,7 @@ import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,9 +61,46 @@ def ship(spark: SparkSession) -> None:
     sc._tidemark_shipped = True
 
 
+#: Bytes of a batch on its way to Python, and of the slices that functions are handed.
+BATCH_BYTES, SLICE_BYTES = 8 << 20, 4 << 20
+
+
+def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in views of about ``limit`` bytes, one row at least: a batch of many or long
+    texts is never turned into Python values as a whole."""
+    for batch in batches:
+        step = max(1, int(batch.num_rows * limit / max(1, batch.nbytes)))
+        for at in range(0, max(1, batch.num_rows), step):
+            yield batch.slice(at, step)
+        del batch
+
+
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` of ``fn`` over slices of a few MB; what they held goes back to the system.  The session's
+    limit on the bytes of an Arrow batch is lowered to BATCH_BYTES, so a worker and the
+    executor's buffers beside it hold little at a time."""
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(slices(batches))
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
+
+
+def byte_views(texts: pa.Array) -> list[memoryview | None]:
+    """The UTF-8 bytes of each text where Arrow holds them, without a copy."""
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int32, len(texts) + 1, 4 * texts.offset).tolist() if len(texts) else [0]
+    raw = memoryview(data if data is not None else b"").cast("B")
+    full = texts.is_valid().to_pylist() if texts.null_count else [True] * len(texts)
+    return [raw[ends[i]:ends[i + 1]] if ok else None for i, ok in enumerate(full)]
+
+
+def text_array(raw: list[bytes]) -> pa.Array:
+    """UTF-8 bytes as an Arrow text column."""
+    return pa.array(raw, pa.binary()).view(pa.string())
 
 
 def held_out(doc_id: Column) -> Column:

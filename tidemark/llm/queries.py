@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, jaccard, langid, mixing, neardup, ordinal, sharding, suffixdedup, warc
+from tidemark.llm import chat, decontam, fim, jaccard, langid, mixing, neardup, ordinal, ranked, sharding, suffixdedup, topk, warc
 from tidemark.llm.common import held_out, table
 
 
@@ -82,6 +82,22 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text"), train)
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its middle moved, and the digest of the text rebuilt from that."""
+    moved = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return fim.restore(moved, texts=False)
+
+
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest integer inner products of every 50th vector with all others."""
+    return topk.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
+def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty highest-scoring documents of every benchmark item."""
+    return ranked.search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality": op2_quality,
@@ -93,6 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fixity": op8_fixity,
     "op9_substrings": op9_substrings,
     "op10_language": op10_language,
+    "op11_fim": op11_fim,
+    "op12_topk": op12_topk,
+    "op13_ranked": op13_ranked,
 }
 
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -160,4 +179,48 @@ WITH r AS (
          || chr(13) || chr(10) || chr(13) || chr(10) AS record FROM pages)
 SELECT page_id, strlen(record) AS n_bytes, sha256(record) AS record_sha256,
        CASE WHEN draw % 97 = 1 THEN 'missing' WHEN draw % 89 = 0 THEN 'corrupt' ELSE 'intact' END AS status FROM r""",
+    "op11_fim": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u FROM documents),
+c AS (
+  SELECT doc_id, t, u, len(u)::BIGINT AS n,
+         t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 100 AS plain,
+         ('0x' || substr(h, 25, 8))::BIGINT % 100 < 50 AS spm,
+         ('0x' || substr(h, 1, 8))::BIGINT % (len(u) + 1) AS c1, ('0x' || substr(h, 9, 8))::BIGINT % (len(u) + 1) AS c2 FROM d),
+p AS (
+  SELECT *, coalesce(array_to_string(u[1:least(c1, c2)], ''), '') AS a,
+         coalesce(array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], ''), '') AS b,
+         coalesce(array_to_string(u[greatest(c1, c2) + 1:], ''), '') AS z FROM c)
+SELECT doc_id, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+       CASE WHEN NOT plain THEN length(a) END AS prefix_chars, CASE WHEN NOT plain THEN length(b) END AS middle_chars,
+       sha256(CASE WHEN plain THEN t WHEN spm THEN '<S>' || z || '<P>' || a || '<M>' || b ELSE '<P>' || a || '<S>' || z || '<M>' || b END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p""",
+    "op12_topk": r"""
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.rid AS qid, q.vec_id AS query_id, o.rid, o.vec_id, list_dot_product(q.e, o.e)::BIGINT AS score
+  FROM v AS q JOIN v AS o ON q.rid <> o.rid WHERE q.vec_id % 50 = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id, rid))::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5""",
+    "op13_ranked": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents WHERE text IS NOT NULL),
+i AS (
+  SELECT row_number() OVER () AS item, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
+asked AS (SELECT item, item_id, t, count(*) AS q FROM (SELECT item, item_id, unnest(w) AS t FROM i) GROUP BY ALL),
+c AS (SELECT count(*) AS nn, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0),
+p AS (SELECT rid, t, count(*) AS tf FROM (SELECT rid, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM asked) GROUP BY ALL),
+f AS (SELECT t, floor(1000 * ln((2 * nn + 2) / (2 * df + 1)))::BIGINT AS wt FROM (SELECT t, count(*) AS df FROM p GROUP BY t), c),
+m AS (SELECT rid, doc_id, 100 - 25 + (25 * len(w)::BIGINT * nn) // l AS m FROM d, c),
+s AS (
+  SELECT item, item_id, rid, doc_id, sum(q * wt * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM asked JOIN p USING (t) JOIN f USING (t) JOIN m USING (rid) GROUP BY ALL)
+SELECT item_id, (row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 20""",
 }
