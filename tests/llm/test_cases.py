@@ -490,3 +490,31 @@ def test_bit_map_loses_nothing(spark):
     kept = {r.k for r in may_match(left, F.col("k"), keys, F.col("j")).collect()}
     assert set(range(0, 5000, 7)) <= kept and len(kept) < 1000
     assert maybe(left, F.col("k"), keys.limit(0), F.col("j")).where("_maybe").count() == 0
+
+
+# --- rows that share an id, vectors of any size, names that clash ------------------------------------------------------
+
+
+def test_decontamination_tells_rows_of_one_id_apart(spark):
+    rng = random.Random(21)
+    item, clean = words(rng, 30), " ".join(f"unlike{i}" for i in range(40))
+    bench = spark.createDataFrame([(1, item)], "item_id BIGINT, text STRING")
+    rows = [(1, item), (1, clean), (None, item), (None, clean), (None, item), (2, None)]
+    got = decontam.contamination(spark.createDataFrame(rows, "doc_id BIGINT, text STRING").withColumn("row", F.lit(1)), bench).collect()
+    assert sorted((r.doc_id or 0, r.n_words, r.n_hit, r.n_items, r.contaminated) for r in got) == sorted(
+        (d or 0, 0 if t is None else 30 if t == item else 40, 30 if t == item else 0, int(t == item), t == item) for d, t in rows)
+
+
+def test_vectors_whose_squares_leave_the_range_of_doubles(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e200, 1e200]), (3, [1e-200, 1e-200]), (4, [5e-324, 0.0]), (5, [3.0, 0.0]), (6, [-1e308, 1e-308]),
+            (7, [0.0, 0.0]), (8, [float("inf"), 1.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in neardup.near_duplicates(spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>")).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (1, 4), 5: (1, 4), 6: (0, 6), 7: (0, 7), 8: (0, 8)}
+
+
+def test_mixing_keeps_columns_named_like_working_ones(spark, docs):
+    extra = docs.withColumn("_chance", F.lit("c")).withColumn("p", F.lit(2)).withColumn("_text", F.lit("t")).withColumn("a b", F.lit(1))
+    labelled = docs.where("text IS NOT NULL").select("doc_id", F.when(F.col("doc_id") % 2 == 0, "x").otherwise("y").alias("y"))
+    got = mixing.mix(extra, labelled)
+    assert got.columns[:len(extra.columns)] == extra.columns
+    assert {tuple(r) for r in got.select("_chance", "p", "_text", "`a b`").collect()} == {("c", 2, "t", 1)}

@@ -85,3 +85,26 @@ def test_decontamination_judges_rows_that_share_an_id_each(spark):
     given = spark.createDataFrame([(None, item), (None, clean), (7, item), (7, clean), (8, clean)], "doc_id BIGINT, text STRING")
     left = corpus_pipeline.decontaminate(spark, given.crossJoin(docs), SF_SMALL).collect()
     assert sorted((r.doc_id or 0, r.text) for r in left) == [(0, clean), (7, clean), (8, clean)]
+
+
+CLASHING = ["th", "_chance", "score", "lang_pred", "rate", "copies", "_maybe", "_s", "_bits", "p", "_text", "component", "row", "a b", "n_tokens", "doc id"]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(120)
+    for i, name in enumerate(CLASHING):
+        docs = docs.withColumn(name, F.lit(f"own {i}") if i % 2 else F.lit(i).cast("long"))
+    docs = docs.cache()
+    want = {tuple(r[n] for n in CLASHING) for r in docs.select(*[f"`{n}`" for n in CLASHING]).collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, SF_SMALL)
+        assert got.columns == docs.columns, name
+        assert got.dtypes == docs.dtypes, name
+        assert {tuple(r[n] for n in CLASHING) for r in got.select(*[f"`{n}`" for n in CLASHING]).collect()} == want, name
+    assert corpus_pipeline.shard(spark, docs, SF_SMALL).count() == docs.count()
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_root):
+    for name in ("documents", "benchmark", "labels"):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").limit(0).write.parquet(f"{tmp_root}/{name}.parquet")
+    assert corpus_pipeline.run(spark, tmp_root).collect() == []

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+import sys
 import tempfile
 import uuid
 import zipfile
@@ -12,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A side is hinted for broadcast only while its measured text stays under this size.
 BROADCAST_BYTES = 64 << 20
@@ -75,7 +78,16 @@ def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Itera
         del batch
 
 
-def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def release() -> None:
+    """Give memory that a finished task no longer uses back to the system: idle workers live on."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
+def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` of ``fn`` over slices of a few MB; what they held goes back to the system.  The session's
     limit on the bytes of an Arrow batch is lowered to BATCH_BYTES, so a worker and the
     executor's buffers beside it hold little at a time."""
@@ -84,7 +96,7 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from fn(slices(batches))
-        pa.default_memory_pool().release_unused()
+        release()
 
     return df.mapInArrow(run, schema)
 

@@ -15,8 +15,8 @@ of fewer words is one window.
 Defined cases: a null or empty text has no words, and such an item asks for nothing;
 ties between equally rare terms go to the first in the item; repeated items count
 once by their id; an item without an id marks hits but is not listed; repeated
-documents give a row each, and rows that share a doc_id share their hits; empty
-tables give no rows, or no hits; other columns are not read.
+documents give a row each; rows that share a doc_id, or have none, are judged each by its own
+text; a long text is read like any other; empty tables give no rows, or no hits; other columns are not read.
 """
 
 from __future__ import annotations
@@ -145,16 +145,18 @@ def item_words(benchmark: DataFrame) -> DataFrame:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, lists: int = LISTS) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit (words inside any occurrence of a
+    """One row per row of ``docs``: doc_id, n_words, n_hit (words inside any occurrence of a
     window), n_items and items_sha256 (of the sorted ids of items that occur, comma
     between them), contaminated (at least a twentieth of the words are hit)."""
-    hits = phrase_matches(docs, item_words(benchmark), window, lists)
+    # 128 bits of id and text tell rows apart; rows equal in both have equal hits
+    keyed = docs.select(F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64("text", "doc_id").alias("b")).alias("row"), "doc_id", "text")
+    hits = phrase_matches(keyed.select(F.col("row").alias("doc_id"), "text"), item_words(benchmark), window, lists)
     per_doc = hits.select("doc_id", "item_id", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("pos")) \
         .groupBy("doc_id").agg(F.countDistinct("pos").alias("n_hit"), F.array_sort(F.collect_set("item_id")).alias("_items"))
-    sized = docs.select("doc_id", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
+    sized = keyed.select("row", "doc_id", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
     items = F.coalesce(F.col("_items"), F.array().cast("array<string>"))
     hit = F.coalesce(F.col("n_hit"), F.lit(0).cast("long"))
-    return sized.alias("d").join(per_doc.alias("h"), F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")), "left").select(
-        F.col("d.doc_id"), "n_words", hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+    return sized.join(per_doc.withColumnRenamed("doc_id", "row"), "row", "left").select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"),
         ((hit > 0) & (hit * 20 >= F.col("n_words"))).alias("contaminated"))

@@ -251,6 +251,7 @@ def similar_classes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) ->
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, k))
     sets = cut(arrow_map(rows, _prefixes(frequent, k, percent),
                          "doc_id long, th long, ck binary, n int, gid long, sig binary, prefix array<long>"), "prefixes")
+    frequent.unpersist()
     known = sets.where(F.col("ck").isNotNull())
     classes = cut(known.groupBy("ck").agg(F.min(F.struct("doc_id", "th")).alias("one"), F.min("n").alias("n"),
                                           F.min("gid").alias("gid"), F.min("sig").alias("sig"))

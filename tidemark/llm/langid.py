@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import arrow_map, cut
 
@@ -166,8 +167,7 @@ def predict(docs: DataFrame, profiles: DataFrame, size: int = PROFILE, keep_text
                                              names=[*others, "lang_pred", "score"])
 
     others = [c for c in docs.columns if c not in ("lang_pred", "score") and (keep_text or c != "text")]
-    types = dict(docs.dtypes)
-    schema = ", ".join([*(f"`{c}` {types[c]}" for c in others), "lang_pred string", "score double"])
+    schema = T.StructType([docs.schema[c] for c in others] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return arrow_map(docs.select(*others, *([] if keep_text else ["text"])), score, schema)
 
 

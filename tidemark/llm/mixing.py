@@ -16,7 +16,8 @@ Defined cases: a null or empty text has no tokens, and its rate moves no total;
 rows without a domain teach nothing; with no labelled domain, or no tokens, every rate
 is 1; a target for a domain that is not labelled is an error; a domain without tokens
 takes no part; repeated rows get equal rates; a column
-called like one that is added is replaced.
+called like one that is added (n_tokens, domain, p_domain, rate, copies) is replaced;
+names that begin with _mix_ are the operator's own.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import arrow_map, cut
 from tidemark.llm.hashed import BITS, descend, feature_sums, features, row_sums, sample_rows
@@ -144,9 +146,9 @@ def _posteriors(model, kept: list[str]):
     """model: the broadcast classifier."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p, t = model.value.posteriors(batch.column("_text").to_pylist())
+            p, t = model.value.posteriors(batch.column("_mix_text").to_pylist())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(p.tolist(), pa.list_(pa.float64())), pa.array(t)],
-                                             names=[*kept, "p", "n_tokens"])
+                                             names=[*kept, "_mix_p", "n_tokens"])
 
     return run
 
@@ -179,28 +181,29 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None =
     if model.domains and unknown:
         raise ValueError(f"targets for domains without labelled rows: {unknown}")
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    types = dict(docs.dtypes)
     chance = F.pmod(F.xxhash64(F.col(doc_id), F.col(text), F.lit("mix")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     plain = [c for c in kept if c != text]
-    source = docs.select(*plain, F.col(text).alias("_text"), chance.alias("_chance"))
-    passed = [*plain, "_chance", *(["_text"] if text in kept else [])]
-    schema = ", ".join([*(f"`{c}` {types[c]}" for c in plain), "_chance double", *(["_text string"] if text in kept else []),
-                        "p array<double>", "n_tokens long"])
+    source = docs.select(*plain, F.col(text).alias("_mix_text"), chance.alias("_mix_chance"))
+    passed = [*plain, "_mix_chance", *(["_mix_text"] if text in kept else [])]
+    schema = T.StructType([docs.schema[c] for c in plain] + [T.StructField("_mix_chance", T.DoubleType())]
+                          + ([T.StructField("_mix_text", T.StringType())] if text in kept else [])
+                          + [T.StructField("_mix_p", T.ArrayType(T.DoubleType())), T.StructField("n_tokens", T.LongType())])
     stored = cut(arrow_map(source, _posteriors(sent, passed), schema), "posteriors")
+    sent.unpersist()
     history: list[np.ndarray] = []
     if model.domains:
         goal = None if targets is None else np.array([targets.get(d, 0.0) for d in model.domains])
-        history, _, _ = fit_rates(stored.select("p", "n_tokens"), len(model.domains), goal, least)
-    top = F.array_max("p")
+        history, _, _ = fit_rates(stored.select(F.col("_mix_p").alias("p"), "n_tokens"), len(model.domains), goal, least)
+    top = F.array_max("_mix_p")
     names = F.array(*[F.lit(d) for d in model.domains]) if model.domains else F.lit(None).cast("array<string>")
-    rated = stored.withColumn("rate", rate_of(F.col("p"), history, least)).withColumn("_whole", F.floor("rate"))
-    columns = {c: F.col("_text").alias(text) if c == text else F.col(f"`{c}`") for c in kept}
+    rated = stored.withColumn("rate", rate_of(F.col("_mix_p"), history, least)).withColumn("_mix_whole", F.floor("rate"))
+    columns = {c: F.col("_mix_text").alias(text) if c == text else F.col(f"`{c}`") for c in kept}
     return rated.select(
-        *columns.values(), "n_tokens", F.element_at(names, F.array_position("p", top).cast("int")).alias("domain"),
+        *columns.values(), "n_tokens", F.element_at(names, F.array_position("_mix_p", top).cast("int")).alias("domain"),
         F.coalesce(top, F.lit(1.0)).alias("p_domain"), "rate",
-        (F.col("_whole") + F.when(F.col("_chance") < F.col("rate") - F.col("_whole"), 1).otherwise(0)).cast("int").alias("copies"))
+        (F.col("_mix_whole") + F.when(F.col("_mix_chance") < F.col("rate") - F.col("_mix_whole"), 1).otherwise(0)).cast("int").alias("copies"))
 
 
 def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` of the rows of :func:`mix`, each as often as its copies say."""
-    return mixed.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*columns)
+    return mixed.where("copies > 0").withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*columns)

@@ -47,7 +47,11 @@ SLACK, LEAST_GAP = 1e-6, 1e-3
 
 def _unit(raw: list[bytes]) -> np.ndarray:
     x = np.frombuffer(b"".join(raw), dtype="<f8").reshape(len(raw), -1) if raw else np.zeros((0, 2))
-    return x / np.sqrt((x * x).sum(axis=1, keepdims=True)) if len(x) else x
+    if not len(x):
+        return x
+    # by the largest component first: squares of very large or small ones leave the range of doubles
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
 def _clean(dim: int):
@@ -59,7 +63,7 @@ def _clean(dim: int):
                 good = bool(v) and None not in v
                 if good:
                     x[:len(v)] = v
-                    good = bool(np.isfinite(x).all() and x.any() and 0 < (x * x).sum() < math.inf)
+                    good = bool(np.isfinite(x).all() and x.any())
                 out.append((x + 0.0).astype("<f8").tobytes() if good else None)
             yield pa.RecordBatch.from_arrays([batch.column("rid"), batch.column("vec_id"), pa.array(out, pa.binary())],
                                              names=["rid", "vec_id", "raw"])

@@ -118,22 +118,22 @@ _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abc
 
 ORACLE: dict[str, str] = {
     "op1_decontaminate": f"""
-WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce({_WORDS}, []) AS w FROM documents),
 i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
 wins AS (
   SELECT item_id, least(13, len(w)) AS n, array_to_string(w[s + 1:s + least(13, len(w))], ' ') AS g
   FROM i, unnest(range(0, greatest(0, len(w) - 13) + 1)) AS t(s) WHERE len(w) > 0),
 grams AS (
-  SELECT doc_id, n, p, array_to_string(w[p + 1:p + n], ' ') AS g
+  SELECT rid, n, p, array_to_string(w[p + 1:p + n], ' ') AS g
   FROM d, (SELECT DISTINCT n FROM wins), unnest(range(0, len(w) - n + 1)) AS t(p) WHERE len(w) >= n),
-hits AS (SELECT DISTINCT doc_id, item_id, p, n FROM grams JOIN wins USING (n, g)),
+hits AS (SELECT DISTINCT rid, item_id, p, n FROM grams JOIN wins USING (n, g)),
 per AS (
-  SELECT doc_id, count(DISTINCT q) AS n_hit, list_sort(list(DISTINCT item_id)) AS ids
-  FROM hits, unnest(range(p, p + n)) AS t(q) GROUP BY doc_id)
+  SELECT rid, count(DISTINCT q) AS n_hit, list_sort(list(DISTINCT item_id)) AS ids
+  FROM hits, unnest(range(p, p + n)) AS t(q) GROUP BY rid)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(ids), 0)::BIGINT AS n_items,
        sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN per USING (doc_id)""",
+FROM d LEFT JOIN per USING (rid)""",
     "op6_jaccard": r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
