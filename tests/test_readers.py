@@ -215,3 +215,36 @@ def test_broken_workbook_fails_with_its_path(spark, tmp_root):
         fh.write(b"PK not really")
     with pytest.raises(Exception, match="torn.xlsx"):
         xlsx.read_grid(spark, d).collect()
+
+
+def _cells_of(spark, *messages):
+    rows = [(i, None, json.dumps(m) if not isinstance(m, str) else m) for i, m in enumerate(messages)]
+    df = spark.createDataFrame(rows, "id BIGINT, dir STRING, json STRING").withColumn("ts", F.lit("t"))
+    return {r.id: r.text for r in readers.hypercube_cells(df).collect()}
+
+
+def test_data_pages_at_any_place(spark):
+    def page(text):
+        return {"qDataPages": [{"qMatrix": [[{"qText": text}]]}]}
+
+    def under(levels, part):
+        for i in range(levels):
+            part = [0, part] if i % 2 else {"k": part, "a": {"x": None}}
+        return part
+
+    eight, nine = under(8, page("eight")), under(9, page("nine"))
+    assert _cells_of(spark, {"data": page("top")}, {"data": eight}, {"data": nine}, page("whole message"), {"data": {"qDataPages": None, "b": page("no")}},
+                     {"data": {"z": page("first in the text"), "a": page("later")}}, {"data": {"z": {"qDataPages": []}, "a": page("not empty")}},
+                     {"data": [page("one"), page("two")]}, {"data": {"s": json.dumps(page("text only"))}}, "no json", "[1, 2]", "7",
+                     {"data": {"x": {"q": [{"b.c": {"deep": page("dotted")}}], "p": page("after")}}}) == {
+        0: "top", 1: "eight", 3: "whole message", 5: "first in the text", 6: "not empty", 7: "one", 12: "dotted"}
+
+
+def test_cells_of_every_kind(spark):
+    matrix = [[{"qText": "a", "qNum": 1}, "no cell", {"qNum": 2.5}], [], [{"qText": "c", "qNum": "3"}, {"qText": None, "qNum": True}, {"qText": "d", "qNum": 1e300}]]
+    m = json.dumps({"data": {"qDataPages": [{"other": 1}, {"qMatrix": matrix}, {"qMatrix": None}]}})
+    df = spark.createDataFrame([(1, "t", "recv", m), (2, "t", "sent", m), (3, "t", None, None)], "id BIGINT, ts STRING, dir STRING, json STRING")
+    out = readers.hypercube_cells(df)
+    assert "MapIn" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {(r.id, r.page_idx, r.row_idx, r.col_idx): (r.text, r.number) for r in out.collect()}
+    assert got == {(1, 1, 0, 0): ("a", 1.0), (1, 1, 0, 2): (None, 2.5), (1, 1, 2, 0): ("c", None), (1, 1, 2, 1): (None, None), (1, 1, 2, 2): ("d", 1e300)}

@@ -165,3 +165,58 @@ def test_append_leaves_open_readers_alone(spark, tmp_root):
     reader = sinks.read_table(spark, tmp_root, "app")
     sinks.append_rows(spark, a, tmp_root, "app")
     assert reader.count() == 5 and sinks.read_table(spark, tmp_root, "app").count() == 10
+
+
+def _files(root, table):
+    import os
+
+    out = {}
+    for folder, _, names in os.walk(os.path.join(root, table)):
+        for n in names:
+            if n.endswith(".parquet"):
+                path = os.path.join(folder, n)
+                out[path] = (os.path.getmtime(path), os.path.getsize(path))
+    return out
+
+
+def test_upsert_by_period_leaves_other_periods_alone(spark, tmp_root):
+    first = spark.createDataFrame([*_rows(48), (None, 1, "India", "NSW", 7)], ENROL)
+    res = sinks.upsert(spark, first, tmp_root, "enrol", KEY, by="enrol_year")
+    assert res.rows_written == 49
+    live, files = sinks.live_tables(spark, tmp_root)["enrol"], _files(tmp_root, "enrol")
+    assert [f.rsplit("=", 1)[1] for f in live] == ["k2020", "k2021", "k2022", "k2023", "null"]
+    batch = spark.createDataFrame([(2021, 1, "India", "NSW", 200), (2021, 13, "India", "NSW", 1), (2024, 1, "India", "NSW", 5), (None, 1, "India", "NSW", 7)], ENROL)
+    res = sinks.upsert(spark, batch.withColumn("note", F.lit("n")).where("enrol_year IS NOT NULL"), tmp_root, "enrol", KEY, by="enrol_year")
+    assert (res.inserted, res.updated, res.unchanged) == (2, 1, 0) and res.rows_written == 14  # of 50 rows, those of 2021 and 2024
+    now = sinks.live_tables(spark, tmp_root)["enrol"]
+    assert {f for f in now if f in live} == {f for f in live if not f.endswith("2021")} and len(now) == 6
+    assert {k: v for k, v in _files(tmp_root, "enrol").items() if k in files} == files
+    rows = {(r.enrol_year, r.enrol_month): (r.ytd_enrolments, r.note) for r in sinks.read_table(spark, tmp_root, "enrol").collect()}
+    assert len(rows) == 51 and rows[2021, 1] == (200, "n") and rows[2021, 2] == (100, None) and rows[2024, 1] == (5, "n") and rows[None, 1] == (7, None)
+    again = sinks.upsert(spark, batch.where("enrol_year IS NULL"), tmp_root, "enrol", KEY, by="enrol_year")
+    assert (again.inserted, again.updated, again.unchanged) == (0, 0, 1)
+    assert sinks.read_table(spark, tmp_root, "enrol").count() == 51
+    # an older commit still reads the older folders
+    assert sinks.read_table(spark, tmp_root, "enrol", commit_number=1).count() == 49 and sinks.last_commit(spark, tmp_root) == 3
+
+
+def test_upsert_by_refuses_what_could_move_rows(spark, tmp_root):
+    df = spark.createDataFrame(_rows(3), ENROL)
+    with pytest.raises(ValueError, match="key column"):
+        sinks.upsert(spark, df, tmp_root, "t", KEY, by="ytd_enrolments")
+    sinks.upsert(spark, df, tmp_root, "t", KEY, by="enrol_year")
+    with pytest.raises(sinks.LoadError, match="'by'"):
+        sinks.upsert(spark, df, tmp_root, "t", KEY)
+    with pytest.raises(sinks.LoadError):
+        sinks.append_rows(spark, df, tmp_root, "t")
+    assert sinks.upsert(spark, df.limit(0), tmp_root, "t", KEY, by="enrol_year").rows_written == 0
+
+
+def test_folders_of_odd_values(spark, tmp_root):
+    names = ["a/b", "k1", "1", "null", None, "", "é=%", "x" * 300]
+    df = spark.createDataFrame([(n, 1) for n in names], "name STRING, v INT")
+    sinks.upsert(spark, df, tmp_root, "t", ["name"], by="name")
+    res = sinks.upsert(spark, df.withColumn("v", F.lit(2)).where("name IS NULL OR name IN ('null', 'a/b')"), tmp_root, "t", ["name"], by="name")
+    assert (res.inserted, res.updated) == (0, 3)
+    got = {r.name: r.v for r in sinks.read_table(spark, tmp_root, "t").collect()}
+    assert got == {n: 2 if n in (None, "null", "a/b") else 1 for n in names}

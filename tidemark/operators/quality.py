@@ -7,7 +7,7 @@ is collected: a caller decides whether to act on ``passed``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -184,6 +184,29 @@ def count_delta(before: DataFrame, after: DataFrame, tolerance_pct: float = 0.0)
     return j.select("table_name", "rows_before", "rows_after", delta.alias("delta"), ok.alias("passed"))
 
 
+def published_counts(spark, root: str, commit_number: int | None = None) -> DataFrame:
+    """(table_name, rows) of every table live now, or as of a commit: one count each, united."""
+    from tidemark.sources import sinks
+
+    state = sinks.live_tables(spark, root) if commit_number is None else sinks.tables_at(spark, root, commit_number)
+    out = spark.createDataFrame([], "table_name STRING, rows BIGINT")
+    for name in sorted(state):
+        df = sinks.read_table(spark, root, name, commit_number=commit_number)
+        out = out.unionByName(df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows"))
+    return out
+
+
+def rerun_check(spark, root: str, load: Callable[[], object], tolerance_pct: float = 0.0) -> DataFrame:
+    """What ``load`` publishes under ``root``, run twice: rows of every table after the first run
+    and after the second, the delta and whether it is within tolerance.  Both counts are of published versions."""
+    from tidemark.sources import sinks
+
+    load()
+    first = sinks.last_commit(spark, root)
+    load()
+    return count_delta(published_counts(spark, root, first), published_counts(spark, root), tolerance_pct)
+
+
 def report(checks: Sequence[DataFrame]) -> DataFrame:
     """One frame of all check rows."""
     out = checks[0]

@@ -250,7 +250,8 @@ DIMENSION_NAMES = {"English": "English Test Score", "State": "Nominated State",
 def filename_context(file_col: Column) -> dict[str, Column]:
     """``{M or MM}{_ or -}{YYYY}{_ or -}{visa}_{status}_{view}`` to columns.  In a name of
     another shape the first visa token counts, with the part before it as the month,
-    the one after it as status and the rest as view; absent parts are NULL."""
+    the one after it as status and the rest as view; absent parts are NULL, but the view
+    is the whole stem wherever no part is left for it."""
     stem = F.regexp_replace(file_col, r"\.[^.]*$", "")
 
     def group(i: int) -> Column:
@@ -271,7 +272,7 @@ def filename_context(file_col: Column) -> dict[str, Column]:
         "as_at_month": F.when(dated, F.concat(F.lpad(group(1), 2, "0"), F.lit("/"), group(2))).otherwise(near(-1)),
         "visa_type": F.when(dated, F.try_element_at(tail, F.lit(1))).otherwise(near(0)),
         "eoi_status": F.when(dated, F.try_element_at(tail, F.lit(2))).otherwise(near(1)),
-        "source_view": F.when(dated, rest(tail, F.lit(3))).when(at.isNotNull(), rest(loose, at + 2)),
+        "source_view": F.coalesce(F.when(dated, rest(tail, F.lit(3))).when(at.isNotNull(), rest(loose, at + 2)), stem),
     }
 
 

@@ -1,16 +1,16 @@
 """Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
 
 Each callable builds its marts from the landed tables and calls the library
-operators; nothing here is collected.  Parameters (years, members, thresholds)
-are fixed per query so that the SQL oracle states the same question.
+operators.  Parameters (years, members, thresholds) are fixed per query so that the SQL
+oracle states the same question.  Pivot headers (periods, priorities) are read from their
+column while a plan is built; no other rows reach the driver.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as X
@@ -29,24 +29,13 @@ from tidemark.operators import shape
 from tidemark.operators.windows import forward_fill
 from tidemark.operators.windows import percentile_rank
 from tidemark.plans import marts
+from tidemark.plans.registry import QUERIES, query
 from tidemark.schema import state_seed_frame
 from tidemark.session import checkpoint_dir
 from tidemark.sources.tables import SCHEMAS
 from tidemark.sources.tables import Tables
 from tidemark.streaming import ingest
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-
-
-def query(name: str):
-    def deco(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-        QUERIES[name] = lambda spark, sf_dir: fn(Tables(spark, sf_dir))
-        return fn
-
-    return deco
-
-
 # ---------------------------------------------------------------------------
 # Enrolment snapshots
 
@@ -1122,3 +1111,9 @@ def q_k02(t: Tables) -> DataFrame:
     sinks.append_rows(t.spark, second.where(F.col("month") >= "1997-01").withColumn("note", F.lit("appended")).select(*keys, "orders", "note"),
                       root, "orders_by_month")
     return sinks.read_table(t.spark, root, "orders_by_month").select("month", "priority", "orders", "note")
+
+
+# queries over files that the given tables are landed in, and over published tables
+from tidemark.plans import landed  # noqa: E402, F401
+
+__all__ = ["QUERIES", "query"]

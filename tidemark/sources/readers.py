@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import absolute_url, lenient_double, month_number, parse_day_first_date
@@ -26,6 +26,33 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, **option
     return r.csv(path)
 
 
+def file_encodings(spark: SparkSession, path: str, glob: str = "*.csv", fallback: str = "ISO-8859-1") -> DataFrame:
+    """(path, encoding) of each file: UTF-8 where every line is valid UTF-8, else ``fallback``.
+    Lines are judged where they are read, so a large file is split over tasks."""
+    lines = spark.read.option("pathGlobFilter", glob).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    valid = F.every(F.call_function("is_valid_utf8", "value"))
+    return lines.groupBy("path").agg(F.when(valid, F.lit("UTF-8")).otherwise(F.lit(fallback)).alias("encoding"))
+
+
+def read_csv_any_encoding(spark: SparkSession, path: str, schema: str, glob: str = "*.csv", fallback: str = "ISO-8859-1", **options) -> DataFrame:
+    """Header CSVs of which each file is UTF-8 or, failing that, ``fallback``; ``_path`` and ``_encoding`` say
+    which.  One splittable scan for each encoding that occurs; the driver knows the files' names, as any scan's does.
+    No file at all is an error, as for other readers."""
+    found = file_encodings(spark, path, glob, fallback).collect()
+    out = None
+    for encoding in sorted({r["encoding"] for r in found}):
+        paths = [r["path"] for r in found if r["encoding"] == encoding]
+        reader = spark.read.schema(schema).option("header", True).option("encoding", encoding)
+        for k, v in options.items():
+            reader = reader.option(k, v)
+        names = [F.col(f.name) for f in reader.csv(paths).schema.fields]
+        part = reader.csv(paths).select(*names, F.col("_metadata.file_path").alias("_path"), F.lit(encoding).alias("_encoding"))
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise FileNotFoundError(f"{path}: no file {glob} with a line")
+    return out
+
+
 def _series_width(spark: SparkSession, path: str, glob: str) -> int:
     """Columns of the widest file, from its "Series ID" line (commas inside quotes only
     make it wider than needed).  A file without that line is an error."""
@@ -122,20 +149,17 @@ def file_context(df: DataFrame) -> DataFrame:
 
 #: Depth to which a message is searched for its data pages.
 PAGE_DEPTH = 8
-CELL_SCHEMA = "id long, ts string, page_idx int, row_idx int, col_idx int, text string, number double"
-
-
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
     """A message log - either a JSON list of messages or an object with
     ``requests`` and ``responses`` lists - one row per message: method, id, dir, ts and the
     message's JSON.  A message may be an object or an object written as a string."""
-    log = F.parse_json(F.col("value"))
-    raw = spark.read.option("wholetext", True).text(path).select(log.alias("log"))
-    none = F.array().cast("array<variant>")
-    both = F.concat(*[F.coalesce(F.try_variant_get("log", f"$.{k}", "array<variant>"), none) for k in ("requests", "responses")])
-    items = F.coalesce(F.try_variant_get("log", "$", "array<variant>"), both)
-    # as text, a string item is the JSON it holds and an object item its own JSON
-    return with_envelope(raw.select(F.explode(items).alias("m")).select(F.try_variant_get("m", "$", "string").alias("json")))
+    raw = spark.read.option("wholetext", True).text(path)
+    # as text, a string item is the JSON it holds and an object item its own JSON, in its own order
+    none = F.array().cast("array<string>")
+    both = F.from_json("value", "requests array<string>, responses array<string>")
+    halves = F.concat(F.coalesce(both["requests"], none), F.coalesce(both["responses"], none))
+    items = F.when(F.col("value").rlike(r"^\ufeff?\s*\["), F.from_json(F.regexp_replace("value", "^\ufeff", ""), "array<string>")).otherwise(halves)
+    return with_envelope(raw.select(F.explode(items).alias("json")))
 
 
 def with_envelope(messages: DataFrame) -> DataFrame:
@@ -147,42 +171,83 @@ def with_envelope(messages: DataFrame) -> DataFrame:
                            get("dir", "direction").alias("dir"), get("ts").alias("ts"), "json")
 
 
-def _data_pages(part: object, depth: int = 0) -> list:
-    """The first ``qDataPages`` found, searching in order to PAGE_DEPTH."""
-    if depth > PAGE_DEPTH:
-        return []
-    if isinstance(part, dict) and "qDataPages" in part:
-        return part["qDataPages"] or []
-    inner = part.values() if isinstance(part, dict) else part if isinstance(part, list) else ()
-    return next((pages for x in inner if (pages := _data_pages(x, depth + 1))), [])
+PAGES_KEY, MATRIX_KEY, CELL_TEXT, CELL_NUMBER = "qDataPages", "qMatrix", "qText", "qNum"
+_NUMBER_TYPES = "^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
 
 
-def hypercube_cells(messages: DataFrame) -> DataFrame:
-    """R13 + X27: the data pages of received messages to rows: (id, ts, page, row, column,
-    text, number).  A message that names a direction counts only if it is ``recv``.  Pages
-    are sought in ``data``, or in the whole message where there is none, at any place to
-    PAGE_DEPTH levels; that search is a small Python helper, one message at a time."""
-    import json
-
-    import pandas as pd
-
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for key, ts, text in zip(pdf["id"], pdf["ts"], pdf["json"]):
-                message = json.loads(text)
-                part = message.get("data", message) if isinstance(message, dict) else message
-                for p, page in enumerate(_data_pages(part)):
-                    for r, row in enumerate(page.get("qMatrix") or []):
-                        for c, cell in enumerate(row):
-                            if isinstance(cell, dict):
-                                number = cell.get("qNum")
-                                out.append((key, ts, p, r, c, cell.get("qText"), float(number) if isinstance(number, (int, float)) else None))
-            frame = pd.DataFrame(out, columns=["id", "ts", "page_idx", "row_idx", "col_idx", "text", "number"])
-            yield frame.astype({"id": "Int64", "number": "float64"})
+def _variant(v: Column, kind: str, path: str = "$") -> Column:
+    return F.try_variant_get(v, path, kind)
+
+
+def page_lists(part: Column, depth: int = PAGE_DEPTH) -> Column:
+    """Every list of data pages inside the variant ``part``, as an array of (steps, pages): steps is
+    the way to it.  The search goes level by level, to ``depth`` levels below the
+    part; an object that has the pages' key is not searched further."""
+    node = "array<struct<steps: array<string>, v: variant>>"
+    steps = F.array().cast("array<string>")
+
+    def inside(n: Column) -> Column:
+        items = F.transform(_variant(n["v"], "array<variant>"), lambda x, i: F.struct(
+            F.concat(n["steps"], F.array(F.concat(F.lit("["), i.cast("string"), F.lit("]")))).alias("steps"), x.alias("v")))
+        fields = F.transform(F.map_entries(_variant(n["v"], "map<string,variant>")), lambda e: F.struct(
+            F.concat(n["steps"], F.array(F.concat(F.lit("['"), e["key"], F.lit("']")))).alias("steps"), e["value"].alias("v")))
+        return F.coalesce(items, fields, F.array().cast(node))
+
+    def pages(n: Column) -> Column:
+        return _variant(n["v"], "variant", f"$.{PAGES_KEY}")
+
+    def level(state: Column, at: Column) -> Column:
+        met = F.transform(F.filter(state["open"], lambda n: pages(n).isNotNull()), lambda n: F.struct(n["steps"].alias("steps"), pages(n).alias("v")))
+        rest = F.flatten(F.transform(F.filter(state["open"], lambda n: pages(n).isNull()), inside))
+        return F.struct(F.when(at < depth, rest).otherwise(F.array().cast(node)).alias("open"), F.concat(state["met"], met).alias("met"))
 
+    start = F.struct(F.array(F.struct(steps.alias("steps"), part.alias("v"))).alias("open"), F.array().cast(node).alias("met"))
+    met = F.aggregate(F.sequence(F.lit(0), F.lit(depth)), start, level, lambda s: s["met"])
+    full = F.transform(met, lambda m: F.struct(m["steps"].alias("steps"), _variant(m["v"], "array<variant>").alias("pages")))
+    return F.filter(full, lambda m: F.size(m["pages"]) > 0)
+
+
+def _text_order(steps: Column, json: Column, root: Column) -> Column:
+    """Where a list stands in the message's text: for each step the place of its key in its object
+    or its index.  A variant keeps an object's fields sorted, so the text is asked."""
+    def place(step: Column, i: Column) -> Column:
+        parent = F.concat(root, F.array_join(F.slice(steps, F.lit(1), i), ""))
+        keys = F.call_function("json_object_keys", F.call_function("get_json_object", json, parent))
+        name = F.regexp_extract(step, r"^\['(.*)'\]$", 1)
+        return F.when(step.startswith("['"), F.array_position(keys, name)).otherwise(F.regexp_extract(step, r"(\d+)", 1).cast("long"))
+
+    return F.transform(steps, place)
+
+
+def first_pages(json: Column) -> Column:
+    """The first list of data pages of a message (array of variants): sought in ``data``, or in the whole message
+    where there is none, in the order of the text; empty lists do not count."""
+    message = F.try_parse_json(json)
+    data = _variant(message, "variant", "$.data")
+    lists = page_lists(F.coalesce(data, message))
+    root = F.when(data.isNotNull(), F.lit("$.data")).otherwise(F.lit("$"))
+
+    def earlier(a: Column, b: Column) -> Column:
+        x, y = _text_order(a["steps"], json, root), _text_order(b["steps"], json, root)
+        return F.when(x < y, F.lit(-1)).when(x > y, F.lit(1)).otherwise(F.lit(0))
+
+    chosen = F.when(F.size(lists) > 1, F.array_sort(lists, earlier)).otherwise(lists)
+    return F.try_element_at(chosen, F.lit(1))["pages"]
+
+
+def hypercube_cells(messages: DataFrame) -> DataFrame:
+    """R13 + X27: the data pages of received messages to rows: (id, ts, page_idx, row_idx, col_idx,
+    text, number).  A message that names a direction counts only if it is ``recv``; one that
+    is no JSON gives no rows.  The search walks the message's VARIANT, so everything is
+    expressions: pages, rows and cells are generated from it one below the other."""
     kept = messages.where(F.col("json").isNotNull() & (F.coalesce("dir", F.lit("recv")) == "recv"))
-    return kept.select("id", "ts", "json").mapInPandas(run, CELL_SCHEMA)
+    paged = kept.select("id", "ts", F.posexplode(first_pages(F.col("json"))).alias("page_idx", "page"))
+    rows = paged.select("id", "ts", "page_idx", F.posexplode(_variant(F.col("page"), "array<variant>", f"$.{MATRIX_KEY}")).alias("row_idx", "row"))
+    cells = rows.select("id", "ts", "page_idx", "row_idx", F.posexplode(_variant(F.col("row"), "array<variant>")).alias("col_idx", "cell"))
+    number = _variant(F.col("cell"), "variant", f"$.{CELL_NUMBER}")
+    return cells.where(F.schema_of_variant("cell").startswith("OBJECT")).select(
+        "id", "ts", "page_idx", "row_idx", "col_idx", _variant(F.col("cell"), "string", f"$.{CELL_TEXT}").alias("text"),
+        F.when(F.schema_of_variant(number).rlike(_NUMBER_TYPES), _variant(number, "double")).alias("number"))
 
 
 def method_histogram(messages: DataFrame, n: int = 15) -> DataFrame:

@@ -6,6 +6,10 @@ file system, and a commit log says which of them are live::
     {root}/{table}/v=000001/part-*.parquet
     {root}/_COMMITS/000000000007      <- JSON: {"enrol": ["v=000003"], "fx": ["v=000001", "v=000002"]}
 
+A table may be kept by a column of its key (the year of a fact): each value has a folder
+of its own, ``tm_v=000002/tm_part=1999``, and an upsert reads and writes the folders of the
+values in its batch only; all others stay live as they are, file by file.
+
 A write never touches a folder that a reader may see: it lands in a new version
 folder, is validated and recounted, and only then is the next commit written,
 under a temporary name and renamed to a name that did not exist before.  Readers
@@ -24,11 +28,13 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 COMMITS = "_COMMITS"
+#: Folder keys of a table kept by a column's values.
+PART_VERSION, PART = "tm_v", "tm_part"
 #: Older commits are removed, but for this many.
 KEPT_COMMITS = 20
 #: Columns that say where and when a row was loaded; a change in them alone is no change.
@@ -121,22 +127,42 @@ def current_version(spark: SparkSession, root: str, table: str) -> str | None:
     return live[-1] if live else None
 
 
-def _next_version(spark: SparkSession, root: str, table: str) -> str:
+def _next_version(spark: SparkSession, root: str, table: str, prefix: str = "v=") -> str:
     """A folder name after every one there is, published or left over."""
     fs, p, _ = _fs(spark, table_dir(root, table))
     names = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
-    return f"v={max([int(n[2:]) for n in names if n.startswith('v=') and n[2:].isdigit()], default=0) + 1:06d}"
+    done = [int(n.removeprefix(prefix)) for n in names if n.startswith(prefix) and n.removeprefix(prefix).isdigit()]
+    return f"{prefix}{max(done, default=0) + 1:06d}"
 
 
-def read_table(spark: SparkSession, root: str, table: str, schema: T.StructType | str | None = None) -> DataFrame | None:
-    """The published rows of a table (``None`` when nothing is published)."""
-    live = live_tables(spark, root).get(table)
+def tables_at(spark: SparkSession, root: str, number: int) -> dict[str, list[str]]:
+    """Every table's live folders as of commit ``number`` (0: nothing is published)."""
+    return json.loads(_read_text(spark, f"{root.rstrip('/')}/{COMMITS}/{number:012d}") or "{}") if number else {}
+
+
+def last_commit(spark: SparkSession, root: str) -> int:
+    return max(_commits(spark, root), default=0)
+
+
+def read_table(spark: SparkSession, root: str, table: str, schema: T.StructType | str | None = None, commit_number: int | None = None) -> DataFrame | None:
+    """The published rows of a table (``None`` when nothing is published), now or as of a
+    commit whose folders are still there."""
+    state = live_tables(spark, root) if commit_number is None else tables_at(spark, root, commit_number)
+    return _read_folders(spark, root, table, state.get(table) or [], schema)
+
+
+def _read_folders(spark: SparkSession, root: str, table: str, live: Sequence[str], schema: T.StructType | str | None = None) -> DataFrame | None:
     if not live:
         return None
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(*[f"{table_dir(root, table)}/{v}" for v in live])
+    paths = [f"{table_dir(root, table)}/{v}" for v in live]
+    if "/" in live[0]:
+        # the columns are in the files; those that Spark reads off the folders are not the table's,
+        # and a column that a later batch brought is in the folders written since
+        return reader.option("basePath", table_dir(root, table)).option("mergeSchema", True).parquet(*paths).drop(PART_VERSION, PART)
+    return reader.parquet(*paths)
 
 
 def nan_to_null_all(df: DataFrame) -> DataFrame:
@@ -231,6 +257,7 @@ def upsert(
     dry_run: bool = False,
     blanks: Mapping[str, str] | None = None,
     lineage: Sequence[str] = LINEAGE,
+    by: str | None = None,
 ) -> LoadResult:
     """K01/K02 (K06 dry run, Q10 idempotent rerun, U06 dedupe only on the
     declared key): keyed upsert into the published table, producing a new version.
@@ -245,6 +272,10 @@ def upsert(
     are returned; a row that differs in ``lineage`` columns only is unchanged and stays
     as it was, so a rerun of the same batch changes nothing.
 
+    With ``by``, one of the key columns, the table is kept by its values: only the folders of values
+    that the batch holds are read, merged and written, so a batch that touches few
+    periods of a large fact costs what these periods cost.
+
     Plan: one full outer join of old and new on the key (shuffled on the key)
     and one write, which also counts.
     """
@@ -253,6 +284,8 @@ def upsert(
 
     if mode not in ("update", "replace_row"):
         raise ValueError("mode must be 'update' or 'replace_row'")
+    if by is not None and by not in key_columns:
+        raise ValueError(f"{table}: '{by}' must be a key column, or a row could move between folders")
     keys = list(key_columns)
     same = {k: F.coalesce(F.col(k).cast("string"), F.lit(blanks[k])) if k in (blanks or {}) else F.col(k) for k in keys}
     parts = [f"__k{i}" for i in range(len(keys))]
@@ -262,11 +295,22 @@ def upsert(
             .drop(order_col, *parts)
     elif duplicate_key_groups(new, keys, blanks).limit(1).count():
         raise LoadError(f"{table}: repeated keys in the batch and no order column")
-    old = read_table(spark, root, table)
+    if by is None:
+        old = read_table(spark, root, table)
+        if old is not None and "/" in live_tables(spark, root)[table][0]:
+            raise LoadError(f"{table} is kept by a column's values; name it in 'by'")
+    else:
+        part_of = _part_text(same[by])
+        live = live_tables(spark, root).get(table, [])
+        if live and "/" not in live[0]:
+            raise LoadError(f"{table} is not kept by a column's values")
+        touched = {r[0] for r in new.select(part_of.alias("p")).distinct().collect()}  # the batch's periods
+        old = _read_folders(spark, root, table, [f for f in live if f.rsplit("=", 1)[1] in touched])
     if dry_run:
         return LoadResult(table, None, new.count(), dry_run=True)
     if old is None:
-        return replace_table(spark, new, root, table, keys, blanks=blanks)
+        return replace_table(spark, new, root, table, keys, blanks=blanks) if by is None else \
+            _write_parts(spark, new, part_of, touched, root, table)
     value_cols = [c for c in old.columns if c not in keys]
     extra = [c for c in new.columns if c not in old.columns and c not in keys]
     key_parts = [same[k].alias(p) for k, p in zip(keys, parts, strict=True)]
@@ -298,12 +342,37 @@ def upsert(
         F.count_if(in_new & in_old & changed).alias("upd"),
         F.count_if(same_row).alias("same"),
     ).select(*out_keys, *out_cols)
-    res = replace_table(spark, merged, root, table)
+    res = replace_table(spark, merged, root, table) if by is None else _write_parts(spark, merged, part_of, touched, root, table)
     stats = counts.get
     res.inserted, res.updated, res.unchanged = int(stats["ins"]), int(stats["upd"]), int(stats["same"])
     return res
 
 
+def _part_text(value: Column) -> Column:
+    """The name of a value's folder: the value itself where it is made of plain signs, else its hash."""
+    text = value.cast("string")
+    return F.when(text.isNull(), F.lit("null")).when(text.rlike("^[A-Za-z0-9_-]{1,64}$"), F.concat(F.lit("k"), text)) \
+        .otherwise(F.concat(F.lit("h"), F.md5(text.cast("binary"))))
+
+
+def _write_parts(spark: SparkSession, df: DataFrame, part_of: Column, touched: set[str], root: str, table: str) -> LoadResult:
+    """Write the rows by folder, recount them and commit: the folders written take the place of those of the same values."""
+    if not touched:
+        return LoadResult(table, None, 0, published=True)
+    ver = _next_version(spark, root, table, f"{PART_VERSION}=")
+    path = f"{table_dir(root, table)}/{ver}"
+    # dealt by folder, a large one over several tasks
+    written = _write_version(df.withColumn(PART, part_of).hint("rebalance", F.col(PART)), path, partition_by=[PART])
+    folders = [f"{ver}/{PART}={p}" for p in sorted(touched)]
+    recount = _read_folders(spark, root, table, folders).count()
+    if recount != written:
+        _delete(spark, path)
+        raise LoadError(f"{table}: wrote {written}, found {recount}; old folders kept")
+    kept = [f for f in live_tables(spark, root).get(table, []) if f.rsplit("=", 1)[1] not in touched]
+    commit(spark, root, {table: sorted([*kept, *folders], key=lambda f: f.rsplit("=", 1)[1])})
+    return LoadResult(table, ver, written, inserted=written, published=True)
+
+
 def append_rows(spark: SparkSession, df: DataFrame, root: str, table: str) -> LoadResult:
     """Bulk append; returns the number of rows appended.
 
@@ -311,6 +380,8 @@ def append_rows(spark: SparkSession, df: DataFrame, root: str, table: str) -> Lo
     the cost is that of the new rows only and readers never see a part of them.
     """
     live = live_tables(spark, root).get(table, [])
+    if live and "/" in live[0]:
+        raise LoadError(f"{table} is kept by a column's values; load it with upsert")
     ver = _next_version(spark, root, table)
     n = _write_version(nan_to_null_all(df), f"{table_dir(root, table)}/{ver}")
     commit(spark, root, {table: [*live, ver]})

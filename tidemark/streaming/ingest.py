@@ -57,11 +57,14 @@ def run_available(
 
 
 def upsert_each_batch(
-    root: str, table: str, keys: Sequence[str], audit_source: str | None = None, mode: str = "update"
+    root: str, table: str, keys: Sequence[str], audit_source: str | None = None, mode: str = "update", by: str | None = None
 ) -> Callable[[DataFrame, int], None]:
     """ST2 + ST5: a ``foreachBatch`` handler that upserts the batch by key (the
     batch id is the load sequence, so a later file wins over an earlier one
-    for the same key) and writes an audit event pair per micro-batch."""
+    for the same key) and writes an audit event pair per micro-batch.  With ``by`` a
+    batch rewrites the folders of its own values of that key column only.  The batch is kept
+    while it is loaded, as a load reads it more than once and a stateful batch must
+    not run again for that."""
     from tidemark.operators.audit import AuditRun
     from tidemark.sources.sinks import upsert
 
@@ -71,12 +74,16 @@ def upsert_each_batch(
         if "__row_seq" in batch.columns:
             seq = seq.withColumn("__load_seq", F.col("__load_seq") * F.lit(1 << 32) + F.col("__row_seq"))
             seq = seq.drop("__row_seq")
-        if audit_source:
-            with AuditRun(spark, root, audit_source, table, run_id=f"{table}-batch-{batch_id}") as run:
-                res = upsert(spark, seq, root, table, keys, mode=mode, order_col="__load_seq")
-                run.record(res.inserted, res.updated, res.unchanged)
-        else:
-            upsert(spark, seq, root, table, keys, mode=mode, order_col="__load_seq")
+        seq = seq.persist()
+        try:
+            if audit_source:
+                with AuditRun(spark, root, audit_source, table, run_id=f"{table}-batch-{batch_id}") as run:
+                    res = upsert(spark, seq, root, table, keys, mode=mode, order_col="__load_seq", by=by)
+                    run.record(res.inserted, res.updated, res.unchanged)
+            else:
+                upsert(spark, seq, root, table, keys, mode=mode, order_col="__load_seq", by=by)
+        finally:
+            seq.unpersist()
 
     return handle
 
