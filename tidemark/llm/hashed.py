@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_map
+from tidemark.llm.common import arrow_map, release
 
 BITS = 18
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+")
@@ -31,8 +31,8 @@ def features(text: str | None, bits: int = BITS) -> tuple[np.ndarray, int]:
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        idx = [features(t)[0] for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(idx, pa.list_(pa.int32()))], names=["y", "idx"])
+        idx = [features(t)[0].astype("<i4").tobytes() for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(idx, pa.binary())], names=["y", "idx"])
 
 
 def sample_rows(docs: DataFrame, graded: DataFrame, per_class: int, classes: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict]:
@@ -49,11 +49,15 @@ def sample_rows(docs: DataFrame, graded: DataFrame, per_class: int, classes: lis
     kind = dict(graded.dtypes)["y"]
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id") \
         .groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("row")).select("y", "row.text")
-    got = arrow_map(texts, _rows, f"y {kind}, idx array<int>").collect()
+    # as bytes: four for a feature, where a list of numbers would take ten times that on the driver
+    got = arrow_map(texts, _rows, f"y {kind}, idx binary").collect()
     number = {y: i for i, y in enumerate(classes)}
-    sizes = np.array([len(r["idx"]) for r in got], dtype=np.int64)
-    flat = np.concatenate([np.array(r["idx"], np.int32) for r in got]) if got else np.zeros(0, np.int32)
-    return np.array([number[r["y"]] for r in got], dtype=np.int64), np.concatenate([[0], np.cumsum(sizes)]), flat, have
+    sizes = np.array([len(r["idx"]) // 4 for r in got], dtype=np.int64)
+    flat = np.frombuffer(b"".join(r["idx"] for r in got), "<i4").astype(np.int32)
+    labels = np.array([number[r["y"]] for r in got], dtype=np.int64)
+    del got
+    release()
+    return labels, np.concatenate([[0], np.cumsum(sizes)]), flat, have
 
 
 def row_sums(weights: np.ndarray, starts: np.ndarray, flat: np.ndarray) -> np.ndarray:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import arrow_map, cut
+from tidemark.llm.common import arrow_map, cut, release
 from tidemark.llm.hashed import BITS, descend, feature_sums, features, row_sums, sample_rows
 
 #: Labelled rows that the classifier is fitted on: of each domain, in all, and of each domain however many there are.
@@ -84,6 +84,7 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, per_domain: int = PER_DOMA
     x = descend(slope, np.zeros(k + len(used) * k), rounds, 0.2)
     weights = np.zeros((1 << bits, k), np.float32)
     weights[used] = x[k:].reshape(len(used), k)
+    release()
     return DomainModel(domains, weights, x[:k])
 
 
