@@ -102,3 +102,117 @@ c AS (
   UNION ALL SELECT 'nations', count(*), count(*) FROM nation UNION ALL SELECT 'january_log', count(*), 2 * count(*) FROM r WHERE m = 1)
 SELECT table_name, before AS rows_before, after AS rows_after, after - before AS delta, after - before <= before * 0.05 AS passed FROM c""",
 )
+
+
+# ---------------------------------------------------------------------------
+# Source runners: what each release's sheets must give, stated over the given tables
+
+
+def loaded(*parts: tuple[str, str, str, str]) -> str:
+    """(table, key columns, value columns, query) of each table as (table_name, key, value, changed_again)."""
+    def text(columns: str) -> str:
+        return " || '|' || ".join(f"coalesce(CAST({c.strip()} AS VARCHAR), '')" for c in columns.split(","))
+
+    return "\nUNION ALL\n".join(
+        f"SELECT '{table}' AS table_name, {text(key)} AS key, {text(value)} AS value, 0::BIGINT AS changed_again FROM ({sql})" for table, key, value, sql in parts)
+
+
+PEOPLE = """
+WITH people AS (
+  SELECT o_orderkey, o_orderstatus AS st, o_totalprice AS price, o_orderpriority AS pr, o_orderdate AS d, c_nationkey AS nk, n_name AS nation, c_mktsegment AS seg, o_custkey,
+         year(o_orderdate) AS y, month(o_orderdate) AS m, year(o_orderdate) - (month(o_orderdate) < 7)::INTEGER AS fy,
+         (year(o_orderdate) - (month(o_orderdate) < 7)::INTEGER) || '-' || lpad(CAST((year(o_orderdate) - (month(o_orderdate) < 7)::INTEGER + 1) % 100 AS VARCHAR), 2, '0') AS fin
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+"""
+IN_YEARS = "fy BETWEEN 1995 AND 2001"
+PCODE = "'P' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0')"
+LOCATION = "substr(md5(" + PCODE + " || '|campus ' || s_nationkey), 1, 16)"
+
+register(
+    "l05_provider_register",
+    loaded(
+        ("dim_provider", "id", "name, kind, state, web",
+         f"SELECT {PCODE} AS id, s_name || CASE WHEN s_suppkey % 10 = 0 THEN ' (new)' ELSE '' END AS name, CASE WHEN s_suppkey % 2 = 0 THEN 'Government' ELSE 'Private' END AS kind, "
+         "CASE WHEN s_suppkey % 10 <> 0 THEN 'S' || s_nationkey END AS state, CASE WHEN s_suppkey % 10 <> 0 THEN 'www.example.org' END AS web FROM supplier"),
+        ("dim_course", "code", "name, field, weeks, fees",
+         "SELECT 'C' || lpad(CAST(p_partkey AS VARCHAR), 7, '0') AS code, p_name AS name, p_type AS field, CASE WHEN p_size <= 45 THEN CAST(p_size AS DOUBLE) END AS weeks, "
+         "round(p_retailprice, 2) AS fees FROM part"),
+        ("dim_provider_location", "id", "provider, name, suburb, postcode",
+         f"SELECT {LOCATION} AS id, {PCODE} AS provider, 'Campus ' || s_nationkey AS name, 'Town' AS suburb, s_suppkey % 9000 AS postcode FROM supplier"),
+        ("bridge_course_location", "code, id", "provider",
+         f"SELECT DISTINCT 'C' || lpad(CAST(l_partkey AS VARCHAR), 7, '0') AS code, {LOCATION} AS id, {PCODE} AS provider FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_partkey % 5 = 0"),
+    ),
+)
+
+RATING = "CASE WHEN p_size <= 40 THEN CASE WHEN p_size % 2 = 0 THEN 'Shortage' ELSE 'No shortage' END END"
+register(
+    "l05_labour_market",
+    PEOPLE
+    + loaded(
+        ("fact_job_vacancy", "period, code, state, measure", "level, n",
+         "WITH v AS (SELECT strftime(d, '%Y-%m') AS period, '2' || lpad(CAST(nk AS VARCHAR), 3, '0') AS code, CASE WHEN seg = 'BUILDING' THEN 'AUS' ELSE seg END AS state, "
+         "CAST(count(*) AS DOUBLE) AS trend, max(price) AS original FROM people WHERE y IN (1997, 1998) GROUP BY 1, 2, 3) "
+         "SELECT period, code, state, 'Trend' AS measure, 4 AS level, trend AS n FROM v UNION ALL SELECT period, code, state, 'Original', 4, original FROM v"),
+        ("fact_occupation_shortage", "code, level, state, year", "name, status",
+         f"SELECT * FROM (SELECT lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS code, 6 AS level, CASE WHEN p_size % 3 = 0 THEN 'NSW' ELSE 'AUS' END AS state, '2024' AS year, p_name AS name, {RATING} AS status FROM part "
+         f"UNION ALL SELECT lpad(CAST(p_partkey AS VARCHAR), 4, '0'), 4, 'AUS', '2024', p_name, {RATING} FROM part WHERE p_partkey <= 1000) WHERE status IS NOT NULL"),
+        ("ref_occupation_profile", "code, measure, dimension", "txt, num",
+         "WITH p AS (SELECT lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS code, p_retailprice, p_size, p_brand FROM part) "
+         "SELECT code, 'Overview' AS measure, 'weekly_pay' AS dimension, CAST(p_retailprice AS VARCHAR) AS txt, p_retailprice AS num FROM p "
+         "UNION ALL SELECT code, 'Overview', 'size', CAST(p_size AS VARCHAR), CAST(p_size AS DOUBLE) FROM p WHERE p_size > 25 "
+         "UNION ALL SELECT code, 'Overview', 'brand', p_brand, NULL FROM p"),
+    ),
+)
+register(
+    "l05_visa_workbooks",
+    PEOPLE
+    + loaded(
+        ("fact_student_visa_activity", "kind, pr, fin, measure", "v",
+         f"WITH s AS (SELECT 'Applicant ' || st AS kind, pr, fin, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (price > 150000) AS DOUBLE) AS g FROM people WHERE {IN_YEARS} GROUP BY 1, 2, 3) "
+         "SELECT kind, pr, fin, 'lodged' AS measure, n AS v FROM s UNION ALL SELECT kind, pr, fin, 'granted', g FROM s UNION ALL SELECT kind, pr, fin, 'grant_rate_pct', round(g / n * 100, 1) FROM s"),
+        ("fact_temp_skilled_visa", "sub, nation, period, state, measure", "v",
+         f"SELECT pr[1] || '82' AS sub, nation, fin AS period, 'AUS' AS state, 'granted' AS measure, CAST(count(*) AS DOUBLE) AS v FROM people WHERE {IN_YEARS} GROUP BY ALL "
+         "UNION ALL SELECT pr[1] || '82', nation, CAST(y AS VARCHAR), seg, 'holders', CAST(count(*) * 1000 AS DOUBLE) FROM people WHERE y IN (1999, 2000) GROUP BY ALL"),
+        ("fact_temp_graduate_visa", "seg, nation, fin, measure", "v",
+         f"SELECT seg, nation, fin, 'lodged' AS measure, CAST(count(*) AS DOUBLE) AS v FROM people WHERE {IN_YEARS} GROUP BY ALL "
+         f"UNION ALL SELECT seg, nation, fin, 'granted', CAST(count(*) FILTER (price > 150000) AS DOUBLE) FROM people WHERE {IN_YEARS} GROUP BY ALL"),
+        ("fact_permanent_migration", "seg, nation, outcome", "v", "SELECT seg, nation, lower(st) AS outcome, CAST(count(*) AS DOUBLE) AS v FROM people GROUP BY ALL"),
+    ),
+)
+register(
+    "l05_macro_statistics",
+    PEOPLE
+    + loaded(
+        ("fact_labour_force", "period, id", "title, sex, adjustment, unit, v",
+         "WITH s AS (SELECT strftime(d, '%Y-%m') AS period, pr, m, CAST(count(*) AS DOUBLE) AS n FROM people GROUP BY ALL) "
+         "SELECT period, 'A' || pr[1] AS id, 'Employed ' || pr || ' ;  Persons ;' AS title, 'Persons' AS sex, CASE WHEN pr[1] IN ('1', '3') THEN 'Trend' WHEN pr[1] IN ('2', '4') THEN 'Original' END AS adjustment, "
+         "'000' AS unit, n AS v FROM s UNION ALL SELECT period, 'B' || pr[1], 'Rate ' || pr || ' ;  Males ;  Seasonally Adjusted', 'Males', 'Seasonally Adjusted', 'Percent', n * 2 FROM s WHERE m <> 3"),
+        ("fact_cpi", "period, id", "title, v", "SELECT strftime(d, '%Y-%m') AS period, 'C' || pr[1] AS id, 'Index Numbers' AS title, CAST(count(*) + 100 AS DOUBLE) AS v FROM people GROUP BY ALL"),
+        ("fact_overseas_migration", "fin, nation, state, direction", "v",
+         f"SELECT fin, nation, 'AUS' AS state, CASE WHEN st = 'O' THEN 'arrivals' ELSE 'departures' END AS direction, CAST(count(*) AS DOUBLE) AS v FROM people WHERE {IN_YEARS} GROUP BY ALL"),
+        ("fact_population_by_cob", "y, nation, state", "v",
+         "SELECT y, nation, CASE WHEN nk % 2 = 0 THEN 'NSW' ELSE 'AUS' END AS state, CAST(sum(o_custkey) AS BIGINT) AS v FROM people WHERE y BETWEEN 1995 AND 2001 GROUP BY ALL"),
+    ),
+)
+register(
+    "l05_skilled_migration",
+    PEOPLE
+    + loaded(
+        ("fact_skilled_migration", "fin, sub, seg, state, measure", "v",
+         f"WITH s AS (SELECT fin, '18' || pr[1] AS sub, seg, 'AUS' AS state, count(*) AS n FROM people WHERE {IN_YEARS} GROUP BY ALL) "
+         "SELECT fin, sub, seg, state, 'Granted' AS measure, CAST(n AS DOUBLE) AS v FROM s UNION ALL SELECT fin, sub, seg, state, 'Lodged', CAST(n * 1001 AS DOUBLE) FROM s"),
+        ("ref_skilled_migration_by_cob_occupation", "fin, country, code, sub, measure", "occupation, v",
+         "SELECT fin, CASE WHEN nk > 0 THEN nation ELSE '' END AS country, '22222' || pr[1] AS code, '19' || pr[1] AS sub, 'granted' AS measure, 'Occupation ' || pr[1] AS occupation, "
+         "CAST(count(*) + CASE WHEN pr[1] = '3' THEN 5 ELSE 0 END AS DOUBLE) AS v FROM people GROUP BY fin, nk, nation, pr"),
+    ),
+)
+register(
+    "l05_interest_exports",
+    PEOPLE
+    + loaded(
+        ("stg_skillselect_eoi", "month, visa, status, source_view, dim1, dim2", "name1, name2, n",
+         "SELECT lpad(CAST(m AS VARCHAR), 2, '0') || '/2000' AS month, '189' AS visa, 'Submitted' AS status, 'State_Points' AS source_view, nation AS dim1, pr AS dim2, 'Nominated State' AS name1, 'Points' AS name2, "
+         "CAST(count(*) * 999 AS DOUBLE) AS n FROM people WHERE y = 2000 GROUP BY m, nation, pr "
+         "UNION ALL SELECT 'export', '190', 'Invited', seg, st, pr, 'Status', 'Priority', CAST(count(*) AS DOUBLE) FROM people WHERE y = 1999 AND st <> 'P' GROUP BY seg, st, pr"),
+    ),
+)

@@ -35,18 +35,16 @@ def file_encodings(spark: SparkSession, path: str, glob: str = "*.csv", fallback
 
 
 def read_csv_any_encoding(spark: SparkSession, path: str, schema: str, glob: str = "*.csv", fallback: str = "ISO-8859-1", **options) -> DataFrame:
-    """Header CSVs of which each file is UTF-8 or, failing that, ``fallback``; ``_path`` and ``_encoding`` say
-    which.  One splittable scan for each encoding that occurs; the driver knows the files' names, as any scan's does.
+    """Header CSVs of which each file is UTF-8 or, failing that, ``fallback``; ``_path``, ``_at``
+    (where the block begins that a row was read in) and ``_encoding`` say which.  One splittable scan for each encoding that occurs; the driver knows the files' names, as any scan's does.
     No file at all is an error, as for other readers."""
     found = file_encodings(spark, path, glob, fallback).collect()
     out = None
     for encoding in sorted({r["encoding"] for r in found}):
         paths = [r["path"] for r in found if r["encoding"] == encoding]
-        reader = spark.read.schema(schema).option("header", True).option("encoding", encoding)
-        for k, v in options.items():
-            reader = reader.option(k, v)
-        names = [F.col(f.name) for f in reader.csv(paths).schema.fields]
-        part = reader.csv(paths).select(*names, F.col("_metadata.file_path").alias("_path"), F.lit(encoding).alias("_encoding"))
+        reader = spark.read.schema(schema).options(**{"header": True, "encoding": encoding, **options})
+        part = reader.csv(paths).select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_at"),
+                                        F.lit(encoding).alias("_encoding"))
         out = part if out is None else out.unionByName(part)
     if out is None:
         raise FileNotFoundError(f"{path}: no file {glob} with a line")

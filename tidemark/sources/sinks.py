@@ -217,6 +217,7 @@ def replace_table(
     expected_rows: int | None = None,
     blanks: Mapping[str, str] | None = None,
     partition_by: Sequence[str] | None = None,
+    staged: dict[str, list[str]] | None = None,
 ) -> LoadResult:
     """K04 (+ G03, G12): validated atomic full replace.
 
@@ -225,7 +226,8 @@ def replace_table(
     2. write the frame to a new version folder, counting rows as they pass;
     3. recount the written version from its files and compare with the rows
        written (and ``expected_rows`` when given);
-    4. only then commit it.  Any failure leaves the old version live.
+    4. only then commit it.  Any failure leaves the old version live.  With ``staged`` the folders
+       are entered there instead, for a commit of several tables.
     """
     from tidemark.operators.quality import duplicate_key_groups
 
@@ -242,8 +244,15 @@ def replace_table(
     if recount != written or (expected_rows is not None and recount != expected_rows):
         _delete(spark, path)
         raise LoadError(f"{table}: wrote {written}, found {recount}, expected {expected_rows}; old version kept")
-    commit(spark, root, {table: [ver]})
-    return LoadResult(table, ver, written, inserted=written, published=True)
+    _publish(spark, root, table, [ver], staged)
+    return LoadResult(table, ver, written, inserted=written, published=staged is None)
+
+
+def _publish(spark: SparkSession, root: str, table: str, folders: list[str], staged: dict[str, list[str]] | None) -> None:
+    if staged is None:
+        commit(spark, root, {table: folders})
+    else:
+        staged[table] = folders
 
 
 def upsert(
@@ -258,6 +267,7 @@ def upsert(
     blanks: Mapping[str, str] | None = None,
     lineage: Sequence[str] = LINEAGE,
     by: str | None = None,
+    staged: dict[str, list[str]] | None = None,
 ) -> LoadResult:
     """K01/K02 (K06 dry run, Q10 idempotent rerun, U06 dedupe only on the
     declared key): keyed upsert into the published table, producing a new version.
@@ -309,8 +319,8 @@ def upsert(
     if dry_run:
         return LoadResult(table, None, new.count(), dry_run=True)
     if old is None:
-        return replace_table(spark, new, root, table, keys, blanks=blanks) if by is None else \
-            _write_parts(spark, new, part_of, touched, root, table)
+        return replace_table(spark, new, root, table, keys, blanks=blanks, staged=staged) if by is None else \
+            _write_parts(spark, new, part_of, touched, root, table, staged)
     value_cols = [c for c in old.columns if c not in keys]
     extra = [c for c in new.columns if c not in old.columns and c not in keys]
     key_parts = [same[k].alias(p) for k, p in zip(keys, parts, strict=True)]
@@ -342,7 +352,7 @@ def upsert(
         F.count_if(in_new & in_old & changed).alias("upd"),
         F.count_if(same_row).alias("same"),
     ).select(*out_keys, *out_cols)
-    res = replace_table(spark, merged, root, table) if by is None else _write_parts(spark, merged, part_of, touched, root, table)
+    res = replace_table(spark, merged, root, table, staged=staged) if by is None else _write_parts(spark, merged, part_of, touched, root, table, staged)
     stats = counts.get
     res.inserted, res.updated, res.unchanged = int(stats["ins"]), int(stats["upd"]), int(stats["same"])
     return res
@@ -355,7 +365,8 @@ def _part_text(value: Column) -> Column:
         .otherwise(F.concat(F.lit("h"), F.md5(text.cast("binary"))))
 
 
-def _write_parts(spark: SparkSession, df: DataFrame, part_of: Column, touched: set[str], root: str, table: str) -> LoadResult:
+def _write_parts(spark: SparkSession, df: DataFrame, part_of: Column, touched: set[str], root: str, table: str,
+                 staged: dict[str, list[str]] | None = None) -> LoadResult:
     """Write the rows by folder, recount them and commit: the folders written take the place of those of the same values."""
     if not touched:
         return LoadResult(table, None, 0, published=True)
@@ -369,8 +380,29 @@ def _write_parts(spark: SparkSession, df: DataFrame, part_of: Column, touched: s
         _delete(spark, path)
         raise LoadError(f"{table}: wrote {written}, found {recount}; old folders kept")
     kept = [f for f in live_tables(spark, root).get(table, []) if f.rsplit("=", 1)[1] not in touched]
-    commit(spark, root, {table: sorted([*kept, *folders], key=lambda f: f.rsplit("=", 1)[1])})
-    return LoadResult(table, ver, written, inserted=written, published=True)
+    _publish(spark, root, table, sorted([*kept, *folders], key=lambda f: f.rsplit("=", 1)[1]), staged)
+    return LoadResult(table, ver, written, inserted=written, published=staged is None)
+
+
+def upsert_release(
+    spark: SparkSession, root: str, frames: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]], order_col: str,
+    blanks: Mapping[str, Mapping[str, str]] | None = None,
+) -> dict[str, LoadResult]:
+    """K01 + K09: several tables upserted together: each is merged with its published rows into a new
+    version, and one commit makes them live.  A failure leaves every table as it was."""
+    staged: dict[str, list[str]] = {}
+    try:
+        out = {table: upsert(spark, df, root, table, keys[table], order_col=order_col, blanks=(blanks or {}).get(table), staged=staged)
+               for table, df in frames.items()}
+        commit(spark, root, staged)
+    except Exception:
+        for table, folders in staged.items():
+            for folder in folders:
+                _delete(spark, f"{table_dir(root, table)}/{folder}")
+        raise
+    for res in out.values():
+        res.published = True
+    return out
 
 
 def append_rows(spark: SparkSession, df: DataFrame, root: str, table: str) -> LoadResult:
