@@ -1114,6 +1114,6 @@ def q_k02(t: Tables) -> DataFrame:
 
 
 # queries over files that the given tables are landed in, and over published tables
-from tidemark.plans import landed, releases  # noqa: E402, F401
+from tidemark.plans import housekeeping, landed, releases  # noqa: E402, F401
 
 __all__ = ["QUERIES", "query"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.plans.oracle_sql import register
+from tidemark.plans.oracle_sql import M_ENROL, M_ENROL_DETAILED, register, with_
 
 register(
     "w01_price_rank_within_flag",
@@ -216,3 +216,97 @@ register(
          "UNION ALL SELECT 'export', '190', 'Invited', seg, st, pr, 'Status', 'Priority', CAST(count(*) AS DOUBLE) FROM people WHERE y = 1999 AND st <> 'P' GROUP BY seg, st, pr"),
     ),
 )
+
+# ---------------------------------------------------------------------------
+# Files to choose from, names and roles, exports, refused loads, release pages
+
+register(
+    "s12_message_log_files",
+    "SELECT CASE WHEN role = 'system' THEN 'sent' ELSE 'recv' END AS dir, count(*) AS messages, count(conv_id * 1000 + turn) AS with_id, CAST(sum(turn) AS BIGINT) AS ts_sum FROM conversations GROUP BY 1",
+)
+register(
+    "s13_s14_newest_of_the_first_source",
+    "SELECT CAST(year(o_orderdate) AS INTEGER) AS y, o_orderpriority AS priority, count(*) AS n FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders) GROUP BY 1, 2",
+)
+register(
+    "s15_s16_reference_file_and_seeds",
+    """
+SELECT CASE WHEN n_nationkey = 0 THEN 'NSW' ELSE 'N' || n_nationkey END AS state_code, n_name || ', the' AS state_name, 0 AS is_territory FROM nation
+UNION ALL SELECT * FROM (VALUES ('VIC', 'Victoria', 0), ('QLD', 'Queensland', 0), ('SA', 'South Australia', 0), ('WA', 'Western Australia', 0), ('TAS', 'Tasmania', 0),
+  ('ACT', 'Australian Capital Territory', 1), ('NT', 'Northern Territory', 1), ('AUS', 'Australia (National)', 0))""",
+)
+register(
+    "k05_k07_k08_exports",
+    """
+WITH r AS (SELECT strftime(l_shipdate, '%Y-%m-%d') AS day, CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS flag, count(*) AS n FROM lineitem GROUP BY 1, 2)
+SELECT day, flag, n, true AS within_cap, count(*) OVER () AS overwritten_rows FROM r""",
+)
+register(
+    "k06_k09_g12_loads_that_change_nothing",
+    """
+WITH r AS (SELECT DISTINCT year(o_orderdate), o_orderpriority FROM orders),
+live AS (SELECT (SELECT count(*) FROM r) + (SELECT count(*) FROM nation) AS n)
+SELECT a AS attempt, a = 'dry run' AS accepted, CASE WHEN a = 'dry run' THEN 2 * (SELECT count(*) FROM r) END AS rows, n AS rows_live
+FROM live, (VALUES ('dry run'), ('short load'), ('repeated keys'), ('half a release')) AS t(a)""",
+)
+register(
+    "u04_missing_tables_and_columns",
+    "SELECT kind, name, (SELECT count(*) FROM orders) AS orders_loaded FROM (VALUES ('table', 'by_segment'), ('column', 'state_code')) AS t(kind, name)",
+)
+register(
+    "g17_load_gate_of_a_dry_run",
+    "WITH s AS (SELECT event_type, 5 * count(*) >= (SELECT count(*) FROM events) AS ok FROM events GROUP BY 1) "
+    "SELECT count(*) FILTER (NOT ok) = 0 AS passed, coalesce(string_agg(event_type, ',' ORDER BY event_type) FILTER (NOT ok), '') AS blocking FROM s",
+)
+register(
+    "r16_two_grains_apart",
+    with_(M_ENROL, M_ENROL_DETAILED)
+    + """
+SELECT 'fact_student_enrolment' AS table_name, count(*) AS rows, CAST(sum(ytd_enrolments) AS BIGINT) AS ytd FROM m_enrol
+UNION ALL SELECT 'fact_student_enrolment_detailed', count(*), CAST(sum(ytd_enrolments) AS BIGINT) FROM m_enrol_detailed""",
+)
+register("p06_where_data_begins", "SELECT CAST(year(o_orderdate) AS VARCHAR) AS sheet, CAST(year(o_orderdate) % 10 + min(month(o_orderdate)) - 1 AS INTEGER) AS data_start FROM orders GROUP BY year(o_orderdate)")
+register(
+    "p08_p09_p14_p15_columns_of_a_frame",
+    "SELECT l_returnflag AS flag, l_linestatus, sum(l_quantity) AS quantity, CAST(2.5 AS DOUBLE) AS price FROM lineitem GROUP BY 1, 2",
+)
+register(
+    "p10_p11_p19_roles_of_columns",
+    """
+WITH r(table_name, column_name, role, is_measure) AS (VALUES
+  ('lineitem', 'l_orderkey', 'key', false), ('lineitem', 'l_partkey', 'key', false), ('lineitem', 'l_suppkey', 'key', false), ('lineitem', 'l_extendedprice', 'price', false),
+  ('lineitem', 'l_returnflag', 'flag', false), ('lineitem', 'l_shipdate', 'date', false), ('orders', 'o_orderkey', 'key', false), ('orders', 'o_custkey', 'key', false),
+  ('orders', 'o_orderstatus', 'flag', false), ('orders', 'o_totalprice', 'price', true), ('orders', 'o_orderdate', 'date', false),
+  ('customer', 'c_custkey', 'key', true), ('customer', 'c_nationkey', 'key', false), ('customer', 'c_acctbal', 'price', false)),
+n AS (SELECT 'lineitem' AS table_name, count(*) AS n FROM lineitem UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'customer', count(*) FROM customer)
+SELECT table_name, column_name, role, is_measure, false AS is_long, n FROM r JOIN n USING (table_name)""",
+)
+register(
+    "p17_p18_context_of_file_names",
+    """
+WITH f AS (SELECT CAST(month(o_orderdate) AS VARCHAR) AS m, CAST(year(o_orderdate) AS VARCHAR) AS y, o_orderpriority[1] AS k FROM orders),
+c AS (
+  SELECT m || '-' || y || '-190_Invited_English_State_Groups.csv' AS file, lpad(m, 2, '0') || '/' || y AS as_at_month, '190' AS visa_type, 'Invited' AS eoi_status,
+         'English_State_Groups' AS source_view, 'English Test Score' AS dimension_1_name, 'State_Groups' AS dimension_2_name FROM f WHERE k = '1'
+  UNION ALL SELECT lpad(m, 2, '0') || '_' || y || '_491_Submitted.csv', lpad(m, 2, '0') || '/' || y, '491', 'Submitted', lpad(m, 2, '0') || '_' || y || '_491_Submitted',
+         lpad(m, 2, '0'), y || '_491_Submitted' FROM f WHERE k = '2'
+  UNION ALL SELECT 'export_' || y || '_All_Lodged_ProfYear.csv', y, 'All', 'Lodged', 'ProfYear', 'Professional Year', 'Unknown' FROM f WHERE k = '3'
+  UNION ALL SELECT 'Occupations_' || y || '.v2.csv', NULL, NULL, NULL, 'Occupations_' || y || '.v2', 'Occupations', y || '.v2' FROM f WHERE k = '4'
+  UNION ALL SELECT y || '_189.csv', y, '189', NULL, y || '_189', y, '189' FROM f WHERE k = '5')
+SELECT *, count(*) AS n FROM c GROUP BY ALL""",
+)
+register(
+    "x24_b11_newest_complete_release",
+    """
+WITH m AS (SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, count(*) AS n FROM orders GROUP BY ALL),
+c AS (SELECT y, m FROM m QUALIFY n >= avg(n) OVER (PARTITION BY y))
+SELECT CAST(y AS INTEGER) AS page_id, CAST(max(m) AS INTEGER) AS month, 'https://releases.example.org/download/' || max(m) || '/all/xlsx' AS url, y = (SELECT max(y) FROM c) AS newest_of_all
+FROM c GROUP BY y""",
+)
+register(
+    "s08_sheets_by_entity",
+    """
+WITH w AS (SELECT ['Institutions', 'Course Locations', 'Courses', 'Locations', 'Notes', 'PROVIDER list', 'course-location (2)'][p_size % 7 + 1] AS sheet FROM part)
+SELECT sheet, CASE sheet WHEN 'Institutions' THEN 'provider' WHEN 'Course Locations' THEN 'course_location' WHEN 'Courses' THEN 'course' WHEN 'Locations' THEN 'location'
+       WHEN 'PROVIDER list' THEN 'provider' WHEN 'course-location (2)' THEN 'course' END AS entity, count(*) AS n FROM w GROUP BY ALL""",
+)

@@ -251,7 +251,7 @@ LONG_MARKERS = ("eoi_count", "count", "number_of_eois", "dimension_1", "dim1")
 def interest_facts(grid: DataFrame) -> dict[str, DataFrame]:
     """Exports that are long already, and cross-tabs, whose dimensions the file's name tells.
     Counts that are missing or not positive are left out."""
-    heads = grid.where("row_idx = 0").select("path", F.transform("cells", lambda c: X.norm_name_expr(c)).alias("__names"))
+    heads = grid.where("row_idx = 0").select("path", F.transform("cells", lambda c: F.coalesce(X.norm_name_expr(c), F.lit(""))).alias("__names"))
     kinds = heads.select("path", F.exists("__names", lambda n: n.isin(*LONG_MARKERS)).alias("__long"))
     tagged = grid.join(kinds, "path")
     hdr = grid.select("path", "sheet").distinct().withColumn("header_row", F.lit(0))
