@@ -21,7 +21,7 @@ def test_every_operator_is_registered_once():
     assert "pipeline" in E.queries()
 
 
-@pytest.mark.parametrize("name", ["op1_decontaminate", "op6_jaccard", "op7_shards", "op8_fixity", "op11_fim", "op12_topk", "op13_ranked"])
+@pytest.mark.parametrize("name", ["op1_decontaminate", "op6_jaccard", "op7_shards", "op8_fixity", "op10_language", "op11_fim", "op12_topk", "op13_ranked"])
 def test_sql(spark, name):
     from check_oracle import rows_of
 

@@ -223,4 +223,27 @@ s AS (
   FROM asked JOIN p USING (t) JOIN f USING (t) JOIN m USING (rid) GROUP BY ALL)
 SELECT item_id, (row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
 FROM s WHERE score > 0 QUALIFY rank <= 20""",
+    "op10_language": r"""
+WITH crc AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, text, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ord(c)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                             lambda p, q: CASE WHEN p % 2 = 1 THEN xor(p >> 1, 3988292384) ELSE p >> 1 END)), 4294967295) AS crc FROM documents),
+d AS (
+  SELECT rid, doc_id, lang, coalesce(crc % 5 = 0, true) AS held_out, chr(1114111) || array_to_string(regexp_extract_all(lower(text), '\p{L}+'), chr(1114111)) || chr(1114111) AS s
+  FROM crc),
+c AS (SELECT rid, unnest(string_split(s, '')) AS c, generate_subscripts(string_split(s, ''), 1) AS pos FROM d WHERE length(s) > 2),
+n AS (SELECT rid, c, c || lead(c) OVER w AS cc, c || lead(c) OVER w || lead(c, 2) OVER w AS ccc FROM c WINDOW w AS (PARTITION BY rid ORDER BY pos)),
+g AS (
+  SELECT rid, g, length(g) AS k, count(*) AS n
+  FROM (SELECT rid, c AS g FROM n WHERE c <> chr(1114111) UNION ALL SELECT rid, cc FROM n UNION ALL SELECT rid, ccc FROM n) WHERE g IS NOT NULL GROUP BY ALL),
+prof AS (
+  SELECT lang, g, row_number() OVER (PARTITION BY lang ORDER BY n DESC, k, g) - 1 AS place
+  FROM (SELECT lang, g, k, sum(n) AS n FROM g JOIN d USING (rid) WHERE NOT held_out AND lang IS NOT NULL GROUP BY ALL) QUALIFY place < 300),
+asked AS (SELECT rid, g, row_number() OVER (PARTITION BY rid ORDER BY n DESC, k, g) - 1 AS place FROM g QUALIFY place < 300),
+far AS (
+  SELECT rid, l.lang, sum(CASE WHEN prof.place IS NULL THEN 300 ELSE abs(prof.place - asked.place) END) AS far, count(*) AS n
+  FROM asked CROSS JOIN (SELECT DISTINCT lang FROM prof) AS l LEFT JOIN prof ON prof.lang = l.lang AND prof.g = asked.g GROUP BY ALL),
+best AS (SELECT rid, lang, 1.0::DOUBLE - far::DOUBLE / (300 * n) AS score FROM far QUALIFY row_number() OVER (PARTITION BY rid ORDER BY far, lang) = 1)
+SELECT doc_id, held_out, coalesce(best.lang, 'und') AS lang_pred, coalesce(score, 0.0::DOUBLE) AS score FROM d LEFT JOIN best USING (rid)""",
 }
