@@ -447,12 +447,15 @@ def m_course(t: Tables) -> DataFrame:
     )
 
 
-def _campus(t: Tables) -> DataFrame:
-    li = t.read("lineitem", "l_partkey", "l_suppkey", "l_shipdate")
-    return li.select(
-        "l_partkey",
+def _campus(t: Tables, *of: str) -> DataFrame:
+    """The distinct (``of``, supplier, year) of the line items, with the provider and campus they stand
+    for: line items meet as numbers, and texts and digests are made of what is distinct."""
+    li = t.read("lineitem", *of, "l_suppkey", "l_shipdate")
+    years = li.select(*of, "l_suppkey", F.year("l_shipdate").alias("y")).distinct()
+    return years.select(
+        *of,
         F.col("l_suppkey").cast("string").alias("provider_id"),
-        F.concat(F.lit("Campus "), F.year("l_shipdate").cast("string")).alias("location_name"),
+        F.concat(F.lit("Campus "), F.col("y").cast("string")).alias("location_name"),
     )
 
 
@@ -461,7 +464,7 @@ def m_location(t: Tables) -> DataFrame:
     from provider and name (P21); state is the provider's."""
     from tidemark.functions.scalars import synth_location_id
 
-    loc = _campus(t).select("provider_id", "location_name").distinct()
+    loc = _campus(t)
     prov = m_provider(t).select("provider_id", "state_code")
     j = loc.join(prov, "provider_id", "left")
     return j.select(
@@ -476,12 +479,11 @@ def m_bridge(t: Tables) -> DataFrame:
     """Course x location bridge (many-to-many), distinct pairs."""
     from tidemark.functions.scalars import synth_location_id
 
-    c = _campus(t)
-    return c.select(
+    return _campus(t, "l_partkey").select(
         course_code("l_partkey").alias("cricos_code"),
         synth_location_id("provider_id", "location_name").alias("location_id"),
         "provider_id",
-    ).distinct()
+    )
 
 
 def m_alias(t: Tables) -> DataFrame:
