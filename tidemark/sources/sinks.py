@@ -18,7 +18,9 @@ a whole release switches with one rename and there is no moment without a publis
 state.  A failed or short load leaves the state before it.
 
 File-system access goes through Hadoop's ``FileSystem`` on the JVM, so the same
-code works on HDFS, object stores and local disk.
+code works on HDFS, object stores and local disk.  The rename is atomic and refuses a name
+that exists on HDFS; on an object store it is a copy, so there only one writer a root at a time
+is safe.
 """
 
 from __future__ import annotations
