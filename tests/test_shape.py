@@ -48,8 +48,8 @@ def test_filename_context_and_view_dimensions(spark):
     rows = [tuple(r)[1:] for r in df.select("i", *[c.alias(k) for k, c in ctx.items()]).orderBy("i").collect()]
     assert rows == [
         ("03/2025", "189", "SUBMITTED", "occupation_by_state"), ("03/2025", "190", "Invited", "Occupations_Points"),
-        (None, None, None, None), ("June", "491", "Submitted", "State_English"), ("11/2024", "All", "Lodged", None),
-        (None, "491", None, None)]
+        (None, None, None, "notes"), ("June", "491", "Submitted", "State_English"), ("11/2024", "All", "Lodged", "11_2024_All_Lodged"),
+        (None, "491", None, "491")]  # where no part is left for the view it is the whole stem
     views = spark.createDataFrame([(1, "Occupations_Points"), (2, "State_English"), (3, "Groups")], "i INT, v STRING")
     got = views.select("i", *[c.alias(k) for k, c in shape.view_dimensions(F.col("v")).items()]).orderBy("i").collect()
     assert [tuple(r)[1:] for r in got] == [("Occupations", "Points"), ("Nominated State", "English Test Score"), ("Occupation Groups", "Unknown")]
