@@ -305,6 +305,20 @@ def test_chat_round_trip(spark):
     assert chat.digests(chat.windows(turns.limit(0))).collect() == []
 
 
+def test_chat_counts_a_hot_conversation_before_the_shuffle(spark):
+    rows = [(1 if i % 3 else None, i, "assistant" if i % 2 else "user", f"say {i} " * (i % 9)) for i in range(600)]
+    turns = spark.createDataFrame(rows, "conv_id BIGINT, turn BIGINT, role STRING, text STRING").repartition(6)
+    out = chat.windows(turns, budget=60, vocabulary=None)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # read upwards: the count, then the only shuffle by conversation, then the windows
+    at = [m.start() for m in re.finditer("MapInArrow", plan)]
+    assert len(at) == 2 and at[0] < plan.index("hashpartitioning(conv_id") < at[1]
+    held = out.collect()
+    assert sum(w.n_new for w in held) == 600 and all(w.n_tokens <= 60 for w in held)
+    for w in held:
+        assert w.n_tokens == sum(len(t.split()) for _, t in chat.read_window(w.formatted))
+
+
 # --- language ---------------------------------------------------------------------------------------------------------
 
 

@@ -1,6 +1,7 @@
 """Fitted models against direct solutions: cumulative-link likelihood, nonnegative least squares of rates, whole pipeline stages."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -108,6 +109,51 @@ def test_rates_are_the_least_squares(spark, least):
     assert np.allclose((got * t) @ p, (want * t) @ p, rtol=0.02)
 
 
+def test_two_thousand_domains_stay_within_the_classifiers_bound(spark):
+    k = 2000
+    docs = spark.range(2 * k).selectExpr("id AS doc_id", f"concat('word', id % {k}, ' sign', id % 37) AS text")
+    labelled = docs.selectExpr("doc_id", f"format_string('d%04d', doc_id % {k}) AS y")
+    tracemalloc.start()
+    model = mixing.fit_domains(docs, labelled, rounds=3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model.domains) == k and model.weights.size <= mixing.CELLS and model.weights.nbytes <= 16 << 20
+    assert peak < 16 * 8 * mixing.CELLS
+    p, n = model.posteriors(["word7 sign7", "word9 sign9", None])
+    assert p.shape == (3, k) and np.allclose(p.sum(axis=1), 1) and list(n) == [4, 4, 0]
+
+
+def test_blocks_of_rows_fit_the_same_classifier(spark, monkeypatch):
+    rows = graded_texts()
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id BIGINT, text STRING")
+    labelled = spark.createDataFrame([(i, f"d{y}") for i, _, y in rows], "doc_id BIGINT, y STRING")
+    whole = mixing.fit_domains(docs, labelled, bits=8)
+    monkeypatch.setattr(mixing, "CELLS", 3 << 8)
+    blocks = mixing.fit_domains(docs, labelled, bits=8)
+    texts = [r[1] for r in rows]
+    assert blocks.weights.shape == whole.weights.shape and np.allclose(whole.posteriors(texts)[0], blocks.posteriors(texts)[0], atol=1e-4)
+
+
+def test_rates_of_many_domains_as_an_expression(spark):
+    rng = np.random.default_rng(5)
+    p, history = rng.dirichlet([0.1] * 500, 20), [rng.normal(size=500) for _ in range(40)]
+    stored = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(p)], "i INT, p ARRAY<DOUBLE>")
+    got = [r.r for r in stored.select("i", mixing.rate_of(F.col("p"), history, 0.0).alias("r")).orderBy("i").collect()]
+    assert np.allclose(got, mixing.rates(p, history, 0.0))
+
+
+def test_fitting_rows_are_the_lowest_hashes_of_each_class(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "concat('w', id) AS text")
+    graded = docs.selectExpr("doc_id", "CASE WHEN doc_id % 100 = 0 THEN 'few' ELSE 'many' END AS y").unionByName(
+        spark.createDataFrame([(1, None)], "doc_id BIGINT, y STRING"))
+    y, starts, flat, have = hashed.sample_rows(docs, graded, 40, ["few", "many"])
+    assert have == {"few": 30, "many": 2970} and np.bincount(y).tolist() == [30, 40]
+    rows = {(int(c), flat[a:b].tobytes()) for c, a, b in zip(y, starts[:-1], starts[1:], strict=True)}
+    low = graded.where("y = 'many'").orderBy(F.xxhash64("doc_id")).limit(40).collect()
+    want = {(1, hashed.features(f"w{r.doc_id}")[0].astype(np.int32).tobytes()) for r in low}
+    assert {r for r in rows if r[0] == 1} == want
+
+
 def corpus(spark):
     rng = random.Random(9)
     rows = []

@@ -12,8 +12,9 @@ Template: ``<|turn|>role\\ntext<|end|>\\n`` for each turn.  Control strings insi
 character, and a backslash is doubled, so :func:`read_window` gives back every text as
 it was; a line break in a role is written as backslash n.
 
-Turns are read in order through a sorted stream: a task holds one window and its history, so
-neither a conversation nor a key is ever held whole.
+Tokens are counted where the turns are read, before any shuffle, so a conversation of any
+length is counted by many tasks.  Turns are then read in order through a sorted stream:
+a task holds one window and its history, so neither a conversation nor a key is ever held whole.
 
 Defined cases: null texts and roles are empty; turns of one number are ordered by role
 and text; a turn over the budget is a window of its own (with the system turn),
@@ -32,6 +33,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import arrow_map, cut
 
@@ -133,13 +135,21 @@ _NAMES = ["conv_id", "window", "formatted", "n_context", "n_new", "n_tokens", "o
 _KINDS = [pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), _SPANS]
 
 
-def _write(budget: int, history_turns: int, history_budget: int, vocabulary: str | None):
+def _count(vocabulary: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, key, writer = counter(vocabulary), None, None
+        count = counter(vocabulary)
+        for batch in batches:
+            yield batch.append_column("n", pa.array(count(batch.column("text").to_pylist()), pa.int32()))
+
+    return run
+
+
+def _write(budget: int, history_turns: int, history_budget: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, writer = None, None
         for batch in batches:
             rows = []
-            texts = batch.column("text").to_pylist()
-            for conv, role, text, n in zip(batch.column("conv_id").to_pylist(), batch.column("role").to_pylist(), texts, count(texts), strict=True):
+            for conv, role, text, n in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text", "n")), strict=True):
                 if writer is None or conv != key:
                     if writer is not None:
                         rows.append((key, *writer.close()))
@@ -161,8 +171,10 @@ def windows(turns: DataFrame, budget: int = BUDGET, history_turns: int = HISTORY
     empty = F.lit("")
     clean = turns.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", F.coalesce("role", empty).alias("role"),
                          F.coalesce("text", empty).alias("text"))
-    return arrow_map(clean.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text"),
-                     _write(budget, history_turns, history_budget, vocabulary),
+    schema = T.StructType([*clean.schema.fields, T.StructField("n", T.IntegerType())])
+    counted = arrow_map(clean, _count(vocabulary), schema)
+    return arrow_map(counted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text"),
+                     _write(budget, history_turns, history_budget),
                      "conv_id long, window int, formatted string, n_context int, n_new int, n_tokens int, over_budget boolean, "
                      "loss_spans array<struct<start:int,end:int>>")
 

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import arrow_map, release
@@ -29,29 +29,36 @@ def features(text: str | None, bits: int = BITS) -> tuple[np.ndarray, int]:
     return np.unique(np.fromiter((xxhash.xxh32_intdigest(t) & mask for t in kinds), np.int32, len(kinds))), n
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        idx = [features(t)[0].astype("<i4").tobytes() for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(idx, pa.binary())], names=["y", "idx"])
+def _rows(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            idx = [features(t, bits)[0].astype("<i4").tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(idx, pa.binary())], names=["y", "idx"])
 
+    return run
 
-def sample_rows(docs: DataFrame, graded: DataFrame, per_class: int, classes: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict]:
+
+def sample_rows(docs: DataFrame, graded: DataFrame, per_class: int, classes: list, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict]:
     """(class numbers, row starts, features, rows a class has in all) of at most ``per_class`` rows of each class.
 
     ``graded`` is (doc_id, y); ids are chosen by hash, an id that rows share
-    gives one row, and only the rows' features reach the driver.
+    gives one row, and only the rows' features reach the driver.  A first cut at a hash that
+    leaves about twice the rows asked for keeps a large class out of the sort.
     """
-    have = {r["y"]: r["n"] for r in graded.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    chosen = None
-    for y in classes:
-        part = graded.where(F.col("y") == F.lit(y)).orderBy(F.xxhash64("doc_id")).limit(per_class)
-        chosen = part if chosen is None else chosen.unionByName(part)
+    counts = graded.where("y IS NOT NULL").groupBy("y").agg(F.count("*").alias("_n"))
+    have = {r["y"]: r["_n"] for r in counts.collect()}
+    share = F.least(F.lit(1.0), F.lit(2.0 * per_class + 50) / F.col("_n"))
+    few = graded.select("doc_id", "y", F.xxhash64("doc_id").alias("_h")).join(F.broadcast(counts), "y") \
+        .where(F.col("_h") / F.lit(2.0**63) <= 2 * share - 1)
+    rank = F.row_number().over(Window.partitionBy("y").orderBy("_h"))
+    chosen = few.select("doc_id", "y", rank.alias("_r")).where(F.col("_r") <= per_class).drop("_r")
     kind = dict(graded.dtypes)["y"]
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id") \
         .groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("row")).select("y", "row.text")
     # as bytes: four for a feature, where a list of numbers would take ten times that on the driver
-    got = arrow_map(texts, _rows, f"y {kind}, idx binary").collect()
+    got = arrow_map(texts, _rows(bits), f"y {kind}, idx binary").collect()
     number = {y: i for i, y in enumerate(classes)}
+    got = [r for r in got if r["y"] in number]
     sizes = np.array([len(r["idx"]) // 4 for r in got], dtype=np.int64)
     flat = np.frombuffer(b"".join(r["idx"] for r in got), "<i4").astype(np.int32)
     labels = np.array([number[r["y"]] for r in got], dtype=np.int64)

@@ -15,7 +15,8 @@ metric used the largest curvature is 1, so a step of 1 / (1 + pull) always desce
 Defined cases: a null or empty text has no tokens, and its rate moves no total; labelled
 rows without a domain teach nothing; with no labelled domain, or no tokens, every rate
 is 1; a target for a domain that is not labelled is an error; a domain without tokens
-takes no part; repeated rows get equal rates; a column
+takes no part; with more than 16 domains the texts' features are hashed to fewer places
+and fewer rows of each domain are fitted, so that neither the classifier nor its rows grow; repeated rows get equal rates; a column
 called like one that is added (n_tokens, domain, p_domain, rate, copies) is replaced;
 names that begin with _mix_ are the operator's own.
 """
@@ -33,8 +34,10 @@ from pyspark.sql import types as T
 from tidemark.llm.common import arrow_map, cut, release
 from tidemark.llm.hashed import BITS, descend, feature_sums, features, row_sums, sample_rows
 
-#: Labelled rows that the classifier is fitted on: of each domain, in all, and of each domain however many there are.
-PER_DOMAIN, FIT_ROWS, LEAST_ROWS = 1500, 12_000, 100
+#: Labelled rows that the classifier is fitted on: of each domain, and in all (but one of each domain at least).
+PER_DOMAIN, FIT_ROWS = 1500, 12_000
+#: Weights of the classifier, features x domains, and of any working array of its fit.
+CELLS = 1 << 22
 #: Without given targets a domain's target share is its share to this power (0: all alike, 1: as they are).
 TEMPERATURE = 0.5
 PULL = 1e-3
@@ -48,7 +51,7 @@ class DomainModel:
         self.domains, self.weights, self.bias = domains, weights, bias
 
     def posteriors(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        rows = [features(t) for t in texts]
+        rows = [features(t, len(self.weights).bit_length() - 1) for t in texts]
         z = np.array([self.weights[i].sum(axis=0) / np.sqrt(max(1, len(i))) for i, _ in rows]).reshape(len(rows), -1) + self.bias
         e = np.exp(z - z.max(axis=1, keepdims=True, initial=-np.inf)) if len(rows) else z
         return e / e.sum(axis=1, keepdims=True) if len(rows) else e, np.array([n for _, n in rows], dtype=np.int64)
@@ -56,30 +59,39 @@ class DomainModel:
 
 def fit_domains(docs: DataFrame, labelled: DataFrame, per_domain: int = PER_DOMAIN, bits: int = BITS,
                 ridge: float = 1e-5, rounds: int = 60) -> DomainModel:
-    """Fit on documents of ``labelled`` (doc_id, y), at most ``per_domain`` rows of each domain y."""
+    """Fit on documents of ``labelled`` (doc_id, y), at most ``per_domain`` rows of each domain y
+    and FIT_ROWS in all, with at most CELLS weights; rows are taken in blocks of CELLS values."""
     known = labelled.where(F.col("y").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("y").alias("y"))
     domains = sorted(r["y"] for r in known.select("y").distinct().collect())
     k = len(domains)
     if not k:
         return DomainModel([], np.zeros((1 << bits, 0), np.float32), np.zeros(0))
-    y, starts, flat, have = sample_rows(docs, known, min(per_domain, max(LEAST_ROWS, FIT_ROWS // k)), domains)
+    bits = max(1, min(bits, (CELLS // k).bit_length() - 1))
+    y, starts, flat, have = sample_rows(docs, known, min(per_domain, max(1, FIT_ROWS // k)), domains, bits)
     used, flat = np.unique(flat, return_inverse=True)
     scale = 1 / np.sqrt(np.maximum(1, np.diff(starts)))
     n = np.bincount(y, minlength=k)
     weight = np.array([have.get(d, 0) / max(1, n[i]) for i, d in enumerate(domains)])[y]
     weight /= max(1e-12, weight.sum())
 
+    block = max(1, CELLS // k)
+
     def slope(x: np.ndarray) -> tuple[float, np.ndarray]:
         w, b = x[k:].reshape(len(used), k), x[:k]
-        z = np.stack([row_sums(w[:, j], starts, flat) for j in range(k)], axis=1) * scale[:, None] + b
-        e = np.exp(z - z.max(axis=1, keepdims=True))
-        p = e / e.sum(axis=1, keepdims=True)
-        d = p.copy()
-        d[np.arange(len(y)), y] -= 1
-        d *= weight[:, None]
-        g = np.stack([feature_sums(d[:, j] * scale, starts, flat, len(used)) for j in range(k)], axis=1) + ridge * w
-        loss = -(weight * np.log(np.maximum(p[np.arange(len(y)), y], 1e-12))).sum() + ridge / 2 * (w * w).sum()
-        return float(loss), np.concatenate([d.sum(axis=0), g.ravel()])
+        loss, slopes, g = ridge / 2 * (w * w).sum(), np.zeros(k), ridge * w
+        for at in range(0, len(y), block):
+            end = min(len(y), at + block)
+            own, ends, rows = flat[starts[at]:starts[end]], starts[at:end + 1] - starts[at], np.arange(end - at)
+            d = np.stack([row_sums(w[:, j], ends, own) for j in range(k)], axis=1) * scale[at:end, None] + b
+            np.exp(d - d.max(axis=1, keepdims=True), out=d)
+            d /= d.sum(axis=1, keepdims=True)
+            loss -= (weight[at:end] * np.log(np.maximum(d[rows, y[at:end]], 1e-12))).sum()
+            d[rows, y[at:end]] -= 1
+            d *= weight[at:end, None]
+            slopes += d.sum(axis=0)
+            for j in range(k):
+                g[:, j] += feature_sums(d[:, j] * scale[at:end], ends, own, len(used))
+        return float(loss), np.concatenate([slopes, g.ravel()])
 
     x = descend(slope, np.zeros(k + len(used) * k), rounds, 0.2)
     weights = np.zeros((1 << bits, k), np.float32)
@@ -159,7 +171,7 @@ def rate_of(p: Column, history: list[np.ndarray], least: float, pull: float = PU
     start = F.lit(max(1.0, least))
     if not history:
         return start
-    rounds = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in history])
+    rounds = F.array(*[F.lit(np.asarray(g, float)) for g in history])
 
     def step(r: Column, g: Column) -> Column:
         along = F.aggregate(F.zip_with(p, g, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
