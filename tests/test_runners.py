@@ -75,6 +75,27 @@ def test_named_and_melted_rows_on_odd_headings(spark):
     assert sheets.melted_rows(g, hdr, [("c", sheets.contains_any("c+d", "q"))], "n", "v").collect() == []
 
 
+def test_rows_of_one_sheet_are_dealt_over_tasks(spark):
+    g = grid(spark, {("p", "s"): [["Code", "Name", "2020"], *[[f"c{i}", f"n{i}", str(i)] for i in range(200)]]})
+    hdr = header_rows(g, hint="code")
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        named = sheets.named_rows(g, hdr, {"code": ["code"], "name": ["name"]})
+        long = sheets.melted_rows(g, hdr, [("code", sheets.is_any("code"))], "n", "v")
+        roles = runners._by_roles(g, hdr, [("code", sheets.contains_any("code"))], ["code", "none"])
+        got = [df.withColumn("task", F.spark_partition_id()).collect() for df in (named, long, roles)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(r.code for r in got[0]) == sorted(f"c{i}" for i in range(200)) and all(r.name[1:] == r.code[1:] for r in got[0])
+    assert sorted((r.code, r.n, r.v) for r in got[1]) == sorted((f"c{i}", n, v) for i in range(200) for n, v in (("name", f"n{i}"), ("2020", str(i))))
+    assert sorted((r.code, r.none) for r in got[2]) == sorted((f"c{i}", None) for i in range(200))
+    assert all(len({r.task for r in rows}) > 1 for rows in got)
+
+
 def test_exports_in_two_encodings_and_layouts(spark, tmp_root):
     def write(name, text, encoding):
         with open(os.path.join(tmp_root, name), "wb") as fh:
