@@ -40,6 +40,28 @@ def test_value_column_and_report_type(spark):
     assert shape.is_long_layout(["dim", "count"]) and not shape.is_long_layout(["dim", "2019"])
 
 
+def test_number_counts_by_type_and_text_agree_with_the_cast(spark):
+    texts = ["1", "1.", ".5", ".", "", "-", "1e5", "1e", "1d", "1.0F", "0x1p3", "nan", " -Inf ", "+infinity", "infinit", "\t12\n", "1-2", "2024-01-01", "1,000", "9" * 400, None]
+    df = spark.createDataFrame([(x, i) for i, x in enumerate(texts)], "t STRING, i INT").select(
+        "t", "i", F.when(F.col("i") > 3, F.col("i").cast("double") / 3).alias("d"), F.lit(float("nan")).alias("nan"), F.col("i").cast("decimal(38,9)").alias("dec"),
+        F.date_add(F.lit("2020-01-01").cast("date"), F.col("i")).alias("day"), F.lit("2020-01-01 00:00:00").cast("timestamp_ntz").alias("at"),
+        (F.col("i") > 2).alias("yes"), F.array("i").alias("list"), F.encode("t", "utf-8").alias("bytes"), F.lit(None).alias("void"))
+    counts = df.agg(*[shape._number_count(f.name, f.dataType).alias(f.name) for f in df.schema.fields]).first()
+    cast = df.agg(*[F.count(F.col(c).cast("string").try_cast("double")).alias(c) for c in df.columns]).first()
+    assert counts == cast and counts.t > 8 and counts.i == len(texts) and counts.day == 0
+
+
+def test_roles_query_reads_each_table_once_for_its_measure(spark, monkeypatch):
+    from tidemark.plans.catalog import QUERIES
+
+    asked, detect = [], shape.detect_value_column
+    monkeypatch.setattr(shape, "detect_value_column", lambda df, *more: asked.append(df.columns[0]) or detect(df, *more))
+    rows = QUERIES["p10_p11_p19_roles_of_columns"](spark, "/root/testdata/sf0.001").collect()
+    assert asked == ["l_orderkey", "o_orderkey", "c_custkey"]
+    assert [(r.table_name, r.column_name) for r in rows if r.is_measure and r.table_name != "lineitem"] in (
+        [("orders", "o_totalprice"), ("customer", "c_custkey")], [("customer", "c_custkey"), ("orders", "o_totalprice")])
+
+
 def test_filename_context_and_view_dimensions(spark):
     names = ["03_2025_189_SUBMITTED_occupation_by_state.csv", "3-2025-190_Invited_Occupations_Points.csv", "notes.csv",
              "June_491_Submitted_State_English.csv", "11_2024_All_Lodged.csv", "491.csv"]

@@ -170,8 +170,9 @@ def q_p10(t: Tables) -> DataFrame:
     rows = []
     for table in ("lineitem", "orders", "customer"):
         df = t.read(table)
+        measure, is_long = shape.detect_value_column(df.select(*df.columns)), shape.is_long_layout(df.columns)
         for column, role in shape.assign_roles(df.columns, rules, repeatable=("key",)).items():
-            rows.append((table, column, role, column == shape.detect_value_column(df.select(*df.columns)), shape.is_long_layout(df.columns)))
+            rows.append((table, column, role, column == measure, is_long))
     sizes = None
     for table in ("lineitem", "orders", "customer"):
         part = t.read(table).agg(F.count(F.lit(1)).alias("n")).select(F.lit(table).alias("table_name"), "n")
